@@ -51,17 +51,11 @@ def person_hits(docs: DataFrame, text: str, doc_id: str, names: DataFrame) -> Da
     Word pairs are joined to the names, so neither side is held by one task.
     Offsets are computed only in the texts that hold a name.
     """
-    words = F.split(F.col(text), r"\s+")
-    pairs = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(1), F.size(words) - 1),
-            lambda i: F.concat(F.element_at(words, i), F.lit(" "), F.element_at(words, i + 1)),
-        )
-    )
+    words = docs.select(F.col(doc_id), F.split(F.col(text), r"\s+").alias("w"))
+    pairs = F.zip_with("w", F.slice("w", 2, F.size("w")), lambda a, b: F.concat(a, F.lit(" "), b))
     mentions = (
-        docs.select(F.col(doc_id), words.alias("w"), F.col(text))
-        .where(F.size("w") > 1)
-        .select(doc_id, F.explode(pairs).alias("name"))
+        words.where(F.size("w") > 1)
+        .select(doc_id, F.explode(F.array_distinct(pairs)).alias("name"))
         .join(names.select("name").distinct(), "name")
     )
     quoted = F.concat(F.lit(r"(?<![^\s])\Q"), F.col("name"), F.lit(r"\E(?![^\s])"))
