@@ -21,4 +21,4 @@ def all_queries() -> dict[str, registry.Job]:
 
 def all_oracles() -> dict[str, str]:
     _load()
-    return dict(registry.ORACLES)
+    return {name: registry.expand(text).strip() for name, text in registry.ORACLES.items()}

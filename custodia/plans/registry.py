@@ -37,6 +37,8 @@ FRAGMENTS: dict[str, str] = {}
 
 def fragment(name: str, text: str) -> None:
     """Named sub-query for oracle texts, used as ``#name#``."""
+    if name in FRAGMENTS or name in views.VIEWS:
+        raise ValueError(f"fragment {name!r} is defined twice")
     FRAGMENTS[name] = text
 
 
@@ -57,7 +59,7 @@ def query(name: str, sql: str | None = None):
     def register(job: Job) -> Job:
         QUERIES[name] = job
         if sql is not None:
-            ORACLES[name] = expand(sql).strip()
+            ORACLES[name] = sql
         return job
 
     return register

@@ -83,6 +83,15 @@ SELECT item_id, text AS reference_answer, substr(text, 1, 12) AS fact1, substr(t
 SELECT item_id, 'm0' AS model_id, 1 + (item_id * 3) % 5 AS score, CASE WHEN item_id % 7 = 0 THEN substr(text, 1, 15) ELSE text END AS response FROM @benchmark@
 UNION ALL
 SELECT item_id, 'm1' AS model_id, 1 + (item_id * 3 + 1) % 5 AS score, CASE WHEN (item_id + 1) % 7 = 0 THEN substr(text, 1, 15) ELSE text END AS response FROM @benchmark@""",
+    # lists are comma separated, so that the text is valid in every engine
+    "scoped": """
+SELECT doc_id AS request_id, source AS session_id,
+  CASE doc_id % 5 WHEN 0 THEN 'VIEWER' WHEN 1 THEN 'ANALYST' WHEN 2 THEN 'DEVELOPER' WHEN 3 THEN 'PLATFORM_ADMIN' ELSE 'SUPER_ADMIN' END AS user_role,
+  concat('ds', CAST(doc_id % 4 AS STRING)) AS dataset,
+  CASE doc_id % 3 WHEN 0 THEN 'ds0,ds1' WHEN 1 THEN 'ds2' ELSE '' END AS approved_datasets,
+  CASE doc_id % 4 WHEN 0 THEN 'jira_search,notion_search' WHEN 1 THEN 'jira_search' ELSE '' END AS approved_tools,
+  CASE doc_id % 7 WHEN 0 THEN 'jira_search' WHEN 1 THEN 'jira_search,jira_delete' WHEN 2 THEN 'notion_search' ELSE '' END AS tool_calls
+FROM @documents@""",
     # one row per model and week: the version that ran then
     "versions": """
 SELECT model_id, concat('v1.', CAST(wk AS STRING)) AS version, min(ts) AS deployed, round(avg(grounding_score), 6) AS eval_score,
