@@ -47,6 +47,8 @@ def expand(text: str) -> str:
 
     def sub(m: re.Match) -> str:
         name = m.group(1)
+        if name.startswith("q_"):  # the text of another query
+            return f"({expand(ORACLES[name[2:]])})"
         if name in FRAGMENTS:
             return f"({expand(FRAGMENTS[name])})"
         return f"({views.view_sql(name)})"
