@@ -23,30 +23,67 @@ fragment("alerts", """SELECT a.alert, r.severity, r.channel, r.response, a.key,
   UNION ALL SELECT 'eval_run_failure', model_id, count(*) FROM #evaluated# i WHERE NOT passed GROUP BY model_id) a JOIN %alert_rules% r ON r.alert = a.alert""")
 
 
-def feed(inp: Inputs):
-    t = inp.view("traces")
-    at = lambda df, ts: F.concat_ws("@", "model_id", F.col(ts).cast("string"))
-    attacks = pii.attacked(inp).where(pii.escalation_attempt(F.col("text")))
-    unresolved = token_plan.detokenized(inp).where(F.size("unresolved") > 0)
-    volume = latency.volume_anomalies(latency.hourly_volume(t), ratio=2.0)
-    spikes = quality.rate_by_window(t, [], "1 hour", evaluation.bad()).where("rate > 0.05")
-    slow = latency.ttft_regressions(t, ratio=1.1)
-    drops = quality.drop_day_over_day(t, ["model_id"], "grounding_score", ratio=0.005)
-    runs = quality.low_runs(t, "model_id", "self_consistency_score", ["ts", "request_id"], longer_than=2)
+def _at(df, ts: str):
+    return F.concat_ws("@", "model_id", F.col(ts).cast("string"))
+
+
+def _attacks(inp):
+    hit = pii.attacked(inp).where(pii.escalation_attempt(F.col("text")))
+    return hit, F.col("doc_id"), F.lit(1)
+
+
+def _unresolved(inp):
+    return token_plan.detokenized(inp).where(F.size("unresolved") > 0), F.col("request_id"), F.size("unresolved")
+
+
+def _volume(inp):
+    over = latency.volume_anomalies(latency.hourly_volume(inp.view("traces")), ratio=2.0)
+    return over, F.concat_ws("@", "user_id", F.col("hour").cast("string")), F.col("tokens")
+
+
+def _unknown_tools(inp):
+    return agents.unregistered_calls(inp.view("tool_calls"), inp.dim("tool_registry")), F.col("call_id"), F.lit(1)
+
+
+def _spikes(inp):
+    rate = quality.rate_by_window(inp.view("traces"), [], "1 hour", evaluation.bad())
+    return rate.where("rate > 0.05"), F.col("window_start"), F.col("rate")
+
+
+def _slow(inp):
+    days = latency.ttft_regressions(inp.view("traces"), ratio=1.1)
+    return days, _at(days, "day"), F.col("p95")
+
+
+def _drops(inp):
+    days = quality.drop_day_over_day(inp.view("traces"), ["model_id"], "grounding_score", ratio=0.005)
+    return days, _at(days, "day"), F.col("drop")
+
+
+def _runs(inp):
+    runs = quality.low_runs(inp.view("traces"), "model_id", "self_consistency_score", ["ts", "request_id"], longer_than=2)
+    return runs, _at(runs, "started"), F.col("run_length")
+
+
+def _failed_evals(inp):
     failed = evaluation.evaluated(inp).where(~F.col("passed")).groupBy("model_id").agg(F.count("*").alias("n"))
-    unknown = agents.unregistered_calls(inp.view("tool_calls"), inp.dim("tool_registry"))
-    rows = governance.alert_rows
-    return governance.alert_feed([
-        rows(attacks, "role_escalation_attempt", F.col("doc_id"), F.lit(1)),
-        rows(unresolved, "pii_token_not_found", F.col("request_id"), F.size("unresolved")),
-        rows(volume, "anomalous_token_volume", F.concat_ws("@", "user_id", F.col("hour").cast("string")), F.col("tokens")),
-        rows(unknown, "tool_outside_registry", F.col("call_id"), F.lit(1)),
-        rows(spikes, "hallucination_spike", F.col("window_start"), F.col("rate")),
-        rows(slow, "latency_regression", at(slow, "day"), F.col("p95")),
-        rows(drops, "grounding_drop", at(drops, "day"), F.col("drop")),
-        rows(runs, "low_self_consistency", at(runs, "started"), F.col("run_length")),
-        rows(failed, "eval_run_failure", F.col("model_id"), F.col("n")),
-    ], inp.dim("alert_rules"))
+    return failed, F.col("model_id"), F.col("n")
+
+
+RULES = {
+    "role_escalation_attempt": _attacks, "pii_token_not_found": _unresolved, "anomalous_token_volume": _volume,
+    "tool_outside_registry": _unknown_tools, "hallucination_spike": _spikes, "latency_regression": _slow,
+    "grounding_drop": _drops, "low_self_consistency": _runs, "eval_run_failure": _failed_evals,
+}
+
+
+def feed(inp: Inputs, names: list[str] | None = None):
+    """Alert feed of the named rules, all by default."""
+    parts = []
+    for name in names or RULES:
+        hits, key, value = RULES[name](inp)
+        parts.append(governance.alert_rows(hits, name, key, value))
+    return governance.alert_feed(parts, inp.dim("alert_rules"))
 
 
 @query("alert_union", "SELECT alert, severity, channel, key, value FROM #alerts# a")
@@ -63,7 +100,7 @@ def severity_route(inp: Inputs):
   max(severity_rank) >= 3 AS rollback FROM (SELECT split_part(key, '@', 1) AS model_id, severity FROM #alerts# a WHERE alert IN ('latency_regression', 'grounding_drop', 'low_self_consistency', 'eval_run_failure')) x
 JOIN %rollback_matrix% m ON m.severity = x.severity GROUP BY model_id""")
 def rollback_decision(inp: Inputs):
-    by_model = feed(inp).where(F.col("alert").isin("latency_regression", "grounding_drop", "low_self_consistency", "eval_run_failure"))
+    by_model = feed(inp, ["latency_regression", "grounding_drop", "low_self_consistency", "eval_run_failure"])
     by_model = by_model.withColumn("model_id", F.split_part("key", F.lit("@"), F.lit(1)))
     return governance.rollback_decision(by_model, inp.dim("rollback_matrix"), "model_id")
 

@@ -26,6 +26,9 @@ class Inputs:
     def view(self, name: str) -> DataFrame:
         return views.view(self.spark, self.sf_dir, name)
 
+    def stream_view(self, name: str) -> DataFrame:
+        return views.stream_view(self.spark, self.sf_dir, name)
+
     def dim(self, name: str) -> DataFrame:
         return dims.dim(self.spark, name)
 

@@ -117,3 +117,23 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """File stream over one of the test tables."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A view over streams. Times become zoned, since watermarks refuse TIMESTAMP_NTZ."""
+    used: dict[str, DataFrame] = {}
+
+    def param(t: str) -> str:
+        used[t] = stream(spark, sf_dir, t)
+        return "@@" + t + "@@"
+
+    text = _expand(VIEWS[name], param).replace("{", "{{").replace("}", "}}")
+    df = spark.sql(re.sub(r"@@(\w+)@@", r"{\1}", text), **used)
+    zoned = {f.name: df[f.name].cast("timestamp") for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"}
+    return df.withColumns(zoned) if zoned else df
