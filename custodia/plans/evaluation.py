@@ -111,7 +111,7 @@ def eval_set_profile(inp: Inputs):
 @query("traffic_sample", f"""SELECT request_id FROM #redacted# r WHERE n = 0 AND substr(sha256(CAST(request_id AS VARCHAR)), 1, 8) < '{sampling.hash_cut(0.02)}'""")
 def traffic_sample(inp: Inputs):
     # the hash is cheap and goes first; detection only runs on the sampled share
-    share = inp.view("prompts").where(sampling.in_share(F.col("request_id"), 0.02))
+    share = inp.prompts().where(sampling.in_share(F.col("request_id"), 0.02))
     return redaction.detect(share, "prompt", "request_id").where(F.size("entities") == 0).select("request_id")
 
 
@@ -328,7 +328,7 @@ fragment("grounded", """SELECT c.doc_id, c.lang, c.source, c.ord, g.claim IS NOT
 
 
 def claim_rows(inp: Inputs):
-    return grounding.claims(inp.table("documents"), "doc_id", "text", ["lang", "source"])
+    return grounding.claims(inp.texts("documents"), "doc_id", "text", ["lang", "source"])
 
 
 def grounded(inp: Inputs):

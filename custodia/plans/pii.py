@@ -81,7 +81,7 @@ fragment("ssn_texts", """SELECT doc_id AS request_id, concat(text, ' ssn ', lpad
 # --- inputs ------------------------------------------------------------------
 def ssn_texts(inp: Inputs):
     """Documents with a made social security number and birth date appended."""
-    d = inp.table("documents")
+    d = inp.texts("documents")
     tail = F.format_string(
         " ssn %s-45-6789 born 19%s-03-1%s.",
         F.lpad((F.col("doc_id") % 900).cast("string"), 3, "1"),
@@ -92,12 +92,12 @@ def ssn_texts(inp: Inputs):
 
 
 def redacted_prompts(inp: Inputs):
-    return redaction.redact(inp.view("prompts"), "prompt", "request_id")
+    return redaction.redact(inp.prompts(), "prompt", "request_id")
 
 
 def entity_table(inp: Inputs, keep: list[str] | None = None):
     keep = keep or ["request_id"]
-    return redaction.entity_rows(redaction.detect(inp.view("prompts"), "prompt", "request_id"), keep)
+    return redaction.entity_rows(redaction.detect(inp.prompts(), "prompt", "request_id"), keep)
 
 
 # --- queries -----------------------------------------------------------------
@@ -107,7 +107,7 @@ def _pattern_query(name: str, entity_type: str, source_sql: str, frame) -> None:
         return redaction.hit_rows(frame(inp), "prompt", ["request_id"], entity_type)
 
 
-_prompts = lambda inp: inp.view("prompts")
+_prompts = lambda inp: inp.prompts()
 _pattern_query("pii_email", "EMAIL", "#prompts#", _prompts)
 _pattern_query("pii_phone", "PHONE", "#prompts#", _prompts)
 _pattern_query("pii_ip", "IP_ADDRESS", "#prompts#", _prompts)
@@ -133,7 +133,7 @@ WHERE (p = 0 OR regexp_matches(substr(t.text, p, 1), '\\s')) AND (p + length(nam
 """)
 def pii_person(inp: Inputs):
     names = inp.table("benchmark").select(F.regexp_extract("text", r"^[^\s]+ [^\s]+", 0).alias("name")).where("name <> ''")
-    return redaction.person_hits(inp.table("documents"), "text", "doc_id", names)
+    return redaction.person_hits(inp.texts("documents"), "text", "doc_id", names)
 
 
 @query("pii_entities", 'SELECT request_id, ord, type, value, start, "end", conf AS confidence FROM #entities# e')
@@ -166,7 +166,7 @@ def pii_tokens(inp: Inputs):
 
 @query("pii_count_per_request", "SELECT request_id, CAST(n AS INTEGER) AS pii_token_count, n > 0 AS pii_detected FROM #redacted# r")
 def pii_count_per_request(inp: Inputs):
-    found = redaction.detect(inp.view("prompts"), "prompt", "request_id")
+    found = redaction.detect(inp.prompts(), "prompt", "request_id")
     return found.select("request_id", F.size("entities").alias("pii_token_count"), (F.size("entities") > 0).alias("pii_detected"))
 
 
@@ -181,7 +181,7 @@ fragment("pages_walk", _kept_sql("(SELECT page_id AS request_id, html AS prompt
 @query("output_pii_leak", """SELECT request_id AS page_id, CAST(count(*) AS INTEGER) AS n, string_agg(type, ',' ORDER BY start) AS types
 FROM #pages_walk# w WHERE kept GROUP BY request_id""")
 def output_pii_leak(inp: Inputs):
-    found = redaction.detect(inp.table("pages"), "html", "page_id")
+    found = redaction.detect(inp.texts("pages"), "html", "page_id")
     return found.where(F.size("entities") > 0).select(
         "page_id", F.size("entities").alias("n"), F.array_join(F.col("entities.type"), ",").alias("types")
     )
@@ -212,7 +212,7 @@ fragment("attacked", f"SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN concat(text
 
 
 def attacked(inp: Inputs):
-    return inp.table("documents").select(
+    return inp.texts("documents").select(
         "doc_id", F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit(" " + _ATTACK))).otherwise(F.col("text")).alias("text")
     )
 
@@ -235,7 +235,7 @@ def role_escalation_flag(inp: Inputs):
 @query("sensitive_keyword_flag", f"""SELECT p.request_id, p.n > 0 AS has_pii FROM #redacted# p
 WHERE n > 0 OR regexp_matches(lower(p.prompt), '\\b(?:{"|".join(dims.SENSITIVE_KEYWORDS)})\\b')""")
 def sensitive_keyword_flag(inp: Inputs):
-    found = redaction.detect(inp.view("prompts"), "prompt", "request_id")
+    found = redaction.detect(inp.prompts(), "prompt", "request_id")
     keywords = "|".join(dims.SENSITIVE_KEYWORDS)
     flagged = (F.size("entities") > 0) | F.lower("prompt").rlike(rf"\b(?:{keywords})\b")
     return found.where(flagged).select("request_id", (F.size("entities") > 0).alias("has_pii"))

@@ -26,6 +26,13 @@ class Inputs:
     def view(self, name: str) -> DataFrame:
         return views.view(self.spark, self.sf_dir, name)
 
+    def prompts(self) -> DataFrame:
+        return views.spread(self.view("prompts"))
+
+    def texts(self, name: str) -> DataFrame:
+        """A table whose texts are about to be scanned."""
+        return views.spread(self.table(name))
+
     def stream_view(self, name: str) -> DataFrame:
         return views.stream_view(self.spark, self.sf_dir, name)
 

@@ -77,13 +77,13 @@ def stream_rate_limit(inp: Inputs):
     return sinks.run_available(over, "rate").select("agent", "tool", text("window_start"), "n")
 
 
-@query("stream_sessions", f"""SELECT session_id, CAST(min(created_at) AS VARCHAR) AS started, CAST(max(created_at) + INTERVAL 1 HOUR AS VARCHAR) AS ended, count(*) AS n FROM (
-  SELECT *, sum(new) OVER (PARTITION BY session_id ORDER BY created_at) AS s FROM (
-    SELECT session_id, created_at, CASE WHEN created_at - lag(created_at) OVER (PARTITION BY session_id ORDER BY created_at) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS new FROM #prompts# p) a) b
-GROUP BY session_id, s HAVING max(created_at) + INTERVAL 1 HOUR <= {_CLOSED.format('created_at', '#prompts# z')}""")
+@query("stream_sessions", f"""SELECT user_id, CAST(min(ts) AS VARCHAR) AS started, CAST(max(ts) + INTERVAL 1 HOUR AS VARCHAR) AS ended, count(*) AS n FROM (
+  SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM (
+    SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS new FROM #traces# t) a) b
+GROUP BY user_id, s HAVING max(ts) + INTERVAL 1 HOUR <= {_CLOSED.format('ts', 'events')}""")
 def stream_sessions(inp: Inputs):
-    out = sinks.run_available(jobs.sessions(inp.stream_view("prompts").select("session_id", "created_at"), "session_id", "created_at"), "sessions")
-    return out.select("session_id", text("started"), text("ended"), "n")
+    out = sinks.run_available(jobs.sessions(inp.stream_view("traces").select("user_id", "ts"), "user_id", "ts"), "sessions")
+    return out.select("user_id", text("started"), text("ended"), "n")
 
 
 @query("stream_weekly_status", f"""SELECT CAST(as_of AS VARCHAR) AS as_of, project, status, count(*) AS n FROM (

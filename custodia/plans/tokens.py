@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from custodia.functions import pii
 from custodia.operators import redaction, tokens
 from custodia.plans.registry import Inputs, fragment, query
-from custodia.sources import dims
+from custodia.session import pinned
 
 fragment("token_map", """SELECT e.token, e.value, e.type, p.session_id, p.created_at, p.created_at + INTERVAL '3600' SECOND AS expires_at,
   e.request_id, e.ord FROM #entities# e JOIN #prompts# p USING (request_id)""")
@@ -19,26 +18,39 @@ fragment("lookups", """SELECT request_id, read_at, user_role, CAST(i - 1 AS INTE
     SELECT request_id, read_at, user_role, regexp_extract_all(response, '<PII_TOKEN_[0-9A-F]{8}>') AS t FROM #responses# r) a) b""")
 
 
-def entity_table(inp: Inputs):
-    found = redaction.detect(inp.view("prompts"), "prompt", "request_id")
-    return redaction.entity_rows(found, ["request_id", "session_id", "created_at"])
+def redacted(inp: Inputs):
+    """The redacted prompts and their entities as a gateway would store them: detected once, read by all that follows."""
+    r = redaction.redact(inp.prompts(), "prompt", "request_id").drop("prompt")
+    return pinned(r)
 
 
-def token_map(inp: Inputs):
+def entities_of(stored):
+    return redaction.entity_rows(stored, ["request_id", "session_id", "created_at"])
+
+
+def map_of(stored):
     """Records of one batch; tokens are unique per (text, offset) up to collisions."""
-    return tokens.write_once(None, tokens.puts_of(entity_table(inp), "session_id", "created_at"))
+    return tokens.write_once(None, tokens.puts_of(entities_of(stored), "session_id", "created_at"))
+
+
+def token_map(inp: Inputs):
+    found = redaction.detect(inp.prompts(), "prompt", "request_id")
+    return map_of(found)
 
 
-def responses(inp: Inputs):
-    r = redaction.redact(inp.view("prompts"), "prompt", "request_id")
+def responses_of(stored):
     suffix = F.when(F.col("request_id") % 7 == 0, " <PII_TOKEN_DEADBEEF>").otherwise("")
     late = tokens.seconds((F.col("request_id") % 4) * 1800)
-    return r.select(
-        "request_id", "user_id", "user_role", "session_id", "prompt", "redacted", "created_at",
-        F.concat("redacted", suffix).alias("response"), F.size("entities").alias("n"), (F.col("created_at") + late).alias("read_at"),
+    return stored.select(
+        "request_id", "user_id", "user_role", "session_id", F.concat("redacted", suffix).alias("response"),
+        F.size("entities").alias("n"), (F.col("created_at") + late).alias("read_at"),
     )
 
 
+def asked(stored, *keep: str):
+    return tokens.lookups(responses_of(stored), "response", ["request_id", *keep])
+
+
 @query("token_map_write", """SELECT token, value, type, session_id, CAST(created_at AS VARCHAR) AS created_at, CAST(expires_at AS VARCHAR) AS expires_at FROM #token_map# m""")
 def token_map_write(inp: Inputs):
     return token_map(inp).select(
@@ -48,29 +60,30 @@ def token_map_write(inp: Inputs):
 
 @query("token_scan", "SELECT request_id, pos, token FROM #lookups# l")
 def token_scan(inp: Inputs):
-    return tokens.lookups(responses(inp), "response", ["request_id"])
+    r = redaction.redact(inp.prompts(), "prompt", "request_id")
+    return asked(r)
 
 
 @query("token_lookup_join", """SELECT l.request_id, l.pos, l.token, m.value, m.value IS NOT NULL AS resolved
 FROM #lookups# l LEFT JOIN #token_map# m ON m.token = l.token""")
 def token_lookup_join(inp: Inputs):
-    found = tokens.read(tokens.lookups(responses(inp), "response", ["request_id"]), token_map(inp))
-    return found.select("request_id", "pos", "token", "value", F.col("value").isNotNull().alias("resolved"))
+    stored = redacted(inp)
+    return tokens.read(asked(stored), map_of(stored)).select("request_id", "pos", "token", "value", F.col("value").isNotNull().alias("resolved"))
 
 
 @query("token_asof_join", """SELECT l.request_id, l.pos, l.token, m.value
 FROM #lookups# l LEFT JOIN #token_map# m ON m.token = l.token AND l.read_at >= m.created_at AND l.read_at < m.expires_at""")
 def token_asof_join(inp: Inputs):
-    asked = tokens.lookups(responses(inp), "response", ["request_id", "read_at"])
-    return tokens.read(asked, token_map(inp), at="read_at").select("request_id", "pos", "token", "value")
+    stored = redacted(inp)
+    return tokens.read(asked(stored, "read_at"), map_of(stored), at="read_at").select("request_id", "pos", "token", "value")
 
 
 @query("token_map_read", """SELECT l.token, count(*) AS reads, CAST(sum(CASE WHEN m.token IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS hits, min(m.type) AS type, min(m.session_id) AS session_id
 FROM #lookups# l LEFT JOIN #token_map# m ON m.token = l.token AND l.read_at >= m.created_at AND l.read_at < m.expires_at GROUP BY l.token""")
 def token_map_read(inp: Inputs):
-    asked = tokens.lookups(responses(inp), "response", ["request_id", "read_at"])
+    stored = redacted(inp)
     return (
-        tokens.read(asked, token_map(inp), at="read_at")
+        tokens.read(asked(stored, "read_at"), map_of(stored), at="read_at")
         .groupBy("token")
         .agg(
             F.count("*").alias("reads"), F.count("value").alias("hits"),
@@ -82,8 +95,9 @@ def token_map_read(inp: Inputs):
 @query("token_write_once", """SELECT token, value, 'late' AS session_id, CAST(put_at AS VARCHAR) AS created_at FROM (
   SELECT m.*, m.created_at + (m.request_id % 4) * INTERVAL '30' MINUTE AS put_at FROM #token_map# m) x WHERE NOT (put_at >= created_at AND put_at < expires_at)""")
 def token_write_once(inp: Inputs):
-    first = token_map(inp)
-    again = entity_table(inp).withColumn("created_at", F.col("created_at") + tokens.seconds((F.col("request_id") % 4) * 1800))
+    stored = redacted(inp)
+    first = map_of(stored)
+    again = entities_of(stored).withColumn("created_at", F.col("created_at") + tokens.seconds((F.col("request_id") % 4) * 1800))
     puts = tokens.puts_of(again.withColumn("session_id", F.lit("late")), "session_id", "created_at")
     return tokens.write_once(first, puts).select("token", "value", "session_id", F.col("created_at").cast("string"))
 
@@ -104,7 +118,8 @@ fragment("detokenized", f"""SELECT request_id, user_role, session_id, n, respons
 
 
 def detokenized(inp: Inputs):
-    return tokens.detokenize(responses(inp), token_map(inp), "request_id", "response", "user_role", at="read_at")
+    stored = redacted(inp)
+    return tokens.detokenize(responses_of(stored), map_of(stored), "request_id", "response", "user_role", at="read_at")
 
 
 @query("detokenize", "SELECT request_id, user_role, restored, array_to_string(unresolved, ',') AS unresolved FROM #detokenized# d")

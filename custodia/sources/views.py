@@ -119,6 +119,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for CPU-heavy text work on an input of few splits.
+
+    Only where the scan has at most half as many partitions as there are cores,
+    so what is shuffled stays below half a split per core; a large table has
+    splits enough and passes unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if 2 * df.rdd.getNumPartitions() <= cores:
+        return df.repartition(cores)
+    return df
+
+
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """File stream over one of the test tables."""
     schema = table(spark, sf_dir, name).schema
