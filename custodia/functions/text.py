@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SENTENCE = r"[^.!?]+[.!?]*"
@@ -26,3 +26,14 @@ def shingles(word_list: Column, n: int = 3) -> Column:
         runs = F.zip_with(runs, F.slice(word_list, i + 1, F.greatest(F.size(word_list) - i, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
     full = F.array_distinct(F.filter(runs, lambda r: r.isNotNull()))
     return F.when(F.size(word_list) >= n, full).otherwise(F.array(F.array_join(word_list, " ")))
+
+
+def unnest(df: DataFrame, keep: list[str], items: Column, name: str, position: str | None = None) -> DataFrame:
+    """One row per array item, with its 0-based position if asked for.
+
+    An outer explode plus a filter: for an inner explode the optimizer infers a
+    size filter that repeats the whole array expression and pushes it below.
+    """
+    if position is None:
+        return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
+    return df.select(*keep, F.posexplode_outer(items).alias(position, name)).where(F.col(position).isNotNull())

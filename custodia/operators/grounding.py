@@ -12,7 +12,7 @@ THRESHOLD = 0.6
 
 def claims(responses: DataFrame, doc_id: str, text: str, keep: list[str] | None = None) -> DataFrame:
     """One row per sentence of a response."""
-    return responses.select(doc_id, *(keep or []), F.posexplode(tx.sentences(F.col(text))).alias("ord", "claim"))
+    return tx.unnest(responses, [doc_id, *(keep or [])], tx.sentences(F.col(text)), "claim", "ord")
 
 
 def _shingled(df: DataFrame, keys: list[str], text: str, n: int) -> DataFrame:
@@ -37,15 +37,16 @@ def supported_claims(
     left = _shingled(uniq.withColumn("claim_key", F.sha2("__t", 256)), [*scope, "claim_key"], "__t", n)
     ctx = chunks.select(*scope, F.col(chunk_text).alias("__t")).distinct().withColumn("__chunk", F.sha2("__t", 256))
     right = _shingled(ctx, [*scope, "__chunk"], "__t", n)
-    postings = right.select(*scope, "__chunk", F.explode("sh").alias("s"))
+    postings = right.select(*scope, "__chunk", F.explode_outer("sh").alias("s"))
     freq = postings.groupBy(*scope, "s").agg(F.count("*").alias("df"))
 
+    # shingles of no chunk drop out here, which is most of them
     ranked = (
-        left.select(*scope, "claim_key", F.explode("sh").alias("s"))
-        .join(freq, [*scope, "s"], "left")
-        .groupBy(*scope, "claim_key")
+        left.select(*scope, "claim_key", F.size("sh").alias("m"), F.explode_outer("sh").alias("s"))
+        .join(freq, [*scope, "s"])
+        .groupBy(*scope, "claim_key", "m")
         # as many entries as the sentence has words
-        .agg(F.count("*").alias("m"), F.array_sort(F.collect_list(F.when(F.col("df").isNotNull(), F.struct("df", "s")))).alias("known"))
+        .agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("known"))
         .withColumn("need", F.ceil(F.round(F.col("m") * threshold, 9)).cast("int"))
         .where(F.size("known") >= F.col("need"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.functions import pii
+from custodia.functions.text import unnest
 
 
 def detect(
@@ -24,14 +25,14 @@ def redact(df: DataFrame, text: str, doc_id: str, out: str = "redacted", **optio
 
 def entity_rows(df: DataFrame, keep: list[str]) -> DataFrame:
     """One row per entity of ``entities``, with its 0-based position in the text."""
-    return df.select(*keep, F.posexplode("entities").alias("ord", "e")).select(
+    return unnest(df, keep, F.col("entities"), "e", "ord").select(
         *keep, "ord", "e.type", "e.value", "e.start", "e.end", "e.confidence", "e.token"
     )
 
 
 def hit_rows(df: DataFrame, text: str, keep: list[str], entity_type: str) -> DataFrame:
     """Raw hits of one pattern, before overlaps are removed."""
-    return df.select(*keep, F.explode(pii.pattern_hits(F.col(text), entity_type)).alias("h")).select(
+    return unnest(df, keep, pii.pattern_hits(F.col(text), entity_type), "h").select(
         *keep, "h.value", "h.start", "h.end"
     )
 
@@ -40,7 +41,7 @@ def candidate_rows(df: DataFrame, text: str, keep: list[str], types: list[str])
     """All hits of all patterns, each marked whether overlap removal keeps it."""
     found = df.withColumn("__all", pii.candidates(F.col(text), types))
     kept = found.withColumn("__kept", pii.drop_overlaps(F.col("__all")))
-    return kept.select(*keep, F.explode("__all").alias("c"), "__kept").select(
+    return unnest(kept, [*keep, "__kept"], F.col("__all"), "c").select(
         *keep, "c.type", "c.value", "c.start", "c.end", F.array_contains("__kept", F.col("c")).alias("kept")
     )
 
@@ -53,15 +54,11 @@ def person_hits(docs: DataFrame, text: str, doc_id: str, names: DataFrame) -> Da
     """
     words = docs.select(F.col(doc_id), F.split(F.col(text), r"\s+").alias("w"))
     pairs = F.zip_with("w", F.slice("w", 2, F.size("w")), lambda a, b: F.concat(a, F.lit(" "), b))
-    mentions = (
-        words.where(F.size("w") > 1)
-        .select(doc_id, F.explode(F.array_distinct(pairs)).alias("name"))
-        .join(names.select("name").distinct(), "name")
-    )
+    mentions = unnest(words, [doc_id], F.array_distinct(pairs), "name").join(names.select("name").distinct(), "name")
     quoted = F.concat(F.lit(r"(?<![^\s])\Q"), F.col("name"), F.lit(r"\E(?![^\s])"))
+    both = mentions.join(docs.select(doc_id, text), doc_id)
     return (
-        mentions.join(docs.select(doc_id, text), doc_id)
-        .select(doc_id, F.explode(pii.spans(F.col(text), quoted)).alias("h"))
+        unnest(both, [doc_id], pii.spans(F.col(text), quoted), "h")
         .select(doc_id, "h.value", "h.start", "h.end", F.lit(pii.CONFIDENCE["PERSON"]).alias("confidence"))
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.functions import pii
+from custodia.functions.text import unnest
 from custodia.session import pinned
 from custodia.sources import dims
 
@@ -66,9 +67,8 @@ def collisions(puts: DataFrame) -> DataFrame:
 
 def lookups(texts: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """One row per token occurrence, with its position in the text."""
-    return texts.where(F.contains(F.col(text), F.lit("<PII_TOKEN_"))).select(
-        *keep, F.posexplode(pii.tokens_in(F.col(text))).alias("pos", "token")
-    )
+    some = texts.where(F.contains(F.col(text), F.lit("<PII_TOKEN_")))
+    return unnest(some, keep, pii.tokens_in(F.col(text)), "token", "pos")
 
 
 def read(asked: DataFrame, token_map: DataFrame, at: str | None = None, session: str | None = None) -> DataFrame:

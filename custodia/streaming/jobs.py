@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.functions import pii
+from custodia.functions.text import unnest
 from custodia.operators import quality, redaction
 from custodia.operators.agents import rate_limits, registered_calls
 from custodia.sources import dims
@@ -86,7 +87,7 @@ def weekly_status(issues: DataFrame, ts: str = "updated_at", delay: str = DELAY)
 def prompt_tokens(prompts: DataFrame, text: str, doc_id: str) -> DataFrame:
     """Token puts of arriving prompts."""
     found = redaction.detect(prompts, text, doc_id)
-    return found.select(F.explode("entities").alias("e"), "session_id", "created_at").select(
+    return unnest(found, ["session_id", "created_at"], F.col("entities"), "e").select(
         "e.token", "e.value", "e.type", "session_id", "created_at"
     )
 
