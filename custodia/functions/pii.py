@@ -6,6 +6,9 @@ hit, and only texts with hits pay for the array folds that compute offsets.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +31,9 @@ TOKEN_REGEX = r"<PII_TOKEN_[0-9A-F]{8}>"
 # --- end of fixed values ----------------------------------------------------
 
 DEFAULT_SALT = "custodia"
+# decimal digits of other scripts, which \d also matches
+_OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode)) if unicodedata.category(c) == "Nd")
+_DIGIT_VALUES = "".join(str(unicodedata.digit(c)) for c in _OTHER_DIGITS)
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 _ENTITY = "array<struct<start:int,neg_conf:double,rank:int,end:int,type:string,value:string>>"
 
@@ -70,7 +76,8 @@ def spans(text: Column, pattern: str | Column) -> Column:
 
 
 def digits_only(value: Column) -> Column:
-    return F.translate(value, " -", "")
+    """ASCII digits of a card number, without its spaces and hyphens."""
+    return F.translate(value, _OTHER_DIGITS + " -", _DIGIT_VALUES)
 
 
 def luhn_valid(digits: Column) -> Column:
