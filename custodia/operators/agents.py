@@ -238,7 +238,7 @@ def launch_kpis(messages: DataFrame, calls: DataFrame, registry: DataFrame, revi
     one = rates
     for part in (p95, total, bad, unknown, rated):
         one = one.crossJoin(F.broadcast(part))  # one row each
-    accuracy = 1 - (F.col("unauthorized") + F.col("unregistered")) / F.col("calls")
+    accuracy = 1 - (F.col("unauthorized") + F.col("unregistered")) / F.nullif(F.col("calls"), F.lit(0))
     ready = (F.col("completion_rate") > 0.85) & (F.col("escalation_rate") < 0.15) & (F.col("e2e_p95") < 45) & (accuracy > 0.95) & (
         F.col("unauthorized") + F.col("unregistered") == 0) & (F.col("satisfaction") > 4.0)
     return one.withColumns({"tool_accuracy": accuracy, "ready": ready})

@@ -33,8 +33,8 @@ def regressions(versions: DataFrame, ratio: float = dims.DROP_RATIO) -> DataFram
     """Each version against the one deployed before it (the registry holds few rows per model)."""
     w = W.partitionBy("model_id").orderBy("deployed")
     v = versions.withColumns({"prev_score": F.lag("eval_score").over(w), "prev_rate": F.lag("hallucination_rate").over(w)})
-    drop = (F.col("prev_score") - F.col("eval_score")) / F.col("prev_score")
-    rise = (F.col("hallucination_rate") - F.col("prev_rate")) / F.col("prev_rate")
+    drop = (F.col("prev_score") - F.col("eval_score")) / F.nullif(F.col("prev_score"), F.lit(0.0))
+    rise = (F.col("hallucination_rate") - F.col("prev_rate")) / F.nullif(F.col("prev_rate"), F.lit(0.0))
     return v.withColumns({"score_drop": drop, "rate_rise": rise}).withColumn(
         "regressed", F.coalesce(F.col("score_drop") > ratio, F.lit(False)) | F.coalesce(F.col("rate_rise") > ratio, F.lit(False))
     )

@@ -48,7 +48,7 @@ def drop_day_over_day(traces: DataFrame, keys: list[str], value: str, ratio: flo
     w = W.partitionBy(*keys).orderBy("day")
     with_prev = daily.withColumns({"prev_day": F.lag("day").over(w), "prev_score": F.lag("score").over(w)})
     adjacent = F.col("prev_day") + F.expr("INTERVAL 1 DAY") == F.col("day")
-    drop = (F.col("prev_score") - F.col("score")) / F.col("prev_score")
+    drop = (F.col("prev_score") - F.col("score")) / F.nullif(F.col("prev_score"), F.lit(0.0))
     return with_prev.where(adjacent & (drop > ratio)).select(*keys, "day", "prev_score", "score", drop.alias("drop"))
 
 
@@ -105,33 +105,38 @@ def burn_rates(traces: DataFrame, checks: dict[str, tuple[Column, float]], ts: s
     )
 
 
-def unit_sums(responses: DataFrame, group: str, embedding: str) -> DataFrame:
-    """Per group and dimension the sum of unit vectors; combines before the shuffle."""
-    return _unit(responses, [group], embedding).groupBy(group, "i").agg(F.sum("u").alias("s"), F.count("*").alias("n"))
-
-
 def _unit(responses: DataFrame, keep: list[str], embedding: str) -> DataFrame:
+    """Unit vectors as rows (dimension i, component u); a zero vector stays zero."""
     v = F.transform(F.col(embedding), lambda x: x.cast("double"))
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    return responses.select(*keep, v.alias("__v"), norm.alias("__n")).select(
-        *keep, "__n", F.posexplode("__v").alias("i", "x")
-    ).select(*keep, "i", (F.col("x") / F.col("__n")).alias("u"))
+    rows = responses.select(*keep, v.alias("__v"), norm.alias("__n")).select(*keep, "__n", F.posexplode_outer("__v").alias("i", "x"))
+    return rows.where(F.col("i").isNotNull()).select(*keep, "i", F.coalesce(F.col("x") / F.nullif(F.col("__n"), F.lit(0.0)), F.lit(0.0)).alias("u"))
+
+
+def unit_sums(responses: DataFrame, group: str, embedding: str) -> DataFrame:
+    """Per group and dimension the sum of unit vectors; combines before the shuffle."""
+    return _unit(responses, [group], embedding).groupBy(group, "i").agg(
+        F.sum("u").alias("s"), F.sum(F.col("u") * F.col("u")).alias("q"), F.count("*").alias("n")
+    )
 
 
 def self_consistency(responses: DataFrame, group: str, embedding: str) -> DataFrame:
     """Mean cosine over all unordered pairs, without forming pairs.
 
-    For unit vectors the pair sum is (|sum|^2 - n) / 2, so one linear pass is enough.
+    The pair sum of vectors u is (|sum u|^2 - sum |u|^2) / 2, so one linear pass is enough.
     """
-    per = unit_sums(responses, group, embedding).groupBy(group).agg(F.max("n").alias("n"), F.sum(F.col("s") * F.col("s")).alias("ss"))
-    score = (F.col("ss") - F.col("n")) / (F.col("n") * (F.col("n") - 1))
+    per = unit_sums(responses, group, embedding).groupBy(group).agg(
+        F.max("n").alias("n"), F.sum(F.col("s") * F.col("s")).alias("ss"), F.sum("q").alias("q")
+    )
+    score = (F.col("ss") - F.col("q")) / (F.col("n") * (F.col("n") - 1))
     return per.select(group, "n", F.when(F.col("n") > 1, score).alias("score"))
 
 
 def similarity_to_others(responses: DataFrame, group: str, item: str, embedding: str) -> DataFrame:
     """Mean cosine of each response to the other ones of its group (row means of the pair matrix)."""
     sums = unit_sums(responses, group, embedding)
+    # one row per group and dimension on the right; the left spreads over dimensions
     dot = _unit(responses, [group, item], embedding).join(sums, [group, "i"]).groupBy(group, item).agg(
-        F.sum(F.col("u") * F.col("s")).alias("d"), F.max("n").alias("n")
+        F.sum(F.col("u") * F.col("s")).alias("d"), F.sum(F.col("u") * F.col("u")).alias("self"), F.max("n").alias("n")
     )
-    return dot.select(group, item, F.when(F.col("n") > 1, (F.col("d") - 1) / (F.col("n") - 1)).alias("mean_similarity"))
+    return dot.select(group, item, F.when(F.col("n") > 1, (F.col("d") - F.col("self")) / (F.col("n") - 1)).alias("mean_similarity"))

@@ -67,7 +67,7 @@ def model_ab_compare(inp: Inputs):
 
 @query("golden_regression", """SELECT model_id, version, round(prev_score, 6) AS prev_score, round(score_drop, 6) AS score_drop, round(rate_rise, 6) AS rate_rise,
   coalesce(score_drop > 0.15, FALSE) OR coalesce(rate_rise > 0.15, FALSE) AS regressed FROM (
-  SELECT model_id, version, prev_score, (prev_score - eval_score) / prev_score AS score_drop, (hallucination_rate - prev_rate) / prev_rate AS rate_rise FROM (
+  SELECT model_id, version, prev_score, (prev_score - eval_score) / nullif(prev_score, 0) AS score_drop, (hallucination_rate - prev_rate) / nullif(prev_rate, 0) AS rate_rise FROM (
     SELECT *, lag(eval_score) OVER w AS prev_score, lag(hallucination_rate) OVER w AS prev_rate FROM #versions# v WINDOW w AS (PARTITION BY model_id ORDER BY deployed)) x) y""")
 def golden_regression(inp: Inputs):
     return golden.regressions(inp.view("versions")).select(
