@@ -10,8 +10,8 @@ from custodia.session import pinned
 
 fragment("token_map", """SELECT e.token, e.value, e.type, p.session_id, p.created_at, p.created_at + INTERVAL '3600' SECOND AS expires_at,
   e.request_id, e.ord FROM #entities# e JOIN #prompts# p USING (request_id)""")
-# DISTINCT changes nothing here; it gives DuckDB's join one materialised source
-fragment("map_rows", "SELECT DISTINCT * FROM #token_map# t")
+# materialised sources: DuckDB's join over the inlined ones is not reliable
+_SOURCES = "WITH l AS MATERIALIZED (SELECT * FROM #lookups# a), m AS MATERIALIZED (SELECT * FROM #token_map# b)"
 _SUFFIX = "CASE WHEN request_id % 7 = 0 THEN ' <PII_TOKEN_DEADBEEF>' ELSE '' END"
 fragment("responses", f"""SELECT request_id, user_id, user_role, session_id, concat(redacted, {_SUFFIX}) AS response, n, prompt,
   created_at + (request_id % 4) * INTERVAL '30' MINUTE AS read_at FROM #redacted# r""")
@@ -66,22 +66,22 @@ def token_scan(inp: Inputs):
     return asked(r)
 
 
-@query("token_lookup_join", """SELECT l.request_id, l.pos, l.token, m.value, m.value IS NOT NULL AS resolved
-FROM #lookups# l LEFT JOIN #map_rows# m ON m.token = l.token""")
+@query("token_lookup_join", f"""{_SOURCES} SELECT l.request_id, l.pos, l.token, m.value, m.value IS NOT NULL AS resolved
+FROM l LEFT JOIN m ON m.token = l.token""")
 def token_lookup_join(inp: Inputs):
     stored = redacted(inp)
     return tokens.read(asked(stored), map_of(stored)).select("request_id", "pos", "token", "value", F.col("value").isNotNull().alias("resolved"))
 
 
-@query("token_asof_join", """SELECT l.request_id, l.pos, l.token, m.value
-FROM #lookups# l LEFT JOIN #map_rows# m ON m.token = l.token AND l.read_at >= m.created_at AND l.read_at < m.expires_at""")
+@query("token_asof_join", f"""{_SOURCES} SELECT l.request_id, l.pos, l.token, m.value
+FROM l LEFT JOIN m ON m.token = l.token AND l.read_at >= m.created_at AND l.read_at < m.expires_at""")
 def token_asof_join(inp: Inputs):
     stored = redacted(inp)
     return tokens.read(asked(stored, "read_at"), map_of(stored), at="read_at").select("request_id", "pos", "token", "value")
 
 
-@query("token_map_read", """SELECT l.token, count(*) AS reads, CAST(sum(CASE WHEN m.token IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS hits, min(m.type) AS type, min(m.session_id) AS session_id
-FROM #lookups# l LEFT JOIN #map_rows# m ON m.token = l.token AND l.read_at >= m.created_at AND l.read_at < m.expires_at GROUP BY l.token""")
+@query("token_map_read", f"""{_SOURCES} SELECT l.token, count(*) AS reads, CAST(sum(CASE WHEN m.token IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS hits, min(m.type) AS type, min(m.session_id) AS session_id
+FROM l LEFT JOIN m ON m.token = l.token AND l.read_at >= m.created_at AND l.read_at < m.expires_at GROUP BY l.token""")
 def token_map_read(inp: Inputs):
     stored = redacted(inp)
     return (
@@ -105,7 +105,7 @@ def token_write_once(inp: Inputs):
 
 
 @query("session_cleanup", """SELECT s.session_id, count(m.token) AS deleted
-FROM (SELECT DISTINCT source AS session_id FROM documents WHERE source LIKE 'src1%') s LEFT JOIN #map_rows# m USING (session_id) GROUP BY s.session_id""")
+FROM (SELECT DISTINCT source AS session_id FROM documents WHERE source LIKE 'src1%') s LEFT JOIN #token_map# m USING (session_id) GROUP BY s.session_id""")
 def session_cleanup(inp: Inputs):
     ended = inp.table("documents").where(F.col("source").startswith("src1")).select(F.col("source").alias("session_id"))
     return tokens.deleted_per_session(token_map(inp), ended)
