@@ -35,8 +35,10 @@ def stream_audit_append(inp: Inputs):
 
 @query("stream_token_ttl", "SELECT DISTINCT token, type, session_id FROM #token_map# m")
 def stream_token_ttl(inp: Inputs):
+    base = sinks.fresh_dir(inp.spark, "tokens")
     puts = jobs.prompt_tokens(inp.stream_view("prompts"), "prompt", "request_id")
-    return sinks.run_available(jobs.token_puts(puts).select("token", "type", "session_id"), "tokens")
+    sinks.run_batches(puts, base, sinks.append_token_map(base))
+    return inp.spark.read.parquet(f"{base}/map").select("token", "type", "session_id")
 
 
 @query("stream_hallucination_1h", f"""SELECT CAST(w AS VARCHAR) AS window_start, count(*) AS n, round(avg(b), 6) AS rate FROM (

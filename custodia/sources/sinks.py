@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from custodia.operators import audit, tokens
 from custodia.session import pinned
 from custodia.sources import schemas
-from custodia.streaming.sinks import table_or_none
+from custodia.streaming.sinks import append_by_day, table_or_none
 
 
 def append_audit(records: DataFrame, path: str, order: list[str] | None = None) -> int:
@@ -19,7 +19,7 @@ def append_audit(records: DataFrame, path: str, order: list[str] | None = None)
     log = table_or_none(spark, path, rows.schema)
     new = audit.first_per_event(rows, order) if log is None else audit.new_rows(log, rows, order)
     # pinned: the append must not read files it is adding
-    pinned(new).repartition("dt").write.mode("append").partitionBy("dt").parquet(path)
+    append_by_day(pinned(new), path)
     return audit.rejected(rows).count()
 
 
@@ -28,14 +28,14 @@ def append_tokens(puts: DataFrame, path: str, same_session: bool = False) -> Non
     spark = puts.sparkSession
     existing = table_or_none(spark, path, schemas.TOKEN_MAP + ", dt DATE")
     new = tokens.write_once(existing, puts, same_session)
-    pinned(new).withColumn("dt", F.to_date("created_at")).repartition("dt").write.mode("append").partitionBy("dt").parquet(path)
+    append_by_day(pinned(new).withColumn("dt", F.to_date("created_at")), path)
 
 
 def drop_sessions(path: str, ended: DataFrame, target: str) -> int:
     """Write the map without ended sessions to ``target``; returns how many records went."""
     spark = ended.sparkSession
     old = spark.read.schema(schemas.TOKEN_MAP + ", dt DATE").parquet(path)
-    tokens.without_sessions(old, ended).repartition("dt").write.mode("overwrite").partitionBy("dt").parquet(target)
+    append_by_day(tokens.without_sessions(old, ended), target, "overwrite")
     return old.join(ended.select("session_id").distinct(), "session_id", "left_semi").count()
 
 

@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custodia.functions import pii
 from custodia.functions.text import unnest
-from custodia.operators import quality, redaction
+from custodia.operators import quality, redaction, tokens
 from custodia.operators.agents import rate_limits, registered_calls
 from custodia.sources import dims
 
@@ -24,11 +23,6 @@ def redact(prompts: DataFrame, text: str, doc_id: str) -> DataFrame:
     return redaction.redact(prompts, text, doc_id)
 
 
-def token_puts(puts: DataFrame, ttl_seconds: int = dims.TOKEN_TTL_SECONDS) -> DataFrame:
-    """A token is accepted once while its record may still be alive; state expires with it."""
-    return puts.withWatermark("created_at", f"{ttl_seconds} seconds").dropDuplicatesWithinWatermark(["token"])
-
-
 def windowed_rate(traces: DataFrame, keys: list[str], flag: Column, width: str = "1 hour", slide: str = "15 minutes", ts: str = "ts", delay: str = DELAY) -> DataFrame:
     w = F.window(ts, width, slide)
     agg = traces.withWatermark(ts, delay).groupBy(w.alias("w"), *keys).agg(F.count("*").alias("n"), F.avg(flag).alias("rate"))
@@ -84,13 +78,8 @@ def weekly_status(issues: DataFrame, ts: str = "updated_at", delay: str = DELAY)
     return agg.select(F.col("w.end").alias("as_of"), "project", "status", "n")
 
 
-def prompt_tokens(prompts: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Token puts of arriving prompts."""
+def prompt_tokens(prompts: DataFrame, text: str, doc_id: str, ttl: int = dims.TOKEN_TTL_SECONDS) -> DataFrame:
+    """Token puts of arriving prompts, for ``sinks.append_token_map``."""
     found = redaction.detect(prompts, text, doc_id)
-    return unnest(found, ["session_id", "created_at"], F.col("entities"), "e").select(
-        "e.token", "e.value", "e.type", "session_id", "created_at"
-    )
-
-
-def has_tokens(text: Column) -> Column:
-    return F.size(pii.tokens_in(text)) > 0
+    rows = unnest(found, ["session_id", "created_at"], F.col("entities"), "e")
+    return tokens.puts_of(rows.select("e.token", "e.value", "e.type", "session_id", "created_at"), "session_id", "created_at", ttl)

@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.operators import audit
+from custodia.operators import audit, tokens
 from custodia.operators.ordered import ordered_window
-from custodia.session import shared_dir
-from custodia.sources import dims
+from custodia.session import pinned, shared_dir
+from custodia.sources import dims, schemas
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -32,8 +32,18 @@ def run_available(stream: DataFrame, name: str) -> DataFrame:
 
 
 def run_batches(stream: DataFrame, base: str, step: Callable[[DataFrame, int], None]) -> None:
+    """Run ``step`` on every micro-batch.
+
+    A stream's session has adaptive execution off. The steps are ordinary batch
+    jobs that count on it for skewed joins and file sizes, so it is put on again.
+    """
+
+    def adaptive(batch: DataFrame, epoch: int) -> None:
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        step(batch, epoch)
+
     q = (
-        stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{base}/checkpoint")
+        stream.writeStream.foreachBatch(adaptive).option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True).start()
     )
     q.awaitTermination()
@@ -47,6 +57,11 @@ def table_or_none(spark: SparkSession, path: str, schema) -> DataFrame | None:
     return spark.read.schema(schema).parquet(path) if fs.exists(p) else None
 
 
+def append_by_day(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Write partitioned by ``dt``. Rebalancing gathers small days and splits a day that fills the batch."""
+    rows.hint("rebalance", "dt").write.mode(mode).partitionBy("dt").parquet(path)
+
+
 def append_audit(base: str, order: list[str], lookback_days: int | None = None) -> Callable[[DataFrame, int], None]:
     """Micro-batch step: exactly one row per event id in ``{base}/log``.
 
@@ -66,8 +81,30 @@ def append_audit(base: str, order: list[str], lookback_days: int | None = None)
                 first = dated.agg(F.min("dt")).first()[0]
                 log = log.where(F.col("dt") >= F.date_sub(F.lit(first), lookback_days))
             rows = audit.new_rows(log, dated, order)
-        # one shuffle by day keeps the number of files per partition small
-        rows.repartition("dt").write.mode("append").partitionBy("dt").parquet(f"{base}/log")
+        append_by_day(pinned(rows), f"{base}/log")
+
+    return step
+
+
+def append_token_map(base: str, ttl: int = dims.TOKEN_TTL_SECONDS) -> Callable[[DataFrame, int], None]:
+    """Micro-batch step: write-once token records in ``{base}/map``.
+
+    Puts are reduced per token before they are shuffled, so a token that fills
+    the batch is no bottleneck. Only map partitions that may hold living records
+    are read. A repeated batch is blocked by its own first attempt.
+    """
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        puts = pinned(batch.select(*tokens.FIELDS))
+        first = puts.agg(F.min("created_at")).first()[0]
+        if first is None:
+            return
+        known = table_or_none(spark, f"{base}/map", schemas.TOKEN_MAP + ", dt DATE")
+        if known is not None:
+            known = known.where(F.col("dt") >= F.to_date(F.lit(first) - tokens.seconds(ttl)))
+        new = tokens.write_once(known, puts).withColumn("dt", F.to_date("created_at"))
+        append_by_day(pinned(new), f"{base}/map")
 
     return step
 

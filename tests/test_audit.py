@@ -95,3 +95,21 @@ def test_token_sink(spark, tmp_path):
     assert {r["token"]: r["value"] for r in spark.read.parquet(path).collect()} == {"t": "first@example.com", "u": "x"}
     ended = spark.createDataFrame([("s1",)], "session_id string")
     assert sinks.drop_sessions(path, ended, str(tmp_path / "tokens2")) == 2
+
+
+def test_token_stream_step(spark, tmp_path):
+    from custodia.operators import tokens
+    from custodia.streaming.sinks import append_token_map
+
+    def puts(rows):
+        df = spark.createDataFrame(rows, "token string, value string, s int").withColumns(
+            {"type": F.lit("EMAIL"), "session": F.lit("s"), "at": F.expr("TIMESTAMP '2024-01-01 23:30:00'") + F.make_dt_interval(secs=F.col("s"))})
+        return tokens.puts_of(df, "session", "at")
+
+    step = append_token_map(str(tmp_path))
+    first = puts([("t", "a", 0), ("t", "b", 5)])
+    step(first, 0)
+    step(first, 0)
+    step(puts([("t", "late", 3599), ("t", "again", 3600), ("u", "x", 3000)]), 1)
+    got = sorted(r["value"] for r in spark.read.parquet(f"{tmp_path}/map").collect())
+    assert got == ["a", "again", "x"]
