@@ -92,8 +92,10 @@ def expired(messages: DataFrame, **options) -> DataFrame:
 def unapproved_actions(messages: DataFrame, acts: Column, **options) -> DataFrame:
     """Actions not preceded in their chain by the orchestrator's execute message."""
     approval = (F.col("sender") == "ORCHESTRATOR") & (F.col("recipient") == "EXECUTION") & (F.col("message_type") == "execute")
-    run = ordered_window(messages, ["trace_id"], ["seq"], running={"__ok": ("max", approval.cast("int"))}, **options)
-    return run.where(acts & (F.col("__ok") == 0)).drop("__ok")
+    # only what the order needs: the rows may be written out when a chain is split
+    narrow = messages.select("trace_id", "seq", acts.alias("__act"), approval.cast("int").alias("__approval"))
+    run = ordered_window(narrow, ["trace_id"], ["seq"], running={"__ok": ("max", F.col("__approval"))}, **options)
+    return run.where(F.col("__act") & (F.col("__ok") == 0)).select("trace_id", "seq")
 
 
 def reentries(messages: DataFrame, **options) -> DataFrame:

@@ -89,11 +89,11 @@ def tool_scope(inp: Inputs):
 
 
 @query("tool_set_difference", """SELECT session_id, unnest(string_split(tool_calls, ',')) AS tool FROM #scoped# WHERE tool_calls <> ''
-EXCEPT SELECT session_id, unnest(string_split(approved_tools, ',')) FROM #scoped# b WHERE approved_tools <> '' AND request_id % 4 = 1""")
+EXCEPT SELECT session_id, unnest(string_split(approved_tools, ',')) FROM #scoped# b WHERE approved_tools <> '' AND user_role = 'DEVELOPER'""")
 def tool_set_difference(inp: Inputs):
     s = inp.view("scoped")
     asked = s.select("session_id", F.explode(access.listed(F.col("tool_calls"))).alias("tool"))
-    approved = s.where("request_id % 4 = 1").select("session_id", F.explode(access.listed(F.col("approved_tools"))).alias("tool"))
+    approved = s.where("user_role = 'DEVELOPER'").select("session_id", F.explode(access.listed(F.col("approved_tools"))).alias("tool"))
     return asked.subtract(approved)
 
 

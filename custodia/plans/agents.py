@@ -98,13 +98,10 @@ def message_ttl_expired(inp: Inputs):
     return agents.expired(messages(inp)).select("trace_id", "seq", "answered_late")
 
 
-_APPROVAL = "sender = 'ORCHESTRATOR' AND recipient = 'EXECUTION' AND message_type = 'execute'"
-
-
-@query("approval_chain_check", f"""SELECT trace_id, seq FROM #messages# m WHERE recipient = 'EXECUTION' AND NOT EXISTS (
+@query("approval_chain_check", """SELECT trace_id, seq FROM #messages# m WHERE recipient = 'EXECUTION' AND NOT EXISTS (
   SELECT 1 FROM #messages# p WHERE p.trace_id = m.trace_id AND p.seq <= m.seq AND p.sender = 'ORCHESTRATOR' AND p.recipient = 'EXECUTION' AND p.message_type = 'execute')""")
 def approval_chain_check(inp: Inputs):
-    return agents.unapproved_actions(messages(inp), F.col("recipient") == "EXECUTION").select("trace_id", "seq")
+    return agents.unapproved_actions(messages(inp), F.col("recipient") == "EXECUTION")
 
 
 @query("escalation_reentry", """SELECT m.trace_id, m.seq, count(p.seq) AS attempts FROM #messages# m LEFT JOIN #messages# p ON p.trace_id = m.trace_id AND p.seq <= m.seq AND p.message_type = 'human_response' GROUP BY 1, 2""")
@@ -119,7 +116,7 @@ def trace_assembly(inp: Inputs):
         "intake_seq": F.when(F.col("sender") == "INTAKE", F.col("seq")),
         "last_order": F.when(F.col("sender") == "ORCHESTRATOR", F.col("message_type")),
     }
-    return agents.assemble(messages(inp), context).select("trace_id", "seq", "position", "intake_seq", "last_order")
+    return agents.assemble(messages(inp).select("trace_id", "seq", "sender", "message_type"), context).select("trace_id", "seq", "position", "intake_seq", "last_order")
 
 
 @query("trace_duration", "SELECT trace_id, count(*) AS messages, CAST(epoch(max(created_at)) - epoch(min(created_at)) AS DOUBLE) AS seconds FROM #messages# m GROUP BY trace_id")

@@ -24,9 +24,9 @@ def log(inp: Inputs):
 
 
 @query("audit_append", f"""SELECT {_ROW} FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts, record_no) AS rn FROM #audit_input#
-  WHERE user_id IS NOT NULL AND event_id NOT IN (SELECT event_id FROM #log# l WHERE record_no % 3 = 0)) x WHERE rn = 1""")
+  WHERE user_id IS NOT NULL AND event_id NOT IN (SELECT event_id FROM #log# l WHERE ts < TIMESTAMP '2021-10-01 00:00:00')) x WHERE rn = 1""")
 def audit_append(inp: Inputs):
-    existing = log(inp).where("record_no % 3 = 0")
+    existing = log(inp).where("ts < TIMESTAMP '2021-10-01 00:00:00'")
     return shown(audit.new_rows(existing, inp.view("audit_input"), ["ts", "record_no"]))
 
 
@@ -99,11 +99,11 @@ def audit_completeness(inp: Inputs):
     return audit.completeness(completions, log(inp))
 
 
-@query("audit_immutability", """SELECT event_id, latency_ms FROM #log# l WHERE record_no % 10 IN (7, 9)""")
+@query("audit_immutability", """SELECT event_id, latency_ms FROM #log# l WHERE team IN ('team1', 'team3')""")
 def audit_immutability(inp: Inputs):
-    old = log(inp).select("event_id", "ts", "user_id", "latency_ms", "record_no")
-    changed = F.when(F.col("record_no") % 10 == 7, F.col("latency_ms") + 1).otherwise(F.col("latency_ms"))
-    new = old.where("record_no % 10 <> 9").withColumn("latency_ms", changed)
+    old = log(inp).select("event_id", "ts", "user_id", "latency_ms", "team")
+    changed = F.when(F.col("team") == "team1", F.col("latency_ms") + 1).otherwise(F.col("latency_ms"))
+    new = old.where("team <> 'team3'").withColumn("latency_ms", changed)
     return audit.altered_rows(old, new).select("event_id", "latency_ms")
 
 

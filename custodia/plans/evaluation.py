@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from custodia.functions import sampling, text as tx
 from custodia.operators import golden, grounding, latency, quality, redaction
 from custodia.operators.percentiles import exact_percentiles
+from custodia.plans import pii
 from custodia.plans.registry import Inputs, fragment, query
 
 BAD = "CASE WHEN grounding_score < 0.85e0 THEN 1 ELSE 0 END"
@@ -98,12 +99,13 @@ def eval_gate(inp: Inputs):
 
 
 @query("eval_set_profile", """SELECT s.dataset, s.n, s.n BETWEEN b.min_size AND b.max_size AS in_bounds FROM (
-  SELECT 'golden' AS dataset, count(*) AS n FROM benchmark UNION ALL SELECT 'adversarial', count(*) FROM documents WHERE doc_id % 10 = 0
+  SELECT 'golden' AS dataset, count(*) AS n FROM benchmark UNION ALL SELECT 'adversarial', count(*) FROM #q_role_escalation_flag# a
   UNION ALL SELECT 'production_sample', count(*) FROM documents WHERE substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8) < '""" + sampling.hash_cut(0.02) + """') s LEFT JOIN %eval_set_bounds% b USING (dataset)""")
 def eval_set_profile(inp: Inputs):
     docs = inp.table("documents")
+    attacks = pii.attacked(inp).where(pii.escalation_attempt(F.col("text")))
     sizes = inp.table("benchmark").select(F.lit("golden").alias("dataset")).unionAll(
-        docs.where("doc_id % 10 = 0").select(F.lit("adversarial"))
+        attacks.select(F.lit("adversarial"))
     ).unionAll(docs.where(sampling.in_share(F.col("doc_id"), 0.02)).select(F.lit("production_sample"))).groupBy("dataset").agg(F.count("*").alias("n"))
     return sizes.join(inp.dim("eval_set_bounds"), "dataset", "left").select("dataset", "n", F.col("n").between(F.col("min_size"), F.col("max_size")).alias("in_bounds"))
 
