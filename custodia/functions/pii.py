@@ -34,8 +34,10 @@ DEFAULT_SALT = "custodia"
 # decimal digits of other scripts, which \d also matches
 _OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode)) if unicodedata.category(c) == "Nd")
 _DIGIT_VALUES = "".join(str(unicodedata.digit(c)) for c in _OTHER_DIGITS)
-_SPAN = "array<struct<start:int,end:int,value:string>>"
-_ENTITY = "array<struct<start:int,neg_conf:double,rank:int,end:int,type:string,value:string>>"
+_SPAN = "struct<start:int,end:int,value:string>"
+_ENTITY = "struct<start:int,neg_conf:double,rank:int,end:int,type:string,value:string>"
+_GROUP = 64
+_BLOCK = 512
 
 
 def _empty(array_type: str) -> Column:
@@ -47,6 +49,32 @@ def java_pattern(entity_type: str) -> str:
     return "(?U)" + PATTERNS[entity_type]
 
 
+def _scan(items: Column, state: Column, step, emitted: str) -> Column:
+    """Walk an array in order with a state; ``step(state, item)`` gives the new state and one output.
+
+    Appending to an array copies it, so outputs are gathered in groups and joined
+    at the end: a text with very many hits takes linear, not quadratic, time.
+    """
+    groups = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _GROUP).cast("int")), lambda g: F.slice(items, g * _GROUP + 1, _GROUP)
+    )
+
+    def inner(acc: Column, item: Column) -> Column:
+        new_state, out = step(acc["s"], item)
+        return F.struct(new_state.alias("s"), F.concat(acc["out"], F.array(out)).alias("out"))
+
+    def outer(acc: Column, group: Column) -> Column:
+        walked = F.aggregate(group, F.struct(acc["s"].alias("s"), _empty(f"array<{emitted}>").alias("out")), inner)
+        # bound once by the transform, used twice
+        return F.transform(
+            F.array(walked), lambda r: F.struct(r["s"].alias("s"), F.concat(acc["outs"], F.array(r["out"])).alias("outs"))
+        )[0]
+
+    start = F.struct(state.alias("s"), _empty(f"array<array<{emitted}>>").alias("outs"))
+    scanned = F.aggregate(groups, start, outer, lambda acc: F.flatten(acc["outs"]))
+    return F.when(F.size(items) > 0, scanned).otherwise(_empty(f"array<{emitted}>"))
+
+
 def spans(text: Column, pattern: str | Column) -> Column:
     """All non-overlapping matches with 0-based code-point offsets.
 
@@ -63,16 +91,14 @@ def spans(text: Column, pattern: str | Column) -> Column:
         lambda p: p["value"].isNotNull(),
     )
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["pos"] + p["gap"]
+    def step(pos: Column, p: Column) -> tuple[Column, Column]:
+        start = pos + p["gap"]
         end = start + F.length(p["value"])
-        hit = F.struct(start.alias("start"), end.alias("end"), p["value"].alias("value"))
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(hit)).alias("out"))
+        return end, F.struct(start.alias("start"), end.alias("end"), p["value"].alias("value"))
 
-    folded = F.aggregate(
-        pairs, F.struct(F.lit(0).alias("pos"), _empty(_SPAN).alias("out")), step, lambda acc: acc["out"]
-    )
-    return F.when(F.regexp(text, pat), folded).otherwise(_empty(_SPAN))
+    # the pairs are bound once: the scan refers to them for every group
+    found = F.transform(F.array(pairs), lambda x: _scan(x, F.lit(0), step, _SPAN))[0]
+    return F.when(F.regexp(text, pat), found).otherwise(_empty(f"array<{_SPAN}>"))
 
 
 def digits_only(value: Column) -> Column:
@@ -124,7 +150,7 @@ def candidates(text: Column, types: list[str] | None = None, extra: Column | Non
     """Union of all pattern hits, plus ``extra`` entities found elsewhere (an NER hook)."""
     types = DEFAULT_TYPES if types is None else types
     numeric = [t for t in types if t != "EMAIL"]
-    none = _empty(_ENTITY)
+    none = _empty(f"array<{_ENTITY}>")
     parts = []
     if "EMAIL" in types:
         parts.append(F.when(F.contains(text, F.lit("@")), _as_entities(pattern_hits(text, "EMAIL"), "EMAIL")).otherwise(none))
@@ -138,17 +164,22 @@ def candidates(text: Column, types: list[str] | None = None, extra: Column | Non
     return F.concat(*parts)
 
 
-def drop_overlaps(entities: Column) -> Column:
-    """Earliest start wins; confidence, then pattern order, break ties at one start."""
-    ordered = F.array_sort(entities)
+def overlap_flags(entities: Column) -> Column:
+    """Entities in text order, each with whether it is kept.
 
-    def step(acc: Column, e: Column) -> Column:
-        kept = F.struct(e["end"].alias("last"), F.concat(acc["out"], F.array(e)).alias("out"))
-        return F.when(e["start"] >= acc["last"], kept).otherwise(acc)
+    Earliest start wins; confidence, then pattern order, break ties at one start.
+    """
 
-    return F.aggregate(
-        ordered, F.struct(F.lit(-1).alias("last"), _empty(_ENTITY).alias("out")), step, lambda acc: acc["out"]
-    )
+    def step(last: Column, e: Column) -> tuple[Column, Column]:
+        keep = e["start"] >= last
+        return F.when(keep, e["end"]).otherwise(last), F.struct(e.alias("e"), keep.alias("kept"))
+
+    marked = f"struct<e:{_ENTITY},kept:boolean>"
+    return F.transform(F.array(F.array_sort(entities)), lambda x: _scan(x, F.lit(-1), step, marked))[0]
+
+
+def drop_overlaps(entities: Column) -> Column:
+    return F.transform(F.filter(overlap_flags(entities), lambda m: m["kept"]), lambda m: m["e"])
 
 
 def entities(text: Column, types: list[str] | None = None, extra: Column | None = None) -> Column:
@@ -175,15 +206,29 @@ def with_tokens(ents: Column, doc_id: Column, salt: str = DEFAULT_SALT) -> Colum
 
 
 def redact(text: Column, tokenised: Column) -> Column:
-    """Text with every entity replaced by its token (entities ordered, not overlapping)."""
+    """Text with every entity replaced by its token (entities ordered, not overlapping).
+
+    Cutting out of a long text by offset walks it from its beginning, so the text
+    is first split into blocks and pieces are cut out of those.
+    """
+
+    def rebuild(blocks: Column) -> Column:
+        def cut(start: Column, stop: Column) -> Column:
+            first, last = F.floor(start / _BLOCK).cast("int"), F.floor((stop - 1) / _BLOCK).cast("int")
+            head = F.substring(F.get(blocks, first), start - first * _BLOCK + 1, stop - start)
+            tail = F.substring(F.get(blocks, last), F.lit(1), stop - last * _BLOCK)
+            between = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+            return F.when(stop <= start, "").when(first == last, head).otherwise(F.concat(head, between, tail))
+
+        def piece(e: Column, i: Column) -> Column:
+            prev = F.when(i == 0, F.lit(0)).otherwise(F.get(tokenised, i - 1)["end"])
+            return F.concat(cut(prev, e["start"]), e["token"])
 
-    def piece(e: Column, i: Column) -> Column:
-        prev = F.when(i == 0, F.lit(0)).otherwise(F.get(tokenised, i - 1)["end"])
-        return F.concat(F.substring(text, prev + 1, e["start"] - prev), e["token"])
+        last_end = F.element_at(tokenised, -1)["end"]
+        return F.concat(F.array_join(F.transform(tokenised, piece), ""), cut(last_end, F.length(text)))
 
-    last_end = F.element_at(tokenised, -1)["end"]
-    tail = F.substring(text, last_end + 1, F.length(text) - last_end)
-    replaced = F.concat(F.array_join(F.transform(tokenised, piece), ""), tail)
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+    replaced = F.transform(F.array(blocks), rebuild)[0]
     return F.when(F.size(tokenised) > 0, replaced).otherwise(text)
 
 

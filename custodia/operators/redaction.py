@@ -40,9 +40,8 @@ def hit_rows(df: DataFrame, text: str, keep: list[str], entity_type: str) -> Dat
 def candidate_rows(df: DataFrame, text: str, keep: list[str], types: list[str]) -> DataFrame:
     """All hits of all patterns, each marked whether overlap removal keeps it."""
     found = df.withColumn("__all", pii.candidates(F.col(text), types))
-    kept = found.withColumn("__kept", pii.drop_overlaps(F.col("__all")))
-    return unnest(kept, [*keep, "__kept"], F.col("__all"), "c").select(
-        *keep, "c.type", "c.value", "c.start", "c.end", F.array_contains("__kept", F.col("c")).alias("kept")
+    return unnest(found, keep, pii.overlap_flags(F.col("__all")), "m").select(
+        *keep, "m.e.type", "m.e.value", "m.e.start", "m.e.end", "m.kept"
     )
 
 

@@ -88,6 +88,25 @@ def test_equals_plain_python_and_round_trip(spark, texts):
         assert got[i]["redacted"] == "".join(parts) + text[pos:]
 
 
+def test_small_groups_and_blocks(spark, monkeypatch):
+    """Many hits and long gaps cross the borders of groups and blocks."""
+    monkeypatch.setattr(pii, "_GROUP", 2)
+    monkeypatch.setattr(pii, "_BLOCK", 5)
+    texts = [
+        "a@b.co", "x" * 17 + "é日本 a@b.co" + "y" * 23, " ".join(f"u{i}@b.co 10.0.0.{i} 555-867-53{i:02d}" for i in range(40)), "a@b.co10.0.0.1", "none at all",
+        "123-45-6789" * 3, "\n\n5558675309\n" * 7,
+    ]
+    got = detected(spark, texts)
+    for i, text in enumerate(texts):
+        want = plain_detect(text)
+        assert [(e["type"], e["value"], e["start"], e["end"]) for e in got[i]["entities"]] == want
+        parts, pos = [], 0
+        for e in got[i]["entities"]:
+            parts += [text[pos:e["start"]], e["token"]]
+            pos = e["end"]
+        assert got[i]["redacted"] == "".join(parts) + text[pos:]
+
+
 def test_round_trip_by_role(spark):
     texts = ["mail a@b.com now", "SSN 123-45-6789", "nothing", "card 4532015112830366 end"]
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "id int, t string, session string")
