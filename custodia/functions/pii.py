@@ -75,19 +75,10 @@ def _scan(items: Column, state: Column, step, emitted: str) -> Column:
     return F.when(F.size(items) > 0, scanned).otherwise(_empty(f"array<{emitted}>"))
 
 
-def spans(text: Column, pattern: str | Column) -> Column:
-    """All non-overlapping matches with 0-based code-point offsets.
-
-    The text between matches (``split``) and the matches themselves alternate,
-    so offsets follow from the running sum of their lengths.
-    """
-    pat = F.lit(pattern) if isinstance(pattern, str) else pattern
+def _located(gaps: Column, hits: Column) -> Column:
+    """Offsets of ``hits``: they alternate with ``gaps``, so a running sum of lengths is enough."""
     pairs = F.filter(
-        F.zip_with(
-            F.split(text, pat, -1),
-            F.regexp_extract_all(text, pat, F.lit(0)),
-            lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("value")),
-        ),
+        F.zip_with(gaps, hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("value"))),
         lambda p: p["value"].isNotNull(),
     )
 
@@ -97,8 +88,22 @@ def spans(text: Column, pattern: str | Column) -> Column:
         return end, F.struct(start.alias("start"), end.alias("end"), p["value"].alias("value"))
 
     # the pairs are bound once: the scan refers to them for every group
-    found = F.transform(F.array(pairs), lambda x: _scan(x, F.lit(0), step, _SPAN))[0]
-    return F.when(F.regexp(text, pat), found).otherwise(_empty(f"array<{_SPAN}>"))
+    return F.transform(F.array(pairs), lambda x: _scan(x, F.lit(0), step, _SPAN))[0]
+
+
+def _parts(text: Column, pat: Column) -> Column:
+    """What a pattern leaves and what it finds; NULL for a text without a match."""
+    return F.when(
+        F.regexp(text, pat),
+        F.struct(F.split(text, pat, -1).alias("gaps"), F.regexp_extract_all(text, pat, F.lit(0)).alias("hits")),
+    )
+
+
+def spans(text: Column, pattern: str | Column) -> Column:
+    """All non-overlapping matches with 0-based code-point offsets."""
+    pat = F.lit(pattern) if isinstance(pattern, str) else pattern
+    found = F.transform(F.array_compact(F.array(_parts(text, pat))), lambda p: _located(p["gaps"], p["hits"]))
+    return F.flatten(found)
 
 
 def digits_only(value: Column) -> Column:
@@ -132,36 +137,44 @@ def pattern_hits(text: Column, entity_type: str) -> Column:
     return found
 
 
-def _as_entities(found: Column, entity_type: str) -> Column:
-    return F.transform(
-        found,
-        lambda e: F.struct(
-            e["start"].alias("start"),
-            F.lit(-CONFIDENCE[entity_type]).alias("neg_conf"),
-            F.lit(RANK[entity_type]).alias("rank"),
-            e["end"].alias("end"),
-            F.lit(entity_type).alias("type"),
-            e["value"].alias("value"),
-        ),
-    )
-
-
 def candidates(text: Column, types: list[str] | None = None, extra: Column | None = None) -> Column:
     """Union of all pattern hits, plus ``extra`` entities found elsewhere (an NER hook)."""
     types = DEFAULT_TYPES if types is None else types
-    numeric = [t for t in types if t != "EMAIL"]
-    none = _empty(f"array<{_ENTITY}>")
-    parts = []
+    none = F.lit(None)
+
+    def parts(wanted: list[str], test: Column) -> Column:
+        """Parts of the wanted patterns, if the cheap ``test`` holds."""
+        found = [
+            F.struct(
+                F.lit(t).alias("type"), F.lit(-CONFIDENCE[t]).alias("neg_conf"), F.lit(RANK[t]).alias("rank"),
+                _parts(text, F.lit(java_pattern(t))).alias("parts"),
+            )
+            for t in wanted
+        ]
+        return F.when(test, F.array(*found)).otherwise(none)
+
+    tested = []
     if "EMAIL" in types:
-        parts.append(F.when(F.contains(text, F.lit("@")), _as_entities(pattern_hits(text, "EMAIL"), "EMAIL")).otherwise(none))
+        tested.append(parts(["EMAIL"], F.contains(text, F.lit("@"))))
+    numeric = [t for t in types if t != "EMAIL"]
     if numeric:
-        found = [_as_entities(pattern_hits(text, t), t) for t in numeric]
         # most texts hold no digit at all: one test instead of one per pattern
-        has_digit = F.regexp(text, F.lit(r"\p{Nd}"))
-        parts.append(F.when(has_digit, F.concat(*found) if len(found) > 1 else found[0]).otherwise(none))
-    if extra is not None:
-        parts.append(F.coalesce(extra, none))
-    return F.concat(*parts)
+        tested.append(parts(numeric, F.regexp(text, F.lit(r"\p{Nd}"))))
+    hit = F.filter(F.flatten(F.array_compact(F.array(*tested))), lambda k: k["parts"].isNotNull())
+
+    def entities_of(k: Column) -> Column:
+        return F.transform(
+            _located(k["parts"]["gaps"], k["parts"]["hits"]),
+            lambda e: F.struct(
+                e["start"].alias("start"), k["neg_conf"].alias("neg_conf"), k["rank"].alias("rank"),
+                e["end"].alias("end"), k["type"].alias("type"), e["value"].alias("value"),
+            ),
+        )
+
+    found = F.flatten(F.transform(hit, entities_of))
+    if "CREDIT_CARD" in types:
+        found = F.filter(found, lambda e: F.when(e["type"] == "CREDIT_CARD", is_card(e["value"])).otherwise(True))
+    return found if extra is None else F.concat(found, F.coalesce(extra, _empty(f"array<{_ENTITY}>")))
 
 
 def overlap_flags(entities: Column) -> Column:
