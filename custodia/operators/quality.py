@@ -14,7 +14,7 @@ JUDGE_DIMENSIONS = ["factual_accuracy", "completeness", "hallucination", "instru
 
 
 def hallucinated(grounding: Column, bound: float = dims.GROUNDING_SCORE_MIN) -> Column:
-    """The reference defines only a rate; a response below the grounding bound counts."""
+    """Only a rate is specified, no formula: a response below the grounding bound counts."""
     return (grounding < bound).cast("int")
 
 

@@ -48,18 +48,36 @@ def candidate_rows(df: DataFrame, text: str, keep: list[str], types: list[str])
 def person_hits(docs: DataFrame, text: str, doc_id: str, names: DataFrame) -> DataFrame:
     """Two-word names of a gazetteer found in texts, with offsets.
 
-    Word pairs are joined to the names, so neither side is held by one task.
-    Offsets are computed only in the texts that hold a name.
+    Neighbouring words become rows with their offsets and meet the names in one
+    join, so neither the texts nor the names are held or shuffled whole. Hits
+    that overlap each other are left to the overlap rule.
     """
-    words = docs.select(F.col(doc_id), F.split(F.col(text), r"\s+").alias("w"))
-    pairs = F.zip_with("w", F.slice("w", 2, F.size("w")), lambda a, b: F.concat(a, F.lit(" "), b))
-    mentions = unnest(words, [doc_id], F.array_distinct(pairs), "name").join(names.select("name").distinct(), "name")
-    quoted = F.concat(F.lit(r"(?<![^\s])\Q"), F.col("name"), F.lit(r"\E(?![^\s])"))
-    both = mentions.join(docs.select(doc_id, text), doc_id)
+    words = docs.select(F.col(doc_id), pii.spans(F.col(text), r"\S+\s?").alias("w"))
+
+    def pair(a: Column, b: Column) -> Column:
+        joined = b.isNotNull() & a["value"].endswith(" ") & (a["end"] == b["start"])
+        last = F.regexp_replace(b["value"], r"\s$", "")
+        both = F.concat(a["value"], last)
+        return F.when(joined, F.struct(both.alias("name"), a["start"].alias("start"), (a["start"] + F.length(both)).alias("end")))
+
+    pairs = F.array_compact(F.zip_with("w", F.slice("w", F.lit(2), F.size("w")), pair))
     return (
-        unnest(both, [doc_id], pii.spans(F.col(text), quoted), "h")
-        .select(doc_id, "h.value", "h.start", "h.end", F.lit(pii.CONFIDENCE["PERSON"]).alias("confidence"))
+        unnest(words, [doc_id], pairs, "p")
+        .select(doc_id, F.col("p.name").alias("name"), "p.start", "p.end")
+        .join(names.select("name").distinct(), "name")
+        .select(doc_id, F.col("name").alias("value"), "start", "end", F.lit(pii.CONFIDENCE["PERSON"]).alias("confidence"))
+    )
+
+
+def detect_with_names(docs: DataFrame, text: str, doc_id: str, names: DataFrame, **options) -> DataFrame:
+    """``detect`` with the gazetteer's names as further candidates of the overlap rule."""
+    entity = F.struct(
+        "start", (-F.col("confidence")).alias("neg_conf"), F.lit(pii.RANK["PERSON"]).alias("rank"), "end",
+        F.lit("PERSON").alias("type"), "value",
     )
+    # as many entries as the text holds names
+    people = person_hits(docs, text, doc_id, names).groupBy(doc_id).agg(F.collect_list(entity).alias("__people"))
+    return detect(docs.join(people, doc_id, "left"), text, doc_id, extra=F.col("__people"), **options).drop("__people")
 
 
 def type_counts(entities: DataFrame) -> DataFrame:

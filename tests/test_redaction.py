@@ -178,3 +178,11 @@ def test_person_gazetteer(spark):
     names = spark.createDataFrame([("Jane Doe",)], "name string")
     got = {(r["id"], r["start"], r["end"]) for r in redaction.person_hits(docs, "t", "id", names).collect()}
     assert got == {(1, 21, 29), (3, 2, 10)}
+
+
+def test_names_join_the_overlap_rule(spark):
+    docs = spark.createDataFrame([(1, "Jane Doe <jane@x.org> and Jane Doe"), (2, "mail b@x.org"), (3, "nothing")], "id int, t string")
+    names = spark.createDataFrame([("Jane Doe",), ("Doe <jane@x.org>",)], "name string")
+    got = {r["id"]: [(e["type"], e["start"]) for e in r["entities"]] for r in redaction.detect_with_names(docs, "t", "id", names).collect()}
+    # the second name starts inside the first one and is dropped
+    assert got == {1: [("PERSON", 0), ("EMAIL", 10), ("PERSON", 26)], 2: [("EMAIL", 5)], 3: []}
