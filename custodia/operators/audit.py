@@ -54,7 +54,7 @@ def with_sequence(log: DataFrame, order: list[str], start: int = 0) -> DataFrame
 
 def check_reader(caller_role: str) -> None:
     if caller_role not in dims.AUDIT_READ_ROLES:
-        raise PermissionError(f"Role {caller_role!r} is not permitted to read audit logs.")
+        raise PermissionError(f"audit reads need one of {dims.AUDIT_READ_ROLES}, caller has {caller_role!r}")
 
 
 def page(log: DataFrame, caller_role: str, order: list[str], limit: int = 100, offset: int = 0) -> DataFrame:

@@ -186,3 +186,29 @@ def test_names_join_the_overlap_rule(spark):
     got = {r["id"]: [(e["type"], e["start"]) for e in r["entities"]] for r in redaction.detect_with_names(docs, "t", "id", names).collect()}
     # the second name starts inside the first one and is dropped
     assert got == {1: [("PERSON", 0), ("EMAIL", 10), ("PERSON", 26)], 2: [("EMAIL", 5)], 3: []}
+
+
+def test_sessions_kept_apart(spark):
+    df = spark.createDataFrame(
+        [("<PII_TOKEN_00000001>", "one", "EMAIL", "s1"), ("<PII_TOKEN_00000001>", "two", "EMAIL", "s2")], "token string, value string, type string, session string"
+    ).withColumn("at", F.expr("TIMESTAMP '2024-01-01 00:00:00'"))
+    puts = tokens.puts_of(df, "session", "at")
+    records = tokens.write_once(None, puts, same_session=True)
+    assert {r["session_id"]: r["value"] for r in records.collect()} == {"s1": "one", "s2": "two"}
+    texts = spark.createDataFrame([(1, "<PII_TOKEN_00000001>!", "SUPER_ADMIN", "s2"), (2, "<PII_TOKEN_00000001>", "SUPER_ADMIN", "s3")], "id int, t string, role string, sid string")
+    got = {r["id"]: r["restored"] for r in tokens.detokenize(texts, records, "id", "t", "role", session="sid").collect()}
+    assert got == {1: "two!", 2: "<PII_TOKEN_00000001>"}
+
+
+def test_hot_token_and_copies(spark):
+    """A third of all rows ask for one token, and one token is put very often."""
+    rows = spark.range(30_000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, "<PII_TOKEN_AAAAAAAA>").otherwise(F.format_string("<PII_TOKEN_%08X>", "id")).alias("t"), F.lit("SUPER_ADMIN").alias("role")
+    )
+    puts = rows.select(F.col("t").alias("token"), F.lit("v").alias("value"), F.lit("EMAIL").alias("type"), F.lit("s").alias("session"), F.expr("TIMESTAMP '2024-01-01 00:00:00'").alias("at"))
+    records = tokens.write_once(None, tokens.puts_of(puts.where("token = '<PII_TOKEN_AAAAAAAA>' OR hash(token) % 2 = 0"), "session", "at"))
+    out = tokens.detokenize(rows, records, "id", "t", "role")
+    assert records.where("token = '<PII_TOKEN_AAAAAAAA>'").count() == 1
+    assert out.count() == 30_000
+    assert out.where("id % 3 = 0 AND restored = 'v'").count() == 10_000
+    assert out.where("restored <> 'v' AND (restored <> t OR size(unresolved) <> 1)").count() == 0
