@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from custodia.functions.threats import sensitive_text
 from custodia.operators import agents
 from custodia.operators.percentiles import exact_percentiles
-from custodia.plans.pii import sensitive_text
 from custodia.plans.registry import Inputs, fragment, query
 from custodia.operators import governance
 from custodia.sources import dims

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from custodia.functions import sampling, text as tx
+from custodia.functions import sampling, text as tx, threats
 from custodia.operators import golden, grounding, latency, quality, redaction
 from custodia.operators.percentiles import exact_percentiles
 from custodia.plans import pii
@@ -103,7 +103,7 @@ def eval_gate(inp: Inputs):
   UNION ALL SELECT 'production_sample', count(*) FROM documents WHERE substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8) < '""" + sampling.hash_cut(0.02) + """') s LEFT JOIN %eval_set_bounds% b USING (dataset)""")
 def eval_set_profile(inp: Inputs):
     docs = inp.table("documents")
-    attacks = pii.attacked(inp).where(pii.escalation_attempt(F.col("text")))
+    attacks = pii.attacked(inp).where(threats.escalation_attempt(F.col("text")))
     sizes = inp.table("benchmark").select(F.lit("golden").alias("dataset")).unionAll(
         attacks.select(F.lit("adversarial"))
     ).unionAll(docs.where(sampling.in_share(F.col("doc_id"), 0.02)).select(F.lit("production_sample"))).groupBy("dataset").agg(F.count("*").alias("n"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from custodia.functions import threats
 from custodia.operators import agents, governance, latency, quality, tokens
 from custodia.plans import audit as audit_plan
 from custodia.plans import evaluation, pii, tokens as token_plan
@@ -28,7 +29,7 @@ def _at(df, ts: str):
 
 
 def _attacks(inp):
-    hit = pii.attacked(inp).where(pii.escalation_attempt(F.col("text")))
+    hit = pii.attacked(inp).where(threats.escalation_attempt(F.col("text")))
     return hit, F.col("doc_id"), F.lit(1)
 
 

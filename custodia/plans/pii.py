@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from custodia.functions import pii
+from custodia.functions import pii, threats
 from custodia.operators import redaction
 from custodia.plans.registry import Inputs, fragment, query
 from custodia.sources import dims
@@ -217,27 +217,17 @@ def attacked(inp: Inputs):
     )
 
 
-def escalation_attempt(text):
-    return F.lower(text).rlike("|".join(f"(?:{p})" for p in dims.ESCALATION_PHRASES))
-
-
-def sensitive_text(text):
-    keywords = "|".join(dims.SENSITIVE_KEYWORDS)
-    return F.lower(text).rlike(rf"\b(?:{keywords})\b") | (F.size(pii.entities(text)) > 0)
-
-
 @query("role_escalation_flag", "SELECT doc_id, 'HIGH' AS severity FROM #attacked# a WHERE "
        + " OR ".join(f"regexp_matches(lower(text), '{p}')" for p in dims.ESCALATION_PHRASES))
 def role_escalation_flag(inp: Inputs):
-    return attacked(inp).where(escalation_attempt(F.col("text"))).select("doc_id", F.lit("HIGH").alias("severity"))
+    return attacked(inp).where(threats.escalation_attempt(F.col("text"))).select("doc_id", F.lit("HIGH").alias("severity"))
 
 
 @query("sensitive_keyword_flag", f"""SELECT p.request_id, p.n > 0 AS has_pii FROM #redacted# p
 WHERE n > 0 OR regexp_matches(lower(p.prompt), '\\b(?:{"|".join(dims.SENSITIVE_KEYWORDS)})\\b')""")
 def sensitive_keyword_flag(inp: Inputs):
     found = redaction.detect(inp.prompts(), "prompt", "request_id")
-    keywords = "|".join(dims.SENSITIVE_KEYWORDS)
-    flagged = (F.size("entities") > 0) | F.lower("prompt").rlike(rf"\b(?:{keywords})\b")
+    flagged = (F.size("entities") > 0) | threats.sensitive_keyword(F.col("prompt"))
     return found.where(flagged).select("request_id", (F.size("entities") > 0).alias("has_pii"))
 
 
