@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from custodia.llm.common import map_arrow
 from custodia.session import pinned
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -180,7 +181,7 @@ def format_trees(nodes: DataFrame, best: int | None = None) -> DataFrame:
             columns = [batch.column(0), batch.column(1), pa.array([f for f, _ in done], pa.string()), pa.array(spans, spans_type)]
             yield pa.RecordBatch.from_arrays(columns, ["tree_id", "leaf_id", "formatted", "loss_spans"])
 
-    return turns.mapInArrow(run, f"tree_id {tree}, leaf_id {leaf}, formatted string, loss_spans array<struct<start: long, end: long>>")
+    return map_arrow(turns, run, f"tree_id {tree}, leaf_id {leaf}, formatted string, loss_spans array<struct<start: long, end: long>>")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -197,4 +198,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["tree_id", "leaf_id", "turns", "loss_text", "formatted"])
 
     src = formatted.select("tree_id", "leaf_id", "formatted", "loss_spans")
-    return src.mapInArrow(run, f"tree_id {tree}, leaf_id {leaf}, turns array<struct<role: string, text: string>>, loss_text string, formatted string")
+    return map_arrow(src, run, f"tree_id {tree}, leaf_id {leaf}, turns array<struct<role: string, text: string>>, loss_text string, formatted string")

@@ -15,6 +15,8 @@ from custodia.session import shared_dir
 
 #: Entries of a per-worker cache before it is emptied; bounds a worker's memory, never a result.
 CACHE_ENTRIES = 250_000
+#: Bytes of an Arrow batch that goes to a Python worker.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +36,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, job, schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded by bytes, so that long texts do not fill a worker's memory.
+
+    The session setting is filled in only where the user has not chosen one.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, BATCH_BYTES)
+    return df.mapInArrow(job, schema)
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z only, as the word contracts ask; other letters stay as they are."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

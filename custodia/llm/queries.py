@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import chat, rules, tokencount, urlfilter
+from custodia.llm import bpe, chat, decontaminate, minhash, rules, tokencount, urlfilter
 from custodia.llm.common import chosen_ids, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -96,6 +96,71 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.apply_edits(trees, TOKENIZER).select("doc_id", "n_tokens_before", "n_tokens", "n_chars", "reencoded_chars")
 
 
+@query(
+    "op3_benchmark_decontamination",
+    r"""
+    WITH item_words AS (
+      SELECT item_id, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM benchmark
+    ), doc_words AS (
+      SELECT doc_id, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM documents
+    ), item_at AS (
+      SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM item_words
+    ), items AS (
+      SELECT DISTINCT item_id, array_to_string(w[i : i + 4], ' ') AS s FROM item_at
+    ), doc_at AS (
+      SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM doc_words
+    ), docs AS (
+      SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM doc_at
+    ), sizes AS (
+      SELECT item_id, count(*) AS q FROM items GROUP BY item_id
+    )
+    SELECT doc_id, item_id, q AS n_item_shingles, count(*) AS n_shared, count(*) / q AS containment
+    FROM items JOIN docs USING (s) JOIN sizes USING (item_id)
+    GROUP BY doc_id, item_id, q HAVING 100 * count(*) >= 80 * q
+    """,
+)
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_item_shingles", "n_shared", "containment")
+
+
+@query(
+    "op5_minhash_dedup",
+    r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), starts AS (
+      SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) AS i FROM words
+    ), shingles AS MATERIALIZED (
+      SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s FROM starts
+    ), sizes AS MATERIALIZED (
+      SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), links AS MATERIALIZED (
+      SELECT a.doc_id AS x, b.doc_id AS y
+      FROM shingles a JOIN shingles b USING (s) JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+      WHERE a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= 80 * (m.n + n.n - count(*))
+    ), reach(x, y) AS (
+      SELECT doc_id, doc_id FROM documents
+      UNION
+      SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+    ), lowest AS (
+      SELECT x, min(y) AS component_id FROM reach GROUP BY x
+    )
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM documents LEFT JOIN sizes USING (doc_id) JOIN lowest ON x = doc_id
+    """,
+)
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=4)
+
+
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode_decode(table(spark, sf_dir, "documents"), TOKENIZER)
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

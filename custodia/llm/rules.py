@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import Cache, hash_cache, hashes, mixed, raw_words, texts, windows
+from custodia.llm.common import Cache, hash_cache, hashes, map_arrow, mixed, raw_words, texts, windows
 
 BUCKETS = 1 << 16
 #: Pseudo-count per bucket in both multinomials.
@@ -104,7 +104,7 @@ def fit(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_co
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_pydict({"bucket": seen.astype(np.int32), "trusted": trusted[seen], "raw": raw[seen]})
 
-    parts = marked.select("text", "trusted").mapInArrow(run, "bucket int, trusted long, raw long")
+    parts = map_arrow(marked.select("text", "trusted"), run, "bucket int, trusted long, raw long")
     sums = parts.groupBy("bucket").agg(F.sum("trusted").alias("trusted"), F.sum("raw").alias("raw")).toPandas()  # at most n rows
     trusted, raw = np.zeros(n), np.zeros(n)
     trusted[sums["bucket"]], raw[sums["bucket"]] = sums["trusted"], sums["raw"]
@@ -128,4 +128,4 @@ def apply(docs: DataFrame, model: Ratio, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(columns, [id_col, *names, "base_failed", "score", "kept"])
 
     schema = f"`{id_col}` {id_type}, {', '.join(f'{c} long' for c in names)}, base_failed boolean, score double, kept boolean"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return map_arrow(docs.select(id_col, text_col), run, schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import ascii_lower
+from custodia.llm.common import ascii_lower, map_arrow
 
 #: Between host and path in the canonical form: a byte that no UTF-8 text holds.
 SEPARATOR = 0xFF
@@ -155,4 +155,4 @@ def judge(pages: DataFrame, rules: list[Rule], globs: list[str], id_col: str = "
                 yield pa.RecordBatch.from_arrays(columns, [id_col, "host", "path", "rule", "glob", "verdict"])
 
     schema = f"`{id_col}` {id_type.simpleString()}, host string, path string, rule string, glob string, verdict string"
-    return split.mapInArrow(run, schema)
+    return map_arrow(split, run, schema)
