@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from custodia.llm.common import Cache
+from custodia.llm.common import Cache, map_arrow
 
 #: Characters past its end that a match of the split pattern may depend on.
 LOOK = 2
@@ -139,18 +139,19 @@ class SegmentTree:
         return new, int(sum(lengths))
 
     def pack(self) -> bytes:
-        """Number of leaves and blocks, block sizes, then lengths, counts and the sums, as int64."""
+        """Number of leaves and blocks, block sizes, lengths and counts as int32, then the sums as int64."""
         sizes = [len(x) for x in self.lengths]
-        return np.concatenate(([self.leaves, len(sizes)], sizes, *self.lengths, *self.counts, self.sums.ravel())).astype("<i8").tobytes()
+        return np.concatenate(([self.leaves, len(sizes)], sizes, *self.lengths, *self.counts)).astype("<i4").tobytes() + self.sums.astype("<i8").tobytes()
 
     @classmethod
     def unpack(cls, data: bytes) -> SegmentTree:
-        tree, a = cls.__new__(cls), np.frombuffer(data, "<i8")
-        tree.leaves, n = int(a[0]), int(a[1])
-        sizes, a = a[2 : 2 + n], a[2 + n :]
+        tree = cls.__new__(cls)
+        tree.leaves, n = np.frombuffer(data, "<i4", 2).tolist()
+        sizes = np.frombuffer(data, "<i4", n, 8)
         total, cuts = int(sizes.sum()), np.cumsum(sizes)[:-1]
-        tree.lengths, tree.counts = list(np.split(a[:total], cuts)), list(np.split(a[total : 2 * total], cuts))
-        tree.sums = a[2 * total :].reshape(-1, 2).copy()
+        flat = np.frombuffer(data, "<i4", 2 * total, 8 + 4 * n).astype(np.int64)
+        tree.lengths, tree.counts = np.split(flat[:total], cuts), np.split(flat[total:], cuts)
+        tree.sums = np.frombuffer(data, "<i8", -1, 8 + 4 * n + 8 * total).reshape(-1, 2).copy()
         return tree
 
 
@@ -172,7 +173,7 @@ def build(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
             columns = [*batch.columns, pa.array([t.pack() for t in trees], pa.binary()), pa.array([t.n_tokens for t in trees], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "__tree", "__n_tokens"])
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def apply_edits(trees: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits") -> DataFrame:
@@ -198,4 +199,4 @@ def apply_edits(trees: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     schema = f"`{id_col}` {id_type}, text string, tree binary, n_tokens_before long, n_tokens long, n_chars long, reencoded_chars long"
     edits = trees.schema[edits_col].dataType
     src = trees.select(id_col, text_col, "__tree", F.col(edits_col).cast(edits))
-    return src.mapInArrow(run, schema)
+    return map_arrow(src, run, schema)
