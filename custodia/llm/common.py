@@ -36,6 +36,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if folder.rpartition("/")[2].startswith("llm-"):
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def map_arrow(df: DataFrame, job, schema) -> DataFrame:
     """``mapInArrow`` with batches bounded by bytes, so that long texts do not fill a worker's memory.
 

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import bpe, chat, decontaminate, minhash, rules, tokencount, urlfilter
-from custodia.llm.common import chosen_ids, table
+from custodia.llm import bpe, chat, decontaminate, minhash, pylm, quality, rules, tokencount, toxicity, urlfilter
+from custodia.llm.common import chosen_ids, remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Most labelled documents that any fit uses; a fit needs no more, however large the corpus.
@@ -124,6 +124,24 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_item_shingles", "n_shared", "containment")
 
 
+def labelled(spark: SparkSession, sf_dir: str, label: str, divisor: int, held: int) -> DataFrame:
+    """(doc_id, label) of the rows that may be learnt from."""
+    return table(spark, sf_dir, "labels").where(remainder("doc_id", divisor) != held).where(F.col(label).isNotNull()).select("doc_id", label)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
+    known = labelled(spark, sf_dir, "toxic", 5, 0)
+    prior = known.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0]
+    return toxicity.fit(docs.where(remainder("doc_id", 5) != 0), known.where("toxic = 1").select("doc_id"), prior)
+
+
+@query("op4_toxicity_nnpu")
+def op4_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.apply(docs, toxicity_model(spark, sf_dir, docs))
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
+
+
 @query(
     "op5_minhash_dedup",
     r"""
@@ -161,6 +179,17 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
+    return quality.fit(docs, labelled(spark, sf_dir, "quality", 4, 2))
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.apply(docs, quality_model(spark, sf_dir, docs))
+    return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
+
+
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -170,6 +199,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply(docs, model)
 
 
+@query("op9_pitman_yor")
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pylm.score(table(spark, sf_dir, "documents"), remainder("doc_id", 7) != 2)
+    return scored.withColumn("held_out", remainder("doc_id", 7) == 2)
+
+
 @query(
     "op10_url_filter",
     """
