@@ -1,15 +1,62 @@
-"""The training-data pipeline over ``documents``: one stage after another, each on all that its predecessor kept."""
+"""The training-data pipeline over ``documents``: one stage after another, each on all that its predecessor kept.
+
+Every stage takes the documents of the stage before and returns those it keeps with their columns; the last one returns their tokens.
+A stage's odd inputs are those of its operator; a repeated row is a copy, of which the near-dedup stage keeps one,
+and rows with a null id are never links of a group.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from custodia.llm import bpe, decontaminate, minhash, quality, toxicity
 from custodia.llm.common import stored, table
+from custodia.llm.queries import TOKENIZER, quality_model, toxicity_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier does not reject."""
+    scored = toxicity.apply(docs, toxicity_model(spark, sf_dir, docs))
+    return scored.where("__predicted = 0").select(docs.columns)
+
+
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    scored = quality.apply(docs, quality_model(spark, sf_dir, docs))
+    return scored.where("__predicted = 1").select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    judged = minhash.near_duplicates(docs)
+    ids = judged.where("kept and doc_id is not null").select("doc_id").distinct()
+    once = docs.join(ids, "doc_id").select(docs.columns).dropDuplicates(["doc_id"])
+    return once.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, joined by commas, their number, and a digest of the bytes decoded from them."""
+    done = bpe.encode_decode(docs, TOKENIZER)
+    return done.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", reject_toxic),
+    ("quality", reject_low_quality),
+    ("near-dedup", drop_near_duplicates),
+    ("decontamination", drop_benchmark),
+    ("byte-bpe", encode),
+]
 
 #: The stages hold trained models, which SQL cannot express; the tests compare with brute force.
 ORACLE_SQL: str | None = None

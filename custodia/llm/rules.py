@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from custodia.llm.common import Cache, hash_cache, hashes, map_arrow, mixed, raw_words, texts, windows
 
 BUCKETS = 1 << 16
-#: Pseudo-count per bucket in both multinomials.
-SMOOTHING = 1.0
+#: Share of the raw multinomial that is mixed into the trusted one, so that no ratio is below its logarithm.
+SMOOTHING = 0.01
 #: Kept from this mean log-ratio on (natural logarithm).
 THRESHOLD = -0.1
 MIN_WORDS = 50
@@ -84,8 +84,11 @@ class Ratio:
 
 
 def ratio(trusted: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING) -> Ratio:
-    t, r = trusted + smoothing, raw + smoothing
-    return Ratio(np.log(t / t.sum()) - np.log(r / r.sum()))
+    if not trusted.sum():
+        return Ratio(np.zeros(len(raw)))
+    t, r = trusted / trusted.sum(), raw / raw.sum()
+    unseen = raw == 0  # no evidence either way
+    return Ratio(np.where(unseen, 0, np.log((1 - smoothing) * t + smoothing * r + unseen) - np.log(r + unseen)))
 
 
 def fit(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = BUCKETS) -> Ratio:

@@ -32,6 +32,8 @@ from custodia.llm.common import Cache, chosen_ids, map_arrow, texts
 MAX_POSITIVE, MAX_UNLABELLED = 4_000, 8_000
 #: Features kept at most, positives that must hold one, and its least distance from the unlabelled rate in standard deviations.
 MAX_FEATURES, MIN_POSITIVE, MIN_DISTANCE = 4096, 5, 6.0
+#: Least share of toxic texts, by the prior and the two rates, among the texts that hold a kept feature.
+MIN_SHARE = 0.6
 PREFIXES = (4, 5, 6)
 MEMBERS, STEPS, RATE, DECAY, SEED = 3, 400, 0.05, 1e-4, 11
 _WORD = re.compile(r"\w+")
@@ -121,7 +123,7 @@ def fit(docs: DataFrame, positives: DataFrame, prior: float, id_col: str = "doc_
     counts = map_arrow(once.select("text", "positive", "unlabelled"), count, "feature long, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     rate_p, rate_u = F.col("p") / totals[0], (F.col("u") + 1) / (totals[1] + 2)
     distance = (rate_p - rate_u) / F.sqrt(rate_u * (1 - rate_u) / totals[0])
-    best = counts.where(F.col("p") >= MIN_POSITIVE).select("feature", distance.alias("d")).where(F.col("d") >= MIN_DISTANCE).orderBy(F.desc("d"), "feature").limit(MAX_FEATURES)
+    best = counts.where((F.col("p") >= MIN_POSITIVE) & (prior * rate_p >= MIN_SHARE * rate_u)).select("feature", distance.alias("d")).where(F.col("d") >= MIN_DISTANCE).orderBy(F.desc("d"), "feature").limit(MAX_FEATURES)
     places = {r["feature"]: i for i, r in enumerate(best.collect())}
     if not places:
         return nothing
