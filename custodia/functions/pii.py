@@ -27,7 +27,7 @@ CONFIDENCE = {
 }
 RANK = {"EMAIL": 0, "SSN": 1, "PHONE": 2, "IP_ADDRESS": 3, "CREDIT_CARD": 4, "PERSON": 5, "DATE_OF_BIRTH": 6}
 DEFAULT_TYPES = ["EMAIL", "SSN", "PHONE", "IP_ADDRESS", "CREDIT_CARD"]
-TOKEN_REGEX = r"<PII_TOKEN_[0-9A-F]{8}>"
+TOKEN_REGEX = r"<PII_TOKEN_[0-9A-F]{8,32}>"
 # --- end of fixed values ----------------------------------------------------
 
 DEFAULT_SALT = "custodia"
@@ -201,19 +201,25 @@ def entities(text: Column, types: list[str] | None = None, extra: Column | None
     return F.transform(F.array(found), lambda c: F.when(F.size(c) > 1, drop_overlaps(c)).otherwise(c))[0]
 
 
-def token_for(doc_id: Column, start: Column, salt: str = DEFAULT_SALT) -> Column:
-    """Opaque token per occurrence. Deterministic, so a re-run task writes the same text."""
+def token_for(doc_id: Column, start: Column, salt: str = DEFAULT_SALT, width: int = 8) -> Column:
+    """Opaque token per occurrence. Deterministic, so a re-run task writes the same text.
+
+    ``width`` is its number of hex digits, 8 to 32: 8 is the form other systems know, but it can hold
+    4 billion tokens only; large stores take 32.
+    """
+    if not 8 <= width <= 32:
+        raise ValueError("a token has 8 to 32 hex digits")
     digest = F.sha2(F.concat_ws(":", F.lit(salt), doc_id.cast("string"), start.cast("string")), 256)
-    return F.concat(F.lit("<PII_TOKEN_"), F.upper(F.substring(digest, 1, 8)), F.lit(">"))
+    return F.concat(F.lit("<PII_TOKEN_"), F.upper(F.substring(digest, 1, width)), F.lit(">"))
 
 
-def with_tokens(ents: Column, doc_id: Column, salt: str = DEFAULT_SALT) -> Column:
+def with_tokens(ents: Column, doc_id: Column, salt: str = DEFAULT_SALT, width: int = 8) -> Column:
     return F.transform(
         ents,
         lambda e: F.struct(
             e["type"].alias("type"), e["value"].alias("value"), e["start"].alias("start"),
             e["end"].alias("end"), (-e["neg_conf"]).alias("confidence"),
-            token_for(doc_id, e["start"], salt).alias("token"),
+            token_for(doc_id, e["start"], salt, width).alias("token"),
         ),
     )
 

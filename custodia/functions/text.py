@@ -28,6 +28,11 @@ def shingles(word_list: Column, n: int = 3) -> Column:
     return F.when(F.size(word_list) >= n, full).otherwise(F.array(F.array_join(word_list, " ")))
 
 
+def held(df: DataFrame, name: str) -> DataFrame:
+    """The same rows; filters on column ``name`` stay above it, so that it is evaluated once."""
+    return df.withColumn(name, F.explode_outer(F.array(name)))
+
+
 def unnest(df: DataFrame, keep: list[str], items: Column, name: str, position: str | None = None) -> DataFrame:
     """One row per array item, with its 0-based position if asked for.
 

@@ -1,4 +1,9 @@
-"""Prompts that try to change the caller's role, and texts that must go to a human."""
+"""Prompts that try to change the caller's role, and texts that must go to a human.
+
+An attempt is a verb and an object a few words apart: dropping instructions, claiming an administrator's role,
+denying that limits exist, or asking for the hidden prompt. Words may be separated by any
+spaces, line ends or signs.
+"""
 
 from __future__ import annotations
 
@@ -10,14 +15,36 @@ from pyspark.sql import functions as F
 from custodia.functions import pii
 from custodia.sources import dims
 
+_DROP = ["ignor(?:e|es|ing)", "disregard(?:ing)?", "forget(?:ting)?", "bypass", "override", "overrule", "discard", "drop", "violate"]
+_RULES = ["instructions?", "rules?", "guidelines?", "context", "prompts?", "roles?", "polic(?:y|ies)", "restrictions?", "constraints?", "directives?", "above", "before"]
+_BECOME = ["act(?:ing)?", "are", "am", "be", "become", "behave", "pretend", "roleplay", "respond", "answer", "as", "role", "set", "switch", "grant", "assume", "promote", "elevate", "tant", "que"]
+_ADMIN = r"(?:super|platform)[\W_]*admin(?:istrator)?"
+_FREE = ["restrictions?", "limitations?", "limits?", "filters?", "rules?"]
+_SHOW = ["print", "reveal", "show", "repeat", "output", "leak", "display"]
+
+
+def _near(first: list[str], last: str, most: int) -> str:
+    """One of ``first``, at most ``most`` words, then ``last``."""
+    return rf"\b(?:{'|'.join(first)})\b(?:\W+\w+){{0,{most}}}?\W+{last}\b"
 
-def escalation_attempt(text: Column) -> Column:
-    """Any phrase of the list. Every phrase holds one of a few words, and looking for those is much cheaper."""
-    phrases = "|".join(f"(?:{p})" for p in dims.ESCALATION_PHRASES)
 
+#: Regular expressions over lower-cased text, valid for Java and for RE2.
+PATTERNS = [
+    _near(_DROP, f"(?:{'|'.join(_RULES)})", 4),
+    _near(_BECOME, _ADMIN, 4),
+    rf"\b(?:have|has|with|are|act|under)\W+(?:no|without|free\W+of)\W+(?:\w+\W+){{0,2}}?(?:{'|'.join(_FREE)})\b",
+    r"\bunrestricted\W+mode\b",
+    r"\brole\W+override\b",
+    _near(_SHOW, r"(?:system|hidden|initial)\W+(?:prompt|instructions)", 3),
+]
+#: One of these stands in every hit; looking for them is much cheaper than matching.
+WORDS = ["ignor", "disregard", "forget", "bypass", "overr", "discard", "drop", "violate", "admin", "restriction", "limit", "filter", "rule", "unrestricted", "role", "prompt", "instructions"]
+
+
+def escalation_attempt(text: Column) -> Column:
     def check(low: Column) -> Column:
-        worded = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in dims.ESCALATION_WORDS])
-        return F.when(worded, low.rlike(phrases)).otherwise(F.lit(False))
+        worded = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in WORDS])
+        return F.when(worded, low.rlike("|".join(f"(?:{p})" for p in PATTERNS))).otherwise(F.lit(False))
 
     # the lower-case text is bound once and used by every test
     return F.transform(F.array(F.lower(text)), check)[0]

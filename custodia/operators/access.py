@@ -30,22 +30,28 @@ def valid_role(role: Column) -> Column:
 
 
 def decide(log: DataFrame, route_roles: DataFrame, path: str, header: str, token_valid: Column, role: str) -> DataFrame:
-    """HTTP status and reason per request, checks in the order a gateway runs them."""
-    gated = sorted({r for r, _ in dims.DIMS["route_roles"].rows})
-    allowed = route_roles.select(F.col("route").alias("__route"), F.col("role").alias("__role"), F.lit(True).alias("__ok"))
-    j = log.join(allowed, (F.col(path) == F.col("__route")) & (F.col(role) == F.col("__role")), "left")
+    """HTTP status and reason per request, checks in the order a gateway runs them.
+
+    A route that ``route_roles`` names is open to its roles only. Whatever is unknown (token state, role, path) is refused.
+    """
+    gated = route_roles.select(F.col("route").alias("__gate")).distinct()
+    allowed = route_roles.select(F.col("route").alias("__route"), F.col("role").alias("__role")).distinct()
+    j = log.join(gated, F.col(path) == F.col("__gate"), "left")
+    j = j.join(allowed, (F.col(path) == F.col("__route")) & (F.col(role) == F.col("__role")), "left")
+
     def outcome(status: int, reason: str) -> Column:
         return F.struct(F.lit(status).alias("status"), F.lit(reason).alias("reason"))
 
     step = (
         F.when(F.col(path).isin(*dims.EXEMPT_PATHS), outcome(200, "exempt"))
         .when(bearer_token(F.col(header)).isNull(), outcome(401, "missing token"))
-        .when(~token_valid, outcome(401, "invalid token"))
+        .when(~F.coalesce(token_valid, F.lit(False)), outcome(401, "invalid token"))
         .when(~valid_role(F.col(role)), outcome(403, "unknown role"))
-        .when(F.col(path).isin(*gated) & F.col("__ok").isNull(), outcome(403, "role not allowed"))
+        .when(F.col(path).isNull(), outcome(403, "no path"))
+        .when(F.col("__gate").isNotNull() & F.col("__route").isNull(), outcome(403, "role not allowed"))
         .otherwise(outcome(200, "ok"))
     )
-    return j.withColumn("__d", step).select(*log.columns, F.col("__d.status").alias("status"), F.col("__d.reason").alias("reason"))
+    return j.withColumn("__d", step).select(*[log[c] for c in log.columns], F.col("__d.status").alias("status"), F.col("__d.reason").alias("reason"))
 
 
 def require_role(log: DataFrame, route_roles: DataFrame, path: str, role: str) -> DataFrame:
@@ -57,7 +63,7 @@ def require_role(log: DataFrame, route_roles: DataFrame, path: str, role: str) -
 def with_grants(df: DataFrame, permissions: DataFrame, role: str, capabilities: list[str]) -> DataFrame:
     """One column per capability with the grant of the row's role (``no`` if unknown)."""
     picked = [F.max(F.when(F.col("capability") == c, F.col("access"))).alias(c) for c in capabilities]
-    per_role = F.broadcast(permissions.groupBy(F.col("role").alias(role)).agg(*picked))
+    per_role = permissions.groupBy(F.col("role").alias(role)).agg(*picked)
     joined = df.join(per_role, role, "left")
     return joined.withColumns({c: F.coalesce(c, F.lit("no")) for c in capabilities})
 
@@ -67,36 +73,43 @@ def listed(text: Column) -> Column:
     return F.filter(F.split(text, ","), lambda x: x != "")
 
 
+def _no_items() -> Column:
+    return F.expr("cast(array() as array<string>)")
+
+
 def outside_datasets(role: Column, dataset: Column, approved: Column) -> Column:
-    """Analysts may only use datasets approved for their session."""
-    return (role == "ANALYST") & ~F.array_contains(approved, dataset)
+    """Analysts may only use datasets approved for their session. A missing list approves nothing, a missing role is held to the rule."""
+    listed_ = F.coalesce(F.array_contains(F.coalesce(approved, _no_items()), dataset), F.lit(False))
+    return F.coalesce(role == "ANALYST", F.lit(True)) & ~listed_
 
 
 def outside_tools(role: Column, calls: Column, approved: Column) -> Column:
-    """Called tools that are not approved; analysts may call none."""
-    return F.when(role == "ANALYST", F.array_distinct(calls)).otherwise(F.array_except(calls, approved))
+    """Called tools that are not approved; analysts and callers without a role may call none."""
+    asked = F.coalesce(calls, _no_items())
+    none = F.coalesce(role == "ANALYST", F.lit(True))
+    return F.when(none, F.array_distinct(asked)).otherwise(F.array_except(asked, F.coalesce(approved, _no_items())))
 
 
-def check_roles(df: DataFrame, role: str) -> DataFrame:
-    """Fail on a role without a template, as building its prompt would."""
-    bad = df.where(~valid_role(F.col(role))).select(role).first()
-    if bad is not None:
-        raise ValueError(f"Unknown role: {bad[0]!r}")
-    return df
+def with_template(df: DataFrame, templates: DataFrame, role: str) -> DataFrame:
+    """Attach the role's template; a role without one fails the query."""
+    own = templates.select(F.col("role").alias("__role"), "template")
+    unknown = F.raise_error(F.concat(F.lit("Unknown role: "), F.coalesce(F.col(role), F.lit("none"))))
+    joined = df.join(own, F.col(role) == F.col("__role"), "left")
+    return joined.withColumn("template", F.coalesce("template", unknown)).drop("__role")
 
 
-def with_template(df: DataFrame, templates: DataFrame, role: str) -> DataFrame:
-    return df.join(templates.withColumnRenamed("role", role), role)
+_PLACE = r"\{approved_(?:datasets|tools)\}"
 
 
 def render_prompt(template: Column, datasets: Column, tools: Column) -> Column:
-    """Fill the template's lists; an empty list reads ``(none)``."""
+    """Fill the template's lists, each place once; an empty list reads ``(none)``. What is filled in is not looked at again."""
 
     def listing(items: Column) -> Column:
-        return F.when(F.size(items) > 0, F.array_join(items, ", ")).otherwise("(none)")
+        return F.when(F.size(F.coalesce(items, _no_items())) > 0, F.array_join(items, ", ")).otherwise("(none)")
 
-    filled = F.replace(template, F.lit("{approved_datasets}"), listing(datasets))
-    return F.replace(filled, F.lit("{approved_tools}"), listing(tools))
+    gaps = F.split(template, _PLACE, -1)
+    fill = F.transform(F.regexp_extract_all(template, F.lit(_PLACE), F.lit(0)), lambda p: F.when(p == "{approved_datasets}", listing(datasets)).otherwise(listing(tools)))
+    return F.array_join(F.zip_with(gaps, fill, lambda g, f: F.concat(g, F.coalesce(f, F.lit("")))), "")
 
 
 def role_rollup(counts: DataFrame, role: str, n: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.functions import text as tx
-from custodia.operators.ordered import MAX_GROUP_ROWS, ordered_window, trailing_count
+from custodia.operators.ordered import ordered_window, trailing_count
 from custodia.operators.percentiles import exact_percentiles
 from custodia.sources import dims
 
@@ -27,16 +27,20 @@ def registered_calls(calls: DataFrame, registry: DataFrame) -> DataFrame:
 
 def unauthorized_calls(calls: DataFrame, registry: DataFrame) -> DataFrame:
     """Calls of a registered tool by an agent that is not allowed to use it."""
-    allowed = F.broadcast(registry.select("tool", F.explode("allowed_agents").alias("agent")))
+    allowed = registry.select("tool", F.explode("allowed_agents").alias("agent"))
     return registered_calls(calls, registry).join(allowed, ["tool", "agent"], "left_anti")
 
 
 def trust_violations(messages: DataFrame, calls: DataFrame, trust: DataFrame) -> DataFrame:
-    """L1 agents that trigger anything but a route to the orchestrator, and writes by agents without write access."""
-    m = messages.join(trust.withColumnRenamed("agent", "sender"), "sender").where(
-        (F.col("level") == 1) & ~((F.col("message_type") == "route") & (F.col("recipient") == "ORCHESTRATOR"))
-    )
-    c = calls.join(trust, "agent").where(~F.col("can_write") & ~F.col("tool").endswith("_search"))
+    """L1 agents that trigger anything but a route to the orchestrator, and writes by agents without write access.
+
+    An agent that the trust table lacks has the lowest level and may not write.
+    """
+    level, may_write = F.coalesce("level", F.lit(1)), F.coalesce("can_write", F.lit(False))
+    routed = F.coalesce((F.col("message_type") == "route") & (F.col("recipient") == "ORCHESTRATOR"), F.lit(False))
+    m = messages.join(trust.withColumnRenamed("agent", "sender"), "sender", "left").where((level == 1) & ~routed)
+    searches = F.coalesce(F.col("tool").endswith("_search"), F.lit(False))
+    c = calls.join(trust, "agent", "left").where(~may_write & ~searches)
     return m.select(F.lit("message").alias("kind"), F.concat_ws(":", "trace_id", "seq").alias("item"), F.col("sender").alias("agent")).unionAll(
         c.select(F.lit("tool"), F.col("call_id").cast("string"), "agent")
     )
@@ -56,55 +60,72 @@ def missing_params(calls: DataFrame, registry: DataFrame, params: str) -> DataFr
 
 def unapproved(calls: DataFrame, registry: DataFrame, flag: str) -> DataFrame:
     """Calls of execution tools that do not carry the orchestrator's approval."""
-    execution = F.broadcast(registry.where(F.array_contains("allowed_agents", "EXECUTION")).select("tool"))
+    execution = registry.where(F.array_contains("allowed_agents", "EXECUTION")).select("tool")
     return calls.join(execution, "tool", "left_semi").where(~F.coalesce(F.col(flag), F.lit(False)))
 
 
+RATE_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
+
+
 def rate_limits(registry: DataFrame) -> DataFrame:
     parts = F.split("rate_limit", "/")
     return registry.select("tool", parts[0].cast("int").alias("per_window"), parts[1].alias("unit"))
 
 
-def over_rate_limit(calls: DataFrame, registry: DataFrame, scale: float = 1.0, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Moments at which an agent exceeds a tool's hourly limit (times ``scale``)."""
-    limits = F.broadcast(rate_limits(registry).where("unit = 'hour'"))
-    counted = trailing_count(registered_calls(calls, registry), ["agent", "tool"], "ts", "1 HOUR", max_group_rows)
-    return counted.join(limits, "tool").withColumn("allowed", F.col("per_window") * F.lit(scale)).where(
-        F.col("n_trailing") > F.col("allowed")
-    ).select("agent", "tool", "ts", "n_trailing", "allowed")
+def over_rate_limit(calls: DataFrame, registry: DataFrame) -> DataFrame:
+    """Moments at which an agent exceeds a tool's limit within the limit's own time unit.
+
+    A limit in a unit that is not known fails the query instead of being skipped.
+    """
+    known = registered_calls(calls, registry)
+    limits = rate_limits(registry)
+    unit = F.col("unit")
+    checked = F.when(unit.isin(*RATE_UNITS), unit).otherwise(F.raise_error(F.concat(F.lit("unknown rate limit unit: "), F.coalesce(unit, F.lit("none")))))
+    limits = limits.withColumn("unit", checked)
+    found = None
+    for name, seconds in RATE_UNITS.items():
+        own = limits.where(F.col("unit") == name)
+        counted = trailing_count(known.join(own.select("tool"), "tool", "left_semi"), ["agent", "tool"], "ts", F.make_dt_interval(secs=F.lit(seconds)))
+        over = counted.join(own, "tool").where("n_trailing > per_window").select("agent", "tool", "ts", "n_trailing", F.col("per_window").alias("allowed"))
+        found = over if found is None else found.unionAll(over)
+    return found
 
 
 # --- chains ------------------------------------------------------------------
-def consecutive_failures(calls: DataFrame, key: str = "trace_id", **options) -> DataFrame:
-    prev = ordered_window(calls.select(key, "ts", "call_id", "status"), [key], ["ts", "call_id"], lag={"prev": F.col("status")}, **options)
+def consecutive_failures(calls: DataFrame, key: str = "trace_id") -> DataFrame:
+    prev = ordered_window(calls.select(key, "ts", "call_id", "status"), [key], ["ts", "call_id"], lag={"prev": F.col("status")})
     return prev.where("status = 'failed' AND prev = 'failed'").drop("prev")
 
 
-def expired(messages: DataFrame, **options) -> DataFrame:
-    """Messages without a successor in their chain before their time to live ran out."""
+def expired(messages: DataFrame, as_of: Column) -> DataFrame:
+    """Messages that had no successor in their chain when their time to live ran out, seen at ``as_of``.
+
+    A message whose time is not over yet is not expired.
+    """
     nxt = ordered_window(
-        messages.select("trace_id", "seq", "created_at", "ttl_seconds"), ["trace_id"], ["seq"], lead={"next_at": F.col("created_at")}, **options
+        messages.select("trace_id", "seq", "created_at", "ttl_seconds"), ["trace_id"], ["seq"], lead={"next_at": F.col("created_at")}
     )
     deadline = F.col("created_at") + F.make_dt_interval(secs=F.col("ttl_seconds"))
-    return nxt.where(F.col("next_at").isNull() | (F.col("next_at") > deadline)).withColumn("answered_late", F.col("next_at").isNotNull())
+    late = F.coalesce(F.col("next_at") > deadline, F.lit(True)) & (deadline < as_of)
+    return nxt.where(late).withColumn("answered_late", F.coalesce(F.col("next_at") <= as_of, F.lit(False)))
 
 
-def unapproved_actions(messages: DataFrame, acts: Column, **options) -> DataFrame:
+def unapproved_actions(messages: DataFrame, acts: Column) -> DataFrame:
     """Actions not preceded in their chain by the orchestrator's execute message."""
     approval = (F.col("sender") == "ORCHESTRATOR") & (F.col("recipient") == "EXECUTION") & (F.col("message_type") == "execute")
     # only what the order needs: the rows may be written out when a chain is split
     narrow = messages.select("trace_id", "seq", acts.alias("__act"), approval.cast("int").alias("__approval"))
-    run = ordered_window(narrow, ["trace_id"], ["seq"], running={"__ok": ("max", F.col("__approval"))}, **options)
+    run = ordered_window(narrow, ["trace_id"], ["seq"], running={"__ok": ("max", F.col("__approval"))})
     return run.where(F.col("__act") & (F.col("__ok") == 0)).select("trace_id", "seq")
 
 
-def reentries(messages: DataFrame, **options) -> DataFrame:
+def reentries(messages: DataFrame) -> DataFrame:
     """How often the chain has been clarified by a human up to each message."""
     hit = (F.col("message_type") == "human_response").cast("bigint")
-    return ordered_window(messages.select("trace_id", "seq", "message_type"), ["trace_id"], ["seq"], running={"attempts": ("sum", hit)}, **options)
+    return ordered_window(messages.select("trace_id", "seq", "message_type"), ["trace_id"], ["seq"], running={"attempts": ("sum", hit)})
 
 
-def assemble(messages: DataFrame, context: dict[str, Column], **options) -> DataFrame:
+def assemble(messages: DataFrame, context: dict[str, Column]) -> DataFrame:
     """A chain in order, one row per message: its position and the context gathered so far.
 
     Each context key holds the latest non-NULL value. Rows, not one array per
@@ -113,7 +134,7 @@ def assemble(messages: DataFrame, context: dict[str, Column], **options) -> Data
     running = {"position": ("sum", F.lit(1).cast("bigint"))}
     for name, value in context.items():
         running[f"__x_{name}"] = ("max", F.when(value.isNotNull(), F.struct(F.col("seq").alias("s"), value.alias("v"))))
-    out = ordered_window(messages, ["trace_id"], ["seq"], running=running, **options)
+    out = ordered_window(messages, ["trace_id"], ["seq"], running=running)
     return out.select(*messages.columns, "position", *[F.col(f"__x_{n}")["v"].alias(n) for n in context])
 
 
@@ -182,9 +203,9 @@ def bundle_headers(traces: DataFrame, items: DataFrame, sections: list[str]) ->
     return j.withColumn("gaps", gaps).withColumn("confidence", 1 - F.size("gaps") / float(len(sections)))
 
 
-def bundle_lists(items: DataFrame, per_list: int = 500, **options) -> DataFrame:
+def bundle_lists(items: DataFrame, per_list: int = 500) -> DataFrame:
     """The results as ordered lists of bounded length; a long section has several parts."""
-    numbered = ordered_window(items, ["trace_id", "section"], ["item"], running={"rn": ("sum", F.lit(1).cast("bigint"))}, **options)
+    numbered = ordered_window(items, ["trace_id", "section"], ["item"], running={"rn": ("sum", F.lit(1).cast("bigint"))})
     part = F.floor((F.col("rn") - 1) / per_list).cast("int")
     return numbered.groupBy("trace_id", "section", part.alias("part")).agg(F.array_sort(F.collect_list("item")).alias("items"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from custodia.operators.percentiles import exact_percentiles
+from custodia.operators.percentiles import exact_percentiles, join_groups
 from custodia.sources import dims
 
 
@@ -35,9 +35,7 @@ def summary(traces: DataFrame, value: str, keys: list[str] | None = None) -> Dat
     mid = exact_percentiles(traces, keys, value, {"median": 0.5})
     top = exact_percentiles(traces, keys, value, {"p99": 0.99}, "index").drop("n")
     mean = traces.groupBy(*keys).agg(F.avg(value).alias("mean"))
-    if keys:
-        return mid.join(top, keys).join(mean, keys)
-    return mid.crossJoin(F.broadcast(top)).crossJoin(F.broadcast(mean))  # one row each
+    return join_groups(join_groups(mid, top, keys), mean, keys)
 
 
 def with_slo(traces: DataFrame, slos: DataFrame, task: str = "task_type") -> DataFrame:

@@ -1,10 +1,9 @@
 """Running values and neighbours in an order, also when one key holds most rows.
 
-A plain window sends each key to one task. Here the largest key is counted
-first: if it fits a task the plain window runs, otherwise the rows are range
-partitioned by (keys, order), so a hot key spreads over many chunks. Each chunk
-computes its own running values and a small table of chunk totals supplies what
-came before. Results are the same on both paths.
+A plain window sends each key to one task. Here the rows are range
+partitioned by (keys, order), so a hot key spreads over many chunks; their number follows
+the size of the data. Each chunk computes its own running values and a small table of chunk
+totals supplies what came before. There is one path for all sizes.
 """
 
 from __future__ import annotations
@@ -15,8 +14,6 @@ from pyspark.sql import functions as F
 
 from custodia.session import pinned
 
-MAX_GROUP_ROWS = 5_000_000
-
 _COMBINE = {
     "sum": lambda carry, local: F.when(carry.isNull(), local).when(local.isNull(), carry).otherwise(carry + local),
     "max": lambda carry, local: F.greatest(carry, local),
@@ -25,12 +22,6 @@ _COMBINE = {
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the most frequent key; the count combines before its shuffle."""
-    row = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("m")).first()
-    return row["m"] or 0
-
-
 def ordered_window(
     df: DataFrame,
     keys: list[str],
@@ -38,25 +29,14 @@ def ordered_window(
     running: dict[str, tuple[str, Column]] | None = None,
     lag: dict[str, Column] | None = None,
     lead: dict[str, Column] | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add running sum/max/min (current row included) and previous/next values.
 
-    ``order`` must be unique within a key. Without keys the order is global and
-    the rows are always chunked.
+    ``order`` must be unique within a key. Without keys the order is global.
     """
     running, lag, lead = running or {}, lag or {}, lead or {}
-    if keys and largest_group(df, keys) <= max_group_rows:
-        w = W.partitionBy(*keys).orderBy(*order)
-        upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-        cols = {n: _AGG[f](c).over(upto) for n, (f, c) in running.items()}
-        cols |= {n: F.lag(c).over(w) for n, c in lag.items()}
-        cols |= {n: F.lead(c).over(w) for n, c in lead.items()}
-        return df.withColumns(cols)
-
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Materialised: totals and rows below must see the same chunk boundaries.
-    chunked = pinned(df.repartitionByRange(n, *keys, *order).withColumn("__chunk", F.spark_partition_id()))
+    chunked = pinned(df.repartitionByRange(*keys, *order).withColumn("__chunk", F.spark_partition_id()))
     w = W.partitionBy("__chunk", *keys).orderBy(*order)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     local = {f"__l_{i}": _AGG[f](c).over(upto) for i, (f, c) in enumerate(running.values())}
@@ -68,7 +48,7 @@ def ordered_window(
     totals = [_AGG[f](c).alias(f"__l_{i}") for i, (f, c) in enumerate(running.values())]
     totals += [F.max_by(F.struct(c.alias("v")), F.struct(*order)).alias(f"__g_{i}") for i, c in enumerate(lag.values())]
     totals += [F.min_by(F.struct(c.alias("v")), F.struct(*order)).alias(f"__d_{i}") for i, c in enumerate(lead.values())]
-    # one row per (chunk, key): a key spans at most n chunks
+    # one row per (chunk, key)
     carry = chunked.groupBy("__chunk", *keys).agg(*totals)
     cw = W.partitionBy(*keys).orderBy("__chunk")
     before = cw.rowsBetween(W.unboundedPreceding, -1)
@@ -87,27 +67,26 @@ def ordered_window(
     return joined.withColumns(out).select(*df.columns, *running, *lag, *lead)
 
 
-def trailing_count(
-    events: DataFrame, keys: list[str], ts: str, width: str, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def trailing_count(events: DataFrame, keys: list[str], ts: str, width: str | Column) -> DataFrame:
     """Per key and distinct time: events at that time (``n``) and in the trailing
     closed interval ``[ts - width, ts]`` (``n_trailing``).
 
     A difference of two running sums: one at each time, one just before the start
     of its interval. No range frame, so a hot key can be split.
     """
+    before = width if isinstance(width, Column) else F.expr(f"INTERVAL {width}")
     cells = events.groupBy(*keys, ts).agg(F.count("*").alias("n"))
     points = cells.select(
         *keys, "n", F.col(ts).alias("__at"),
         F.explode(
             F.array(
                 # the start point sorts before the events of its own instant
-                F.struct((F.col(ts) - F.expr(f"INTERVAL {width}")).alias("t"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("add")),
+                F.struct((F.col(ts) - before).alias("t"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("add")),
                 F.struct(F.col(ts).alias("t"), F.lit(1).alias("kind"), F.col("n").alias("add")),
             )
         ).alias("p"),
     ).select(*keys, "n", "__at", "p.t", "p.kind", "p.add")
-    summed = ordered_window(points, keys, ["t", "kind"], running={"__run": ("sum", F.col("add"))}, max_group_rows=max_group_rows)
+    summed = ordered_window(points, keys, ["t", "kind"], running={"__run": ("sum", F.col("add"))})
     return (
         summed.groupBy(*keys, "__at")
         .agg(

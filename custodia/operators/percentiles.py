@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from custodia.operators.ordered import MAX_GROUP_ROWS, largest_group
-
 SKETCH_ACCURACY = 10_000
 
 
@@ -23,39 +23,37 @@ def _ranks(p: float, n: Column, how: str) -> tuple[Column, Column, Column]:
     return low, F.ceil(pos), pos - low
 
 
+def same_keys(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Column:
+    """Join condition under which NULL meets NULL."""
+    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in names.items()])
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of two tables with one row per key, NULL keys included."""
+    if not keys:
+        return left.crossJoin(F.broadcast(right))  # one row each
+    other = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    return left.join(other, same_keys(left, other, {k: f"__r_{k}" for k in keys})).drop(*[f"__r_{k}" for k in keys])
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: list[str],
     value: str,
     probs: dict[str, float],
     how: str = "linear",
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Percentiles of ``value`` per key, plus the number of values ``n``.
 
     ``linear`` interpolates between ranks; ``index`` takes the element at
     ``int(n * p)`` of the sorted values.
 
-    Equal values are counted before anything is sorted. If the largest key is too
-    big for one task, a sketch brackets each wanted rank first; then only values
-    inside a bracket are sorted, and those below it are merely counted.
+    A sketch brackets each wanted rank first; then only values inside a bracket are
+    sorted, equal ones as one, and those below it are merely counted. NULL keys are a group.
     """
     src = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
     names = list(probs)
-    if largest_group(src, keys) <= max_group_rows:
-        ranked = (
-            src.groupBy(*keys, "__v").agg(F.count("*").alias("__c"))
-            .withColumn("__cum", F.sum("__c").over(W.partitionBy(*keys).orderBy("__v")))
-            .withColumn("__n", F.sum("__c").over(W.partitionBy(*keys)))
-        )
-        bounds = {}
-        for name in names:
-            low, high, _ = _ranks(probs[name], F.col("__n"), how)
-            bounds[f"__lo_{name}"] = F.min(F.when(F.col("__cum") > low, F.col("__v")))
-            bounds[f"__hi_{name}"] = F.min(F.when(F.col("__cum") > high, F.col("__v")))
-        picked = ranked.groupBy(*keys).agg(F.max("__n").alias("n"), *[c.alias(k) for k, c in bounds.items()])
-    else:
-        picked = _bracketed(src, keys, probs, how)
+    picked = _bracketed(src, keys, probs, how)
     out = []
     for name in names:
         _, _, frac = _ranks(probs[name], F.col("n"), how)
@@ -71,7 +69,11 @@ def _bracketed(src: DataFrame, keys: list[str], probs: dict[str, float], how: st
         F.count("*").alias("__n"), F.percentile_approx("__v", sides, SKETCH_ACCURACY).alias("__q")
     )
     # one row per key on the right; AQE splits a hot key on the left
-    joined = src.join(sketch, keys) if keys else src.crossJoin(F.broadcast(sketch))  # without keys: one row
+    if keys:
+        sketch = sketch.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+        joined = src.join(sketch, same_keys(src, sketch, {k: f"__k_{k}" for k in keys}))
+    else:
+        joined = src.crossJoin(F.broadcast(sketch))  # one row
     # in a small group the margin is less than one rank, so all its values count as inside
     small = F.col("__n") <= 2 * SKETCH_ACCURACY
     roles = []

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from custodia.operators.ordered import MAX_GROUP_ROWS, ordered_window
+from custodia.operators.ordered import ordered_window
 from custodia.sources import dims
 
 JUDGE_SCHEMA = "factual_accuracy INT, completeness INT, hallucination INT, instruction_following INT, notes STRING"
@@ -54,13 +56,13 @@ def drop_day_over_day(traces: DataFrame, keys: list[str], value: str, ratio: flo
 
 def low_runs(
     traces: DataFrame, key: str, score: str, order: list[str],
-    bound: float = dims.LOW_CONSISTENCY, longer_than: int = dims.LOW_CONSISTENCY_RUN, max_group_rows: int = MAX_GROUP_ROWS,
+    bound: float = dims.LOW_CONSISTENCY, longer_than: int = dims.LOW_CONSISTENCY_RUN,
 ) -> DataFrame:
     """Runs of consecutive scores below ``bound``. A row at or above it starts the next island."""
     low = F.coalesce(F.col(score) < bound, F.lit(False))
     marked = ordered_window(
         traces.select(key, *order, score), [key], order,
-        running={"__island": ("sum", (~low).cast("bigint"))}, max_group_rows=max_group_rows,
+        running={"__island": ("sum", (~low).cast("bigint"))},
     )
     return marked.where(low).groupBy(key, "__island").agg(
         F.count("*").alias("run_length"), F.min(order[0]).alias("started"), F.max(order[0]).alias("ended"), F.min(score).alias("lowest")
@@ -76,11 +78,12 @@ def parsed_judgement(text: Column) -> Column:
 
 
 def judge_averages(judged: DataFrame, key: str, text: str) -> DataFrame:
-    """Mean of each rubric dimension; answers that do not parse are counted, not averaged."""
+    """Mean of each rubric dimension. An answer that does not parse, lacks a dimension or leaves 1 to 5 is counted, not averaged."""
     parsed = judged.withColumn("__j", parsed_judgement(F.col(text)))
-    bad = F.col("__j.factual_accuracy").isNull()
-    return parsed.groupBy(key).agg(
-        F.count("*").alias("n"), F.count_if(bad).alias("malformed"), *[F.avg(f"__j.{d}").alias(d) for d in JUDGE_DIMENSIONS]
+    good = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"__j.{d}").between(1, 5), F.lit(False)) for d in JUDGE_DIMENSIONS])
+    return parsed.withColumn("__good", good).groupBy(key).agg(
+        F.count("*").alias("n"), F.count_if(~F.col("__good")).alias("malformed"),
+        *[F.avg(F.when(F.col("__good"), F.col(f"__j.{d}"))).alias(d) for d in JUDGE_DIMENSIONS],
     )
 
 
@@ -134,9 +137,14 @@ def self_consistency(responses: DataFrame, group: str, embedding: str) -> DataFr
 
 def similarity_to_others(responses: DataFrame, group: str, item: str, embedding: str) -> DataFrame:
     """Mean cosine of each response to the other ones of its group (row means of the pair matrix)."""
-    sums = unit_sums(responses, group, embedding)
-    # one row per group and dimension on the right; the left spreads over dimensions
-    dot = _unit(responses, [group, item], embedding).join(sums, [group, "i"]).groupBy(group, item).agg(
-        F.sum(F.col("u") * F.col("s")).alias("d"), F.sum(F.col("u") * F.col("u")).alias("self"), F.max("n").alias("n")
+    sums = unit_sums(responses, group, embedding).groupBy(group).agg(
+        F.max("n").alias("__m"), F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda x: x["s"]).alias("__s")
     )
-    return dot.select(group, item, F.when(F.col("n") > 1, (F.col("d") - F.col("self")) / (F.col("n") - 1)).alias("mean_similarity"))
+    v = F.transform(F.col(embedding), lambda x: x.cast("double"))
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    unit = F.transform(v, lambda x: F.coalesce(x / F.nullif(norm, F.lit(0.0)), F.lit(0.0)))
+    # one vector per group on the right, one join per response
+    rows = responses.select(group, item, unit.alias("__u")).join(sums, group)
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda t, x: t + x)
+    dot, own = total(F.zip_with("__u", "__s", lambda a, b: a * b)), total(F.transform("__u", lambda a: a * a))
+    return rows.select(group, item, F.when(F.col("__m") > 1, (dot - own) / (F.col("__m") - 1)).alias("mean_similarity"))

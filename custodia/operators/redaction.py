@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from custodia.functions import pii
@@ -11,11 +14,11 @@ from custodia.functions.text import unnest
 
 def detect(
     df: DataFrame, text: str, doc_id: str, types: list[str] | None = None,
-    salt: str = pii.DEFAULT_SALT, extra: Column | None = None, out: str = "entities",
+    salt: str = pii.DEFAULT_SALT, extra: Column | None = None, out: str = "entities", token_width: int = 8,
 ) -> DataFrame:
     """Add the array of entities found in ``text``; row-local, no shuffle."""
     found = df.withColumn("__found", pii.entities(F.col(text), types, extra))
-    return found.withColumn(out, pii.with_tokens(F.col("__found"), F.col(doc_id), salt)).drop("__found")
+    return found.withColumn(out, pii.with_tokens(F.col("__found"), F.col(doc_id), salt, token_width)).drop("__found")
 
 
 def redact(df: DataFrame, text: str, doc_id: str, out: str = "redacted", **options) -> DataFrame:
@@ -45,27 +48,32 @@ def candidate_rows(df: DataFrame, text: str, keep: list[str], types: list[str])
     )
 
 
+NAME_WORD = r"\p{L}[\p{L}'-]*"
+
+
 def person_hits(docs: DataFrame, text: str, doc_id: str, names: DataFrame) -> DataFrame:
-    """Two-word names of a gazetteer found in texts, with offsets.
+    """Names of one to three words found in texts, with offsets.
 
-    Neighbouring words become rows with their offsets and meet the names in one
-    join, so neither the texts nor the names are held or shuffled whole. Hits
-    that overlap each other are left to the overlap rule.
+    Runs of letters become rows with their offsets, alone and with their neighbours one character away, and meet the
+    names in one join, so neither the texts nor the names are held or shuffled whole. Signs next to a name do not hide it.
+    Hits that overlap each other are left to the overlap rule.
     """
-    words = docs.select(F.col(doc_id), pii.spans(F.col(text), r"\S+\s?").alias("w"))
-
-    def pair(a: Column, b: Column) -> Column:
-        joined = b.isNotNull() & a["value"].endswith(" ") & (a["end"] == b["start"])
-        last = F.regexp_replace(b["value"], r"\s$", "")
-        both = F.concat(a["value"], last)
-        return F.when(joined, F.struct(both.alias("name"), a["start"].alias("start"), (a["start"] + F.length(both)).alias("end")))
-
-    pairs = F.array_compact(F.zip_with("w", F.slice("w", F.lit(2), F.size("w")), pair))
-    return (
-        unnest(words, [doc_id], pairs, "p")
-        .select(doc_id, F.col("p.name").alias("name"), "p.start", "p.end")
-        .join(names.select("name").distinct(), "name")
-        .select(doc_id, F.col("name").alias("value"), "start", "end", F.lit(pii.CONFIDENCE["PERSON"]).alias("confidence"))
+    words = docs.select(F.col(doc_id), pii.spans(F.col(text), NAME_WORD).alias("w"))
+
+    def joined(parts: list[Column]) -> Column:
+        near = [b.isNotNull() & (a["end"] + 1 == b["start"]) for a, b in zip(parts, parts[1:])]
+        name = F.concat_ws(" ", *[p["value"] for p in parts])
+        return F.when(reduce(lambda a, b: a & b, near, F.lit(True)), F.struct(name.alias("name"), parts[0]["start"].alias("start"), parts[-1]["end"].alias("end")))
+
+    def runs(w: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(w) - 1)
+        return F.flatten(F.transform(at, lambda i: F.array_compact(F.array(*[joined([F.get(w, i + k) for k in range(n)]) for n in (1, 2, 3)]))))
+
+    # the words are bound once; a text without a word has none
+    found = F.transform(F.array(F.col("w")), lambda w: F.when(F.size(w) > 0, runs(w)))[0]
+    hits = unnest(words, [doc_id], found, "p").select(doc_id, F.col("p.name").alias("name"), "p.start", "p.end")
+    return hits.join(names.select("name").distinct(), "name").select(
+        doc_id, F.col("name").alias("value"), "start", "end", F.lit(pii.CONFIDENCE["PERSON"]).alias("confidence")
     )
 
 
@@ -88,15 +96,25 @@ def type_counts(entities: DataFrame) -> DataFrame:
 
 
 def recall(expected: DataFrame, found: DataFrame, doc_id: str) -> DataFrame:
-    """Share of labelled spans that overlap a detected span of the same document."""
-    hit = (
-        expected.alias("x")
-        .join(
-            found.select(doc_id, F.col("start").alias("f_start"), F.col("end").alias("f_end")).alias("f"),
-            [doc_id], "left",
-        )
-        .groupBy(doc_id, "start", "end")
-        .agg(F.max(((F.col("start") < F.col("f_end")) & (F.col("f_start") < F.col("end"))).cast("int")).alias("hit"))
+    """Share of labelled spans that overlap a detected span of the same document.
+
+    Detected spans do not overlap each other, so starts and ends are sorted alike: a labelled span is hit if more spans
+    start before its end than end at or before its start. Both are counted along one order of all points.
+    """
+    label = F.lit(1).alias("label")
+    points = expected.select(doc_id, "start", "end", label).unionByName(found.select(doc_id, "start", "end", F.lit(0).alias("label")))
+    # (position, kind, +starts, +ends, label): ends count before a start at the same place, starts after an end
+    rows = points.select(doc_id, "label", "start", "end", F.inline(F.when(F.col("label") == 0, F.array(
+        F.struct(F.col("start").alias("at"), F.lit(2).alias("kind"), F.lit(1).alias("starts"), F.lit(0).alias("ends")),
+        F.struct(F.col("end").alias("at"), F.lit(0).alias("kind"), F.lit(0).alias("starts"), F.lit(1).alias("ends")),
+    )).otherwise(F.array(
+        F.struct(F.col("end").alias("at"), F.lit(1).alias("kind"), F.lit(0).alias("starts"), F.lit(0).alias("ends")),
+        F.struct(F.col("start").alias("at"), F.lit(1).alias("kind"), F.lit(0).alias("starts"), F.lit(0).alias("ends")),
+    ))))
+    order = W.partitionBy(doc_id).orderBy("at", "kind")
+    counted = rows.withColumns({"n_starts": F.sum("starts").over(order), "n_ends": F.sum("ends").over(order)}).where("label = 1")
+    hit = counted.groupBy(doc_id, "start", "end").agg(
+        (F.max(F.when(F.col("at") == F.col("end"), F.col("n_starts"))) > F.max(F.when(F.col("at") == F.col("start"), F.col("n_ends")))).cast("int").alias("hit")
     )
     return hit.agg(
         F.count("*").alias("labelled"),

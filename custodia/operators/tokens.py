@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,7 +74,7 @@ def lookups(texts: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
 
 def read(asked: DataFrame, token_map: DataFrame, at: str | None = None, session: str | None = None) -> DataFrame:
-    """Left join of asked tokens with the map; with ``at``, only records alive then.
+    """Left join of asked tokens with the map; with ``at``, only records alive then, else the latest record of each token.
 
     A token asked for in a third of all rows is left to the skew join of AQE:
     the right side holds one live record per token.
@@ -81,6 +83,10 @@ def read(asked: DataFrame, token_map: DataFrame, at: str | None = None, session:
         F.col("token").alias("m_token"), F.col("value").alias("value"), F.col("type").alias("type"),
         F.col("session_id").alias("m_session"), F.col("created_at").alias("m_from"), F.col("expires_at").alias("m_to"),
     )
+    if at is None:
+        keys = ["m_token"] + (["m_session"] if session is not None else [])
+        rest = [c for c in m.columns if c not in keys]
+        m = m.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("m_from", "m_session", "value")).alias("r")).select(*keys, "r.*")
     on = asked["token"] == m["m_token"]
     if at is not None:
         on = on & (asked[at] >= m["m_from"]) & (asked[at] < m["m_to"])
@@ -104,16 +110,19 @@ def detokenize(
     """
     wanted = may_see(F.col(role)) & F.contains(F.col(text), F.lit("<PII_TOKEN_"))
     wanted = F.coalesce(wanted, F.lit(False))
-    todo = texts.where(wanted)
-    keep = [doc_id] + [c for c in (at, session) if c]
+    todo = texts.where(wanted).withColumn("__h", F.xxhash64(text))
+    # a text is known by its id, itself and the moment of reading; repeated rows share one result
+    keep = list(dict.fromkeys([doc_id, "__h"] + [c for c in (at, session) if c]))
     found = read(lookups(todo, text, keep), token_map, at, session)
+    one = found.groupBy(*keep, "pos").agg(F.first("token").alias("token"), F.max("value").alias("value"))
     # as many entries as the text holds tokens
-    per_doc = found.groupBy(doc_id).agg(F.array_sort(F.collect_list(F.struct("pos", "token", "value"))).alias("__t"))
+    per_doc = one.groupBy(*keep).agg(F.array_sort(F.collect_list(F.struct("pos", "token", "value"))).alias("__t"))
+    per_doc = per_doc.withColumnsRenamed({c: f"__k_{c}" for c in keep})
     fill = F.transform("__t", lambda t: F.coalesce(t["value"], t["token"]))
     gaps = F.split(F.col(text), F.lit(pii.TOKEN_REGEX), -1)
     restored = F.array_join(F.zip_with(gaps, fill, lambda g, v: F.concat(g, F.coalesce(v, F.lit("")))), "")
     missing = F.transform(F.filter("__t", lambda t: t["value"].isNull()), lambda t: t["token"])
-    joined = todo.join(per_doc, doc_id, "left")
+    joined = todo.join(per_doc, reduce(lambda a, b: a & b, [todo[c].eqNullSafe(per_doc[f"__k_{c}"]) for c in keep]), "left")
     done = joined.select(
         *[todo[c] for c in texts.columns],
         F.when(F.col("__t").isNull(), F.col(text)).otherwise(restored).alias("restored"),

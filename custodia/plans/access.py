@@ -99,8 +99,7 @@ def tool_set_difference(inp: Inputs):
 
 @query("role_template_join", "SELECT p.request_id, t.role AS user_role, t.template FROM #scoped# p JOIN %role_templates% t ON t.role = p.user_role")
 def role_template_join(inp: Inputs):
-    requests = access.check_roles(inp.view("scoped"), "user_role")
-    return access.with_template(requests, inp.dim("role_templates"), "user_role").select("request_id", "user_role", "template")
+    return access.with_template(inp.view("scoped"), inp.dim("role_templates"), "user_role").select("request_id", "user_role", "template")
 
 
 @query("render_system_prompt", """SELECT p.request_id, replace(replace(t.template, '{approved_datasets}', CASE WHEN approved_datasets = '' THEN '(none)' ELSE replace(approved_datasets, ',', ', ') END),

@@ -51,9 +51,9 @@ def unauthorized_agent_tools(inp: Inputs):
     return agents.unauthorized_calls(calls(inp), inp.dim("tool_registry")).select("call_id", "agent", "tool")
 
 
-@query("trust_level_violation", """SELECT 'message' AS kind, concat(trace_id, ':', seq) AS item, sender AS agent FROM #messages# m JOIN %agent_trust% t ON t.agent = m.sender
-WHERE level = 1 AND NOT (message_type = 'route' AND recipient = 'ORCHESTRATOR')
-UNION ALL SELECT 'tool', CAST(call_id AS VARCHAR), c.agent FROM #tool_calls# c JOIN %agent_trust% t ON t.agent = c.agent WHERE NOT can_write AND tool NOT LIKE '%\\_search' ESCAPE '\\'""")
+@query("trust_level_violation", """SELECT 'message' AS kind, concat(trace_id, ':', seq) AS item, sender AS agent FROM #messages# m LEFT JOIN %agent_trust% t ON t.agent = m.sender
+WHERE coalesce(level, 1) = 1 AND NOT (message_type = 'route' AND recipient = 'ORCHESTRATOR')
+UNION ALL SELECT 'tool', CAST(call_id AS VARCHAR), c.agent FROM #tool_calls# c LEFT JOIN %agent_trust% t ON t.agent = c.agent WHERE NOT coalesce(can_write, FALSE) AND tool NOT LIKE '%\\_search' ESCAPE '\\'""")
 def trust_level_violation(inp: Inputs):
     return agents.trust_violations(messages(inp), calls(inp), inp.dim("agent_trust"))
 
@@ -77,12 +77,11 @@ def approval_flag_check(inp: Inputs):
     return agents.unapproved(inp.view("tool_params"), inp.dim("tool_registry"), "orchestrator_approval").select("call_id", "tool")
 
 
-# the fixture makes at most five calls an hour, so a tenth of each limit is checked
-@query("tool_rate_limit", """SELECT agent, x.tool, CAST(ts AS VARCHAR) AS ts, n_trailing, CAST(split_part(r.rate_limit, '/', 1) AS INTEGER) * 0.1e0 AS allowed FROM (
+@query("tool_rate_limit", """SELECT agent, x.tool, CAST(ts AS VARCHAR) AS ts, n_trailing, CAST(split_part(r.rate_limit, '/', 1) AS INTEGER) AS allowed FROM (
   SELECT DISTINCT agent, tool, ts, count(*) OVER (PARTITION BY agent, tool ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n_trailing FROM #tool_calls# c) x
-JOIN %tool_registry% r ON r.tool = x.tool WHERE n_trailing > CAST(split_part(r.rate_limit, '/', 1) AS INTEGER) * 0.1e0""")
+JOIN %tool_registry% r ON r.tool = x.tool WHERE n_trailing > CAST(split_part(r.rate_limit, '/', 1) AS INTEGER)""")
 def tool_rate_limit(inp: Inputs):
-    over = agents.over_rate_limit(calls(inp), inp.dim("tool_registry"), scale=0.1)
+    over = agents.over_rate_limit(calls(inp), inp.dim("tool_registry"))
     return over.select("agent", "tool", F.col("ts").cast("string").alias("ts"), "n_trailing", "allowed")
 
 
@@ -92,10 +91,11 @@ def consecutive_failures(inp: Inputs):
     return agents.consecutive_failures(calls(inp)).select("trace_id", "call_id")
 
 
-@query("message_ttl_expired", """SELECT trace_id, seq, next_at IS NOT NULL AS answered_late FROM (SELECT *, lead(created_at) OVER (PARTITION BY trace_id ORDER BY seq) AS next_at FROM #messages# m) x
-WHERE next_at IS NULL OR next_at > created_at + INTERVAL '300' SECOND""")
+@query("message_ttl_expired", """SELECT trace_id, seq, coalesce(next_at <= TIMESTAMP '2024-01-03 00:00:00', FALSE) AS answered_late FROM (SELECT *, lead(created_at) OVER (PARTITION BY trace_id ORDER BY seq) AS next_at FROM #messages# m) x
+WHERE coalesce(next_at > created_at + INTERVAL '300' SECOND, TRUE) AND created_at + INTERVAL '300' SECOND < TIMESTAMP '2024-01-03 00:00:00'""")
 def message_ttl_expired(inp: Inputs):
-    return agents.expired(messages(inp)).select("trace_id", "seq", "answered_late")
+    as_of = F.expr("TIMESTAMP '2024-01-03 00:00:00'")
+    return agents.expired(messages(inp), as_of).select("trace_id", "seq", "answered_late")
 
 
 @query("approval_chain_check", """SELECT trace_id, seq FROM #messages# m WHERE recipient = 'EXECUTION' AND NOT EXISTS (

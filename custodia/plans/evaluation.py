@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from custodia.functions import sampling, text as tx, threats
 from custodia.operators import golden, grounding, latency, quality, redaction
-from custodia.operators.percentiles import exact_percentiles
+from custodia.operators.percentiles import exact_percentiles, join_groups
 from custodia.plans import pii
 from custodia.plans.registry import Inputs, fragment, query
 
@@ -93,7 +93,7 @@ def eval_gate(inp: Inputs):
     rate = t.groupBy("model_id").agg(F.avg(bad()).alias("rate"))
     p95 = exact_percentiles(t, ["model_id"], "ttft_ms", {"p95": 0.95})
     passes = evaluated(inp).groupBy("model_id").agg(F.avg(F.col("passed").cast("int")).alias("pass_rate"))
-    j = rate.join(p95, "model_id").join(passes, "model_id")
+    j = join_groups(join_groups(rate, p95, ["model_id"]), passes, ["model_id"])
     ok = (F.col("pass_rate") == 1) & (F.col("rate") <= 0.05) & (F.col("p95") <= 1200)
     return j.select("model_id", r6("pass_rate", "pass_rate"), r6("rate", "hallucination_rate"), r6("p95", "ttft_p95"), ok.alias("promoted"))
 
@@ -175,7 +175,7 @@ def latency_slo_check(inp: Inputs):
     p = latency.metric_percentiles(t, keys, {
         "ttft_ms": {"ttft": 0.95}, "total_latency_ms": {"total": 0.95}, "queue_wait_ms": {"queue": 0.99}, "security_overhead_ms": {"sec": 0.99}})
     tps = t.groupBy(*keys).agg(F.avg(latency.tokens_per_second(F.col("completion_tokens"), F.col("total_latency_ms"), F.col("ttft_ms"))).alias("tps"))
-    j = latency.with_slo(p.join(tps, keys), inp.dim("latency_slos"))
+    j = latency.with_slo(join_groups(p, tps, keys), inp.dim("latency_slos"))
     return j.select(
         *keys, r6("ttft", "ttft_p95"), r6("total", "total_p95"), r6("queue", "queue_p99"), r6("sec", "security_p99"),
         (F.col("ttft") < F.col("ttft_slo_ms")).alias("ttft_ok"), (F.col("total") < F.col("total_slo_ms")).alias("total_ok"),
@@ -199,13 +199,13 @@ def baseline_scores(inp: Inputs):
     keys = ["model_id", "task_type"]
     mid = exact_percentiles(traces(inp), keys, "self_consistency_score", {"p50": 0.5})
     mean = traces(inp).groupBy(*keys).agg(F.avg("grounding_score").alias("g"))
-    return mid.join(mean, keys).select(*keys, "n", r6("g", "grounding"), r6("p50", "consistency_p50"))
+    return join_groups(mid, mean, keys).select(*keys, "n", r6("g", "grounding"), r6("p50", "consistency_p50"))
 
 
-@query("load_profile_check", """WITH c AS (SELECT date_trunc('hour', ts) AS w, count(*) AS n FROM #traces# t GROUP BY 1 HAVING count(*) >= 12)
-SELECT CAST(a.w AS VARCHAR) AS window_start, min(b.n) AS min_n FROM (SELECT DISTINCT w + i * INTERVAL 1 HOUR AS w FROM c, unnest([0,1,2,3,4]) u(i)) a JOIN c b ON b.w BETWEEN a.w - INTERVAL 4 HOUR AND a.w GROUP BY a.w HAVING count(*) = 5""")
+@query("load_profile_check", """WITH c AS (SELECT date_trunc('minute', ts) AS w, count(*) AS n FROM #load_requests# t GROUP BY 1 HAVING count(*) >= 100)
+SELECT CAST(a.w AS VARCHAR) AS window_start, min(b.n) AS min_n FROM (SELECT DISTINCT w + i * INTERVAL 1 MINUTE AS w FROM c, unnest([0,1,2,3,4]) u(i)) a JOIN c b ON b.w BETWEEN a.w - INTERVAL 4 MINUTE AND a.w GROUP BY a.w HAVING count(*) = 5""")
 def load_profile_check(inp: Inputs):
-    return latency.sustained_load(traces(inp), "1 hour", 12, 5).select(F.col("window_start").cast("string").alias("window_start"), "min_n")
+    return latency.sustained_load(inp.view("load_requests"), "1 minute", 100, 5).select(F.col("window_start").cast("string").alias("window_start"), "min_n")
 
 
 @query("token_volume_by_user", "SELECT user_id, CAST(date_trunc('hour', ts) AS VARCHAR) AS hour, CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS tokens FROM #traces# t GROUP BY 1, 2")
@@ -215,18 +215,18 @@ def token_volume_by_user(inp: Inputs):
 
 @query("token_volume_anomaly", """SELECT user_id, CAST(hour AS VARCHAR) AS hour, tokens, round(baseline, 6) AS baseline FROM (
   SELECT *, avg(tokens) OVER (PARTITION BY user_id ORDER BY hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS baseline FROM (
-    SELECT user_id, date_trunc('hour', ts) AS hour, CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS tokens FROM #traces# t GROUP BY 1, 2) a) b WHERE tokens > 2 * baseline""")
+    SELECT user_id, date_trunc('hour', ts) AS hour, CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS tokens FROM #traces# t GROUP BY 1, 2) a) b WHERE tokens > 5 * baseline""")
 def token_volume_anomaly(inp: Inputs):
-    return latency.volume_anomalies(latency.hourly_volume(traces(inp)), ratio=2.0).select(
+    return latency.volume_anomalies(latency.hourly_volume(traces(inp))).select(
         "user_id", F.col("hour").cast("string").alias("hour"), "tokens", r6("baseline", "baseline")
     )
 
 
 @query("ttft_regression", """SELECT model_id, CAST(day AS VARCHAR) AS day, round(p95, 6) AS p95, round(baseline, 6) AS baseline FROM (
   SELECT *, avg(p95) OVER (PARTITION BY model_id ORDER BY day RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING) AS baseline FROM (
-    SELECT model_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, quantile_cont(ttft_ms, 0.95) AS p95 FROM #traces# t GROUP BY 1, 2) a) b WHERE p95 > 1.1 * baseline""")
+    SELECT model_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, quantile_cont(ttft_ms, 0.95) AS p95 FROM #traces# t GROUP BY 1, 2) a) b WHERE p95 > 1.5 * baseline""")
 def ttft_regression(inp: Inputs):
-    return latency.ttft_regressions(traces(inp), ratio=1.1).select("model_id", F.col("day").cast("string").alias("day"), r6("p95", "p95"), r6("baseline", "baseline"))
+    return latency.ttft_regressions(traces(inp)).select("model_id", F.col("day").cast("string").alias("day"), r6("p95", "p95"), r6("baseline", "baseline"))
 
 
 @query("error_rate", """SELECT model_id, CAST(CAST(date_trunc('day', ts) AS TIMESTAMP) AS VARCHAR) AS window_start, count(*) AS n, CAST(sum(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS BIGINT) AS bad, round(avg(CASE WHEN status = 'failed' THEN 1 ELSE 0 END), 6) AS rate FROM #traces# t GROUP BY 1, 2""")
@@ -260,17 +260,17 @@ def rolling_hallucination_7d(inp: Inputs):
 
 @query("grounding_drop_dod", """SELECT model_id, CAST(CAST(day AS TIMESTAMP) AS VARCHAR) AS day, round(prev_score, 6) AS prev_score, round(score, 6) AS score, round((prev_score - score) / prev_score, 6) AS "drop" FROM (
   SELECT a.model_id, a.day, b.score AS prev_score, a.score FROM (SELECT model_id, date_trunc('day', ts) AS day, avg(grounding_score) AS score FROM #traces# t GROUP BY 1, 2) a
-  JOIN (SELECT model_id, date_trunc('day', ts) AS day, avg(grounding_score) AS score FROM #traces# t GROUP BY 1, 2) b ON b.model_id = a.model_id AND b.day + INTERVAL 1 DAY = a.day) x WHERE (prev_score - score) / prev_score > 0.005""")
+  JOIN (SELECT model_id, date_trunc('day', ts) AS day, avg(grounding_score) AS score FROM #traces# t GROUP BY 1, 2) b ON b.model_id = a.model_id AND b.day + INTERVAL 1 DAY = a.day) x WHERE (prev_score - score) / prev_score > 0.15""")
 def grounding_drop_dod(inp: Inputs):
-    d = quality.drop_day_over_day(traces(inp), ["model_id"], "grounding_score", ratio=0.005)
+    d = quality.drop_day_over_day(traces(inp), ["model_id"], "grounding_score")
     return d.select("model_id", F.col("day").cast("string").alias("day"), r6("prev_score", "prev_score"), r6("score", "score"), r6("drop", "drop"))
 
 
 @query("low_consistency_runs", """SELECT model_id, count(*) AS run_length, CAST(min(ts) AS VARCHAR) AS started, CAST(max(ts) AS VARCHAR) AS ended, round(min(s), 6) AS lowest FROM (
   SELECT model_id, ts, self_consistency_score AS s, row_number() OVER (PARTITION BY model_id ORDER BY ts, request_id) - row_number() OVER (PARTITION BY model_id, self_consistency_score < 0.7e0 ORDER BY ts, request_id) AS island, self_consistency_score < 0.7e0 AS low
-  FROM #traces# t) x WHERE low GROUP BY model_id, island HAVING count(*) > 2""")
+  FROM #traces# t) x WHERE low GROUP BY model_id, island HAVING count(*) > 20""")
 def low_consistency_runs(inp: Inputs):
-    runs = quality.low_runs(traces(inp), "model_id", "self_consistency_score", ["ts", "request_id"], longer_than=2)
+    runs = quality.low_runs(traces(inp), "model_id", "self_consistency_score", ["ts", "request_id"])
     return runs.select("model_id", "run_length", F.col("started").cast("string").alias("started"), F.col("ended").cast("string").alias("ended"), r6("lowest", "lowest"))
 
 
@@ -293,10 +293,11 @@ def pairwise_similarity(inp: Inputs):
 
 
 _J = "CASE WHEN json_valid(judge_json) THEN CAST(json_extract(judge_json, '$.{0}') AS INTEGER) END"
+_JUDGED = "(" + " AND ".join(f"coalesce({_J.format(d)} BETWEEN 1 AND 5, FALSE)" for d in quality.JUDGE_DIMENSIONS) + ")"
 
 
-@query("judge_scores", "SELECT model_id, count(*) AS n, CAST(sum(CASE WHEN json_valid(judge_json) THEN 0 ELSE 1 END) AS BIGINT) AS malformed, "
-       + ", ".join(f"round(avg({_J.format(d)}), 6) AS {d}" for d in quality.JUDGE_DIMENSIONS) + " FROM #judge# j GROUP BY model_id")
+@query("judge_scores", "SELECT model_id, count(*) AS n, CAST(sum(CASE WHEN " + _JUDGED + " THEN 0 ELSE 1 END) AS BIGINT) AS malformed, "
+       + ", ".join(f"round(avg(CASE WHEN {_JUDGED} THEN {_J.format(d)} END), 6) AS {d}" for d in quality.JUDGE_DIMENSIONS) + " FROM #judge# j GROUP BY model_id")
 def judge_scores(inp: Inputs):
     j = quality.judge_averages(inp.view("judge"), "model_id", "judge_json")
     return j.select("model_id", "n", "malformed", *[r6(d, d) for d in quality.JUDGE_DIMENSIONS])

@@ -10,8 +10,6 @@ from custodia.plans import audit as audit_plan
 from custodia.plans import evaluation, pii, tokens as token_plan
 from custodia.plans.registry import Inputs, fragment, query
 
-# Thresholds are those of the registered rule queries, lower than the defaults
-# where the fixture would otherwise raise nothing.
 fragment("alerts", """SELECT a.alert, r.severity, r.channel, r.response, a.key, round(CAST(a.value AS DOUBLE), 6) AS value FROM (
   SELECT 'role_escalation_attempt' AS alert, CAST(doc_id AS VARCHAR) AS key, 1e0 AS value FROM #q_role_escalation_flag# a
   UNION ALL SELECT 'pii_token_not_found', CAST(request_id AS VARCHAR), len(unresolved) FROM #detokenized# b WHERE len(unresolved) > 0
@@ -38,7 +36,7 @@ def _unresolved(inp):
 
 
 def _volume(inp):
-    over = latency.volume_anomalies(latency.hourly_volume(inp.view("traces")), ratio=2.0)
+    over = latency.volume_anomalies(latency.hourly_volume(inp.view("traces")))
     return over, F.concat_ws("@", "user_id", F.col("hour").cast("string")), F.col("tokens")
 
 
@@ -52,17 +50,17 @@ def _spikes(inp):
 
 
 def _slow(inp):
-    days = latency.ttft_regressions(inp.view("traces"), ratio=1.1)
+    days = latency.ttft_regressions(inp.view("traces"))
     return days, _at(days, "day"), F.col("p95")
 
 
 def _drops(inp):
-    days = quality.drop_day_over_day(inp.view("traces"), ["model_id"], "grounding_score", ratio=0.005)
+    days = quality.drop_day_over_day(inp.view("traces"), ["model_id"], "grounding_score")
     return days, _at(days, "day"), F.col("drop")
 
 
 def _runs(inp):
-    runs = quality.low_runs(inp.view("traces"), "model_id", "self_consistency_score", ["ts", "request_id"], longer_than=2)
+    runs = quality.low_runs(inp.view("traces"), "model_id", "self_consistency_score", ["ts", "request_id"])
     return runs, _at(runs, "started"), F.col("run_length")
 
 

@@ -60,7 +60,7 @@ def stream_latency_p95(inp: Inputs):
 def stream_low_consistency(inp: Inputs):
     base = sinks.fresh_dir(inp.spark, "low-runs")
     traces = inp.stream_view("traces").select("model_id", "ts", "request_id", "self_consistency_score")
-    step = sinks.low_run_alerts(base, "model_id", "self_consistency_score", ["ts", "request_id"], longer_than=2)
+    step = sinks.low_run_alerts(base, "model_id", "self_consistency_score", ["ts", "request_id"])
     sinks.run_batches(traces, base, step)
     return inp.spark.read.parquet(f"{base}/alerts").select("model_id", text("started"), "run_length")
 
@@ -73,9 +73,9 @@ def stream_message_ttl(inp: Inputs):
 
 @query("stream_rate_limit", f"""SELECT agent, x.tool, CAST(w AS VARCHAR) AS window_start, n FROM (
   SELECT agent, tool, w, count(*) AS n FROM (SELECT agent, tool, time_bucket(INTERVAL 10 MINUTES, ts, TIMESTAMP '1970-01-01') - i * INTERVAL 10 MINUTES AS w FROM #tool_calls# c, unnest([0, 1, 2, 3, 4, 5]) u(i)) y
-  WHERE w + INTERVAL 1 HOUR <= {_CLOSED.format('ts', 'events')} GROUP BY 1, 2, 3) x JOIN %tool_registry% r ON r.tool = x.tool WHERE n > CAST(split_part(r.rate_limit, '/', 1) AS INTEGER) * 0.1e0""")
+  WHERE w + INTERVAL 1 HOUR <= {_CLOSED.format('ts', '#tool_calls# z')} GROUP BY 1, 2, 3) x JOIN %tool_registry% r ON r.tool = x.tool WHERE n > CAST(split_part(r.rate_limit, '/', 1) AS INTEGER)""")
 def stream_rate_limit(inp: Inputs):
-    over = jobs.over_rate_limit(inp.stream_view("tool_calls"), inp.dim("tool_registry"), scale=0.1)
+    over = jobs.over_rate_limit(inp.stream_view("tool_calls"), inp.dim("tool_registry"))
     return sinks.run_available(over, "rate").select("agent", "tool", text("window_start"), "n")
 
 

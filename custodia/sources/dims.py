@@ -58,23 +58,6 @@ ROLE_TEMPLATES = {
 
 SENSITIVE_KEYWORDS = ["salary", "invoice", "bank account", "lawsuit", "contract", "attorney", "social security", "passport"]
 
-# Phrases that try to change the caller's role or drop earlier instructions.
-ESCALATION_PHRASES = [
-    r"ignore (all )?(previous|prior|your) (instructions|context|role)",
-    r"ignore your system prompt",
-    r"disregard your role",
-    r"forget everything above",
-    r"you have no (restrictions|role limitations)",
-    r"(act as|you are (now )?(a )?|role: ?|set role to |as )(super_admin|platform_admin)",
-    r"role override|override role",
-    r"act as dan\b",
-    r"agissez en tant que super_admin",
-    r"print your system prompt",
-]
-# One of these words stands in every phrase above.
-ESCALATION_WORDS = ["ignore", "disregard", "forget", "you have no", "_admin", "override", "act as dan", "print your"]
-
-
 @dataclass(frozen=True)
 class Dim:
     columns: tuple[str, ...]

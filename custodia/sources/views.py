@@ -16,9 +16,10 @@ VIEWS: dict[str, str] = {
     "traces": f"""
 SELECT event_id AS request_id, ts, concat('m', CAST(user_id % 3 AS STRING)) AS model_id,
   CASE event_type WHEN 'click' THEN 'tool_call' WHEN 'view' THEN 'rag_query' WHEN 'signup' THEN 'classification' ELSE 'generation' END AS task_type,
-  user_id, k, value*9e0 AS ttft_ms, value*60e0 AS total_latency_ms, value*4e0 AS queue_wait_ms, value AS security_overhead_ms,
-  50+k AS prompt_tokens, 20+5*k AS completion_tokens,
-  0.6e0 + 0.004e0*((event_id*7919) % 100) AS self_consistency_score, 1e0 - k/640e0 AS grounding_score,
+  user_id, k, value*9e0*CASE WHEN extract(DAY FROM ts) = 20 THEN 2e0 ELSE 1e0 END AS ttft_ms, value*60e0 AS total_latency_ms, value*4e0 AS queue_wait_ms, value AS security_overhead_ms,
+  50+k AS prompt_tokens, 20+5*k+CASE WHEN event_id % 97 = 0 THEN 9000 ELSE 0 END AS completion_tokens,
+  CASE WHEN extract(DAY FROM ts) = 15 THEN 0.5e0 ELSE 0.6e0 + 0.004e0*((event_id*7919) % 100) END AS self_consistency_score,
+  1e0 - k/640e0 - CASE WHEN extract(DAY FROM ts) = 21 THEN 0.25e0 ELSE 0e0 END AS grounding_score,
   CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status
 FROM {_EVENTS}""",
     "prompts": """
@@ -35,12 +36,15 @@ SELECT conv_id AS trace_id, turn AS seq, text,
   300 AS ttl_seconds, ((conv_id * 37) % 100) / 100e0 AS intent_confidence
 FROM @conversations@""",
     "tool_calls": f"""
-SELECT event_id AS call_id, ts, user_id AS trace_id,
+SELECT event_id AS call_id, TIMESTAMP '2024-01-01 00:00:00' + ((event_id * 7) % 21600) * INTERVAL '1' SECOND AS ts, user_id AS trace_id,
   CASE user_id % 4 WHEN 0 THEN 'INTAKE' WHEN 1 THEN 'RESEARCH' WHEN 2 THEN 'EXECUTION' ELSE 'ESCALATION' END AS agent,
   CASE k % 10 WHEN 0 THEN 'jira_create_issue' WHEN 1 THEN 'jira_update_issue' WHEN 2 THEN 'jira_search' WHEN 3 THEN 'notion_create_page'
     WHEN 4 THEN 'notion_search' WHEN 5 THEN 'slack_post_message' WHEN 6 THEN 'slack_send_dm' WHEN 7 THEN 'jira_delete' WHEN 8 THEN 'calendar_write' ELSE 'notion_update_page' END AS tool,
   CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status
 FROM {_EVENTS}""",
+    # an hour or less of requests at full load
+    "load_requests": """
+SELECT event_id AS request_id, TIMESTAMP '2024-01-01 00:00:00' + (event_id % 2400) * INTERVAL '1' SECOND AS ts FROM @events@""",
     "issues": """
 SELECT o_orderkey AS issue_id, o_orderpriority AS project, o_orderstatus AS status, o_custkey AS assignee, o_orderdate AS updated_at FROM @orders@""",
     "responses_embedded": """
@@ -65,7 +69,7 @@ SELECT event_id AS check_id, CASE k % 6 WHEN 0 THEN 'G1' WHEN 1 THEN 'G2' WHEN 2
   k % 3 AS evidence_group, k % 6 <> 4 AND event_type <> 'error' AS passed FROM {_EVENTS}""",
     "judge": f"""
 SELECT event_id AS request_id, concat('m', CAST(user_id % 3 AS STRING)) AS model_id,
-  CASE WHEN k % 17 = 0 THEN 'not json' ELSE concat('{{"factual_accuracy": ', CAST(1 + k % 5 AS STRING), ', "completeness": ', CAST(1 + (k * 3) % 5 AS STRING),
+  CASE WHEN k % 17 = 0 THEN 'not json' ELSE concat('{{"factual_accuracy": ', CAST(1 + k % 5 + CASE WHEN k % 19 = 0 THEN 5 ELSE 0 END AS STRING), ', "completeness": ', CAST(1 + (k * 3) % 5 AS STRING),
     ', "hallucination": ', CAST(1 + (k * 7) % 5 AS STRING), ', "instruction_following": ', CAST(1 + (k + 2) % 5 AS STRING), ', "notes": ""}}') END AS judge_json
 FROM {_EVENTS}""",
     "pii_labelled": """
@@ -78,11 +82,11 @@ SELECT event_id AS call_id, CASE k % 10 WHEN 0 THEN 'jira_create_issue' WHEN 1 T
   CASE WHEN k % 3 = 0 THEN '{{"query": "x"}}' ELSE '{{"query": "x", "project_key": "p", "summary": "s", "issue_type": "b", "issue_key": "i", "jql_query": "j"}}' END AS params,
   k % 8 <> 0 AS orchestrator_approval FROM {_EVENTS}""",
     "golden": """
-SELECT item_id, text AS reference_answer, substr(text, 1, 12) AS fact1, substr(text, 20, 12) AS fact2, 4 AS min_score FROM @benchmark@""",
+SELECT item_id, text AS reference_answer, split_part(text, ' ', 2) AS fact1, regexp_extract(text, '([^ ]+)[ ]*$', 1) AS fact2, 4 AS min_score FROM @benchmark@""",
     "golden_runs": """
-SELECT item_id, 'm0' AS model_id, 1 + (item_id * 3) % 5 AS score, CASE WHEN item_id % 7 = 0 THEN substr(text, 1, 15) ELSE text END AS response FROM @benchmark@
+SELECT item_id, 'm0' AS model_id, 1 + (item_id * 3) % 5 AS score, CASE WHEN item_id % 7 = 0 THEN upper(text) ELSE text END AS response FROM @benchmark@
 UNION ALL
-SELECT item_id, 'm1' AS model_id, 1 + (item_id * 3 + 1) % 5 AS score, CASE WHEN (item_id + 1) % 7 = 0 THEN substr(text, 1, 15) ELSE text END AS response FROM @benchmark@""",
+SELECT item_id, 'm1' AS model_id, 1 + (item_id * 3 + 1) % 5 AS score, CASE WHEN (item_id + 1) % 7 = 0 THEN upper(text) ELSE text END AS response FROM @benchmark@""",
     # lists are comma separated, so that the text is valid in every engine
     "scoped": """
 SELECT doc_id AS request_id, source AS session_id,

@@ -33,7 +33,7 @@ def test_decisions(spark):
 @pytest.mark.parametrize("role", dims.VALID_ROLES)
 def test_prompt_of_every_role(spark, role):
     df = spark.createDataFrame([(role, ["ds_financials"], ["search_tool"]), (role, [], [])], "role string, ds array<string>, tools array<string>")
-    j = access.with_template(access.check_roles(df, "role"), dims.dim(spark, "role_templates"), "role")
+    j = access.with_template(df, dims.dim(spark, "role_templates"), "role")
     full, empty = [r[0] for r in j.select(access.render_prompt(F.col("template"), F.col("ds"), F.col("tools"))).collect()]
     assert role in full and "{" not in full
     if role == "ANALYST":
@@ -42,9 +42,27 @@ def test_prompt_of_every_role(spark, role):
         assert "search_tool" in full and "(none)" in empty
 
 
-def test_unknown_role_raises(spark):
-    with pytest.raises(ValueError, match="Unknown role"):
-        access.check_roles(spark.createDataFrame([("HACKER",)], "role string"), "role")
+@pytest.mark.parametrize("role", ["HACKER", None])
+def test_unknown_role_raises(spark, role):
+    bad = access.with_template(spark.createDataFrame([(role,)], "role string"), dims.dim(spark, "role_templates"), "role")
+    with pytest.raises(Exception, match="Unknown role"):
+        bad.collect()
+
+
+def test_filled_in_text_is_not_filled_again(spark):
+    df = spark.createDataFrame([("a {approved_datasets} b {approved_tools}", ["{approved_tools}"], None)], "t string, d array<string>, x array<string>")
+    assert df.select(access.render_prompt(F.col("t"), F.col("d"), F.col("x"))).first()[0] == "a {approved_tools} b (none)"
+
+
+def test_unknown_is_refused(spark):
+    routes = spark.createDataFrame([("/v2/new", "SUPER_ADMIN")], "route string, role string")
+    rows = [("/v2/new", "Bearer x", None, "SUPER_ADMIN", 401), ("/v2/new", "Bearer x", True, "VIEWER", 403), ("/v2/new", "Bearer x", True, "SUPER_ADMIN", 200), (None, "Bearer x", True, "SUPER_ADMIN", 403)]
+    df = spark.createDataFrame(rows, "path string, h string, ok boolean, role string, want int")
+    out = access.decide(df, routes, "path", "h", F.col("ok"), "role").collect()
+    assert all(r["status"] == r["want"] for r in out) and len(out) == 4
+    df = spark.createDataFrame([("ANALYST", "d", None, None, None), (None, "d", ["d"], ["t"], ["t"]), ("ANALYST", "d", None, ["t"], None), ("DEVELOPER", None, None, ["t"], None)], "role string, d string, ad array<string>, calls array<string>, at array<string>")
+    got = df.select(access.outside_datasets(F.col("role"), F.col("d"), F.col("ad")), access.outside_tools(F.col("role"), F.col("calls"), F.col("at"))).collect()
+    assert [tuple(r) for r in got] == [(True, []), (False, ["t"]), (True, ["t"]), (False, ["t"])]
 
 
 def test_scopes(spark):

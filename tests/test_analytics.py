@@ -63,9 +63,8 @@ def test_sentences(spark):
 def test_low_runs_need_more_than_bound(spark):
     scores = [0.6] * 20 + [0.9] + [0.5] * 21 + [None] + [0.1]
     df = spark.createDataFrame([("m", i, i, s) for i, s in enumerate(scores)], "m string, t int, id int, s double")
-    for limit in (10**6, 0):
-        got = [(r["run_length"], r["started"], r["ended"]) for r in quality.low_runs(df, "m", "s", ["t", "id"], max_group_rows=limit).collect()]
-        assert got == [(21, 21, 41)]
+    got = [(r["run_length"], r["started"], r["ended"]) for r in quality.low_runs(df, "m", "s", ["t", "id"]).collect()]
+    assert got == [(21, 21, 41)]
 
 
 def test_low_run_stream_over_batches(spark, tmp_path):
@@ -141,12 +140,28 @@ def test_rate_limit_at_exact_bound(spark):
     assert got == [11, 11]
 
 
+def test_limits_of_other_units(spark):
+    reg = spark.createDataFrame([("t", ["A"], "2/minute"), ("u", ["A"], "3/fortnight")], "tool string, allowed_agents array<string>, rate_limit string")
+    calls = spark.createDataFrame([("A", "t", s, s) for s in range(0, 100, 10)], "agent string, tool string, s int, call_id int").withColumn("ts", F.timestamp_seconds("s"))
+    got = sorted(r["n_trailing"] for r in agents.over_rate_limit(calls, reg.where("tool = 't'")).collect())
+    assert got == [3, 4, 5, 6, 7, 7, 7, 7]
+    with pytest.raises(Exception, match="unknown rate limit unit"):
+        agents.over_rate_limit(calls, reg).collect()
+
+
+def test_agents_without_trust_are_not_trusted(spark):
+    trust = spark.createDataFrame([("A", 3, True)], "agent string, level int, can_write boolean")
+    messages = spark.createDataFrame([("x", 1, "A", "B", "execute"), ("x", 2, "new", "B", "execute")], "trace_id string, seq int, sender string, recipient string, message_type string")
+    calls = spark.createDataFrame([(1, "A", "w"), (2, "new", "w"), (3, "new", "a_search")], "call_id int, agent string, tool string")
+    assert {(r["kind"], r["item"]) for r in agents.trust_violations(messages, calls, trust).collect()} == {("message", "x:2"), ("tool", "2")}
+
+
 def test_expiry(spark):
     df = spark.createDataFrame([("t", 0, 0), ("t", 1, 300), ("t", 2, 601)], "trace_id string, seq int, s int").withColumns(
         {"created_at": F.timestamp_seconds("s"), "ttl_seconds": F.lit(300)})
-    for limit in (10**6, 0):
-        got = {(r["seq"], r["answered_late"]) for r in agents.expired(df, max_group_rows=limit).collect()}
-        assert got == {(1, True), (2, False)}
+    for as_of, want in ((902, {(1, True), (2, False)}), (901, {(1, True)}), (601, {(1, True)}), (600, set())):
+        got = {(r["seq"], r["answered_late"]) for r in agents.expired(df, F.timestamp_seconds(F.lit(as_of))).collect()}
+        assert got == want
 
 
 def test_golden_json(spark, tmp_path):
@@ -161,6 +176,8 @@ def test_golden_json(spark, tmp_path):
 
 def test_judge_parsing(spark):
     df = spark.createDataFrame([("m", '{"factual_accuracy": 4, "completeness": 2, "hallucination": 1, "instruction_following": 5, "notes": ""}'), ("m", "not json")], "m string, j string")
+    odd = [("m", '{"factual_accuracy": 99, "completeness": 2, "hallucination": 1, "instruction_following": 5}'), ("m", '{"factual_accuracy": 3}')]
+    assert quality.judge_averages(df.union(spark.createDataFrame(odd, "m string, j string")), "m", "j").first()["malformed"] == 3
     r = quality.judge_averages(df, "m", "j").first()
     assert (r["n"], r["malformed"], r["factual_accuracy"], r["completeness"]) == (2, 1, 4.0, 2.0)
     assert [x[0] for x in df.select(quality.is_json_object(F.col("j"))).collect()] == [True, False]
@@ -168,7 +185,6 @@ def test_judge_parsing(spark):
 
 def test_bundle_lists_are_whole_and_bounded(spark):
     items = spark.range(1234).select(F.lit(7).alias("trace_id"), F.lit("jira").alias("section"), F.col("id").alias("item"))
-    for limit in (10**6, 0):
-        lists = agents.bundle_lists(items, per_list=500, max_group_rows=limit).orderBy("part").collect()
-        assert [len(r["items"]) for r in lists] == [500, 500, 234]
-        assert sum((r["items"] for r in lists), []) == list(range(1234))
+    lists = agents.bundle_lists(items, per_list=500).orderBy("part").collect()
+    assert [len(r["items"]) for r in lists] == [500, 500, 234]
+    assert sum((r["items"] for r in lists), []) == list(range(1234))

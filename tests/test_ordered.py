@@ -1,11 +1,11 @@
-"""Hot groups: the chunked paths must equal the plain ones and brute force."""
+"""Hot groups against brute force."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from custodia.operators import percentiles
+from custodia.operators import latency, percentiles
 from custodia.operators.ordered import ordered_window, trailing_count
 from custodia.operators.percentiles import exact_percentiles
 
@@ -20,13 +20,12 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_running_lag_lead(spark, rows, limit):
+def test_running_lag_lead(spark, rows):
     df = spark.createDataFrame(rows, "k string, t int, id int, x int")
     got = ordered_window(
         df, ["k"], ["t", "id"],
         running={"s": ("sum", F.col("x")), "m": ("max", F.col("x"))},
-        lag={"p": F.col("x")}, lead={"q": F.col("x")}, max_group_rows=limit,
+        lag={"p": F.col("x")}, lead={"q": F.col("x")},
     )
     want = {}
     by_key = {}
@@ -49,10 +48,9 @@ def test_global_order(spark, rows):
     assert {(r["t"], r["id"]): r["n"] for r in got.collect()} == {o: i + 1 for i, o in enumerate(order)}
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_trailing_count(spark, rows, limit):
+def test_trailing_count(spark, rows):
     df = spark.createDataFrame(rows, "k string, t int, id int, x int").select("k", F.timestamp_seconds("t").alias("ts"))
-    got = trailing_count(df, ["k"], "ts", "60 SECONDS", max_group_rows=limit)
+    got = trailing_count(df, ["k"], "ts", "60 SECONDS")
     got = {(r["k"], int(r["ts"].timestamp())): (r["n"], r["n_trailing"]) for r in got.collect()}
     base = min(t for _, t in got) - min(r[1] for r in rows)
     want = {
@@ -70,8 +68,6 @@ def test_percentiles(spark, rows, how, keys, monkeypatch):
     df = spark.createDataFrame([(r[0], float(r[1]) / 7) for r in rows], "k string, v double")
     probs = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99}
     plain = exact_percentiles(df, keys, "v", probs, how).collect()
-    split = exact_percentiles(df, keys, "v", probs, how, max_group_rows=0).collect()
-    assert sorted(map(tuple, plain)) == sorted(map(tuple, split))
     groups = {}
     for r in rows:
         groups.setdefault((r[0],) if keys else (), []).append(r[1] / 7)
@@ -90,3 +86,24 @@ def test_percentiles(spark, rows, how, keys, monkeypatch):
 def test_index_percentile_rejects_one(spark):
     with pytest.raises(ValueError):
         exact_percentiles(spark.range(3).selectExpr("cast(id as double) v"), [], "v", {"p": 1.0}, "index")
+
+
+def test_percentiles_of_null_keys(spark, monkeypatch):
+    monkeypatch.setattr(percentiles, "SKETCH_ACCURACY", 100)
+    rows = [("a", float(i)) for i in range(10)] + [(None, float(i)) for i in range(5)] + [("hot", float(i % 977)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: (r["n"], r["p50"]) for r in exact_percentiles(df, ["k"], "v", {"p50": 0.5}).collect()}
+    assert got == {"a": (10, 4.5), None: (5, 2.0), "hot": (20_000, 476.5)}
+    summary = {r["k"]: (r["n"], r["median"], r["mean"]) for r in latency.summary(df, "v", ["k"]).collect()}
+    assert summary[None] == (5, 2.0, 2.0) and len(summary) == 3
+
+
+def test_null_keys_and_one_key_with_almost_all_rows(spark):
+    rows = [("hot" if i % 100 else None, i) for i in range(5000)]
+    got = ordered_window(spark.createDataFrame(rows, "k string, t int"), ["k"], ["t"], running={"n": ("sum", F.lit(1))}, lag={"p": F.col("t")})
+    seen, want = {}, {}
+    for k, t in rows:
+        n, p = seen.get(k, (0, None))
+        want[t] = (n + 1, p)
+        seen[k] = (n + 1, t)
+    assert {r["t"]: (r["n"], r["p"]) for r in got.collect()} == want
