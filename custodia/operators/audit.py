@@ -57,11 +57,32 @@ def check_reader(caller_role: str) -> None:
         raise PermissionError(f"audit reads need one of {dims.AUDIT_READ_ROLES}, caller has {caller_role!r}")
 
 
-def page(log: DataFrame, caller_role: str, order: list[str], limit: int = 100, offset: int = 0) -> DataFrame:
-    """Newest-first page (the feature, not a cap); a negative limit reads to the end."""
+SORTED_PAGE = 10_000
+
+
+def page(log: DataFrame, caller_role: str, order: list[str], limit: int = 100, offset: int = 0, after: tuple | None = None) -> DataFrame:
+    """Newest-first page (the feature, not a cap); a negative limit reads to the end.
+
+    ``after`` holds the ``order`` values of the last row seen: the page goes on behind it, and a deep page costs no more than
+    the first one. A page that ends within ``SORTED_PAGE`` rows is a top-k; any other is cut by row numbers that are
+    counted in parallel, so no task sorts what is skipped.
+    """
     check_reader(caller_role)
-    rows = log.orderBy(*[F.col(c).desc() for c in order]).offset(offset)
-    return rows if limit < 0 else rows.limit(limit)
+    newest = [F.col(c).desc() for c in order]
+    rows = log
+    if after is not None:
+        key = F.struct(*order)
+        rows = rows.where(key < F.struct(*[F.lit(v).cast(log.schema[c].dataType).alias(c) for c, v in zip(order, after)]))
+    if 0 <= limit and limit + offset <= SORTED_PAGE:
+        top = rows.orderBy(*newest)
+        return (top.offset(offset) if offset else top).limit(limit)
+    if limit < 0 and not offset:
+        return rows.orderBy(*newest)
+    # the oldest row has number 1
+    total = F.broadcast(rows.agg(F.count("*").alias("__all")))  # one row
+    numbered = with_sequence(rows, order).crossJoin(total).withColumn("__n", F.col("__all") - F.col("id"))
+    wanted = (F.col("__n") >= offset) & ((F.col("__n") < offset + limit) if limit >= 0 else F.lit(True))
+    return numbered.where(wanted).orderBy(*newest).select(*log.columns)
 
 
 def readers_only(callers: DataFrame, role: str) -> DataFrame:
@@ -100,7 +121,10 @@ def visible_to(log: DataFrame, access: str, user_id: str | None = None, team: st
 
 
 def retained(log: DataFrame, as_of: str, years: int = 2, ts: str = "ts") -> DataFrame:
-    return log.where(F.col(ts) >= F.expr(f"TIMESTAMP '{as_of}' - INTERVAL {int(years)} YEARS"))
+    """Rows younger than the retention time. A log partitioned by ``dt`` is pruned by it."""
+    start = F.expr(f"TIMESTAMP '{as_of}' - INTERVAL {int(years)} YEARS")
+    kept = log.where(F.col(ts) >= start)
+    return kept.where(F.col("dt") >= F.to_date(start)) if "dt" in log.columns else kept
 
 
 def completeness(completions: DataFrame, log: DataFrame, event_id: str = "event_id") -> DataFrame:

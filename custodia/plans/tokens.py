@@ -157,3 +157,30 @@ def response_project(inp: Inputs):
         F.array_join("unresolved", ",").alias("unresolved_pii_tokens"),
         F.array_join(tokens.compliance_flags(F.col("unresolved")), ",").alias("compliance_flags"),
     )
+
+
+# a store that keeps two of the eight digits, so that tokens collide
+fragment("short_puts", "SELECT concat(substr(token, 1, 13), '000000>') AS token, value FROM #token_map# m")
+
+
+@query("token_collisions", "SELECT token, count(DISTINCT value) AS n_values FROM #short_puts# p GROUP BY token HAVING count(DISTINCT value) > 1")
+def token_collisions(inp: Inputs):
+    found = redaction.detect(inp.prompts(), "prompt", "request_id")
+    puts = tokens.puts_of(entities_of(found), "session_id", "created_at")
+    return tokens.collisions(puts.withColumn("token", F.concat(F.substring("token", 1, 13), F.lit("000000>"))))
+
+
+# every token is put a second time a day later with another value; readers without a time see the later one
+fragment("reissued", f"""SELECT request_id, user_role, n, CASE WHEN {_ADMIN} THEN string_split_regex(response, '<PII_TOKEN_[0-9A-F]{{8}}>') END AS gaps,
+  regexp_extract_all(response, '<PII_TOKEN_[0-9A-F]{{8}}>') AS t, response FROM #responses# r""")
+
+
+@query("detokenize_reissued", """SELECT request_id, user_role, CASE WHEN gaps IS NULL THEN response ELSE
+  array_to_string(list_transform(range(1, len(gaps) + 1), lambda i: concat(gaps[i], CASE WHEN i > len(t) THEN '' WHEN t[i] = '<PII_TOKEN_DEADBEEF>' THEN t[i] ELSE concat('again ', t[i]) END)), '') END AS restored FROM #reissued# r""")
+def detokenize_reissued(inp: Inputs):
+    stored = redacted(inp)
+    first = map_of(stored)
+    day = F.expr("INTERVAL 1 DAY")
+    again = first.withColumns({"value": F.concat(F.lit("again "), "token"), "created_at": F.col("created_at") + day, "expires_at": F.col("expires_at") + day})
+    out = tokens.detokenize(responses_of(stored), first.unionByName(again), "request_id", "response", "user_role")
+    return out.select("request_id", "user_role", "restored")

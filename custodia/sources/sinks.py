@@ -27,6 +27,10 @@ def append_tokens(puts: DataFrame, path: str, same_session: bool = False) -> Non
     """Append token records, write-once while alive; partitioned by day of creation."""
     spark = puts.sparkSession
     existing = table_or_none(spark, path, schemas.TOKEN_MAP + ", dt DATE")
+    if existing is not None:
+        # only days that can hold a record which is alive at the first put
+        first = puts.agg(F.min(F.col("created_at") - (F.col("expires_at") - F.col("created_at")))).first()[0]
+        existing = existing.where(F.col("dt") >= F.to_date(F.lit(first))) if first is not None else existing
     new = tokens.write_once(existing, puts, same_session)
     append_by_day(pinned(new).withColumn("dt", F.to_date("created_at")), path)
 

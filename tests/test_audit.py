@@ -39,6 +39,11 @@ def test_page_and_sequence(spark):
     page = [r["event_id"] for r in audit.page(df, "PLATFORM_ADMIN", ["ts", "event_id"], limit=3, offset=2).collect()]
     assert page == ["e22", "e21", "e20"]
     assert audit.page(df, "PLATFORM_ADMIN", ["ts"], limit=-1, offset=20).count() == 5
+    every = [r["event_id"] for r in audit.page(df, "PLATFORM_ADMIN", ["ts", "event_id"], limit=-1).collect()]
+    assert [r["event_id"] for r in audit.page(df, "PLATFORM_ADMIN", ["ts", "event_id"], limit=-1, offset=20).collect()] == every[20:]
+    assert [r["event_id"] for r in audit.page(df, "PLATFORM_ADMIN", ["ts", "event_id"], limit=20_000, offset=22).collect()] == every[22:]
+    last = audit.page(df, "PLATFORM_ADMIN", ["ts", "event_id"], limit=3).collect()[-1]
+    assert [r["event_id"] for r in audit.page(df, "PLATFORM_ADMIN", ["ts", "event_id"], limit=4, after=(last["ts"], last["event_id"])).collect()] == every[3:7]
 
 
 def test_defaults(spark):
@@ -113,3 +118,11 @@ def test_token_stream_step(spark, tmp_path):
     step(puts([("t", "late", 3599), ("t", "again", 3600), ("u", "x", 3000)]), 1)
     got = sorted(r["value"] for r in spark.read.parquet(f"{tmp_path}/map").collect())
     assert got == ["a", "again", "x"]
+
+
+def test_retention_prunes_days(spark, tmp_path):
+    rows = spark.range(4000).select(F.col("id").alias("event_id"), (F.expr("TIMESTAMP '2015-01-01 00:00:00'") + F.make_dt_interval(days=F.col("id").cast("int"))).alias("ts"))
+    rows.withColumn("dt", F.trunc("ts", "year")).write.partitionBy("dt").parquet(str(tmp_path / "log"))
+    kept = audit.retained(spark.read.parquet(str(tmp_path / "log")), "2025-01-01 00:00:00")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and kept.count() == rows.where("ts >= TIMESTAMP '2023-01-01 00:00:00'").count()
