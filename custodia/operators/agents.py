@@ -195,8 +195,16 @@ def bundle_items(sections: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def iso_timestamp(at: Column) -> Column:
+    """A time as ISO-8601 text in UTC seconds."""
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def bundle_headers(traces: DataFrame, items: DataFrame, sections: list[str]) -> DataFrame:
-    """Per chain: result counts, missing sections and the share of sections that found something."""
+    """Per chain: result counts, missing sections and the share of sections that found something.
+
+    Other columns of ``traces``, such as the time of retrieval, are kept.
+    """
     counts = items.groupBy("trace_id").agg(*[F.count_if(F.col("section") == s).alias(f"n_{s}") for s in sections])
     j = traces.join(counts, "trace_id", "left").na.fill(0, [f"n_{s}" for s in sections])
     gaps = F.array_compact(F.array(*[F.when(F.col(f"n_{s}") == 0, F.lit(s)) for s in sections]))
@@ -214,9 +222,11 @@ def incomplete(headers: DataFrame, bound: float = dims.CONTEXT_CONFIDENCE_MIN) -
     return headers.where((F.col("confidence") < bound) | (F.size("gaps") > 0))
 
 
-def escalation_packages(messages: DataFrame, calls: DataFrame, registry: DataFrame) -> DataFrame:
+def escalation_packages(messages: DataFrame, calls: DataFrame, registry: DataFrame, bundles: DataFrame, actions: DataFrame) -> DataFrame:
     """What a human needs to take over an escalated chain.
 
+    ``bundles`` has gaps and confidence per chain, ``actions`` what each chain's triggers (a fixed set) ask for.
+
     The attempted tools are distinct registered ones, so the list is no longer than the registry.
     """
     per = messages.groupBy("trace_id").agg(
@@ -226,10 +236,15 @@ def escalation_packages(messages: DataFrame, calls: DataFrame, registry: DataFra
     used = registered_calls(calls, registry).groupBy("trace_id", "tool").agg(F.min(F.struct("ts", "call_id")).alias("first"))
     tools = used.groupBy("trace_id").agg(F.array_sort(F.collect_list(F.struct("first", "tool"))).alias("t"))
     urgency = F.when(F.col("confidence") < 0.3, "HIGH").when(F.col("confidence") < dims.INTENT_CONFIDENCE_MIN, "MEDIUM").otherwise("LOW")
-    return per.join(tools, "trace_id", "left").select(
-        "trace_id", "original_request",
+    bundle = bundles.select("trace_id", F.struct(F.col("gaps"), F.col("confidence")).alias("context_bundle"))
+    options = actions.groupBy("trace_id").agg(F.array_sort(F.collect_set("action")).alias("options"))
+    understood = extract_intent(F.col("original_request"))["intent"]
+    j = per.join(tools, "trace_id", "left").join(bundle, "trace_id", "left").join(options, "trace_id", "left")
+    return j.select(
+        "trace_id", "original_request", understood.alias("what_was_understood"),
         F.coalesce(F.transform("t", lambda x: x["tool"]), F.expr("cast(array() as array<string>)")).alias("what_was_attempted"),
         F.format_string("Intent confidence %.2f, %d escalation messages", "confidence", "n_escalations").alias("why_escalating"),
+        F.coalesce("options", F.expr("cast(array() as array<string>)")).alias("suggested_actions"), "context_bundle",
         F.concat(F.lit("conv_"), F.col("trace_id")).alias("requester"), urgency.alias("urgency"),
     )
 

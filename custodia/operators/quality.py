@@ -91,6 +91,15 @@ def is_json_object(text: Column) -> Column:
     return F.try_parse_json(text).isNotNull() & F.startswith(F.ltrim(text), F.lit("{"))
 
 
+def is_json(text: Column, required: list[str] | None = None) -> Column:
+    """An object or a list; with ``required`` an object that holds these fields."""
+    ok = F.try_parse_json(text).isNotNull() & F.ltrim(text).rlike(r"^[\[{]")
+    if required:
+        keys = F.coalesce(F.json_object_keys(text), F.expr("cast(array() as array<string>)"))
+        ok = ok & (F.size(F.array_except(F.array(*[F.lit(r) for r in required]), keys)) == 0)
+    return F.coalesce(ok, F.lit(False))
+
+
 def is_markdown(text: Column) -> Column:
     """Any heading, list, emphasis or fenced block."""
     return text.rlike(r"(?m)^(#{1,6} |[-*] |\d+\. |```)|\*\*[^*]+\*\*")

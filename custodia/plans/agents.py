@@ -171,8 +171,8 @@ def review_sample(inp: Inputs):
 fragment("bundle_items", """SELECT issue_id % 100 AS trace_id, 'jira' AS section, issue_id AS item FROM #issues# i WHERE updated_at >= TIMESTAMP '2001-07-25 00:00:00' AND status = 'O'
 UNION ALL SELECT page_id % 100, 'notion', page_id FROM pages WHERE contains(url, '/de/') UNION ALL SELECT trace_id % 100, 'slack', trace_id * 1000 + seq FROM #messages# m WHERE sender = 'ESCALATION'
 UNION ALL SELECT event_id % 100, 'calendar', event_id FROM events WHERE event_type = 'purchase' AND value > 150""")
-fragment("bundles", """SELECT t.trace_id, count(*) FILTER (section = 'jira') AS n_jira, count(*) FILTER (section = 'notion') AS n_notion, count(*) FILTER (section = 'slack') AS n_slack, count(*) FILTER (section = 'calendar') AS n_calendar
-FROM (SELECT DISTINCT conv_id AS trace_id FROM conversations) t LEFT JOIN #bundle_items# i USING (trace_id) GROUP BY t.trace_id""")
+fragment("bundles", """SELECT t.trace_id, count(*) FILTER (section = 'jira') AS n_jira, count(*) FILTER (section = 'notion') AS n_notion, count(*) FILTER (section = 'slack') AS n_slack, count(*) FILTER (section = 'calendar') AS n_calendar, any_value(retrieved_at) AS retrieved_at
+FROM (SELECT trace_id, concat(replace(CAST(max(created_at) AS VARCHAR), ' ', 'T'), 'Z') AS retrieved_at FROM #messages# a GROUP BY trace_id) t LEFT JOIN #bundle_items# i USING (trace_id) GROUP BY t.trace_id""")
 _GAPS = "concat_ws(',', CASE WHEN n_jira = 0 THEN 'jira' END, CASE WHEN n_notion = 0 THEN 'notion' END, CASE WHEN n_slack = 0 THEN 'slack' END, CASE WHEN n_calendar = 0 THEN 'calendar' END)"
 _CONF = "((CASE WHEN n_jira > 0 THEN 1 ELSE 0 END) + (CASE WHEN n_notion > 0 THEN 1 ELSE 0 END) + (CASE WHEN n_slack > 0 THEN 1 ELSE 0 END) + (CASE WHEN n_calendar > 0 THEN 1 ELSE 0 END)) / 4e0"
 
@@ -187,11 +187,11 @@ def bundle_items(inp: Inputs):
 
 
 def bundles(inp: Inputs):
-    known = inp.table("conversations").select(F.col("conv_id").alias("trace_id")).distinct()
+    known = messages(inp).groupBy("trace_id").agg(agents.iso_timestamp(F.max("created_at")).alias("retrieved_at"))
     return agents.bundle_headers(known, bundle_items(inp), SECTIONS)
 
 
-@query("context_bundle", f"SELECT trace_id, n_jira, n_notion, n_slack, n_calendar, {_GAPS} AS gaps, {_CONF} AS confidence FROM #bundles# b")
+@query("context_bundle", f"SELECT trace_id, n_jira, n_notion, n_slack, n_calendar, {_GAPS} AS gaps, {_CONF} AS confidence, retrieved_at FROM #bundles# b")
 def context_bundle(inp: Inputs):
     return bundles(inp).withColumn("gaps", F.array_join("gaps", ","))
 
@@ -210,14 +210,18 @@ def context_completeness(inp: Inputs):
 
 # --- escalation --------------------------------------------------------------
 fragment("packages", """SELECT m.trace_id, m.original_request, coalesce(t.tools, []) AS what_was_attempted, printf('Intent confidence %.2f, %d escalation messages', m.confidence, m.n) AS why_escalating,
+  coalesce(o.options, []) AS suggested_actions, b.context_bundle, u.intent AS what_was_understood,
   concat('conv_', m.trace_id) AS requester, CASE WHEN m.confidence < 0.3 THEN 'HIGH' WHEN m.confidence < 0.6 THEN 'MEDIUM' ELSE 'LOW' END AS urgency
 FROM (SELECT trace_id, min_by(text, seq) AS original_request, count(*) FILTER (message_type = 'escalate') AS n, min(intent_confidence) AS confidence FROM #messages# a GROUP BY trace_id HAVING count(*) FILTER (message_type = 'escalate') > 0) m
-LEFT JOIN (SELECT trace_id, list(tool ORDER BY f, c) AS tools FROM (SELECT trace_id, tool, min(ts) AS f, min_by(call_id, ts) AS c FROM #tool_calls# b WHERE tool IN (SELECT tool FROM %tool_registry%) GROUP BY 1, 2) d GROUP BY trace_id) t USING (trace_id)""")
+LEFT JOIN (SELECT trace_id, list(tool ORDER BY f, c) AS tools FROM (SELECT trace_id, tool, min(ts) AS f, min_by(call_id, ts) AS c FROM #tool_calls# b WHERE tool IN (SELECT tool FROM %tool_registry%) GROUP BY 1, 2) d GROUP BY trace_id) t USING (trace_id)
+LEFT JOIN (SELECT trace_id, {'gaps': list_filter(string_split(""" + _GAPS + """, ','), lambda g: g <> ''), 'confidence': """ + _CONF + """} AS context_bundle FROM #bundles# e) b USING (trace_id)
+LEFT JOIN (SELECT trace_id, list(DISTINCT action ORDER BY action) AS options FROM #q_escalation_union# f GROUP BY trace_id) o USING (trace_id)
+LEFT JOIN #q_intent_extract# u USING (trace_id)""")
 
 
-@query("escalation_package", "SELECT trace_id, CAST(to_json({'trace_id': trace_id, 'original_request': original_request, 'what_was_attempted': what_was_attempted, 'why_escalating': why_escalating, 'requester': requester, 'urgency': urgency}) AS VARCHAR) AS package FROM #packages# p")
+@query("escalation_package", "SELECT trace_id, CAST(to_json({'trace_id': trace_id, 'original_request': original_request, 'what_was_understood': what_was_understood, 'what_was_attempted': what_was_attempted, 'why_escalating': why_escalating, 'suggested_actions': suggested_actions, 'context_bundle': context_bundle, 'requester': requester, 'urgency': urgency}) AS VARCHAR) AS package FROM #packages# p")
 def escalation_package(inp: Inputs):
-    p = agents.escalation_packages(messages(inp), calls(inp), inp.dim("tool_registry"))
+    p = agents.escalation_packages(messages(inp), calls(inp), inp.dim("tool_registry"), bundles(inp), escalation_union(inp))
     return p.select("trace_id", F.to_json(F.struct(*p.columns)).alias("package"))
 
 

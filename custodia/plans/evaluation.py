@@ -303,10 +303,24 @@ def judge_scores(inp: Inputs):
     return j.select("model_id", "n", "malformed", *[r6(d, d) for d in quality.JUDGE_DIMENSIONS])
 
 
-@query("format_compliance", """SELECT model_id, count(*) AS n, CAST(sum(CASE WHEN json_valid(judge_json) THEN 1 ELSE 0 END) AS BIGINT) AS valid, round(avg(CASE WHEN json_valid(judge_json) THEN 1 ELSE 0 END), 6) AS share FROM #judge# j GROUP BY model_id""")
+# answers in the three forms that are asked for: an object with the rubric's fields, a list, a text with markdown
+fragment("answers", """SELECT model_id, request_id % 3 AS kind, CASE request_id % 3 WHEN 0 THEN judge_json WHEN 1 THEN CASE WHEN request_id % 5 = 0 THEN judge_json ELSE concat('[', judge_json, ']') END
+  ELSE CASE WHEN request_id % 4 = 0 THEN judge_json ELSE concat('## Result', chr(10), '- ', judge_json) END END AS answer FROM #judge# j""")
+_FIELDS = "(" + " AND ".join(f"coalesce(list_contains(json_keys(CASE WHEN json_valid(answer) THEN answer END), '{d}'), FALSE)" for d in quality.JUDGE_DIMENSIONS) + ")"
+_FORM_OK = f"CASE kind WHEN 0 THEN json_valid(answer) AND {_FIELDS} WHEN 1 THEN json_valid(answer) AND regexp_matches(answer, '^\\s*[\\[{{]') ELSE regexp_matches(answer, '(?m)^(#{{1,6}} |[-*] )') END"
+
+
+@query("format_compliance", f"""SELECT model_id, CASE kind WHEN 0 THEN 'schema' WHEN 1 THEN 'json' ELSE 'markdown' END AS form, count(*) AS n, CAST(sum(CASE WHEN {_FORM_OK} THEN 1 ELSE 0 END) AS BIGINT) AS valid,
+  round(avg(CASE WHEN {_FORM_OK} THEN 1 ELSE 0 END), 6) AS share FROM #answers# a GROUP BY model_id, kind""")
 def format_compliance(inp: Inputs):
-    ok = quality.is_json_object(F.col("judge_json"))
-    return inp.view("judge").groupBy("model_id").agg(F.count("*").alias("n"), F.count_if(ok).alias("valid"), r6(F.avg(ok.cast("int")), "share"))
+    j, rid = F.col("judge_json"), F.col("request_id")
+    listed = F.when(rid % 5 == 0, j).otherwise(F.concat(F.lit("["), j, F.lit("]")))
+    marked = F.when(rid % 4 == 0, j).otherwise(F.concat(F.lit("## Result\n- "), j))
+    answers = inp.view("judge").select("model_id", (rid % 3).alias("kind"), F.when(rid % 3 == 0, j).when(rid % 3 == 1, listed).otherwise(marked).alias("answer"))
+    a, kind = F.col("answer"), F.col("kind")
+    ok = F.when(kind == 0, quality.is_json(a, quality.JUDGE_DIMENSIONS)).when(kind == 1, quality.is_json(a)).otherwise(quality.is_markdown(a))
+    form = F.when(kind == 0, "schema").when(kind == 1, "json").otherwise("markdown")
+    return answers.groupBy("model_id", form.alias("form")).agg(F.count("*").alias("n"), F.count_if(ok).alias("valid"), r6(F.avg(ok.cast("int")), "share"))
 
 
 @query("slo_burn_rate", """SELECT CAST(CAST(day AS TIMESTAMP) AS VARCHAR) AS day, slo, CAST(sum(bad) AS BIGINT) AS bad, count(*) AS total, round(sum(bad) / count(*) / 0.05e0, 6) AS burn, round(1 - sum(bad) / count(*) / 0.05e0, 6) AS remaining FROM (

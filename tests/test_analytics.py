@@ -180,6 +180,7 @@ def test_judge_parsing(spark):
     assert quality.judge_averages(df.union(spark.createDataFrame(odd, "m string, j string")), "m", "j").first()["malformed"] == 3
     r = quality.judge_averages(df, "m", "j").first()
     assert (r["n"], r["malformed"], r["factual_accuracy"], r["completeness"]) == (2, 1, 4.0, 2.0)
+    assert df.select(quality.is_json(F.col("j"), ["completeness"]), quality.is_json(F.col("j"), ["other"])).collect() == [(True, False), (False, False)]
     assert [x[0] for x in df.select(quality.is_json_object(F.col("j"))).collect()] == [True, False]
 
 
