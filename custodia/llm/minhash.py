@@ -4,12 +4,13 @@
    (a*x + b mod 2^64), folded into 32 band keys of four minima, and one byte of each minimum as signature.
    Two sets with similarity 0.8 share no band with probability 5e-8.
 2. Documents with the same set are one node, the smallest id; copies never meet each other.
-3. Every bucket of a band offers its smallest node as partner of all others (linear in the bucket). Each
+3. Every bucket of a band offers one node as partner of all others (linear in the bucket): the one whose buckets hold
+   most nodes in all, which is the common original where copies differ from one text. Each
    node is compared with the partner it shares most bands with, on full sets.
-4. Connected components of these links. A bucket whose nodes are in one component is settled. In the
-   others, pairs from different components are compared by signature, in blocks, and those
-   within five standard deviations of the threshold are again confirmed on full sets. So no bucket
-   is capped, no link between different texts is given up, and groups of near copies cost a linear number of comparisons.
+   Signatures that agree too seldom (five standard deviations below the threshold) spare the comparison.
+4. Connected components of these links. A bucket whose nodes are in one component is settled. The nodes of all
+   other buckets are compared with one another across components, in blocks, by signature and on full sets (``rest_links``). So no
+   bucket is capped, no link between different texts is given up, and only links leave a block.
 5. Components of all links, mapped back to every document.
 
 Results for odd input: null, empty and word-less texts have no shingles and are linked with nothing; texts with
@@ -37,8 +38,8 @@ _A = _RNG.integers(0, 2**64, HASHES, np.uint64, endpoint=False) | np.uint64(1)
 _B = _RNG.integers(0, 2**64, HASHES, np.uint64, endpoint=False)
 #: Shingles hashed at a time; bounds the work matrix.
 CHUNK = 1024
-#: Nodes of a bucket compared at a time.
-BLOCK = 128
+#: Nodes of a block; two blocks meet at a time.
+BLOCK = 400
 #: Members verified against one copy of their partner's text; larger groups are salted.
 SALT_ROWS = 2000
 
@@ -134,58 +135,83 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return map_arrow(dealt, run, f"u {id_type}, v {id_type}")
 
 
-def cross_pairs(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of one bucket but different components whose signatures may be similar enough.
-
-    The nodes of a bucket's largest component stand on the left, in blocks; all others meet each of those
-    blocks and one another. Only pairs that pass the signature test leave a block.
-    """
+def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose signatures agree as often as a similar pair's do, up to five standard deviations."""
     t = percent / 100
     least = int(np.floor(HASHES * (t - 5 * np.sqrt(t * (1 - t) / HASHES))))
     id_type = nodes.schema["id"].dataType.simpleString()
+    of = {x: nodes.select(F.col("id").alias(x), F.col("signature").alias(f"sign_{x}")) for x in "ab"}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, HASHES) for i in (2, 3))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
+
+    signed = pairs.join(of["a"], "a").join(of["b"], "b").select("a", "b", "sign_a", "sign_b")
+    return map_arrow(signed, run, f"a {id_type}, b {id_type}")
+
+
+def _links_in_block(rows: list[tuple], n: int, percent: int, least: int, cache: Cache) -> list[tuple]:
+    """Links between components among the rows (id, component, side, text) of one cell, as few as join them."""
+    sets = [shingles(r[3], cache, n) for r in rows]
+    signs = np.stack([(mixed(minima(x)) >> np.uint64(56)).astype(np.uint8) for x in sets])
+    sizes, side = np.array([len(x) for x in sets]), np.array([r[2] for r in rows])
+    names = {c: k for k, c in enumerate(dict.fromkeys(r[1] for r in rows))}
+    group = np.array([names[r[1]] for r in rows])  # merged as links are found
+    out = []
+    for i in np.flatnonzero(side == 0):
+        later = np.arange(len(rows)) > i if side.max() == 0 else side == 1
+        able = later & (group != group[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
+        others = np.flatnonzero(able)
+        for j in others[(signs[others] == signs[i]).sum(axis=1) >= least]:
+            if group[j] != group[i] and similar(sets[i], sets[j], percent):
+                out.append((rows[i][0], rows[j][0]))
+                group[group == group[j]] = group[i]
+    return out
+
+
+def rest_links(buckets: DataFrame, labels: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(u, v): the links between components among nodes of buckets that hold several components.
+
+    Buckets that have nodes in common form a family. A family is cut into blocks, and every two blocks of it meet in one
+    cell with their texts; there, signatures and then full sets are compared, and only links come out, at most one
+    less than the cell's nodes. A family's size never makes rows of pairs nor a large task.
+    """
     tagged = buckets.join(labels, buckets.id == labels.node, "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
-    counts = tagged.groupBy("band", "key", "component").count()
-    open_ = counts.groupBy("band", "key").agg(
-        F.max_by("component", F.struct("count", "component")).alias("main"),
-        F.ceil(F.max("count") / BLOCK).cast("int").alias("left_blocks"),
-        F.ceil((F.sum("count") - F.max("count")) / BLOCK).cast("int").alias("right_blocks"),
-        F.count("*").alias("n"),
-    ).where("n > 1").drop("n")
-    rows = tagged.join(open_, ["band", "key"]).join(nodes.select("id", "signature"), "id")
-    left = F.col("component") == F.col("main")
-    own = F.when(left, F.pmod(F.xxhash64("id"), F.col("left_blocks"))).otherwise(F.pmod(F.xxhash64("id"), F.col("right_blocks"))).cast("int")
-    rows = rows.withColumn("own", own)
-    # a left node stands in its block with every right block; a right node in all left blocks and with each right block
-    left_cells = F.transform(F.sequence(F.lit(0), F.col("right_blocks") - 1), lambda r: F.struct(F.col("own").alias("x"), r.alias("y"), F.lit(0).alias("side")))
-    from_left = F.transform(F.sequence(F.lit(0), F.col("left_blocks") - 1), lambda l: F.struct(l.alias("x"), F.col("own").alias("y"), F.lit(1).alias("side")))
-    among = F.transform(
-        F.sequence(F.lit(0), F.col("right_blocks") - 1),
-        lambda r: F.struct((-1 - F.least(r, F.col("own"))).alias("x"), F.greatest(r, F.col("own")).alias("y"), F.when(r < F.col("own"), 1).otherwise(0).alias("side")),
-    )
-    cells = rows.select("band", "key", "id", "component", "signature", F.inline(F.when(left, left_cells).otherwise(F.concat(from_left, among))))
-    blocks = cells.groupBy("band", "key", "x", "y").agg(F.collect_list(F.struct("id", "component", "side", "signature")).alias("members")).where(F.size("members") > 1)
+    open_ = tagged.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("first")).where("low <> high").drop("low", "high")
+    contested = stored(tagged.join(open_, ["band", "key"]).select("first", "id", "component"), "contested")
+    families = components(contested, "first", "id").select(F.col("node").alias("id"), F.col("component").alias("family"))
+    blocks = F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+    sizes = families.groupBy("family").agg(blocks)
+    members = contested.select("id", "component").distinct().join(families, "id").join(sizes, "family")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    cell = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda r: F.struct(F.least(r, F.col("own")).alias("x"), F.greatest(r, F.col("own")).alias("y"), (r < F.col("own")).cast("int").alias("side")))
+    cells = members.withColumn("own", own).select("family", "id", "component", F.inline(cell))
+    id_type = texts.schema["id"].dataType.simpleString()
+    order = ["family", "x", "y", "side", "id"]
+    dealt = cells.join(texts, "id").select(*order, "component", "text").repartition("family", "x", "y").sortWithinPartitions(*order)
+    t = percent / 100
+    least = int(np.floor(HASHES * (t - 5 * np.sqrt(t * (1 - t) / HASHES))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, key, held, kind = hash_cache(), None, [], None
+
+        def links() -> pa.RecordBatch:
+            found = _links_in_block(held, n, percent, least, cache) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], kind), pa.array([b for _, b in found], kind)], ["u", "v"])
+
         for batch in batches:
-            out_a, out_b = [], []
-            for x, y, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                flat = members.values
-                ids, comp = flat.field("id").to_pylist(), np.array(flat.field("component").to_pylist())
-                side = flat.field("side").to_numpy()
-                sign = np.frombuffer(b"".join(flat.field("signature").to_pylist()), np.uint8).reshape(len(ids), HASHES)
-                inside = x < 0 and -1 - x == y
-                first = np.arange(len(ids)) if inside else np.flatnonzero(side == 0)
-                second = first if inside else np.flatnonzero(side == 1)
-                for i in first:
-                    near = second[((sign[second] == sign[i]).sum(axis=1) >= least) & (comp[second] != comp[i])]
-                    for j in near:
-                        a, b = sorted((ids[i], ids[j]))
-                        out_a.append(a)
-                        out_b.append(b)
-            kind = batch.schema.field("members").type.value_type.field("id").type
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, kind), pa.array(out_b, kind)], ["a", "b"])
-
-    return map_arrow(blocks.select("x", "y", "members"), run, f"a {id_type}, b {id_type}").distinct()
+            kind = batch.schema.field(4).type
+            for family, x, y, side, node, component, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != (family, x, y):
+                    if held:
+                        yield links()
+                    key, held = (family, x, y), []
+                held.append((node, component, side, text))
+        if held:
+            yield links()
+
+    return map_arrow(dealt, run, f"u {id_type}, v {id_type}")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -198,20 +224,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = known.groupBy("set_key").agg(F.min(F.struct("id", "bands", "signature")).alias("s")).select("set_key", "s.id", "s.bands", "s.signature")
     nodes = stored(nodes, "nodes")
     in_bands = nodes.select("id", F.posexplode("bands").alias("band", "key"))
-    leaders = in_bands.groupBy("band", "key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-    buckets = stored(in_bands.join(leaders, ["band", "key"]), "buckets")
+    sizes = in_bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(in_bands.join(sizes, ["band", "key"]), "shared")
+    popular = shared.groupBy("id").agg(F.sum("n").alias("met"))
+    leaders = shared.join(popular, "id").groupBy("band", "key").agg(F.max_by("id", F.struct("met", -F.col("id"))).alias("leader"))
+    buckets = stored(shared.join(leaders, ["band", "key"]), "buckets")
     met = buckets.select("id").distinct()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = stored(src.join(met, "id", "left_semi"), "texts")
     best = buckets.where("id <> leader").groupBy("leader", "id").count().groupBy("id").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("a"))
-    first = confirmed(best.select("a", F.col("id").alias("b")), texts, n, percent)
+    first = confirmed(plausible(best.select("a", F.col("id").alias("b")), nodes, percent), texts, n, percent)
     # an id that stands with several texts ties their nodes together
     of_id = known.select("id", "set_key").distinct().join(nodes.select("set_key", F.col("id").alias("node")), "set_key")
     several = of_id.groupBy("id").agg(F.min("node").alias("u"), F.max("node").alias("top")).where("u <> top").select("id", "u")
     tied = of_id.join(several, "id").select("u", F.col("node").alias("v"))
     links = stored(first.unionByName(tied), "links")
     labels = stored(components(links), "labels")
-    more = confirmed(cross_pairs(buckets.select("band", "key", "id"), labels, nodes, percent), texts, n, percent)
+    more = rest_links(buckets.select("band", "key", "id"), labels, texts, n, percent)
     stars = labels.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v")
     final = components(stars.unionByName(more))
     component = nodes.join(final, nodes.id == final.node, "left").select("set_key", F.coalesce("component", "id").alias("component"))

@@ -73,8 +73,8 @@ def variants(base, n):
 
 
 def test_near_duplicates_equal_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 4)
     monkeypatch.setattr(minhash, "SALT_ROWS", 3)
+    monkeypatch.setattr(minhash, "BLOCK", 7)
     common = text(70)
     texts_ = ["", None, " \n", "one two", "ONE\ttwo", "one two three", *variants(text(90), 25), *variants(text(200), 12)]
     texts_ += [f"{common} {text(RNG.randint(5, 60))}" for _ in range(40)] + [text(40)] * 6 + [text(30) for _ in range(10)]
