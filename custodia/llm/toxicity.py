@@ -134,7 +134,7 @@ def fit(docs: DataFrame, positives: DataFrame, prior: float, id_col: str = "doc_
             yield pa.RecordBatch.from_pydict({"p": p, "u": u, "at": pa.array(at, pa.list_(pa.int32()))})
 
     data = map_arrow(once.select("text", "positive", "unlabelled"), place, "p boolean, u boolean, at array<int>").toPandas()
-    data = data.assign(key=data["at"].map(bytes)).sort_values(["p", "u", "key"]).reset_index(drop=True)  # the same order in every run
+    data = data.assign(key=data["at"].map(lambda a: tuple(map(int, a)))).sort_values(["p", "u", "key"]).reset_index(drop=True)  # the same order in every run
     sizes = data["at"].map(len).to_numpy()
     rows, cols = np.repeat(np.arange(len(data)), sizes), np.concatenate([*data["at"], np.zeros(0, int)]).astype(int)
     rng, members = np.random.default_rng(SEED), []
