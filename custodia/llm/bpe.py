@@ -31,16 +31,19 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
+from custodia.llm import common
 from custodia.llm.common import map_arrow
 
 _SPLIT = regex.compile(public_tokenizers.PATTERN)
 #: A space at an end of the text or next to other white space.
 _LOOSE = re.compile(r"(?:\A|\s) | (?:\s|\Z)")
+_RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_RARE_WIDE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Characters of text handled together, bytes of words per query, rows that one recursion may leave behind.
 BLOCK_CHARS, QUERY_BYTES, STEP_ROWS = 2_000_000, 300_000, 4_000_000
 LONG = 64
-#: Words a worker remembers.
-MEMORY = 250_000
+#: Entries of a worker's memory of words before its older half is forgotten.
+MEMORY = 350_000
 
 # one pair per word and step; q is the position of the next token
 _FIRST = """
@@ -79,9 +82,10 @@ WITH RECURSIVE s(w, p, t, i) AS (
 SELECT w, p, q, t, i < $steps AS fixed FROM (SELECT *, p AS q, max(i) OVER (PARTITION BY w) AS last FROM s) WHERE i = last
 """
 
+# the database has one thread, so an aggregate takes its rows in the order of the subquery
 _RESULT = """
-SELECT w, string_agg(t::VARCHAR, ',' ORDER BY p) AS ids, string_agg(v.hex, '' ORDER BY p) AS hex
-FROM done JOIN vocabulary v ON v.id = t GROUP BY w ORDER BY w
+SELECT w, string_agg(text, ',')::BLOB AS ids, unhex(string_agg(hex, '')) AS data
+FROM (SELECT w, text, hex FROM done JOIN vocabulary ON id = t ORDER BY w, p) GROUP BY w ORDER BY w
 """
 
 _DECODE = """
@@ -90,6 +94,31 @@ FROM tokens LEFT JOIN vocabulary v ON v.id = t GROUP BY w ORDER BY w
 """
 
 
+def loose(text: str) -> bool:
+    """Does ``_LOOSE`` match? Searches for single characters come first, being much faster."""
+    if any(map(text.__contains__, _RARE)) or not text.isascii() and any(map(text.__contains__, _RARE_WIDE)):
+        return _LOOSE.search(text) is not None
+    return text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text
+
+
+class Memory:
+    """Text -> (ids, bytes) in two generations; what the younger one lacks comes back from the older one or is computed."""
+
+    def __init__(self):
+        self.new: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
+
+    def age(self) -> None:
+        if len(self.new) > MEMORY:
+            self.new, self.old = {}, self.new
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        fresh = wanted.difference(self.new)
+        known = {x: self.old[x] for x in fresh if x in self.old}
+        self.new.update(known)
+        return list(fresh.difference(known))
+
+
 class Tokenizer:
     """The vocabulary of a rank file in a DuckDB database of this worker."""
 
@@ -110,18 +139,14 @@ class Tokenizer:
         np.minimum.at(least, left, rank)
         np.minimum.at(least, right, rank)
         merges = pa.table({"pair": left << 32 | right, "rank": rank.astype(np.int32), "safe": least[rank] > rank})  # noqa: F841
-        vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})  # noqa: F841
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "text": list(map(str, self.ranks.values())), "hex": [t.hex() for t in self.ranks]})  # noqa: F841
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         self.db.register("new_merges", merges)
         self.db.register("new_vocabulary", vocabulary)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM new_merges")
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM new_vocabulary")
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.ids: dict[str, bytes] = {}
-        self.data: dict[str, bytes] = {}
-        self.spaced_ids: dict[str, bytes] = {}
-        self.spaced_data: dict[str, bytes] = {}
+        self.words, self.plain, self.spaced = Memory(), Memory(), Memory()
 
     def _query(self, sql: str, **tables: pa.Table) -> pa.Table:
         for name, data in tables.items():
@@ -148,29 +173,27 @@ class Tokenizer:
             state = rows.filter(pc.invert(fixed))
         return pa.concat_tables(done)
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encode and decode the words that are not remembered yet."""
-        new = [(p, p.encode("utf-8", "surrogatepass")) for p in sorted(pieces, key=len)]
-        at = 0
-        while at < len(new):
-            end, size, long = at, 0, len(new[at][1]) > LONG
-            while end < len(new) and size < QUERY_BYTES and (len(new[end][1]) > LONG) == long:
-                size += len(new[end][1])
-                end += 1
-            out = self._query(_RESULT, done=self.contract([b for _, b in new[at:end]]))
-            for (piece, _), ids, data in zip(new[at:end], out["ids"].to_pylist(), out["hex"].to_pylist()):
-                self.words[piece] = ids.encode(), bytes.fromhex(data)
-            at = end
-
-    def remember(self, chunks: set[str], lead: str, ids: dict[str, bytes], data: dict[str, bytes]) -> None:
-        split = {c: _SPLIT.findall(lead + c) for c in chunks}
-        if len(self.words) > MEMORY:
-            self.words.clear()
-        self.learn({w for s in split.values() for w in s if w not in self.words})
-        for chunk, pieces in split.items():
-            found = [self.words[w] for w in pieces]
-            ids[chunk] = b",".join([i for i, _ in found])
-            data[chunk] = b"".join([d for _, d in found])
+    def learn(self, words: list[str]) -> None:
+        """Encode and decode words that are not remembered."""
+        encoded = [w.encode("utf-8", "surrogatepass") for w in words]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        for part in (np.flatnonzero(sizes <= LONG), np.flatnonzero(sizes > LONG)):
+            cuts = np.cumsum(sizes[part]) // QUERY_BYTES
+            for own in np.split(part, np.flatnonzero(np.diff(cuts)) + 1) if len(part) else []:
+                own = own.tolist()
+                out = self._query(_RESULT, done=self.contract([encoded[i] for i in own]))
+                self.words.new.update(zip([words[i] for i in own], zip(out["ids"].to_pylist(), out["data"].to_pylist())))
+
+    def remember(self, chunks: list[str], lead: str, known: Memory) -> None:
+        split = [_SPLIT.findall(lead + c) for c in chunks]
+        self.learn(self.words.missing(set().union(*split)))
+        words, new = self.words.new, known.new
+        for chunk, pieces in zip(chunks, split):
+            if len(pieces) == 1:
+                new[chunk] = words[pieces[0]]
+            else:
+                found = [words[w] for w in pieces]
+                new[chunk] = b",".join([i for i, _ in found]), b"".join([d for _, d in found])
 
     def run(self, texts: list[str | None]) -> Iterator[tuple[list[str], list[bytes]]]:
         """Ids as text and decoded bytes of each text, block by block.
@@ -185,20 +208,21 @@ class Tokenizer:
                 text = texts[at] or ""
                 size += len(text)
                 at += 1
-                if not text or _LOOSE.search(text):
+                if not text or loose(text):
                     block.append((_SPLIT.findall(text), []))
                 else:
                     first, *rest = text.split(" ")
                     block.append(([first], rest))
-            if len(self.ids) + len(self.spaced_ids) > MEMORY:
-                for known in (self.ids, self.data, self.spaced_ids, self.spaced_data):
-                    known.clear()
-            self.remember({c for x, _ in block for c in x if c not in self.ids}, "", self.ids, self.data)
-            self.remember({c for _, x in block for c in x if c not in self.spaced_ids}, " ", self.spaced_ids, self.spaced_data)
+            for memory in (self.words, self.plain, self.spaced):
+                memory.age()
+            self.remember(self.plain.missing(set().union(*[x for x, _ in block])), "", self.plain)
+            self.remember(self.spaced.missing(set().union(*[x for _, x in block])), " ", self.spaced)
+            plain, spaced = self.plain.new.__getitem__, self.spaced.new.__getitem__
             out_ids, out_data = [], []
-            for plain, spaced in block:
-                out_ids.append(b",".join([*map(self.ids.__getitem__, plain), *map(self.spaced_ids.__getitem__, spaced)]).decode())
-                out_data.append(b"".join([*map(self.data.__getitem__, plain), *map(self.spaced_data.__getitem__, spaced)]))
+            for a, b in block:
+                found = [*map(plain, a), *map(spaced, b)]
+                out_ids.append(b",".join([i for i, _ in found]).decode())
+                out_data.append(b"".join([d for _, d in found]))
             yield out_ids, out_data
 
     def decode(self, lists: list[list[int] | None]) -> list[bytes]:
@@ -219,12 +243,18 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
+def release() -> None:
+    """Give back what this worker holds of vocabularies and words."""
+    tokenizer.cache_clear()
+
+
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_tokens, ids (decimal, joined by commas) and the bytes decoded from them."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
+        common.on_leave(release)
         for batch in batches:
             at = 0
             for ids, data in own.run(batch.column(1).to_pylist()):

@@ -45,6 +45,22 @@ def dropped(df: DataFrame) -> None:
             path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_inside: dict = {"job": None, "leave": None}
+
+
+def enter(job: str) -> None:
+    """A worker is reused for other operators: what the one before remembered is released then."""
+    if _inside["job"] != job and _inside["leave"]:
+        _inside["leave"]()
+    if _inside["job"] != job:
+        _inside.update(job=job, leave=None)
+
+
+def on_leave(release) -> None:
+    """Called when this worker begins another operator."""
+    _inside["leave"] = release
+
+
 def map_arrow(df: DataFrame, job, schema) -> DataFrame:
     """``mapInArrow`` with batches bounded by bytes, so that long texts do not fill a worker's memory.
 
@@ -53,7 +69,15 @@ def map_arrow(df: DataFrame, job, schema) -> DataFrame:
     conf = df.sparkSession.conf
     if conf.get(BATCH_SETTING, None) is None:
         conf.set(BATCH_SETTING, BATCH_BYTES)
-    return df.mapInArrow(job, schema)
+    name = f"{job.__module__}.{job.__qualname__}"
+
+    def run(batches):
+        from custodia.llm import common  # the worker's own module, not a copy of its state
+
+        common.enter(name)
+        yield from job(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def ascii_lower(col: Column) -> Column:
