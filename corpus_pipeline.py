@@ -46,7 +46,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, joined by commas, their number, and a digest of the bytes decoded from them."""
-    done = bpe.encode_decode(docs, TOKENIZER)
+    # after the other stages an executor has less memory to spare than for the operator alone
+    done = bpe.encode_decode(docs, TOKENIZER, memory=60_000)
     return done.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -42,7 +42,7 @@ _RARE_WIDE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u20
 #: Characters of text handled together, bytes of words per query, rows that one recursion may leave behind.
 BLOCK_CHARS, QUERY_BYTES, STEP_ROWS = 2_000_000, 300_000, 4_000_000
 LONG = 64
-#: Entries of a worker's memory of words before its older half is forgotten.
+#: Entries of a worker's memory of words before its older half is forgotten, by default.
 MEMORY = 350_000
 
 # one pair per word and step; q is the position of the next token
@@ -104,12 +104,13 @@ def loose(text: str) -> bool:
 class Memory:
     """Text -> (ids, bytes) in two generations; what the younger one lacks comes back from the older one or is computed."""
 
-    def __init__(self):
+    def __init__(self, entries: int):
+        self.entries = entries
         self.new: dict[str, tuple[bytes, bytes]] = {}
         self.old: dict[str, tuple[bytes, bytes]] = {}
 
     def age(self) -> None:
-        if len(self.new) > MEMORY:
+        if len(self.new) > self.entries:
             self.new, self.old = {}, self.new
 
     def missing(self, wanted: set[str]) -> list[str]:
@@ -122,7 +123,7 @@ class Memory:
 class Tokenizer:
     """The vocabulary of a rank file in a DuckDB database of this worker."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         left, right, rank = [], [], []
@@ -146,7 +147,7 @@ class Tokenizer:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM new_merges")
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM new_vocabulary")
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.words, self.plain, self.spaced = Memory(), Memory(), Memory()
+        self.words, self.plain, self.spaced = Memory(memory), Memory(memory), Memory(memory)
 
     def _query(self, sql: str, **tables: pa.Table) -> pa.Table:
         for name, data in tables.items():
@@ -239,8 +240,8 @@ class Tokenizer:
 
 
 @functools.cache
-def tokenizer(path: str) -> Tokenizer:
-    return Tokenizer(path)
+def tokenizer(path: str, memory: int = MEMORY) -> Tokenizer:
+    return Tokenizer(path, memory)
 
 
 def release() -> None:
@@ -248,12 +249,15 @@ def release() -> None:
     tokenizer.cache_clear()
 
 
-def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_tokens, ids (decimal, joined by commas) and the bytes decoded from them."""
+def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY) -> DataFrame:
+    """Per row: id, n_tokens, ids (decimal, joined by commas) and the bytes decoded from them.
+
+    ``memory`` trades a worker's memory (about 0.5 KB an entry) for encoding words again; results do not depend on it.
+    """
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizer(path)
+        own = tokenizer(path, memory)
         common.on_leave(release)
         for batch in batches:
             at = 0
