@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -48,31 +46,54 @@ def candidate_rows(df: DataFrame, text: str, keep: list[str], types: list[str])
     )
 
 
-NAME_WORD = r"\p{L}[\p{L}'-]*"
+#: Pieces of a text or name: words, numbers, spaces, single signs. Put together they are the text again.
+NAME_PIECE = r"\p{L}[\p{L}'-]*|\p{N}+|\s+|[^\p{L}\p{N}\s]"
+#: First words of names that are broadcast at most.
+MAX_BROADCAST = 50_000
 
 
 def person_hits(docs: DataFrame, text: str, doc_id: str, names: DataFrame) -> DataFrame:
-    """Names of one to three words found in texts, with offsets.
+    """Names found in texts, exactly as the gazetteer writes them, with offsets.
 
-    Runs of letters become rows with their offsets, alone and with their neighbours one character away, and meet the
-    names in one join, so neither the texts nor the names are held or shuffled whole. Signs next to a name do not hide it.
+    Names may have any number of words, and any signs, digits and spaces; a blank name is none. Texts and names are cut
+    by one rule. A piece of a text meets the names' first pieces, of which only the distinct lengths are kept, so names that
+    begin alike make no pairs; what stands there in each length then meets the names in a second join. A row holds as many
+    pieces as the longest name. A hit does not go on in a word or number; other signs next to a name do not hide it.
     Hits that overlap each other are left to the overlap rule.
     """
-    words = docs.select(F.col(doc_id), pii.spans(F.col(text), NAME_WORD).alias("w"))
-
-    def joined(parts: list[Column]) -> Column:
-        near = [b.isNotNull() & (a["end"] + 1 == b["start"]) for a, b in zip(parts, parts[1:])]
-        name = F.concat_ws(" ", *[p["value"] for p in parts])
-        return F.when(reduce(lambda a, b: a & b, near, F.lit(True)), F.struct(name.alias("name"), parts[0]["start"].alias("start"), parts[-1]["end"].alias("end")))
-
-    def runs(w: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(w) - 1)
-        return F.flatten(F.transform(at, lambda i: F.array_compact(F.array(*[joined([F.get(w, i + k) for k in range(n)]) for n in (1, 2, 3)]))))
-
-    # the words are bound once; a text without a word has none
-    found = F.transform(F.array(F.col("w")), lambda w: F.when(F.size(w) > 0, runs(w)))[0]
-    hits = unnest(words, [doc_id], found, "p").select(doc_id, F.col("p.name").alias("name"), "p.start", "p.end")
-    return hits.join(names.select("name").distinct(), "name").select(
+    blank = r"^\s"
+    cut = names.select("name").where(F.col("name").rlike(r"\S")).distinct().withColumn("p", F.regexp_extract_all("name", F.lit(NAME_PIECE), F.lit(0)))
+    first = F.when(F.col("p")[0].rlike(blank), 1).otherwise(0)
+    known = cut.select(
+        F.get("p", first).alias("word"), F.when(first == 1, F.length(F.col("p")[0])).otherwise(0).alias("lead"), F.length("name").alias("length"), F.size("p").alias("n")
+    )
+    shapes = known.groupBy("word").agg(F.collect_set(F.struct("lead", "length")).alias("shapes"))
+    if shapes.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
+        shapes = F.broadcast(shapes)
+    most = F.broadcast(known.agg(F.coalesce(F.max("n"), F.lit(0)).alias("__most")))  # one row
+    pieces = docs.select(F.col(doc_id), pii.spans(F.col(text), NAME_PIECE).alias("__w")).crossJoin(most)
+
+    def here(w: Column, i: Column) -> Column:
+        def joined(start: Column, n: Column) -> Column:
+            return F.array_join(F.slice(w, start, n)["value"], "")
+
+        word = F.get(w, i)
+        before, after = joined(F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2))), joined(i + 1, F.col("__most") + 1)
+        return F.when(~word["value"].rlike(blank), F.struct(word["value"].alias("word"), word["start"].alias("start"), before.alias("before"), after.alias("after")))
+
+    # the pieces are bound once; a text without a piece has none
+    each = F.transform(F.array(F.col("__w")), lambda w: F.when(F.size(w) > 0, F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: here(w, i))))[0]
+    at = unnest(pieces, [doc_id], each, "__p").select(doc_id, F.col("__p.word").alias("word"), "__p.start", "__p.before", "__p.after").join(shapes, "word")
+    found = at.select(doc_id, "start", "before", "after", F.explode("shapes").alias("s")).select(doc_id, "start", "before", "after", "s.lead", "s.length")
+    told = F.length("before") - F.col("lead")  # characters known before the name
+    rest = F.col("length") - F.col("lead")
+    name = F.concat(F.substring("before", told + 1, F.col("lead")), F.substring("after", F.lit(1), rest))
+    hits = found.where(told >= 0).select(
+        doc_id, name.alias("name"), (F.col("start") - F.col("lead")).alias("start"), (F.col("start") + rest).alias("end"),
+        F.substring("before", told, F.when(told > 0, 1).otherwise(0)).alias("previous"), F.substring("after", rest + 1, F.lit(1)).alias("next"),
+    )
+    whole = ~F.col("previous").rlike(r"\p{L}") & ~F.col("next").rlike(r"[\p{L}'-]") & ~(F.col("next").rlike(r"\p{N}") & F.col("name").rlike(r"\p{N}$"))
+    return hits.where(whole).join(names.select("name").distinct(), "name").select(
         doc_id, F.col("name").alias("value"), "start", "end", F.lit(pii.CONFIDENCE["PERSON"]).alias("confidence")
     )
 

@@ -181,6 +181,22 @@ def test_person_gazetteer(spark):
     assert got == {(1, 6, 14), (1, 21, 29), (3, 2, 10), (4, 1, 9), (4, 12, 16), (4, 18, 30)}
 
 
+def test_names_of_any_length_and_signs(spark):
+    names = ["Maria del Carmen Lopez", "J. Smith", "John F. Kennedy", "Louis 14", "Ana  Sol", "Doe <jane@x.org>", "O'Neill Jr.", "(Bob) Ray", "3M", " Lee", "Cher", "de la Cruz y Vega Real", "J. Smithson"]
+    texts = [
+        "Maria del Carmen Lopez, J. Smith and J. Smithson", "x John F. Kennedy; Louis 14. Louis 141", "Ana  Sol Ana Sol", "Doe <jane@x.org> wrote", "O'Neill Jr., (Bob) Ray, x(Bob) Ray",
+        "3M 13M", "\u00e9 \U0001f600 de la Cruz y Vega Real", "AJ. Smith J.Smith J. Smithy", "to Lee ; . Lee", "",
+    ]
+    found = lambda name: [(i, m.start(), m.end(), name) for i, t in enumerate(texts) for m in re.finditer(r"(?<![^\W_])" + re.escape(name) + r"(?![^\W_]|['-])", t)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    rows = redaction.person_hits(docs, "t", "id", spark.createDataFrame([(n,) for n in [*names, " ", None, *names]], "name string")).collect()
+    assert sorted((r.id, r.start, r.end, r.value) for r in rows) == sorted(sum(map(found, names), []))
+    assert {r.value for r in rows} == {*names} - {"Cher"}
+    assert redaction.person_hits(docs, "t", "id", spark.createDataFrame([], "name string")).count() == 0
+    people = redaction.detect_with_names(docs, "t", "id", spark.createDataFrame([("J. Smith",)], "name string")).where("id = 0").first()
+    assert [(e["type"], e["value"]) for e in people["entities"]] == [("PERSON", "J. Smith")]
+
+
 def test_names_join_the_overlap_rule(spark):
     docs = spark.createDataFrame([(1, "Jane Doe <jane@x.org> and Jane Doe"), (2, "mail b@x.org"), (3, "nothing")], "id int, t string")
     names = spark.createDataFrame([("Jane Doe",), ("Doe",)], "name string")
