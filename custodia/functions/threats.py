@@ -1,7 +1,7 @@
 """Prompts that try to change the caller's role, and texts that must go to a human.
 
 An attempt is a verb and an object a few words apart: dropping instructions, claiming an administrator's role,
-denying that limits exist, or asking for the hidden prompt. Words may be separated by any
+denying that limits exist, taking the part of "DAN", or asking for the hidden prompt. Words may be separated by any
 spaces, line ends or signs.
 """
 
@@ -35,10 +35,11 @@ PATTERNS = [
     rf"\b(?:have|has|with|are|act|under)\W+(?:no|without|free\W+of)\W+(?:\w+\W+){{0,2}}?(?:{'|'.join(_FREE)})\b",
     r"\bunrestricted\W+mode\b",
     r"\brole\W+override\b",
+    r"\bact(?:ing)?\W+as\W+(?:an?\W+|the\W+)?dan\b",
     _near(_SHOW, r"(?:system|hidden|initial)\W+(?:prompt|instructions)", 3),
 ]
 #: One of these stands in every hit; looking for them is much cheaper than matching.
-WORDS = ["ignor", "disregard", "forget", "bypass", "overr", "discard", "drop", "violate", "admin", "restriction", "limit", "filter", "rule", "unrestricted", "role", "prompt", "instructions"]
+WORDS = ["ignor", "disregard", "forget", "bypass", "overr", "discard", "drop", "violate", "admin", "restriction", "limit", "filter", "rule", "unrestricted", "role", "prompt", "instructions", "dan"]
 
 
 def escalation_attempt(text: Column) -> Column:
