@@ -126,3 +126,15 @@ def test_retention_prunes_days(spark, tmp_path):
     kept = audit.retained(spark.read.parquet(str(tmp_path / "log")), "2025-01-01 00:00:00")
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan and kept.count() == rows.where("ts >= TIMESTAMP '2023-01-01 00:00:00'").count()
+
+
+def test_a_longer_time_to_live_still_blocks(spark, tmp_path):
+    """A record outlives the puts' own time to live: it was written before that was shortened."""
+    from custodia.operators import tokens
+
+    df = spark.createDataFrame([("t", "first", "EMAIL", "s", 0), ("t", "second", "EMAIL", "s", 4 * 86400), ("t", "third", "EMAIL", "s", 7 * 86400)], "token string, value string, type string, session string, s int")
+    df = df.withColumn("at", F.expr("TIMESTAMP '2024-01-01 12:00:00'") + F.make_dt_interval(secs=F.col("s")))
+    path = str(tmp_path / "map")
+    for value, ttl in (("first", 7 * 86400), ("second", 3600), ("third", 3600)):
+        sinks.append_tokens(tokens.puts_of(df.where(F.col("value") == value), "session", "at", ttl), path)
+    assert sorted(r["value"] for r in spark.read.parquet(path).collect()) == ["first", "third"]
