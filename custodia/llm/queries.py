@@ -9,11 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custodia.llm import bpe, chat, decontaminate, minhash, pylm, quality, rules, tokencount, toxicity, urlfilter
-from custodia.llm.common import chosen_ids, remainder, table
+from custodia.llm.common import remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Most labelled documents that any fit uses; a fit needs no more, however large the corpus.
-MAX_LABELLED = 20_000
 
 RULES = [
     urlfilter.Rule("block", "net", "/"),
@@ -194,9 +192,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1")
-    ids = chosen_ids(good, "doc_id", MAX_LABELLED, 8)
-    model = rules.fit(docs, spark.createDataFrame([(i,) for i in ids], "doc_id long"))
-    return rules.apply(docs, model)
+    return rules.apply(docs, rules.fit(docs, good.select("doc_id")))
 
 
 @query("op9_pitman_yor")

@@ -6,8 +6,8 @@ of log(p_trusted / p_raw) over its n-grams; it is kept if that mean reaches a fi
 Nothing is sampled at random: the same text always gets the same verdict.
 
 The counts are bounded by the number of buckets whatever the corpus, so they are summed in Spark and
-the two vectors travel to the tasks as constants. The trusted documents may be a bounded sample of
-the labelled ones (``trusted_ids`` of ``fit``); the raw counts cover every document.
+the two vectors travel to the tasks as constants. Every trusted document (``trusted_ids`` of ``fit``) and every raw one is
+counted, however many there are.
 
 Results for odd input: null and empty texts have zero counts, a score of 0 and fail the base rule. An
 empty corpus gives equal multinomials (every score 0). Repeated rows count as often as they stand.
@@ -92,9 +92,9 @@ def ratio(trusted: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING) ->
 
 
 def fit(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = BUCKETS) -> Ratio:
-    """Count both multinomials in one pass; ``trusted_ids`` (bounded by its caller) is broadcast."""
+    """Count both multinomials in one pass; ``trusted_ids`` may be of any number and meet the documents in a join."""
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("__id")).where("__id is not null").distinct()
-    marked = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(ids.withColumn("trusted", F.lit(True))), "__id", "left")
+    marked = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(ids.withColumn("trusted", F.lit(True)), "__id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, trusted, raw = token_cache(), np.zeros(n, np.int64), np.zeros(n, np.int64)

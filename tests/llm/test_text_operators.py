@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -201,3 +202,19 @@ def test_log_ratio_of_a_small_corpus(spark):
     assert {(r.doc_id, r.kept) for r in got} == {(1, True), (2, True), (3, False), (4, False), (5, False), (None, True)}
     assert all(math.isclose(r.score, model.score(t, cache)) for r in got for i, t, _ in rows if i == r.doc_id)
     assert rules.apply(docs.limit(0), rules.fit(docs.limit(0), docs.select("doc_id").limit(0))).count() == 0
+
+
+def test_every_good_document_is_counted(spark, tmp_path, monkeypatch):
+    from custodia.llm import queries
+
+    monkeypatch.setattr(queries, "MAX_LABELLED", 2, raising=False)  # the cap that was here
+    rows = [(i, f"{'plain' if i < 30 else 'other'} word{i} " * 60) for i in range(40)] + [(None, "free text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 30)) for i in range(40)] + [(None, 1)], "doc_id long, quality int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    cache, n = rules.token_cache(), rules.BUCKETS
+    raw, trusted = (np.bincount(np.concatenate([rules.buckets(t, cache) for i, t in rows if keep(i)]), minlength=n) for keep in (lambda i: True, lambda i: i is not None and i < 30))
+    want = rules.ratio(trusted, raw)
+    got = {r.doc_id: r.score for r in queries.op8_quality_rules(spark, str(tmp_path)).collect()}
+    assert got == pytest.approx({i: want.score(t, cache) for i, t in rows})
