@@ -1,8 +1,8 @@
 """The training-data pipeline over ``documents``: one stage after another, each on all that its predecessor kept.
 
 Every stage takes the documents of the stage before and returns those it keeps with their columns; the last one returns their tokens.
-A stage's odd inputs are those of its operator; a repeated row is a copy, of which the near-dedup stage keeps one,
-and rows with a null id are never links of a group.
+A stage's odd inputs are those of its operator. The near-dedup stage judges rows, not ids: a repeated row is a copy, of which it
+keeps one, also among rows with a null id, and rows of one id with different texts are different documents.
 """
 
 from __future__ import annotations
@@ -32,11 +32,16 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    judged = minhash.near_duplicates(docs)
-    ids = judged.where("kept and doc_id is not null").select("doc_id").distinct()
-    once = docs.join(ids, "doc_id").select(docs.columns).dropDuplicates(["doc_id"])
-    return once.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each group of near duplicates, the one with the smallest id; null ids come last."""
+    order = [F.col("doc_id").asc_nulls_last(), F.col("__hash")]
+    # written once, so that a row keeps its key; keys follow the ids
+    numbered = docs.withColumn("__hash", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__row", F.monotonically_increasing_id())
+    rows = stored(numbered, "numbered")
+    judged = minhash.near_duplicates(rows, "__row").where("kept").select("__row", "n_shingles")
+    # texts without shingles have no near duplicates; copies of a row are one here too
+    group = F.when(F.col("n_shingles") > 0, F.col("__row"))
+    kept = judged.join(rows.select("__row", "doc_id", "__hash"), "__row").groupBy("doc_id", "__hash", group).agg(F.min("__row").alias("__row")).select("__row")
+    return rows.join(kept, "__row").select(docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

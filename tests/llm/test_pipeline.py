@@ -66,6 +66,15 @@ def test_every_stage_keeps_columns_and_takes_no_rows(spark, corpus):
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), path).count() == 0
 
 
+def test_near_dedup_judges_rows(spark):
+    """One id with two texts loses none; copies with null ids go."""
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(60)) for w in ("ka", "lo", "mi", "nu"))
+    rows = [(1, a), (1, b), (1, a), (None, b + " ren"), (None, c), (None, c), (3, d + " ren"), (2, d), (None, ""), (None, ""), (4, None), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, a), (1, b), (None, c), (2, d), (None, ""), (4, None), (5, "")], key=str)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_at_the_smallest_scale(spark, name):
     df = QUERIES[name](spark, SF)
