@@ -2,8 +2,8 @@
 
 Texts are cut into words by the split pattern. The distinct words of a block become rows of (word, position,
 token), one row per byte; a recursive query joins neighbouring tokens with the merge table, contracts each word's
-leftmost pair of least rank and goes on until no pair can merge. Words are decoded again by an ordered aggregation of their
-tokens' bytes, and both results are put together per document.
+leftmost pair of least rank and goes on until no pair can merge. The ids are put together per document, and the lists that are
+given out are decoded by an ordered aggregation of their tokens' bytes.
 
 The merge table holds, for every token, all its cuts into two tokens, so a pair merges exactly if its bytes are a token. A word
 that is a token itself is that token, as the reference tokenizer library does it. Words of more than ``LONG`` bytes use a second recursive
@@ -41,6 +41,8 @@ _RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 _RARE_WIDE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Characters of text handled together, bytes of words per query, rows that one recursion may leave behind.
 BLOCK_CHARS, QUERY_BYTES, STEP_ROWS = 2_000_000, 300_000, 4_000_000
+#: Characters of joined ids that are decoded together.
+DECODE_CHARS = 1_000_000
 LONG = 64
 #: Entries of a worker's memory of words before its older half is forgotten, by default.
 MEMORY = 350_000
@@ -82,10 +84,8 @@ WITH RECURSIVE s(w, p, t, i) AS (
 SELECT w, p, q, t, i < $steps AS fixed FROM (SELECT *, p AS q, max(i) OVER (PARTITION BY w) AS last FROM s) WHERE i = last
 """
 
-# the database has one thread, so an aggregate takes its rows in the order of the subquery
 _RESULT = """
-SELECT w, string_agg(text, ',')::BLOB AS ids, unhex(string_agg(hex, '')) AS data
-FROM (SELECT w, text, hex FROM done JOIN vocabulary ON id = t ORDER BY w, p) GROUP BY w ORDER BY w
+SELECT w, string_agg(text, ',' ORDER BY p)::BLOB AS ids FROM done JOIN vocabulary ON id = t GROUP BY w ORDER BY w
 """
 
 _DECODE = """
@@ -102,12 +102,12 @@ def loose(text: str) -> bool:
 
 
 class Memory:
-    """Text -> (ids, bytes) in two generations; what the younger one lacks comes back from the older one or is computed."""
+    """Text -> ids in two generations; what the younger one lacks comes back from the older one or is computed."""
 
     def __init__(self, entries: int):
         self.entries = entries
-        self.new: dict[str, tuple[bytes, bytes]] = {}
-        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def age(self) -> None:
         if len(self.new) > self.entries:
@@ -175,7 +175,7 @@ class Tokenizer:
         return pa.concat_tables(done)
 
     def learn(self, words: list[str]) -> None:
-        """Encode and decode words that are not remembered."""
+        """Encode words that are not remembered."""
         encoded = [w.encode("utf-8", "surrogatepass") for w in words]
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
         for part in (np.flatnonzero(sizes <= LONG), np.flatnonzero(sizes > LONG)):
@@ -183,21 +183,17 @@ class Tokenizer:
             for own in np.split(part, np.flatnonzero(np.diff(cuts)) + 1) if len(part) else []:
                 own = own.tolist()
                 out = self._query(_RESULT, done=self.contract([encoded[i] for i in own]))
-                self.words.new.update(zip([words[i] for i in own], zip(out["ids"].to_pylist(), out["data"].to_pylist())))
+                self.words.new.update(zip([words[i] for i in own], out["ids"].to_pylist()))
 
     def remember(self, chunks: list[str], lead: str, known: Memory) -> None:
         split = [_SPLIT.findall(lead + c) for c in chunks]
         self.learn(self.words.missing(set().union(*split)))
         words, new = self.words.new, known.new
         for chunk, pieces in zip(chunks, split):
-            if len(pieces) == 1:
-                new[chunk] = words[pieces[0]]
-            else:
-                found = [words[w] for w in pieces]
-                new[chunk] = b",".join([i for i, _ in found]), b"".join([d for _, d in found])
+            new[chunk] = words[pieces[0]] if len(pieces) == 1 else b",".join([words[w] for w in pieces])
 
     def run(self, texts: list[str | None]) -> Iterator[tuple[list[str], list[bytes]]]:
-        """Ids as text and decoded bytes of each text, block by block.
+        """Ids as text and the bytes decoded from them, of each text, block by block.
 
         No word goes across a single space between other characters, so such texts are cut there first
         and repeated chunks need no second split.
@@ -219,12 +215,15 @@ class Tokenizer:
             self.remember(self.plain.missing(set().union(*[x for x, _ in block])), "", self.plain)
             self.remember(self.spaced.missing(set().union(*[x for _, x in block])), " ", self.spaced)
             plain, spaced = self.plain.new.__getitem__, self.spaced.new.__getitem__
-            out_ids, out_data = [], []
-            for a, b in block:
-                found = [*map(plain, a), *map(spaced, b)]
-                out_ids.append(b",".join([i for i, _ in found]).decode())
-                out_data.append(b"".join([d for _, d in found]))
-            yield out_ids, out_data
+            ids = [b",".join([*map(plain, a), *map(spaced, b)]).decode() for a, b in block]
+            yield ids, self.decode_joined(ids)
+
+    def decode_joined(self, lists: list[str]) -> list[bytes]:
+        """Bytes of the ids that are given out, at most about ``DECODE_CHARS`` of them in a query."""
+        out, cuts = [], np.cumsum([len(x) for x in lists]) // DECODE_CHARS
+        for part in np.split(np.arange(len(lists)), np.flatnonzero(np.diff(cuts)) + 1):
+            out += self.decode([np.array(lists[i].split(","), np.int64).tolist() if lists[i] else [] for i in part])
+        return out
 
     def decode(self, lists: list[list[int] | None]) -> list[bytes]:
         n = np.array([len(x or ()) for x in lists])

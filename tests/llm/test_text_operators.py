@@ -218,3 +218,13 @@ def test_every_good_document_is_counted(spark, tmp_path, monkeypatch):
     want = rules.ratio(trusted, raw)
     got = {r.doc_id: r.score for r in queries.op8_quality_rules(spark, str(tmp_path)).collect()}
     assert got == pytest.approx({i: want.score(t, cache) for i, t in rows})
+
+
+def test_given_ids_are_decoded(monkeypatch):
+    """A fault in the ids shows in the bytes decoded from them."""
+    own = bpe.Tokenizer(TOKENIZER)
+    monkeypatch.setattr(bpe, "DECODE_CHARS", 20)
+    texts = ["the cat sat on the mat", "", "h\u00e9llo  w\u00f6rld \U0001f600", "a", "the cat sat on the mat"]
+    ids = [x for block, _ in own.run(texts) for x in block]
+    assert own.decode_joined(ids) == [x.encode() for x in texts]
+    assert own.decode_joined([ids[0].rpartition(",")[0]]) != [texts[0].encode()]
