@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import bpe, chat, decontaminate, minhash, pylm, quality, rules, tokencount, toxicity, urlfilter
-from custodia.llm.common import remainder, table
+from custodia.llm import bpe, chat, decontaminate, merkle, minhash, pylm, quality, rules, tokencount, toxicity, urlfilter
+from custodia.llm.common import ascii_lower, remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -228,3 +228,76 @@ def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), RULES, GLOBS)
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query(
+    "op11_merkle_manifest",
+    """
+    WITH RECURSIVE texts AS MATERIALIZED (
+      SELECT doc_id, source, text, concat(
+          coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-'), coalesce(strlen(source) || ':' || source, '-'),
+          coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-')) AS head,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+        xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''),
+               lambda c: CASE WHEN c = '' THEN [] ELSE [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] END))),
+               lambda s, b: CASE WHEN b >= 0 THEN xor(s, b) ELSE xor(s >> 1, (s & 1) * 3988292384) END), 4294967295) AS crc
+      FROM documents
+    ), leaves AS MATERIALIZED (
+      SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        CASE WHEN crc % 5 = 0 THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS changed
+      FROM texts
+    ), placed AS MATERIALIZED (
+      SELECT doc_id, source, leaf, changed, coalesce('+' || source, '') AS k, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY source) AS n
+      FROM leaves
+    ), nodes(k, level, pos, n, digest) AS (
+      SELECT k, 0, pos, n, leaf FROM placed
+      UNION ALL
+      SELECT k, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY k, level, pos // 16, n
+    ), subtree AS MATERIALIZED (SELECT * FROM nodes
+    ), subroots AS MATERIALIZED (
+      SELECT k, digest AS subroot, level AS height, row_number() OVER (ORDER BY encode(k)) - 1 AS pos, count(*) OVER () AS n FROM subtree WHERE n = 1
+    ), upper_nodes(level, pos, n, digest) AS (
+      SELECT 0, pos, n, subroot FROM subroots
+      UNION ALL
+      SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 16, n
+    ), uppertree AS MATERIALIZED (SELECT * FROM upper_nodes
+    ), steps AS MATERIALIZED (
+      SELECT p.leaf, p.k, p.pos, s.level, coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < p.pos // CAST(pow(16, s.level) AS BIGINT)), '') AS l,
+        coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > p.pos // CAST(pow(16, s.level) AS BIGINT)), '') AS r
+      FROM placed p JOIN subtree s ON s.k = p.k AND s.n > 1 AND s.pos // 16 = p.pos // CAST(pow(16, s.level + 1) AS BIGINT)
+      GROUP BY p.leaf, p.k, p.pos, s.level
+    ), upper_steps AS MATERIALIZED (
+      SELECT u.k, s.level, coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < u.pos // CAST(pow(16, s.level) AS BIGINT)), '') AS l,
+        coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > u.pos // CAST(pow(16, s.level) AS BIGINT)), '') AS r
+      FROM subroots u JOIN uppertree s ON s.n > 1 AND s.pos // 16 = u.pos // CAST(pow(16, s.level + 1) AS BIGINT)
+      GROUP BY u.k, s.level
+    ), paths AS MATERIALIZED (
+      SELECT k, pos, level, l, r FROM steps
+      UNION ALL
+      SELECT p.k, p.pos, u.height + s.level, s.l, s.r FROM placed p JOIN subroots u USING (k) JOIN upper_steps s USING (k)
+    ), whole AS MATERIALIZED (
+      SELECT k, pos, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs, string_agg(l || r, '' ORDER BY level) AS siblings FROM paths GROUP BY k, pos
+    ), folding(k, pos, level, acc) AS (
+      SELECT k, pos, 0, changed FROM placed
+      UNION ALL
+      SELECT f.k, f.pos, f.level + 1, sha256(w.ls[f.level + 1] || f.acc || w.rs[f.level + 1]) FROM folding f JOIN whole w USING (k, pos) WHERE f.level < len(w.ls)
+    ), folds AS MATERIALIZED (SELECT k, pos, max_by(acc, level) AS folded_root FROM folding GROUP BY k, pos
+    )
+    SELECT doc_id, leaf, subroot, digest AS root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = digest AS verified
+    FROM placed JOIN subroots USING (k) JOIN folds f ON f.k = placed.k AND f.pos = placed.pos LEFT JOIN whole w ON w.k = placed.k AND w.pos = placed.pos
+      CROSS JOIN (SELECT digest FROM uppertree WHERE n = 1) top
+    """,
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*MANIFEST_FIELDS)
+    # a copy of the row whose text was lowered somewhere on its way
+    changed = merkle.leaf(*MANIFEST_FIELDS[:-1], ascii_lower(F.col("text")))
+    tampered = F.when(remainder("doc_id", 5) == 0, F.unhex(changed))
+    done = merkle.manifest(docs, "doc_id", MANIFEST_FIELDS, "source", carry={"tampered": tampered})
+    seen = F.coalesce(F.lower(F.hex("carried.tampered")), F.col("leaf"))
+    done = done.withColumn("folded_root", merkle.folded(seen, F.col("witness")))
+    return done.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof("witness").alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
