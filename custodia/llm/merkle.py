@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from custodia.llm.common import dropped, map_arrow, stored
 
@@ -256,8 +257,8 @@ def _downwards(nodes: DataFrame, layers: list[DataFrame], tops: DataFrame) -> Da
         below = nodes if last else layers[i - 1].where("n > 1").select("*", F.lit(None).cast("long").alias("id"), F.lit(None).cast("int").alias("carried"))
         below = below.select("id", "k", "pos", "n", "digest", "carried", _block().alias("block"))
         both = below.unionByName(above.withColumn("pos", F.lit(-1).cast("long")), allowMissingColumns=True)
-        schema = below.select("id", "k", "pos", "digest", "carried").schema
-        out = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, witness {WITNESS}, subroot string, root string"
+        passed = below.select("id", "k", "pos", "digest", "carried").schema.fields
+        out = StructType(passed + StructType.fromDDL(f"witness {WITNESS}, subroot string, root string").fields)
         done = map_arrow(_in_blocks(both), _witnesses, out)
         if last:
             return done

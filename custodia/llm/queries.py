@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import bpe, chat, decontaminate, merkle, minhash, pylm, quality, rules, tokencount, toxicity, urlfilter
+from custodia.llm import bpe, chat, codes, decontaminate, merkle, minhash, pylm, quality, rules, tokencount, toxicity, urlfilter
 from custodia.llm.common import ascii_lower, remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -301,3 +301,45 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = F.coalesce(F.lower(F.hex("carried.tampered")), F.col("leaf"))
     done = done.withColumn("folded_root", merkle.folded(seen, F.col("witness")))
     return done.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof("witness").alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def codes_sql() -> str:
+    """The rounds spelled out: nearest entries, then floors of means."""
+    nearest = """near{r} AS MATERIALIZED (
+      SELECT rid, p, any_value(x) AS x, min({{'d': d, 'e': e}}) AS best FROM (
+        SELECT rid, p, x, e, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM cut JOIN book{r} USING (p)
+      ) GROUP BY rid, p
+    )"""
+    moved = """book{n} AS MATERIALIZED (
+      SELECT p, e, coalesce(m.c, book{r}.c) AS c FROM book{r} LEFT JOIN (
+        SELECT p, e, list((s - (s % n + n) % n) // n ORDER BY i) AS c FROM (
+          SELECT p, best.e AS e, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS i FROM near{r}) GROUP BY p, best.e, i
+        ) GROUP BY p, e
+      ) m USING (p, e)
+    )"""
+    rounds = [nearest.format(r=r) + ", " + moved.format(r=r, n=r + 1) for r in range(codes.ROUNDS)] + [nearest.format(r=codes.ROUNDS)]
+    return f"""
+    WITH kept AS MATERIALIZED (
+      SELECT vec_id, label, v, row_number() OVER (ORDER BY vec_id, v) AS rid FROM (
+        SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)
+    ), cut AS MATERIALIZED (
+      SELECT rid, p, v[p * len(v) // 8 + 1 : (p + 1) * len(v) // 8] AS x FROM kept, (SELECT unnest(range(8)) AS p) parts
+    ), book0 AS MATERIALIZED (SELECT p, rid - 1 AS e, x AS c FROM cut WHERE rid <= 16),
+    {", ".join(rounds)}, coded AS MATERIALIZED (
+      SELECT vec_id, label, code, error FROM kept JOIN (
+        SELECT rid, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM near{codes.ROUNDS} GROUP BY rid) USING (rid)
+    ), flat AS (
+      SELECT string_agg(array_to_string(c, ','), ',' ORDER BY p, e) AS numbers FROM book{codes.ROUNDS}
+    )
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha256(numbers) AS codebooks_sha256 FROM coded, flat
+    """
+
+
+@query("op12_vector_codes", codes_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.fit_and_code(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", carry={"label": F.col("label")})
+    totals = codes.with_group_error(coded, F.col("carried.label"))
+    return totals.select(
+        F.col("id").alias("vec_id"), codes.hex_code("code").alias("code"), "error", F.col("group_error").alias("label_error"), F.lit(books.digest()).alias("codebooks_sha256")
+    )
