@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import bpe, chat, codes, decontaminate, merkle, minhash, pylm, quality, rules, tokencount, toxicity, urlfilter
+from custodia.llm import bpe, chat, codes, decontaminate, licenses, merkle, minhash, pylm, quality, rules, tokencount, toxicity, urlfilter
 from custodia.llm.common import ascii_lower, remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -343,3 +343,13 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select(
         F.col("id").alias("vec_id"), codes.hex_code("code").alias("code"), "error", F.col("group_error").alias("label_error"), F.lit(books.digest()).alias("codebooks_sha256")
     )
+
+
+@query("op13_license_scan")
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.detections(table(spark, sf_dir, "documents"), "doc_id", "text")
+    starts = F.transform(licenses.base_of("detections"), lambda d: d["first"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", F.size(starts).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        licenses.names(licenses.base_of("detections")).alias("base_labels"), licenses.labels("detections").alias("labels"), licenses.score("detections").alias("score"),
+    )
