@@ -72,23 +72,28 @@ def rate_limits(registry: DataFrame) -> DataFrame:
     return registry.select("tool", parts[0].cast("int").alias("per_window"), parts[1].alias("unit"))
 
 
-def over_rate_limit(calls: DataFrame, registry: DataFrame) -> DataFrame:
-    """Moments at which an agent exceeds a tool's limit within the limit's own time unit.
+def limited_cells(calls: DataFrame, registry: DataFrame) -> DataFrame:
+    """Registered calls per agent, tool and moment (``n``), with the tool's limit and the seconds it holds for.
 
     A limit in a unit that is not known fails the query instead of being skipped.
     """
-    known = registered_calls(calls, registry)
-    limits = rate_limits(registry)
     unit = F.col("unit")
-    checked = F.when(unit.isin(*RATE_UNITS), unit).otherwise(F.raise_error(F.concat(F.lit("unknown rate limit unit: "), F.coalesce(unit, F.lit("none")))))
-    limits = limits.withColumn("unit", checked)
-    found = None
-    for name, seconds in RATE_UNITS.items():
-        own = limits.where(F.col("unit") == name)
-        counted = trailing_count(known.join(own.select("tool"), "tool", "left_semi"), ["agent", "tool"], "ts", F.make_dt_interval(secs=F.lit(seconds)))
-        over = counted.join(own, "tool").where("n_trailing > per_window").select("agent", "tool", "ts", "n_trailing", F.col("per_window").alias("allowed"))
-        found = over if found is None else found.unionAll(over)
-    return found
+    seconds = F.coalesce(*[F.when(unit == name, F.lit(n)) for name, n in RATE_UNITS.items()], F.raise_error(
+        F.concat(F.lit("unknown rate limit unit: "), F.coalesce(unit, F.lit("none")))).cast("int"))
+    limits = rate_limits(registry).select("tool", "per_window", seconds.alias("window_s"))
+    known = registered_calls(calls, registry)
+    return known.groupBy("agent", "tool", "ts").agg(F.count("*").alias("n")).join(limits, "tool")
+
+
+def over_limit(cells: DataFrame) -> DataFrame:
+    """Moments at which the trailing count of ``cells`` exceeds the limit; all units in one pass."""
+    counted = trailing_count(cells, ["agent", "tool", "per_window", "window_s"], "ts", F.make_dt_interval(secs=F.col("window_s")), weight="n")
+    return counted.where("n_trailing > per_window").select("agent", "tool", "ts", "n_trailing", F.col("per_window").alias("allowed"))
+
+
+def over_rate_limit(calls: DataFrame, registry: DataFrame) -> DataFrame:
+    """Moments at which an agent exceeds a tool's limit within the limit's own time unit."""
+    return over_limit(limited_cells(calls, registry))
 
 
 # --- chains ------------------------------------------------------------------

@@ -67,15 +67,15 @@ def ordered_window(
     return joined.withColumns(out).select(*df.columns, *running, *lag, *lead)
 
 
-def trailing_count(events: DataFrame, keys: list[str], ts: str, width: str | Column) -> DataFrame:
+def trailing_count(events: DataFrame, keys: list[str], ts: str, width: str | Column, weight: str | None = None) -> DataFrame:
     """Per key and distinct time: events at that time (``n``) and in the trailing
-    closed interval ``[ts - width, ts]`` (``n_trailing``).
+    closed interval ``[ts - width, ts]`` (``n_trailing``). A row stands for ``weight`` events; ``width`` may use the keys.
 
     A difference of two running sums: one at each time, one just before the start
     of its interval. No range frame, so a hot key can be split.
     """
     before = width if isinstance(width, Column) else F.expr(f"INTERVAL {width}")
-    cells = events.groupBy(*keys, ts).agg(F.count("*").alias("n"))
+    cells = events.groupBy(*keys, ts).agg((F.count("*") if weight is None else F.sum(weight)).alias("n"))
     points = cells.select(
         *keys, "n", F.col(ts).alias("__at"),
         F.explode(

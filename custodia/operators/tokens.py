@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from custodia.functions import pii
 from custodia.functions.text import unnest
+from custodia.operators.ordered import ordered_window
 from custodia.session import pinned
 from custodia.sources import dims
 
@@ -27,19 +28,20 @@ def puts_of(entities: DataFrame, session: str, created_at: str, ttl: int = dims.
     )
 
 
-def _first_per_token(puts: DataFrame, keys: list[str]) -> DataFrame:
+def _first_per(puts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in FIELDS if c not in keys]
     # min_by combines before the shuffle, so a token put a billion times stays cheap
-    first = F.min_by(F.struct(*rest), F.struct("created_at", "session_id", "value"))
+    first = F.min_by(F.struct(*rest), F.struct(*order))
     return puts.groupBy(*keys).agg(first.alias("r")).select(*keys, *[f"r.{c}" for c in rest]).select(*FIELDS)
 
 
 def write_once(existing: DataFrame | None, puts: DataFrame, same_session: bool = False) -> DataFrame:
     """Records to append: a put is ignored while an earlier record of the token is alive.
 
-    Puts later than the expiry of the record accepted before them re-issue the
-    token. Each round accepts at most one record per token; a batch shorter than
-    the time to live needs one round.
+    The first put of a token is accepted; a put at or after the expiry of the record accepted before it re-issues the
+    token. Of puts at one instant the first by session and value counts. A token whose puts all fall into the life of
+    the first one needs one aggregation. For the others each put points to the first put at or after
+    its own expiry, and the accepted ones are those on the path from the first (``_on_path``).
     """
     keys = ["session_id", "token"] if same_session else ["token"]
     open_puts = puts.select(*FIELDS)
@@ -49,17 +51,55 @@ def write_once(existing: DataFrame | None, puts: DataFrame, same_session: bool =
             open_puts["created_at"] >= live["l_from"], open_puts["created_at"] < live["l_to"]
         ]
         open_puts = open_puts.join(live, blocked, "left_anti")
-    open_puts = pinned(open_puts)
-    accepted = _first_per_token(open_puts, keys)
-    result = accepted
+    instants = pinned(_first_per(open_puts, [*keys, "created_at"], [c for c in ("session_id", "value") if c not in keys]))
+    span = instants.groupBy(*keys).agg(F.min_by("expires_at", "created_at").alias("f_to"), F.max("created_at").alias("l_at"))
+    chains = span.where(F.col("l_at") >= F.col("f_to")).select(*keys)
+    first = _first_per(instants, keys, ["created_at"])
+    if chains.isEmpty():
+        return first
+    chained = instants.join(chains, keys, "left_semi")
+    path = _on_path(chained, keys)
+    again = chained.join(path, [*keys, "created_at"], "left_semi").select(*FIELDS)
+    return first.join(chains, keys, "left_anti").unionByName(again)
+
+
+def _on_path(puts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, created_at) of the puts on each key's path of re-issues, by pointer doubling.
+
+    Puts are numbered in time, and the number of puts before a put's expiry is the number of its successor: both come from one
+    running count over all points, so a hot key is spread. Then every round doubles the pointers and
+    adds what the puts found so far point to. The rounds are the logarithm of the longest path, and each one is pinned, so neither plan
+    nor lineage grows with the data.
+    """
+    at = F.explode(F.array(
+        F.struct(F.col("created_at").alias("t"), F.lit(1).alias("kind"), F.lit(1).cast("bigint").alias("add")),
+        # before the puts of its own instant, which may follow; a record without a life ends after itself
+        F.struct(F.greatest("created_at", "expires_at").alias("t"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("add")),
+    ))
+    points = puts.select(*keys, "created_at", at.alias("p")).select(*keys, "created_at", "p.*")
+    counted = ordered_window(points, keys, ["t", "kind"], running={"run": ("sum", F.col("add"))})
+    number = F.max(F.when(F.col("kind") == 1, F.col("run"))) - 1
+    before = F.coalesce(F.max(F.when(F.col("kind") == 0, F.col("run"))), F.lit(0))
+    nodes = counted.groupBy(*keys, "created_at").agg(number.alias("number"), F.greatest(before, number + 1).alias("next"))
+    nodes = pinned(nodes.withColumn("found", F.col("number") == 0))
     while True:
-        after = accepted.select(*keys, F.col("expires_at").alias("a_to"))
-        rest = open_puts.join(after, keys).where(F.col("created_at") >= F.col("a_to")).select(*FIELDS)
-        if rest.isEmpty():
-            return result
-        open_puts = pinned(rest)
-        accepted = _first_per_token(open_puts, keys)
-        result = result.unionByName(accepted)
+        found_next = nodes.where("found").select(*keys, F.col("next").alias("number"), F.lit(True).alias("__hit"))
+        onward = nodes.select(*keys, F.col("number").alias("next"), F.col("next").alias("__next"))
+        # a pointer past the last put finds no node and stays
+        doubled = nodes.join(found_next, [*keys, "number"], "left").join(onward, [*keys, "next"], "left").select(
+            *keys, "created_at", "number", F.coalesce("__next", "next").alias("next"),
+            (F.col("found") | F.coalesce("__hit", F.lit(False))).alias("found"), (F.col("found") & F.col("__next").isNotNull()).alias("more"),
+        )
+        nodes = pinned(doubled)
+        if nodes.where("more").isEmpty():
+            return nodes.where("found").select(*keys, "created_at")
+        nodes = nodes.drop("more")
+
+
+def living(token_map: DataFrame, puts: DataFrame) -> DataFrame:
+    """Records still alive at the first put, whatever their own time to live; in microseconds, free of time zones."""
+    first = puts.agg(F.min(F.unix_micros("created_at"))).first()[0]
+    return token_map if first is None else token_map.where(F.col("expires_at") > F.timestamp_micros(F.lit(first)))
 
 
 def collisions(puts: DataFrame) -> DataFrame:

@@ -56,27 +56,31 @@ def stream_latency_p95(inp: Inputs):
     return out.select("model_id", text("window_start"), "n", "p95")
 
 
+def run_ordered(inp: Inputs, step: sinks.Ordered, stream):
+    """Run an ordered job over the whole stream and end it."""
+    sinks.run_batches(stream, step.base, step)
+    step.finish(inp.spark)
+    return step
+
+
 @query("stream_low_consistency", "SELECT model_id, started, run_length FROM #q_low_consistency_runs# r")
 def stream_low_consistency(inp: Inputs):
-    base = sinks.fresh_dir(inp.spark, "low-runs")
-    traces = inp.stream_view("traces").select("model_id", "ts", "request_id", "self_consistency_score")
-    step = sinks.low_run_alerts(base, "model_id", "self_consistency_score", ["ts", "request_id"])
-    sinks.run_batches(traces, base, step)
-    return inp.spark.read.parquet(f"{base}/alerts").select("model_id", text("started"), "run_length")
+    step = sinks.LowRuns(sinks.fresh_dir(inp.spark, "low-runs"), "model_id", "self_consistency_score", [("ts", "timestamp"), ("request_id", "bigint")])
+    return run_ordered(inp, step, inp.stream_view("traces")).runs(inp.spark).select("model_id", text("started"), "run_length")
 
 
-@query("stream_message_ttl", f"""SELECT trace_id, seq FROM #messages# m WHERE NOT EXISTS (SELECT 1 FROM #messages# r WHERE r.trace_id = m.trace_id AND r.seq = m.seq + 1 AND r.created_at BETWEEN m.created_at AND m.created_at + INTERVAL '300' SECOND)
-AND created_at + INTERVAL '300' SECOND < {_CLOSED.format('created_at', '#messages# z')}""")
+@query("stream_message_ttl", """SELECT trace_id, seq FROM #messages# m WHERE NOT EXISTS (SELECT 1 FROM #messages# r WHERE r.trace_id = m.trace_id AND r.seq = m.seq + 1 AND r.created_at BETWEEN m.created_at AND m.created_at + INTERVAL '300' SECOND)
+AND created_at + INTERVAL '300' SECOND < (SELECT max(created_at) - INTERVAL '10' MINUTE FROM #messages# z)""")
 def stream_message_ttl(inp: Inputs):
-    return sinks.run_available(jobs.expired_messages(inp.stream_view("messages")).select("trace_id", "seq"), "ttl")
+    step = sinks.MessageTtl(sinks.fresh_dir(inp.spark, "ttl"))
+    sinks.run_batches(inp.stream_view("messages"), step.base, step)  # not ended: what is open may still be answered
+    return step.alerts(inp.spark).select("trace_id", "seq")
 
 
-@query("stream_rate_limit", f"""SELECT agent, x.tool, CAST(w AS VARCHAR) AS window_start, n FROM (
-  SELECT agent, tool, w, count(*) AS n FROM (SELECT agent, tool, time_bucket(INTERVAL 10 MINUTES, ts, TIMESTAMP '1970-01-01') - i * INTERVAL 10 MINUTES AS w FROM #tool_calls# c, unnest([0, 1, 2, 3, 4, 5]) u(i)) y
-  WHERE w + INTERVAL 1 HOUR <= {_CLOSED.format('ts', '#tool_calls# z')} GROUP BY 1, 2, 3) x JOIN %tool_registry% r ON r.tool = x.tool WHERE n > CAST(split_part(r.rate_limit, '/', 1) AS INTEGER)""")
+@query("stream_rate_limit", "SELECT agent, tool, ts, n_trailing, allowed FROM #q_tool_rate_limit# r")
 def stream_rate_limit(inp: Inputs):
-    over = jobs.over_rate_limit(inp.stream_view("tool_calls"), inp.dim("tool_registry"))
-    return sinks.run_available(over, "rate").select("agent", "tool", text("window_start"), "n")
+    step = sinks.RateLimit(sinks.fresh_dir(inp.spark, "rate"), inp.dim("tool_registry"))
+    return run_ordered(inp, step, inp.stream_view("tool_calls")).alerts(inp.spark).select("agent", "tool", text("ts"), "n_trailing", "allowed")
 
 
 @query("stream_sessions", f"""SELECT user_id, CAST(min(ts) AS VARCHAR) AS started, CAST(max(ts) + INTERVAL 1 HOUR AS VARCHAR) AS ended, count(*) AS n FROM (

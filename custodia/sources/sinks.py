@@ -28,9 +28,7 @@ def append_tokens(puts: DataFrame, path: str, same_session: bool = False) -> Non
     spark = puts.sparkSession
     existing = table_or_none(spark, path, schemas.TOKEN_MAP + ", dt DATE")
     if existing is not None:
-        # only records still alive at the first put, whatever their own time to live; in microseconds, free of time zones
-        first = puts.agg(F.min(F.unix_micros("created_at"))).first()[0]
-        existing = existing.where(F.col("expires_at") > F.timestamp_micros(F.lit(first))) if first is not None else existing
+        existing = tokens.living(existing, puts)
     new = tokens.write_once(existing, puts, same_session)
     append_by_day(pinned(new).withColumn("dt", F.to_date("created_at")), path)
 

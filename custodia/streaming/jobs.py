@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from custodia.functions.text import unnest
 from custodia.operators import quality, redaction, tokens
-from custodia.operators.agents import rate_limits, registered_calls
 from custodia.sources import dims
 
 DELAY = "10 minutes"
@@ -42,35 +41,6 @@ def latency_p95(traces: DataFrame, value: str, width: str = "1 hour", delay: str
     return agg.select("model_id", F.col("w.start").alias("window_start"), "n", "p95")
 
 
-def over_rate_limit(calls: DataFrame, registry: DataFrame, slide: str = "10 minutes", delay: str = DELAY) -> DataFrame:
-    """Sliding hours in which an agent calls a tool more often than allowed.
-
-    Only hourly limits can be watched this way; any other unit fails the query.
-    """
-    known = registered_calls(calls, registry)
-    n = known.withWatermark("ts", delay).groupBy(F.window("ts", "1 hour", slide).alias("w"), "agent", "tool").agg(F.count("*").alias("n"))
-    wrong = F.raise_error(F.concat(F.lit("not an hourly limit: "), F.coalesce("unit", F.lit("none"))))
-    limits = rate_limits(registry).withColumn("per_window", F.when(F.col("unit") == "hour", F.col("per_window")).otherwise(wrong))
-    return n.join(limits, "tool").where(F.col("n") > F.col("per_window")).select("agent", "tool", F.col("w.start").alias("window_start"), "n")
-
-
-def expired_messages(messages: DataFrame, delay: str = DELAY, longest: int = dims.MESSAGE_TTL_SECONDS) -> DataFrame:
-    """Messages whose successor does not arrive within their own time to live (outer interval join).
-
-    State is kept for ``longest`` seconds; a message with a longer time to live counts as one of ``longest``.
-    """
-    asked = messages.withWatermark("created_at", delay)
-    reply = messages.select(
-        F.col("trace_id").alias("r_trace"), (F.col("seq") - 1).alias("r_seq"), F.col("created_at").alias("r_at")
-    ).withWatermark("r_at", delay)
-    on = (
-        (F.col("trace_id") == F.col("r_trace")) & (F.col("seq") == F.col("r_seq"))
-        & (F.col("r_at") >= F.col("created_at")) & (F.col("r_at") <= F.col("created_at") + F.expr(f"INTERVAL {int(longest)} SECONDS"))
-        & (F.col("r_at") <= F.col("created_at") + F.make_dt_interval(secs=F.col("ttl_seconds")))
-    )
-    return asked.join(reply, on, "leftOuter").where(F.col("r_at").isNull()).select("trace_id", "seq", "created_at")
-
-
 def sessions(activity: DataFrame, session: str, ts: str, gap: str = "1 hour", delay: str = DELAY) -> DataFrame:
     s = F.session_window(ts, gap)
     agg = activity.withWatermark(ts, delay).groupBy(s.alias("s"), session).agg(F.count("*").alias("n"))

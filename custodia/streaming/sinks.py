@@ -7,11 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from custodia.operators import audit, tokens
+from custodia.operators import agents, audit, tokens
 from custodia.operators.ordered import ordered_window
 from custodia.session import pinned, shared_dir
 from custodia.sources import dims, schemas
+from custodia.streaming.reorder import EpochTable, Released, Reorder
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -86,69 +88,200 @@ def append_audit(base: str, order: list[str], lookback_days: int | None = None)
     return step
 
 
-def append_token_map(base: str, ttl: int = dims.TOKEN_TTL_SECONDS) -> Callable[[DataFrame, int], None]:
+def append_token_map(base: str) -> Callable[[DataFrame, int], None]:
     """Micro-batch step: write-once token records in ``{base}/map``.
 
     Puts are reduced per token before they are shuffled, so a token that fills
-    the batch is no bottleneck. Only map partitions that may hold living records
-    are read. A repeated batch is blocked by its own first attempt.
+    the batch is no bottleneck. Only records that live at the first put are
+    compared, whatever their own time to live. A repeated batch is blocked by its own first attempt.
     """
 
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         puts = pinned(batch.select(*tokens.FIELDS))
-        first = puts.agg(F.min("created_at")).first()[0]
-        if first is None:
+        if puts.isEmpty():
             return
         known = table_or_none(spark, f"{base}/map", schemas.TOKEN_MAP + ", dt DATE")
         if known is not None:
-            known = known.where(F.col("dt") >= F.to_date(F.lit(first) - tokens.seconds(ttl)))
+            known = tokens.living(known, puts)
         new = tokens.write_once(known, puts).withColumn("dt", F.to_date("created_at"))
         append_by_day(pinned(new), f"{base}/map")
 
     return step
 
 
+def _run_state(key: str) -> str:
+    return f"{key} STRING, carried BIGINT, carried_from TIMESTAMP"
+
+
+def _null_safe(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Join on a key for which null is a key of its own."""
+    both = left.withColumn("__l", F.lit(True)).join(right.withColumnRenamed(key, "__k"), F.col(key).eqNullSafe(F.col("__k")), how)
+    return both.withColumn(key, F.when(F.col("__l").isNull(), F.col("__k")).otherwise(F.col(key))).drop("__k", "__l")
+
+
+def _grown_runs(rows: DataFrame, state: DataFrame | None, key: str, score: str, order: list[str], bound: float) -> DataFrame:
+    """Runs of low scores in ``rows``, the first of a key going on with its carried run: their length before and now, start, and
+    whether they are still open. A key without rows keeps its run; one whose rows begin with a good score ends it.
+
+    The rows are ordered in a distributed way, so a key that carries most of the traffic is no bottleneck.
+    """
+    low = F.coalesce(F.col(score) < bound, F.lit(False))
+    marked = ordered_window(
+        rows.select(key, *order, score).withColumn("__low", low), [key], order, running={"island": ("sum", (~F.col("__low")).cast("bigint"))}
+    )
+    per = marked.groupBy(key, "island").agg(F.count_if("__low").alias("run_length"), F.min(F.when(F.col("__low"), F.col(order[0]))).alias("started"))
+    last = per.groupBy(key).agg(F.max("island").alias("last_island"))
+    # island 0 holds the rows before the first good score, if any
+    first = last.select(key, F.lit(0).cast("bigint").alias("island"), F.lit(0).cast("bigint").alias("run_length"), F.lit(None).cast("timestamp").alias("started"))
+    islands = per.unionByName(first).groupBy(key, "island").agg(F.sum("run_length").alias("run_length"), F.min("started").alias("started"))
+    runs = _null_safe(islands, last, key, "left")
+    if state is None:
+        runs = runs.withColumns({"carried": F.lit(0).cast("bigint"), "carried_from": F.lit(None).cast("timestamp")})
+    else:
+        runs = _null_safe(runs, state, key, "full")
+    goes_on = F.coalesce(F.col("island"), F.lit(0)) == 0
+    before = F.when(goes_on, F.coalesce("carried", F.lit(0))).otherwise(F.lit(0))
+    return runs.select(
+        key, before.alias("before"), (before + F.coalesce("run_length", F.lit(0))).alias("run_length"),
+        F.when(goes_on, F.coalesce("carried_from", "started")).otherwise(F.col("started")).alias("started"),
+        (F.coalesce("island", F.lit(0)) == F.coalesce("last_island", F.lit(0))).alias("open"),
+    )
+
+
+def _carried(runs: DataFrame, key: str) -> DataFrame:
+    """One row per key."""
+    return runs.where("open").select(key, F.col("run_length").alias("carried"), F.col("started").alias("carried_from"))
+
+
 def low_run_alerts(
     base: str, key: str, score: str, order: list[str],
     bound: float = dims.LOW_CONSISTENCY, longer_than: int = dims.LOW_CONSISTENCY_RUN,
 ) -> Callable[[DataFrame, int], None]:
-    """Micro-batch step: alert once when a run of low scores grows beyond ``longer_than``.
+    """Micro-batch step for sources that deliver in order: alert once when a run of low scores grows beyond ``longer_than``.
 
-    The open run of every key is kept in a small state table per batch number.
-    Within a batch the rows are ordered in a distributed way, so a key that
-    carries most of the traffic is no bottleneck; re-running a batch overwrites
-    its own output only.
+    Rows are taken as they arrive; ``LowRuns`` puts them in order first. Re-running a batch overwrites its own output only.
     """
 
     def step(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        low = F.coalesce(F.col(score) < bound, F.lit(False))
-        rows = batch.select(key, *order, score).withColumn("__low", low)
-        marked = ordered_window(rows, [key], order, running={"island": ("sum", (~F.col("__low")).cast("bigint"))})
-        islands = marked.groupBy(key, "island").agg(
-            F.count_if("__low").alias("run_length"), F.min(F.when(F.col("__low"), F.col(order[0]))).alias("started")
-        )
-        last = marked.groupBy(key).agg(F.max("island").alias("last_island"))
-        runs = islands.join(last, key, "full")
-        state = table_or_none(spark, f"{base}/state/epoch={epoch - 1}", f"{key} STRING, carried BIGINT, carried_from TIMESTAMP")
-        if state is None:
-            runs = runs.withColumns({"carried": F.lit(0).cast("bigint"), "carried_from": F.lit(None).cast("timestamp")})
-        else:
-            runs = runs.join(state, key, "full")
-        # island 0 holds the rows before the first good score: it goes on with the carried run
-        goes_on = F.coalesce(F.col("island"), F.lit(0)) == 0
-        before = F.when(goes_on, F.coalesce("carried", F.lit(0))).otherwise(F.lit(0))
-        merged = runs.select(
-            key, before.alias("before"), (before + F.coalesce("run_length", F.lit(0))).alias("run_length"),
-            F.when(goes_on, F.coalesce("carried_from", "started")).otherwise(F.col("started")).alias("started"),
-            (F.coalesce("island", F.lit(0)) == F.coalesce("last_island", F.lit(0))).alias("open"),
-        )
-        merged.where((F.col("run_length") > longer_than) & (F.col("before") <= longer_than)).select(
-            key, "started", "run_length"
-        ).write.mode("overwrite").parquet(f"{base}/alerts/epoch={epoch}")
-        # one row per key; a key whose batch begins with a good score has no island 0 and starts anew
-        merged.where("open").select(key, F.col("run_length").alias("carried"), F.col("started").alias("carried_from")).write.mode(
-            "overwrite").parquet(f"{base}/state/epoch={epoch}")
+        state = EpochTable(base, "state", _run_state(key))
+        merged = _grown_runs(batch, state.read(batch.sparkSession, epoch - 1), key, score, order, bound)
+        grown = (F.col("run_length") > longer_than) & (F.col("before") <= longer_than)
+        merged.where(grown).select(key, "started", "run_length").write.mode("overwrite").parquet(f"{base}/alerts/epoch={epoch}")
+        state.write(_carried(merged, key), epoch)
 
     return step
+
+
+class Ordered:
+    """Micro-batch job over rows in the order of their event time.
+
+    A subclass names the columns it needs and handles what the buffer releases. ``finish`` ends a stream that is known
+    to be over: it releases the rows that the watermark has not passed.
+    """
+
+    ts = "ts"
+    columns: str
+
+    def __init__(self, base: str, delay_seconds: int = 600):
+        self.base, self.last = base, -1
+        self.buffer = Reorder(base, self.ts, delay_seconds)
+
+    def __call__(self, batch: DataFrame | None, epoch: int, spark: SparkSession | None = None) -> None:
+        spark = spark or batch.sparkSession
+        schema = StructType.fromDDL(self.columns)
+        if batch is not None:
+            batch = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+        self.handle(spark, self.buffer.release(batch, spark, epoch, schema), epoch)
+        self.last = epoch
+
+    def finish(self, spark: SparkSession) -> None:
+        self(None, self.last + 1, spark)
+
+    def handle(self, spark: SparkSession, released: Released, epoch: int) -> None:
+        raise NotImplementedError
+
+    def alerts(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.base}/alerts").drop("epoch")
+
+    def write(self, name: str, rows: DataFrame, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.base}/{name}/epoch={epoch}")
+
+
+class LowRuns(Ordered):
+    """Runs of low scores longer than ``longer_than``.
+
+    ``alerts`` has a row per run, written when the run grows beyond the bound; ``runs`` has its length, written when a better score, or the end
+    of the stream, closes it. Neither depends on how the stream was cut. The open run of every key is carried; rows
+    are ordered in a distributed way, so a key that carries most of the traffic is no bottleneck.
+    """
+
+    def __init__(
+        self, base: str, key: str, score: str, order: list[tuple[str, str]], delay_seconds: int = 600,
+        bound: float = dims.LOW_CONSISTENCY, longer_than: int = dims.LOW_CONSISTENCY_RUN,
+    ):
+        self.key, self.score, self.order = key, score, [name for name, _ in order]
+        self.ts, self.columns = self.order[0], ", ".join([f"{key} STRING", f"{score} DOUBLE", *[f"{n} {t}" for n, t in order]])
+        self.bound, self.longer_than = bound, longer_than
+        super().__init__(base, delay_seconds)
+
+    def handle(self, spark: SparkSession, released: Released, epoch: int) -> None:
+        state = EpochTable(self.base, "state", _run_state(self.key))
+        runs = pinned(_grown_runs(released.rows, state.read(spark, epoch - 1), self.key, self.score, self.order, self.bound))
+        long = F.col("run_length") > self.longer_than
+        self.write("alerts", runs.where(long & (F.col("before") <= self.longer_than)).select(self.key, "started"), epoch)
+        closed = F.lit(True) if released.ended else ~F.col("open")
+        self.write("runs", runs.where(long & closed).select(self.key, "started", "run_length"), epoch)
+        state.write(_carried(runs, self.key), epoch)
+
+    def runs(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.base}/runs").drop("epoch")
+
+
+class RateLimit(Ordered):
+    """Moments at which an agent's calls of a tool exceed the tool's limit, exactly as in batch, in every unit.
+
+    Calls are carried as counts per agent, tool and moment, as far back as a limit reaches; the trailing
+    counts of a release are running sums over those cells and its own.
+    """
+
+    columns = "agent STRING, tool STRING, ts TIMESTAMP"
+    _cells = "tool STRING, agent STRING, ts TIMESTAMP, n BIGINT, per_window INT, window_s INT"
+
+    def __init__(self, base: str, registry: DataFrame, delay_seconds: int = 600):
+        self.registry = registry
+        super().__init__(base, delay_seconds)
+
+    def handle(self, spark: SparkSession, released: Released, epoch: int) -> None:
+        table = EpochTable(self.base, "recent", self._cells)
+        # a moment is released as a whole, so its cell is complete
+        cells = agents.limited_cells(released.rows, self.registry).select(*StructType.fromDDL(self._cells).names)
+        before = table.read(spark, epoch - 1)
+        cells = pinned(cells if before is None else cells.unionByName(before))
+        over = agents.over_limit(cells)
+        self.write("alerts", over if released.since is None else over.where(F.unix_micros("ts") >= released.since), epoch)
+        reach = F.col("ts") + F.make_dt_interval(secs=F.col("window_s"))
+        table.write(cells.where(~released.passed(reach)), epoch)
+
+
+class MessageTtl(Ordered):
+    """Messages whose successor does not come within their own time to live.
+
+    Open messages are carried with their deadlines, each its own, however long. A successor (the next number of the chain) closes a
+    message if it comes between the message and its deadline; once the watermark has passed the deadline, every such
+    successor has been released, and a message that is still open has expired. A message without a time to live never expires.
+    """
+
+    ts = "created_at"
+    columns = "trace_id BIGINT, seq BIGINT, created_at TIMESTAMP, ttl_seconds BIGINT"
+
+    def handle(self, spark: SparkSession, released: Released, epoch: int) -> None:
+        table = EpochTable(self.base, "open", self.columns)
+        before = table.read(spark, epoch - 1)
+        messages = released.rows if before is None else released.rows.unionByName(before)
+        reply = released.rows.select(F.col("trace_id").alias("r_trace"), (F.col("seq") - 1).alias("r_seq"), F.col("created_at").alias("r_at"))
+        deadline = F.col("created_at") + F.make_dt_interval(secs=F.col("ttl_seconds"))
+        answered = (F.col("trace_id") == F.col("r_trace")) & (F.col("seq") == F.col("r_seq")) & (F.col("r_at") >= F.col("created_at")) & (F.col("r_at") <= deadline)
+        still = pinned(messages.where(F.col("ttl_seconds").isNotNull()).join(reply, answered, "left_anti"))
+        self.write("alerts", still.where(released.passed(deadline)).select("trace_id", "seq", "created_at"), epoch)
+        table.write(still.where(~released.passed(deadline)), epoch)
