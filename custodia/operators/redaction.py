@@ -46,54 +46,90 @@ def candidate_rows(df: DataFrame, text: str, keep: list[str], types: list[str])
     )
 
 
-#: Pieces of a text or name: words, numbers, spaces, single signs. Put together they are the text again.
-NAME_PIECE = r"\p{L}[\p{L}'-]*|\p{N}+|\s+|[^\p{L}\p{N}\s]"
-#: First words of names that are broadcast at most.
-MAX_BROADCAST = 50_000
+#: Pieces of a text or name: runs of letters, numbers and spaces, and single signs. Put together they are the text again.
+NAME_PIECE = r"\p{L}+|\p{N}+|\s+|[^\p{L}\p{N}\s]"
+#: Bits of a filter over the gazetteer, 64 KB; what is sent to every task does not grow with the gazetteer. With more than
+#: some ten thousand names more texts are looked at twice, results stay the same.
+FILTER_BITS = 1 << 19
 
 
-def person_hits(docs: DataFrame, text: str, doc_id: str, names: DataFrame) -> DataFrame:
+def _filter(keys: DataFrame, key: str, bits: int) -> Column:
+    """A Bloom filter of ``key``, two bits a value, as a constant array of longs.
+
+    The driver gets its words, of which there are ``bits / 64`` at most. They go into the plan as one text that the optimizer folds
+    into an array: a subquery is not allowed where the filter is used, and a joined column would be copied into every row.
+    """
+    places = keys.select(F.explode(_places(F.col(key), bits)).alias("place"))
+    words = places.groupBy(F.shiftright("place", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, place & 63)")).alias("v"))
+    cells = [0] * max(bits // 64, 1)
+    for r in words.collect():
+        cells[r.w] = r.v
+    return F.split(F.lit(",".join(map(str, cells))), ",").cast("array<bigint>")
+
+
+def _places(value: Column, bits: int) -> Column:
+    h = F.xxhash64(value)
+    return F.array(h.bitwiseAND(F.lit(bits - 1)).cast("int"), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1)).cast("int"))
+
+
+def _may_hold(cells: Column, value: Column, bits: int) -> Column:
+    def is_set(place: Column) -> Column:
+        return F.getbit(F.get(cells, F.shiftright(place, 6)), place.bitwiseAND(F.lit(63))) == 1
+
+    return F.forall(_places(value, bits), is_set)
+
+
+def _name_pattern(name: Column) -> Column:
+    """The name as it stands, not going on in a word or number.
+
+    A hyphen or apostrophe between letters belongs to the word, except the one of a possessive ``'s``.
+    """
+    quoted = F.concat(F.lit(r"\Q"), F.replace(name, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    before = F.when(name.rlike(r"^\p{L}"), r"(?<![\p{L}\p{N}])(?<!\p{L}['-])").otherwise(r"(?<![\p{L}\p{N}])")
+    inside = F.when(name.rlike(r"\p{L}$"), r"(?!-\p{L})(?!'(?!s(?!\p{L}))\p{L})").when(name.rlike(r"\p{N}$"), r"(?!\p{N})").otherwise("")
+    after = F.concat(F.lit(r"(?!\p{L})"), inside)
+    return F.concat(before, quoted, after)
+
+
+def person_hits(docs: DataFrame, text: str, doc_id: str, names: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     """Names found in texts, exactly as the gazetteer writes them, with offsets.
 
-    Names may have any number of words, and any signs, digits and spaces; a blank name is none. Texts and names are cut
-    by one rule. A piece of a text meets the names' first pieces, of which only the distinct lengths are kept, so names that
-    begin alike make no pairs; what stands there in each length then meets the names in a second join. A row holds as many
-    pieces as the longest name. A hit does not go on in a word or number; other signs next to a name do not hide it.
-    Hits that overlap each other are left to the overlap rule.
+    Names may have any number of words, and any signs, digits and spaces; a blank name is none. Two filters over the gazetteer, of
+    fixed size, go to every task: one over the names' first words, one over whole names. A name is put together only at a piece that
+    may begin one, and offsets are looked for only if the whole may be a name. So row by row, without a shuffle, only
+    hits leave the scan; an exact join with the gazetteer then drops what the filters let through by chance.
+    Hits of one name in a text do not overlap; those of different names are left to the overlap rule.
     """
+    known = names.select("name").where(F.col("name").rlike(r"\S")).distinct()
+    cut = known.withColumn("p", F.regexp_extract_all("name", F.lit(NAME_PIECE), F.lit(0)))
     blank = r"^\s"
-    cut = names.select("name").where(F.col("name").rlike(r"\S")).distinct().withColumn("p", F.regexp_extract_all("name", F.lit(NAME_PIECE), F.lit(0)))
-    first = F.when(F.col("p")[0].rlike(blank), 1).otherwise(0)
-    known = cut.select(
-        F.get("p", first).alias("word"), F.when(first == 1, F.length(F.col("p")[0])).otherwise(0).alias("lead"), F.length("name").alias("length"), F.size("p").alias("n")
-    )
-    shapes = known.groupBy("word").agg(F.collect_set(F.struct("lead", "length")).alias("shapes"))
-    if shapes.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
-        shapes = F.broadcast(shapes)
-    most = F.broadcast(known.agg(F.coalesce(F.max("n"), F.lit(0)).alias("__most")))  # one row
-    pieces = docs.select(F.col(doc_id), pii.spans(F.col(text), NAME_PIECE).alias("__w")).crossJoin(most)
-
-    def here(w: Column, i: Column) -> Column:
-        def joined(start: Column, n: Column) -> Column:
-            return F.array_join(F.slice(w, start, n)["value"], "")
-
-        word = F.get(w, i)
-        before, after = joined(F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2))), joined(i + 1, F.col("__most") + 1)
-        return F.when(~word["value"].rlike(blank), F.struct(word["value"].alias("word"), word["start"].alias("start"), before.alias("before"), after.alias("after")))
-
-    # the pieces are bound once; a text without a piece has none
-    each = F.transform(F.array(F.col("__w")), lambda w: F.when(F.size(w) > 0, F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: here(w, i))))[0]
-    at = unnest(pieces, [doc_id], each, "__p").select(doc_id, F.col("__p.word").alias("word"), "__p.start", "__p.before", "__p.after").join(shapes, "word")
-    found = at.select(doc_id, "start", "before", "after", F.explode("shapes").alias("s")).select(doc_id, "start", "before", "after", "s.lead", "s.length")
-    told = F.length("before") - F.col("lead")  # characters known before the name
-    rest = F.col("length") - F.col("lead")
-    name = F.concat(F.substring("before", told + 1, F.col("lead")), F.substring("after", F.lit(1), rest))
-    hits = found.where(told >= 0).select(
-        doc_id, name.alias("name"), (F.col("start") - F.col("lead")).alias("start"), (F.col("start") + rest).alias("end"),
-        F.substring("before", told, F.when(told > 0, 1).otherwise(0)).alias("previous"), F.substring("after", rest + 1, F.lit(1)).alias("next"),
-    )
-    whole = ~F.col("previous").rlike(r"\p{L}") & ~F.col("next").rlike(r"[\p{L}'-]") & ~(F.col("next").rlike(r"\p{N}") & F.col("name").rlike(r"\p{N}$"))
-    return hits.where(whole).join(names.select("name").distinct(), "name").select(
+    # a name that begins with spaces is found by its first other piece; the gazetteer is read three times here
+    lead = F.when(F.col("p")[0].rlike(blank), 1).otherwise(0)
+    parts = cut.select("name", F.get("p", lead).alias("word"), F.struct(lead.alias("lead"), F.size("p").alias("n")).alias("shape"))
+    firsts, wholes = _filter(parts, "word", bits), _filter(known, "name", bits)
+    # as many as there are different numbers of pieces
+    shapes = F.array(*[F.struct(F.lit(r.lead).alias("lead"), F.lit(r.n).alias("n")) for r in parts.select("shape.*").distinct().collect()]).cast("array<struct<lead:int,n:int>>")
+
+    def bound(value: Column, use) -> Column:
+        return F.transform(F.array(value), use)[0]
+
+    def names_at(pieces: Column, i: Column, whole: Column, sizes: Column) -> Column:
+        def name(s: Column) -> Column:
+            return F.when(i >= s["lead"], F.array_join(F.slice(pieces, F.greatest(i - s["lead"], F.lit(0)) + 1, s["n"]), ""))
+
+        return F.filter(F.transform(sizes, name), lambda n: F.when(n.isNull(), False).otherwise(_may_hold(whole, n, bits)))
+
+    def names_in(cells: Column, whole: Column, sizes: Column) -> Column:
+        def of(pieces: Column) -> Column:
+            begins = F.filter(F.transform(pieces, lambda p, i: F.when((p != " ") & _may_hold(cells, p, bits), i)), lambda i: i.isNotNull())
+            return F.array_distinct(F.flatten(F.transform(begins, lambda i: names_at(pieces, i, whole, sizes))))
+
+        return bound(F.regexp_extract_all(F.col(text), F.lit(NAME_PIECE), F.lit(0)), of)
+
+    here = names_in(firsts, wholes, shapes)
+    spots = F.flatten(F.transform(here, lambda n: F.transform(pii.spans(F.col(text), _name_pattern(n)), lambda s: F.struct(n.alias("name"), s["start"].alias("start"), s["end"].alias("end")))))
+    found = unnest(docs.where(F.col(text).isNotNull()), [doc_id], spots, "__h").select(doc_id, "__h.*")
+    return found.join(known, "name").select(
         doc_id, F.col("name").alias("value"), "start", "end", F.lit(pii.CONFIDENCE["PERSON"]).alias("confidence")
     )
 

@@ -129,7 +129,8 @@ SELECT doc_id, name AS value, CAST(p AS INTEGER) AS start, CAST(p + length(name)
     SELECT d.doc_id, n.name, d.text, string_split(d.text, n.name) AS sp, unnest(range(1, len(string_split(d.text, n.name)))) AS i
     FROM documents d JOIN (SELECT DISTINCT unnest(regexp_extract_all(text, '(?:\\p{Lu}\\p{Ll}+ \\p{Ll}+ \\p{Ll}+|\\p{Lu}\\p{Ll}{5,})')) AS name FROM benchmark) n ON contains(d.text, n.name)) a) b
 JOIN (SELECT doc_id, text FROM documents) t USING (doc_id)
-WHERE (p = 0 OR NOT regexp_matches(substr(t.text, p, 1), '[\\p{L}''-]')) AND (p + length(name) = length(t.text) OR NOT regexp_matches(substr(t.text, CAST(p + length(name) + 1 AS BIGINT), 1), '[\\p{L}''-]'))
+WHERE NOT regexp_matches(substr(t.text, greatest(p - 1, 1), least(p, 2)), '(?:\\p{L}|\\p{N}|\\p{L}[''-])$')
+  AND NOT regexp_matches(substr(t.text, CAST(p + length(name) + 1 AS BIGINT), 4), '^(?:\\p{L}|-\\p{L}|''[^\\P{L}s]|''s\\p{L})')
 """)
 def pii_person(inp: Inputs):
     pattern = r"(?:\p{Lu}\p{Ll}+ \p{Ll}+ \p{Ll}+|\p{Lu}\p{Ll}{5,})"

@@ -269,3 +269,23 @@ def test_recall_counts_overlaps(spark):
     found = spark.createDataFrame([(1, 5, 10), (1, 14, 16), (1, 16, 21)], "d int, start int, end int")
     r = redaction.recall(expected, found, "d").first()
     assert (r["labelled"], r["found"], r["passed"]) == (4, 2, False)
+
+
+def test_names_beside_apostrophes_and_hyphens(spark):
+    texts = {
+        "John Smith's car": [0], "'John Smith' said": [1], "John Smith- yes": [0], "-John Smith": [1], "(John Smith's)": [1], "John Smith'": [0],
+        "John Smith-Jones": [], "Mary-John Smith": [], "O'John Smith": [], "John Smith'sch": [], "John Smith'd": [], "John Smithson": [], "xJohn Smith": [], "7John Smith": [],
+        "John Smith, John Smith's and 'John Smith'": [0, 12, 30], "John  Smith": [], "john smith": [],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    names = spark.createDataFrame([("John Smith",)] + [(f"Other{i} Name",) for i in range(5000)], "name string")
+    for bits in (1 << 21, 64):  # a filter that lets everything through changes nothing
+        rows = redaction.person_hits(docs, "t", "id", names, bits).collect()
+        assert sorted((r.id, r.start) for r in rows) == [(i, s) for i, starts in enumerate(texts.values()) for s in starts]
+
+
+def test_long_text_with_many_names(spark):
+    docs = spark.createDataFrame([(1, "Ana Sol, " * 20_000), (2, "word " * 100_000)], "id int, t string")
+    names = spark.createDataFrame([("Ana Sol",), ("Sol",), (r"a\E\Q",)], "name string")
+    got = redaction.person_hits(docs, "t", "id", names).groupBy("id", "value").count().collect()
+    assert {tuple(r) for r in got} == {(1, "Ana Sol", 20_000), (1, "Sol", 20_000)}
