@@ -19,6 +19,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def all_keywords(text: Column, keywords: Column) -> Column:
+    """Does the text hold every keyword, whatever the case? A null text holds none."""
+    return F.coalesce(F.forall(keywords, lambda k: F.contains(F.lower(text), F.lower(k))), F.lit(False))
+
+
 def shingles(word_list: Column, n: int = 3) -> Column:
     """Distinct runs of ``n`` words; a shorter text is one shingle."""
     runs = word_list

@@ -48,7 +48,8 @@ def decide(log: DataFrame, route_roles: DataFrame, path: str, header: str, token
         .when(~F.coalesce(token_valid, F.lit(False)), outcome(401, "invalid token"))
         .when(~valid_role(F.col(role)), outcome(403, "unknown role"))
         .when(F.col(path).isNull(), outcome(403, "no path"))
-        .when(F.col("__gate").isNotNull() & F.col("__route").isNull(), outcome(403, "role not allowed"))
+        .when(F.col("__gate").isNull(), outcome(404, "unknown path"))
+        .when(F.col("__route").isNull(), outcome(403, "role not allowed"))
         .otherwise(outcome(200, "ok"))
     )
     return j.withColumn("__d", step).select(*[log[c] for c in log.columns], F.col("__d.status").alias("status"), F.col("__d.reason").alias("reason"))

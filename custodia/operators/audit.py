@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.operators.ordered import ordered_window
+from custodia.session import pinned
 from custodia.sources import dims
 
 MANDATORY = ["event_id", "ts", "user_id", "user_role", "session_id"]
@@ -63,11 +64,14 @@ SORTED_PAGE = 10_000
 def page(log: DataFrame, caller_role: str, order: list[str], limit: int = 100, offset: int = 0, after: tuple | None = None) -> DataFrame:
     """Newest-first page (the feature, not a cap); a negative limit reads to the end.
 
-    ``after`` holds the ``order`` values of the last row seen: the page goes on behind it, and a deep page costs no more than
-    the first one. A page that ends within ``SORTED_PAGE`` rows is a top-k; any other is cut by row numbers that are
+    Rows of equal ``order`` values follow each other by event id, so pages neither repeat nor skip any. ``after`` holds the
+    ``order`` values and the event id of the last row seen: the page goes on behind it, and a deep page costs no more than the first one. A page that ends within ``SORTED_PAGE`` rows is a top-k; any other is cut by row numbers that are
     counted in parallel, so no task sorts what is skipped.
     """
     check_reader(caller_role)
+    order = order if "event_id" in order else [*order, "event_id"]
+    if after is not None and len(after) != len(order):
+        raise ValueError(f"a page goes on after values of {order}")
     newest = [F.col(c).desc() for c in order]
     rows = log
     if after is not None:
@@ -140,9 +144,60 @@ def completeness(completions: DataFrame, log: DataFrame, event_id: str = "event_
     return j.withColumn("complete", (F.col("missing") + F.col("null_user") + F.col("null_role") + F.col("null_ts")) == 0)
 
 
-def altered_rows(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows of an earlier snapshot that the later one no longer holds unchanged."""
-    return old.exceptAll(new.select(*old.columns))
+#: Digests of a day; a changed row leads to one of them.
+BUCKETS = 256
+
+
+def _cell(key: str, ts: str, buckets: int) -> list[Column]:
+    day = F.coalesce(F.to_date(ts).cast("string"), F.lit(""))
+    return [day.alias("__day"), F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("__bucket")]
+
+
+def digests(snapshot: DataFrame, key: str = "event_id", ts: str = "ts", buckets: int = BUCKETS) -> DataFrame:
+    """Leaves of a snapshot's hash tree: per day and bucket of keys the number of rows and a digest of them as a multiset.
+
+    The digest adds up four parts of every row's sha256, so it does not depend on the order of rows and is combined before the shuffle;
+    a day of any size leaves at most ``buckets`` rows. Stored beside a snapshot, it need not be read again.
+    """
+    fields = [F.coalesce(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in sorted(snapshot.columns)]
+    rows = snapshot.select(*_cell(key, ts, buckets), F.sha2(F.concat(*fields), 256).alias("__h"))
+    parts = [F.sum(F.conv(F.substring("__h", 16 * i + 1, 15), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)").alias(f"d{i}") for i in range(4)]
+    return rows.groupBy("__day", "__bucket").agg(F.count("*").alias("n"), *parts).withColumnsRenamed({"__day": "day", "__bucket": "bucket"})
+
+
+def roots(leaves: DataFrame) -> DataFrame:
+    """One digest per day over its buckets (bounded by their number)."""
+    leaf = F.concat_ws(":", "bucket", "n", "d0", "d1", "d2", "d3")
+    return leaves.groupBy("day").agg(F.sum("n").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list(leaf)), ","), 256).alias("root"))
+
+
+def differing(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(day, bucket) in which two snapshots' digests differ: first the days by their roots, then the buckets of those days."""
+    days = roots(old).select("day", F.col("root").alias("a")).join(roots(new).select("day", F.col("root").alias("b")), "day", "full")
+    days = days.where(~F.col("a").eqNullSafe(F.col("b"))).select("day")
+    names = ["n", "d0", "d1", "d2", "d3"]
+    a = old.join(days, "day", "left_semi").select("day", "bucket", F.struct(*names).alias("a"))
+    b = new.join(days, "day", "left_semi").select("day", "bucket", F.struct(*names).alias("b"))
+    return a.join(b, ["day", "bucket"], "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("day", "bucket")
+
+
+def suspects(snapshot: DataFrame, cells: DataFrame, key: str = "event_id", ts: str = "ts", buckets: int = BUCKETS) -> DataFrame:
+    """Rows of the named (day, bucket) cells."""
+    day, bucket = _cell(key, ts, buckets)
+    marked = snapshot.withColumns({"__day": day, "__bucket": bucket})
+    on = (F.col("__day") == F.col("day")) & (F.col("__bucket") == F.col("bucket"))
+    return marked.join(cells, on, "left_semi").select(*snapshot.columns)
+
+
+def altered_rows(old: DataFrame, new: DataFrame, key: str = "event_id", ts: str = "ts", old_digests: DataFrame | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Rows of an earlier snapshot that the later one no longer holds unchanged, as often as they are missing.
+
+    Digests find the cells that differ, and only their rows are compared. ``old_digests`` are those stored with the earlier snapshot.
+    """
+    new = new.select(*old.columns)
+    before = digests(old, key, ts, buckets) if old_digests is None else old_digests
+    cells = pinned(differing(before, digests(new, key, ts, buckets)))
+    return suspects(old, cells, key, ts, buckets).exceptAll(suspects(new, cells, key, ts, buckets))
 
 
 def impact(requests: DataFrame, since: str, until: str, user: str = "user_id", ts: str = "ts") -> DataFrame:

@@ -14,11 +14,13 @@ def has_facts(answer: Column, facts: Column) -> Column:
 
 
 def evaluate(runs: DataFrame, golden: DataFrame, item: str = "item_id") -> DataFrame:
-    """Runs with their reference record; passed when all facts occur and the score suffices."""
+    """Runs with their reference record; passed when all facts occur and the score suffices. A run without answer, score or
+    facts to compare with has not passed."""
     g = golden.select(item, "required_facts", "min_score")
     j = runs.join(g, item)
-    facts = has_facts(F.col("response"), F.col("required_facts"))
-    return j.withColumn("facts_ok", facts).withColumn("passed", F.col("facts_ok") & (F.col("score") >= F.col("min_score")))
+    facts = F.coalesce(has_facts(F.col("response"), F.col("required_facts")), F.lit(False))
+    enough = F.coalesce(F.col("score") >= F.col("min_score"), F.lit(False))
+    return j.withColumn("facts_ok", facts).withColumn("passed", F.col("facts_ok") & enough)
 
 
 def compare(runs: DataFrame, a: str, b: str, item: str = "item_id") -> DataFrame:
@@ -41,6 +43,6 @@ def regressions(versions: DataFrame, ratio: float = dims.DROP_RATIO) -> DataFram
 
 
 def smoke(evaluated: DataFrame, n: int = 5, item: str = "item_id") -> DataFrame:
-    """Do the first ``n`` items pass? The sample size is the feature."""
+    """Do the first ``n`` items pass? The sample size is the feature. No item at all is no pass."""
     first = evaluated.orderBy(item).limit(n)
-    return first.agg(F.count("*").alias("items"), F.every("passed").alias("passed"))
+    return first.agg(F.count("*").alias("items"), F.coalesce(F.every(F.coalesce("passed", F.lit(False))), F.lit(False)).alias("passed"))

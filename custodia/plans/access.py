@@ -43,7 +43,8 @@ def valid_role_filter(inp: Inputs):
 
 
 @query("access_decision", f"""SELECT request_id, CASE WHEN path = '/health' THEN 200 WHEN coalesce(authorization_header, '') NOT LIKE 'Bearer %' THEN 401
-  WHEN token_status <> 'valid' THEN 401 WHEN claim_role IS NULL OR claim_role NOT IN ({_VALID}) THEN 403 WHEN r.role IS NULL THEN 403 ELSE 200 END AS status,
+  WHEN token_status <> 'valid' THEN 401 WHEN claim_role IS NULL OR claim_role NOT IN ({_VALID}) THEN 403
+  WHEN path NOT IN (SELECT route FROM %route_roles% q) THEN 404 WHEN r.role IS NULL THEN 403 ELSE 200 END AS status,
   CASE WHEN coalesce(authorization_header, '') LIKE 'Bearer %' THEN substr(authorization_header, 8) END AS token
 FROM #claims# c LEFT JOIN %route_roles% r ON r.route = c.path AND r.role = c.claim_role""")
 def access_decision(inp: Inputs):

@@ -46,8 +46,8 @@ def evaluated(inp: Inputs):
     return golden.evaluate(inp.view("golden_runs"), golden_set(inp))
 
 
-fragment("evaluated", """SELECT r.*, contains(r.response, g.fact1) AND contains(r.response, g.fact2) AS facts_ok,
-  contains(r.response, g.fact1) AND contains(r.response, g.fact2) AND r.score >= g.min_score AS passed FROM #golden_runs# r JOIN #golden# g USING (item_id)""")
+fragment("evaluated", """SELECT r.*, coalesce(contains(r.response, g.fact1) AND contains(r.response, g.fact2), FALSE) AS facts_ok,
+  coalesce(contains(r.response, g.fact1) AND contains(r.response, g.fact2) AND r.score >= g.min_score, FALSE) AS passed FROM #golden_runs# r JOIN #golden# g USING (item_id)""")
 
 
 @query("required_facts", "SELECT item_id, model_id, facts_ok FROM #evaluated# e")

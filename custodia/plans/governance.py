@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from custodia.functions import threats
+from custodia.functions import text as tx
 from custodia.operators import agents, governance, latency, quality, tokens
 from custodia.plans import audit as audit_plan
 from custodia.plans import evaluation, pii, tokens as token_plan
@@ -145,6 +146,26 @@ def failing_controls_note(inp: Inputs):
 
 
 @query("report_json_sink", f"""SELECT CAST(to_json({{'generated_at': '2024-01-31T00:00:00+00:00', 'prd_version': '1.0', 'overall_status': o, 'controls': cs, 'audit_record_count': (SELECT count(*) FROM #log# l), 'notes': CASE WHEN note = '' THEN [] ELSE [note] END}}) AS VARCHAR) AS report
-FROM (SELECT {_OVERALL} AS o, {_NOTE} AS note, list({{'control_id': control_id, 'description': description, 'status': status}} ORDER BY ord) AS cs FROM #control_rows# c) x""")
+FROM (SELECT {_OVERALL} AS o, {_NOTE} AS note, list({{'control_id': control_id, 'description': description, 'status': status, 'evidence': evidence}} ORDER BY ord) AS cs FROM (
+  SELECT c.*, concat('checks: ', CAST(coalesce(p, 0) AS VARCHAR), ' passed, ', CAST(coalesce(f, 0) AS VARCHAR), ' failed') AS evidence FROM #control_rows# c LEFT JOIN (
+    SELECT control_id, count(*) FILTER (passed) AS p, count(*) FILTER (NOT passed) AS f FROM #check_results# r GROUP BY 1) n USING (control_id)) e) x""")
 def report_json_sink(inp: Inputs):
-    return governance.report_json(control_rows(inp), audit_plan.log(inp), "2024-01-31T00:00:00+00:00")
+    rows = governance.check_evidence(inp.view("check_results"), control_rows(inp))
+    return governance.report_json(rows, audit_plan.log(inp), "2024-01-31T00:00:00+00:00")
+
+
+fragment("run_words", """SELECT run_id, bool_or(contains(lower(line), 'passed')) AS p, bool_or(contains(lower(line), 'prompt_injection')) AS g1, bool_or(contains(lower(line), 'pii_redact') OR contains(lower(line), 'pii_in_injection') OR contains(lower(line), 'pii_in_retrieved')) AS g2,
+  bool_or(contains(lower(line), 'audit')) AS g3, bool_or(contains(lower(line), 'latency')) AS g4, bool_or(contains(lower(line), 'indirect_injection')) AS rt1, bool_or(contains(lower(line), 'token_smuggling') OR contains(lower(line), 'fake_token')) AS rt2 FROM #run_output# o GROUP BY run_id""")
+
+
+@query("keyword_all_match", """SELECT run_id, line_no FROM #run_output# o WHERE contains(lower(line), 'token') AND contains(lower(line), 'passed') AND contains(lower(line), 'red_team')""")
+def keyword_all_match(inp: Inputs):
+    wanted = F.array(*[F.lit(w) for w in ("Token", "PASSED", "red_team")])
+    return inp.view("run_output").where(tx.all_keywords(F.col("line"), wanted)).select("run_id", "line_no")
+
+
+@query("control_evidence", """SELECT run_id, control_id, CASE WHEN p AND CASE control_id WHEN 'G1' THEN g1 WHEN 'G2' THEN g2 WHEN 'G3' THEN g3 WHEN 'G4' THEN g4 WHEN 'RT1' THEN rt1 ELSE rt2 END THEN 'PASS' WHEN exit_code <> 0 THEN 'FAIL' ELSE 'SKIPPED' END AS status,
+  concat('pytest tests/validation/ (exit=', CAST(exit_code AS VARCHAR), ')') AS evidence FROM #validation_runs# v JOIN #run_words# w USING (run_id), (SELECT unnest(['G1', 'G2', 'G3', 'G4', 'RT1', 'RT2']) AS control_id) c""")
+def control_evidence(inp: Inputs):
+    checks = governance.evidence_checks(inp.view("run_output"), inp.dim("control_keywords"))
+    return governance.run_controls(inp.view("validation_runs"), checks, inp.dim("controls")).select("run_id", "control_id", "status", "evidence")

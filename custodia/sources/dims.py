@@ -173,6 +173,16 @@ DIMS: dict[str, Dim] = {
             (6, "RT2", "Token smuggling via retrieved content rejected"),
         ),
     ),
+    # a control passes if all words of one of its groups occur in the output of a validation run
+    "control_keywords": Dim(
+        ("control_id", "evidence_group", "keywords"),
+        (
+            ("G1", 1, ["prompt_injection", "PASSED"]),
+            ("G2", 1, ["pii_redact", "PASSED"]), ("G2", 2, ["pii_in_injection", "PASSED"]), ("G2", 3, ["pii_in_retrieved", "PASSED"]),
+            ("G3", 1, ["audit", "PASSED"]), ("G4", 1, ["latency", "PASSED"]), ("RT1", 1, ["indirect_injection", "PASSED"]),
+            ("RT2", 1, ["token_smuggling", "PASSED"]), ("RT2", 2, ["fake_token", "PASSED"]),
+        ),
+    ),
     "rollback_matrix": Dim(
         ("severity", "severity_rank", "approver", "target_minutes"),
         (

@@ -51,7 +51,7 @@ SELECT o_orderkey AS issue_id, o_orderpriority AS project, o_orderstatus AS stat
 SELECT label AS prompt_id, vec_id AS response_id, embedding FROM @embeddings@""",
     "access_log": f"""
 SELECT event_id AS request_id, ts, user_id,
-  CASE k % 4 WHEN 1 THEN '/v1/audit' WHEN 2 THEN '/health' ELSE '/v1/prompt' END AS path,
+  CASE WHEN k % 23 = 3 THEN '/v1/audit/' WHEN k % 29 = 5 THEN '/v2/prompt' WHEN k % 4 = 1 THEN '/v1/audit' WHEN k % 4 = 2 THEN '/health' ELSE '/v1/prompt' END AS path,
   CASE WHEN k % 7 = 0 THEN NULL WHEN k % 11 = 0 THEN 'Basic abc' ELSE concat('Bearer t', CAST(user_id AS STRING)) END AS authorization_header,
   CASE WHEN k % 13 = 0 THEN 'expired' ELSE 'valid' END AS token_status,
   CASE user_id % 7 WHEN 0 THEN 'VIEWER' WHEN 1 THEN 'ANALYST' WHEN 2 THEN 'DEVELOPER' WHEN 3 THEN 'PLATFORM_ADMIN' WHEN 4 THEN 'SUPER_ADMIN' WHEN 5 THEN 'HACKER' ELSE '' END AS x_user_role,
@@ -67,6 +67,13 @@ FROM @documents@""",
     "check_results": f"""
 SELECT event_id AS check_id, CASE k % 6 WHEN 0 THEN 'G1' WHEN 1 THEN 'G2' WHEN 2 THEN 'G3' WHEN 3 THEN 'G4' WHEN 4 THEN 'RT1' ELSE 'RT2' END AS control_id,
   k % 3 AS evidence_group, k % 6 <> 4 AND event_type <> 'error' AS passed FROM {_EVENTS}""",
+    # the console output of validation runs, one per user; lines of one run
+    "run_output": f"""
+SELECT user_id AS run_id, event_id AS line_no, concat('tests/validation/', CASE k % 9 WHEN 0 THEN 'Prompt_Injection::test_override' WHEN 1 THEN 'pii::test_PII_redact_email' WHEN 2 THEN 'pii::test_pii_in_retrieved'
+    WHEN 3 THEN 'test_audit::test_append' WHEN 4 THEN 'load::test_latency_p99' WHEN 5 THEN 'red_team::test_indirect_injection' WHEN 6 THEN 'red_team::test_fake_token' WHEN 7 THEN 'red_team::test_token_smuggling' ELSE 'collected' END,
+    CASE WHEN event_type = 'error' THEN ' FAILED' WHEN event_type = 'signup' THEN ' SKIPPED' ELSE ' PASSED' END) AS line FROM {_EVENTS}""",
+    "validation_runs": """
+SELECT user_id AS run_id, 'pytest tests/validation/' AS command, max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS exit_code FROM @events@ GROUP BY user_id""",
     "judge": f"""
 SELECT event_id AS request_id, concat('m', CAST(user_id % 3 AS STRING)) AS model_id,
   CASE WHEN k % 17 = 0 THEN 'not json' ELSE concat('{{"factual_accuracy": ', CAST(1 + k % 5 + CASE WHEN k % 19 = 0 THEN 5 ELSE 0 END AS STRING), ', "completeness": ', CAST(1 + (k * 3) % 5 AS STRING),
@@ -84,9 +91,9 @@ SELECT event_id AS call_id, CASE k % 10 WHEN 0 THEN 'jira_create_issue' WHEN 1 T
     "golden": """
 SELECT item_id, text AS reference_answer, split_part(text, ' ', 2) AS fact1, regexp_extract(text, '([^ ]+)[ ]*$', 1) AS fact2, 4 AS min_score FROM @benchmark@""",
     "golden_runs": """
-SELECT item_id, 'm0' AS model_id, 1 + (item_id * 3) % 5 AS score, CASE WHEN item_id % 7 = 0 THEN upper(text) ELSE text END AS response FROM @benchmark@
+SELECT item_id, 'm0' AS model_id, 1 + (item_id * 3) % 5 AS score, CASE WHEN item_id % 11 = 3 THEN NULL WHEN item_id % 7 = 0 THEN upper(text) ELSE text END AS response FROM @benchmark@
 UNION ALL
-SELECT item_id, 'm1' AS model_id, 1 + (item_id * 3 + 1) % 5 AS score, CASE WHEN (item_id + 1) % 7 = 0 THEN upper(text) ELSE text END AS response FROM @benchmark@""",
+SELECT item_id, 'm1' AS model_id, 1 + (item_id * 3 + 1) % 5 AS score, CASE WHEN item_id % 13 = 5 THEN NULL WHEN (item_id + 1) % 7 = 0 THEN upper(text) ELSE text END AS response FROM @benchmark@""",
     # lists are comma separated, so that the text is valid in every engine
     "scoped": """
 SELECT doc_id AS request_id, source AS session_id,
