@@ -144,9 +144,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """File stream over one of the test tables."""
+    """File stream over one of the test tables, whether it is one file or a folder of files."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    source = spark.readStream.schema(schema)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return source.parquet(f"{sf_dir}/{name}.parquet")
+    return source.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -182,6 +182,7 @@ class Ordered:
 
     ts = "ts"
     columns: str
+    alert_columns: str
 
     def __init__(self, base: str, delay_seconds: int = 600):
         self.base, self.last = base, -1
@@ -201,8 +202,13 @@ class Ordered:
     def handle(self, spark: SparkSession, released: Released, epoch: int) -> None:
         raise NotImplementedError
 
+    def written(self, spark: SparkSession, name: str, columns: str) -> DataFrame:
+        """What all batches wrote; nothing before the first one."""
+        rows = table_or_none(spark, f"{self.base}/{name}", columns)
+        return spark.createDataFrame([], columns) if rows is None else rows
+
     def alerts(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.base}/alerts").drop("epoch")
+        return self.written(spark, "alerts", self.alert_columns)
 
     def write(self, name: str, rows: DataFrame, epoch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.base}/{name}/epoch={epoch}")
@@ -223,6 +229,7 @@ class LowRuns(Ordered):
         self.key, self.score, self.order = key, score, [name for name, _ in order]
         self.ts, self.columns = self.order[0], ", ".join([f"{key} STRING", f"{score} DOUBLE", *[f"{n} {t}" for n, t in order]])
         self.bound, self.longer_than = bound, longer_than
+        self.alert_columns = f"{key} STRING, started {order[0][1]}"
         super().__init__(base, delay_seconds)
 
     def handle(self, spark: SparkSession, released: Released, epoch: int) -> None:
@@ -235,7 +242,7 @@ class LowRuns(Ordered):
         state.write(_carried(runs, self.key), epoch)
 
     def runs(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.base}/runs").drop("epoch")
+        return self.written(spark, "runs", self.alert_columns + ", run_length BIGINT")
 
 
 class RateLimit(Ordered):
@@ -246,6 +253,7 @@ class RateLimit(Ordered):
     """
 
     columns = "agent STRING, tool STRING, ts TIMESTAMP"
+    alert_columns = "agent STRING, tool STRING, ts TIMESTAMP, n_trailing BIGINT, allowed INT"
     _cells = "tool STRING, agent STRING, ts TIMESTAMP, n BIGINT, per_window INT, window_s INT"
 
     def __init__(self, base: str, registry: DataFrame, delay_seconds: int = 600):
@@ -274,6 +282,7 @@ class MessageTtl(Ordered):
 
     ts = "created_at"
     columns = "trace_id BIGINT, seq BIGINT, created_at TIMESTAMP, ttl_seconds BIGINT"
+    alert_columns = "trace_id BIGINT, seq BIGINT, created_at TIMESTAMP"
 
     def handle(self, spark: SparkSession, released: Released, epoch: int) -> None:
         table = EpochTable(self.base, "open", self.columns)
