@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import Cache, hash_cache, hashes, lower_words, map_arrow, mixed, stored, windows
+from custodia.llm.common import Cache, dropped, hash_cache, hashes, lower_words, map_arrow, mixed, stored, windows
 from custodia.llm.components import components
 
 BANDS, ROWS = 32, 4
@@ -38,8 +38,8 @@ _A = _RNG.integers(0, 2**64, HASHES, np.uint64, endpoint=False) | np.uint64(1)
 _B = _RNG.integers(0, 2**64, HASHES, np.uint64, endpoint=False)
 #: Shingles hashed at a time; bounds the work matrix.
 CHUNK = 1024
-#: Nodes of a block; two blocks meet at a time.
-BLOCK = 400
+#: Shingles of a block; two blocks meet at a time. Bounds a cell's memory whatever the texts' lengths.
+BLOCK = 400_000
 #: Members verified against one copy of their partner's text; larger groups are salted.
 SALT_ROWS = 2000
 
@@ -170,8 +170,8 @@ def _links_in_block(rows: list[tuple], n: int, percent: int, least: int, cache:
     return out
 
 
-def rest_links(buckets: DataFrame, labels: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """(u, v): the links between components among nodes of buckets that hold several components.
+def rest_links(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(u, v), stored: the links between components among nodes of buckets that hold several components.
 
     Buckets that have nodes in common form a family. A family is cut into blocks, and every two blocks of it meet in one
     cell with their texts; there, signatures and then full sets are compared, and only links come out, at most one
@@ -179,10 +179,10 @@ def rest_links(buckets: DataFrame, labels: DataFrame, texts: DataFrame, n: int,
     """
     tagged = buckets.join(labels, buckets.id == labels.node, "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
     open_ = tagged.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("first")).where("low <> high").drop("low", "high")
-    contested = stored(tagged.join(open_, ["band", "key"]).select("first", "id", "component"), "contested")
+    contested = stored(tagged.join(open_, ["band", "key"]).select("first", "id", "component").distinct(), "contested")
     families = components(contested, "first", "id").select(F.col("node").alias("id"), F.col("component").alias("family"))
-    blocks = F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
-    sizes = families.groupBy("family").agg(blocks)
+    blocks = F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks")
+    sizes = families.join(nodes.select("id", "n_shingles"), "id").groupBy("family").agg(blocks)
     members = contested.select("id", "component").distinct().join(families, "id").join(sizes, "family")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     cell = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda r: F.struct(F.least(r, F.col("own")).alias("x"), F.greatest(r, F.col("own")).alias("y"), (r < F.col("own")).cast("int").alias("side")))
@@ -211,7 +211,9 @@ def rest_links(buckets: DataFrame, labels: DataFrame, texts: DataFrame, n: int,
         if held:
             yield links()
 
-    return map_arrow(dealt, run, f"u {id_type}, v {id_type}")
+    found = stored(map_arrow(dealt, run, f"u {id_type}, v {id_type}"), "more")
+    dropped(contested)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -221,14 +223,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = stored(sketch(docs, id_col, text_col, n), "sketch")
     known = rows.where("n_shingles > 0 and id is not null")
-    nodes = known.groupBy("set_key").agg(F.min(F.struct("id", "bands", "signature")).alias("s")).select("set_key", "s.id", "s.bands", "s.signature")
+    nodes = known.groupBy("set_key").agg(F.min(F.struct("id", "bands", "signature", "n_shingles")).alias("s")).select("set_key", "s.*")
     nodes = stored(nodes, "nodes")
+    # the sketches have done their part: what is left of them is small
+    sketched, rows = rows, stored(rows.select("id", "n_shingles", "set_key"), "sets")
+    known = rows.where("n_shingles > 0 and id is not null")
+    dropped(sketched)
     in_bands = nodes.select("id", F.posexplode("bands").alias("band", "key"))
     sizes = in_bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(in_bands.join(sizes, ["band", "key"]), "shared")
     popular = shared.groupBy("id").agg(F.sum("n").alias("met"))
     leaders = shared.join(popular, "id").groupBy("band", "key").agg(F.max_by("id", F.struct("met", -F.col("id"))).alias("leader"))
-    buckets = stored(shared.join(leaders, ["band", "key"]), "buckets")
+    buckets = stored(shared.join(leaders, ["band", "key"]).drop("n"), "buckets")
+    dropped(shared)
     met = buckets.select("id").distinct()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = stored(src.join(met, "id", "left_semi"), "texts")
@@ -239,11 +246,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = of_id.groupBy("id").agg(F.min("node").alias("u"), F.max("node").alias("top")).where("u <> top").select("id", "u")
     tied = of_id.join(several, "id").select("u", F.col("node").alias("v"))
     links = stored(first.unionByName(tied), "links")
-    labels = stored(components(links), "labels")
-    more = rest_links(buckets.select("band", "key", "id"), labels, texts, n, percent)
+    labels = components(links)
+    more = rest_links(buckets.select("band", "key", "id"), labels, nodes, texts, n, percent)
     stars = labels.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v")
     final = components(stars.unionByName(more))
-    component = nodes.join(final, nodes.id == final.node, "left").select("set_key", F.coalesce("component", "id").alias("component"))
+    component = stored(nodes.join(final, nodes.id == final.node, "left").select("set_key", F.coalesce("component", "id").alias("component")), "components")
+    for scratch in (nodes, buckets, texts, links, more):
+        dropped(scratch)
     out = rows.select("id", "n_shingles", "set_key").join(component, "set_key", "left")
     alone = F.col("id").isNull() | (F.col("n_shingles") == 0)
     shown = F.when(alone, F.col("id")).otherwise(F.col("component"))
