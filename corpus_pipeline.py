@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custodia.llm import bpe, decontaminate, minhash, quality, toxicity
-from custodia.llm.common import stored, table
+from custodia.llm.common import dropped, stored, table
 from custodia.llm.queries import TOKENIZER, quality_model, toxicity_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -69,7 +69,9 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    source = docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        if before is not source:
+            dropped(before)
     return docs
