@@ -89,7 +89,7 @@ SELECT w, string_agg(text, ',' ORDER BY p)::BLOB AS ids FROM done JOIN vocabular
 """
 
 _DECODE = """
-SELECT w, string_agg(v.hex, '' ORDER BY p) AS hex, count(*) - count(v.id) AS unknown
+SELECT w, string_agg(v.chars, '' ORDER BY p) AS chars, count(*) - count(v.id) AS unknown
 FROM tokens LEFT JOIN vocabulary v ON v.id = t GROUP BY w ORDER BY w
 """
 
@@ -140,7 +140,7 @@ class Tokenizer:
         np.minimum.at(least, left, rank)
         np.minimum.at(least, right, rank)
         merges = pa.table({"pair": left << 32 | right, "rank": rank.astype(np.int32), "safe": least[rank] > rank})  # noqa: F841
-        vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "text": list(map(str, self.ranks.values())), "hex": [t.hex() for t in self.ranks]})  # noqa: F841
+        vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "text": list(map(str, self.ranks.values())), "chars": [t.decode("latin-1") for t in self.ranks]})  # noqa: F841
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         self.db.register("new_merges", merges)
         self.db.register("new_vocabulary", vocabulary)
@@ -222,19 +222,24 @@ class Tokenizer:
         """Bytes of the ids that are given out, at most about ``DECODE_CHARS`` of them in a query."""
         out, cuts = [], np.cumsum([len(x) for x in lists]) // DECODE_CHARS
         for part in np.split(np.arange(len(lists)), np.flatnonzero(np.diff(cuts)) + 1):
-            out += self.decode([np.array(lists[i].split(","), np.int64).tolist() if lists[i] else [] for i in part])
+            some = [lists[i] for i in part]
+            n = np.array([x.count(",") + 1 if x else 0 for x in some])
+            out += self._bytes(n, np.fromstring(",".join(filter(None, some)), np.int64, sep=","))
         return out
 
     def decode(self, lists: list[list[int] | None]) -> list[bytes]:
         n = np.array([len(x or ()) for x in lists])
+        return self._bytes(n, np.fromiter((i for x in lists for i in x or ()), np.int64, int(n.sum())))
+
+    def _bytes(self, n: np.ndarray, ids: np.ndarray) -> list[bytes]:
+        """The ordered aggregation: bytes of lists of ``n`` ids, with one character for a byte inside the query."""
         start = np.cumsum(n) - n
-        ids = np.fromiter((i for x in lists for i in x or ()), np.int64, int(n.sum()))
-        tokens = pa.table({"w": np.repeat(np.arange(len(lists)), n), "p": np.arange(len(ids)) - np.repeat(start, n), "t": ids})
-        out, data = self._query(_DECODE, tokens=tokens), [b""] * len(lists)
-        for w, text, unknown in zip(*(out[c].to_pylist() for c in ("w", "hex", "unknown"))):
+        tokens = pa.table({"w": np.repeat(np.arange(len(n)), n), "p": np.arange(len(ids)) - np.repeat(start, n), "t": ids})
+        out, data = self._query(_DECODE, tokens=tokens), [b""] * len(n)
+        for w, text, unknown in zip(*(out[c].to_pylist() for c in ("w", "chars", "unknown"))):
             if unknown:
                 raise ValueError(f"{unknown} ids are not in the vocabulary")
-            data[w] = bytes.fromhex(text)
+            data[w] = text.encode("latin-1")
         return data
 
 
