@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -54,6 +56,17 @@ def enter(job: str) -> None:
         _inside["leave"]()
     if _inside["job"] != job:
         _inside.update(job=job, leave=None)
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the machine, which the allocators of a long-lived worker would keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def on_leave(release) -> None:

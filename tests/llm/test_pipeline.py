@@ -89,5 +89,5 @@ def test_queries_at_the_smallest_scale(spark, name):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    assert [int(q[2:].split("_")[0]) for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == list(range(1, 14))
     assert TOKENIZER
