@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from custodia.operators.percentiles import exact_percentiles, join_groups
+from custodia.operators.percentiles import exact_percentiles, ranked
 from custodia.sources import dims
 
 
@@ -31,11 +31,7 @@ def metric_percentiles(
 
 def summary(traces: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:
     """Mean, median and the element at ``int(n * 0.99)`` of the sorted values."""
-    keys = keys or []
-    mid = exact_percentiles(traces, keys, value, {"median": 0.5})
-    top = exact_percentiles(traces, keys, value, {"p99": 0.99}, "index").drop("n")
-    mean = traces.groupBy(*keys).agg(F.avg(value).alias("mean"))
-    return join_groups(join_groups(mid, top, keys), mean, keys)
+    return ranked(traces, keys or [], value, {"median": (0.5, "linear"), "p99": (0.99, "index")})
 
 
 def with_slo(traces: DataFrame, slos: DataFrame, task: str = "task_type") -> DataFrame:

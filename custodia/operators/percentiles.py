@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 10_000
+#: Cells of a histogram to each factor e, so a cell spans 0.1 %; values closer to zero than the inverse scale share the first cell.
+CELLS, SCALE = 1024, 1e6
 
 
 def _ranks(p: float, n: Column, how: str) -> tuple[Column, Column, Column]:
@@ -36,73 +37,58 @@ def join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
     return left.join(other, same_keys(left, other, {k: f"__r_{k}" for k in keys})).drop(*[f"__r_{k}" for k in keys])
 
 
-def exact_percentiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    probs: dict[str, float],
-    how: str = "linear",
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], how: str = "linear") -> DataFrame:
     """Percentiles of ``value`` per key, plus the number of values ``n``.
 
     ``linear`` interpolates between ranks; ``index`` takes the element at
-    ``int(n * p)`` of the sorted values.
+    ``int(n * p)`` of the sorted values. NULL keys are a group.
+    """
+    return ranked(df, keys, value, {name: (p, how) for name, p in probs.items()}).drop("mean")
+
+
+def _cell(v: Column) -> Column:
+    """Number of a value's cell, never falling as values rise: equal steps of the logarithm, mirrored below zero."""
+    steps = F.floor(F.log1p(F.abs(v) * SCALE) * CELLS)
+    return F.when(F.isnan(v), F.lit(2**63 - 1)).when(v < 0, -steps).otherwise(steps)
+
+
+def ranked(df: DataFrame, keys: list[str], value: str, wanted: dict[str, tuple[float, str]]) -> DataFrame:
+    """``n``, ``mean`` and, for each name, the percentile of a probability by a rule, from one bracketing.
 
-    A sketch brackets each wanted rank first; then only values inside a bracket are
-    sorted, equal ones as one, and those below it are merely counted. NULL keys are a group.
+    A histogram of cells is counted first, combined before its shuffle; it tells in which cell each wanted rank lies.
+    Only the values of those cells are shuffled, equal ones as one, and cut at the rank that is left in their cell.
     """
+    names = list(wanted)
     src = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
-    names = list(probs)
-    picked = _bracketed(src, keys, probs, how)
-    out = []
-    for name in names:
-        _, _, frac = _ranks(probs[name], F.col("n"), how)
-        out.append((F.col(f"__lo_{name}") * (1 - frac) + F.col(f"__hi_{name}") * frac).alias(name))
-    return picked.select(*keys, "n", *out)
-
-
-def _bracketed(src: DataFrame, keys: list[str], probs: dict[str, float], how: str) -> DataFrame:
-    names = list(probs)
-    margin = 5.0 / SKETCH_ACCURACY
-    sides = [min(1.0, max(0.0, probs[n] + d)) for n in names for d in (-margin, margin)]
-    sketch = src.groupBy(*keys).agg(
-        F.count("*").alias("__n"), F.percentile_approx("__v", sides, SKETCH_ACCURACY).alias("__q")
+    src = src.withColumn("__cell", _cell(F.col("__v")))
+    counted = src.groupBy(*keys, "__cell").agg(F.count("*").alias("__c"), F.sum("__v").alias("__s"))
+    group = W.partitionBy(*keys)
+    upto = group.orderBy("__cell").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cells = counted.withColumns({"__end": F.sum("__c").over(upto), "n": F.sum("__c").over(group), "__total": F.sum("__s").over(group)})
+    ranks, weights = [], {}
+    for i, name in enumerate(names):
+        low, high, weights[name] = _ranks(wanted[name][0], F.col("n"), wanted[name][1])
+        ranks += [F.struct(F.lit(2 * i).alias("i"), low.cast("bigint").alias("rank")), F.struct(F.lit(2 * i + 1).alias("i"), high.cast("bigint").alias("rank"))]
+    start = F.col("__end") - F.col("__c")
+    here = F.filter(F.array(*ranks), lambda r: (r["rank"] >= start) & (r["rank"] < F.col("__end")))
+    places = F.transform(here, lambda r: F.struct(r["i"].alias("i"), (r["rank"] - start).alias("left")))
+    # as many rows per key as there are wanted ranks at most
+    sought = cells.withColumn("__at", places).where(F.size("__at") > 0).select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__cell").alias("__k_cell"), "n", (F.col("__total") / F.col("n")).alias("mean"), "__at"
     )
-    # one row per key on the right; AQE splits a hot key on the left
+    on = src["__cell"] == sought["__k_cell"]
     if keys:
-        sketch = sketch.withColumnsRenamed({k: f"__k_{k}" for k in keys})
-        joined = src.join(sketch, same_keys(src, sketch, {k: f"__k_{k}" for k in keys}))
-    else:
-        joined = src.crossJoin(F.broadcast(sketch))  # one row
-    # in a small group the margin is less than one rank, so all its values count as inside
-    small = F.col("__n") <= 2 * SKETCH_ACCURACY
-    roles = []
-    for i, name in enumerate(names):
-        low, high = F.col("__q")[2 * i], F.col("__q")[2 * i + 1]
-        # at the ends of the value range there is nothing to cut off
-        below = ~small & (F.col("__v") < low) if sides[2 * i] > 0 else F.lit(False)
-        inside = small | (F.col("__v") <= high) if sides[2 * i + 1] < 1 else F.lit(True)
-        role = F.when(below, F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("v")))
-        roles.append(role.when(inside, F.struct(F.lit(i).alias("i"), F.col("__v").alias("v"))))
-    counted = (
-        joined.select(*keys, "__n", F.explode(F.array_compact(F.array(*roles))).alias("r"))
-        .groupBy(*keys, F.col("r.i").alias("__i"), F.col("r.v").alias("__v"))
-        .agg(F.count("*").alias("__c"), F.max("__n").alias("__n"))
-        .withColumn("__cum", F.sum("__c").over(W.partitionBy(*keys, "__i").orderBy(F.col("__v").asc_nulls_first())))
+        on = on & same_keys(src, sought, {k: f"__k_{k}" for k in keys})
+    near = src.join(sought, on).groupBy(*keys, "__cell", "__v").agg(F.count("*").alias("__c"), *[F.first(c).alias(c) for c in ("n", "mean", "__at")])
+    order = W.partitionBy(*keys, "__cell").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    hits = near.withColumn("__end", F.sum("__c").over(order)).select(*keys, "n", "mean", "__v", "__end", "__c", F.explode("__at").alias("r"))
+    hits = hits.where((F.col("r.left") < F.col("__end")) & (F.col("r.left") >= F.col("__end") - F.col("__c")))
+    found = hits.groupBy(*keys).agg(
+        F.max("n").alias("n"), F.max("mean").alias("mean"), *[F.max(F.when(F.col("r.i") == i, F.col("__v"))).alias(f"__r{i}") for i in range(2 * len(names))]
     )
-    bounds, checks = [], []
+    out = []
     for i, name in enumerate(names):
-        low, high, _ = _ranks(probs[name], F.col("__n"), how)
-        mine = F.col("__i") == i
-        bounds.append(F.min(F.when(mine & (F.col("__cum") > low), F.struct(F.col("__cum").alias("c"), F.col("__v").alias("v")))).alias(f"__lo_{name}"))
-        bounds.append(F.min(F.when(mine & (F.col("__cum") > high), F.struct(F.col("__cum").alias("c"), F.col("__v").alias("v")))).alias(f"__hi_{name}"))
-        checks.append(f"__lo_{name}")
-        checks.append(f"__hi_{name}")
-    picked = counted.groupBy(*keys).agg(F.max("__n").alias("n"), *bounds)
-    # the sketch guarantees its rank error, so this never fires; it is here so
-    # that a wrong bracket could not pass silently
-    checked = [
-        F.when(F.col(c)["v"].isNull(), F.raise_error(F.lit("percentile rank outside its bracket"))).otherwise(F.col(c)["v"]).alias(c)
-        for c in checks
-    ]
-    return picked.select(*keys, "n", *checked)
+        low, high = F.col(f"__r{2 * i}"), F.col(f"__r{2 * i + 1}")
+        out.append(F.when(low == high, low).otherwise(low * (1 - weights[name]) + high * weights[name]).alias(name))
+    done = found.select(*keys, "n", "mean", *out)
+    return done if keys else done.where("n IS NOT NULL")

@@ -63,8 +63,8 @@ def test_trailing_count(spark, rows):
 @pytest.mark.parametrize("how", ["linear", "index"])
 @pytest.mark.parametrize("keys", [["k"], []])
 def test_percentiles(spark, rows, how, keys, monkeypatch):
-    # a coarse sketch, so that the bracket really cuts at this size
-    monkeypatch.setattr(percentiles, "SKETCH_ACCURACY", 100)
+    # coarse cells, so that a cell holds many values at this size
+    monkeypatch.setattr(percentiles, "CELLS", 2)
     df = spark.createDataFrame([(r[0], float(r[1]) / 7) for r in rows], "k string, v double")
     probs = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99}
     plain = exact_percentiles(df, keys, "v", probs, how).collect()
@@ -89,7 +89,7 @@ def test_index_percentile_rejects_one(spark):
 
 
 def test_percentiles_of_null_keys(spark, monkeypatch):
-    monkeypatch.setattr(percentiles, "SKETCH_ACCURACY", 100)
+    monkeypatch.setattr(percentiles, "CELLS", 2)
     rows = [("a", float(i)) for i in range(10)] + [(None, float(i)) for i in range(5)] + [("hot", float(i % 977)) for i in range(20_000)]
     df = spark.createDataFrame(rows, "k string, v double")
     got = {r["k"]: (r["n"], r["p50"]) for r in exact_percentiles(df, ["k"], "v", {"p50": 0.5}).collect()}
@@ -107,3 +107,16 @@ def test_null_keys_and_one_key_with_almost_all_rows(spark):
         want[t] = (n + 1, p)
         seen[k] = (n + 1, t)
     assert {r["t"]: (r["n"], r["p"]) for r in got.collect()} == want
+
+
+def test_percentiles_of_any_values(spark):
+    """Below zero, around it, tiny, huge and infinite ones, repeated ones; NaN counts as the largest."""
+    rnd = random.Random(8)
+    values = [rnd.choice([-1, 1]) * 10 ** rnd.uniform(-12, 12) for _ in range(900)] + [0.0] * 50 + [5.0] * 100 + [float("inf")] * 3 + [float("-inf")] * 2
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+    probs = {f"p{i}": i / 20 for i in range(20)}
+    (row,) = exact_percentiles(df, [], "v", probs, "index").collect()
+    assert row["n"] == len(values) and [row[n] for n in probs] == [sorted(values)[int(len(values) * p)] for p in probs.values()]
+    (row,) = exact_percentiles(spark.createDataFrame([(1.0,), (float("nan"),), (2.0,)], "v double"), [], "v", {"a": 0.0, "b": 0.5, "c": 1.0}).collect()
+    assert (row["a"], row["b"]) == (1.0, 2.0) and row["c"] != row["c"]
+    assert exact_percentiles(df.limit(0), [], "v", probs).count() == 0
