@@ -1,6 +1,6 @@
 """Prompts that try to change the caller's role, and texts that must go to a human.
 
-An attempt is a verb and an object a few words apart: dropping instructions, claiming an administrator's role,
+An attempt is a verb and an object a few words apart: giving up instructions, claiming an administrator's role or rights,
 denying that limits exist, taking the part of "DAN", or asking for the hidden prompt. Words may be separated by any
 spaces, line ends or signs.
 """
@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 from custodia.functions import pii
 from custodia.sources import dims
 
-_DROP = ["ignor(?:e|es|ing)", "disregard(?:ing)?", "forget(?:ting)?", "bypass", "override", "overrule", "discard", "drop", "violate"]
-_RULES = ["instructions?", "rules?", "guidelines?", "context", "prompts?", "roles?", "polic(?:y|ies)", "restrictions?", "constraints?", "directives?", "above", "before"]
-_BECOME = ["act(?:ing)?", "are", "am", "be", "become", "behave", "pretend", "roleplay", "respond", "answer", "as", "role", "set", "switch", "grant", "assume", "promote", "elevate", "tant", "que"]
+_DROP = ["ignor(?:e|es|ing|ez|iere|a)", "disregard(?:ing)?", "bypass", "override", "overrule", "discard", "violate"]
+_RULES = ["instructions?", "rules?", "guidelines?", "prompts?", "roles?", "polic(?:y|ies)", "restrictions?", "constraints?", "directives?", "safeguards?"]
+_BECOME = ["act(?:ing)?", "are", "am", "be", "become", "behave", "pretend", "roleplay", "respond", "answer", "as", "role", "set", "switch", "grant", "assume", "promote", "elevate", r"en\W+tant\W+que", "als", "como"]
 _ADMIN = r"(?:super|platform)[\W_]*admin(?:istrator)?"
+_ROOT = r"(?:root|admin(?:istrator)?|superuser)"
+#: "forget" and "drop" are everyday words: only an order, to give up all or certain rules, counts.
+_ORDER = r"(?:^|[.!?;:,\n\])>]|\b(?:please|and|now|then|must|should|just)\b)\W*"
+_WHICH = r"(?:all|every|everything|anything|whatever|any|your|the|these|those|previous|prior|earlier)"
 _FREE = ["restrictions?", "limitations?", "limits?", "filters?", "rules?"]
 _SHOW = ["print", "reveal", "show", "repeat", "output", "leak", "display"]
 
@@ -28,10 +32,14 @@ def _near(first: list[str], last: str, most: int) -> str:
     return rf"\b(?:{'|'.join(first)})\b(?:\W+\w+){{0,{most}}}?\W+{last}\b"
 
 
-#: Regular expressions over lower-cased text, valid for Java and for RE2.
+#: Regular expressions over lower-cased text.
 PATTERNS = [
-    _near(_DROP, f"(?:{'|'.join(_RULES)})", 4),
+    _near(_DROP, f"(?:{'|'.join(_RULES)}|context)", 4),
+    _ORDER + _near(["forget(?:ting)?"], rf"{_WHICH}(?:\W+\w+){{0,4}}?\W+(?:above|before|told|said|context|{'|'.join(_RULES)})", 0),
+    _near(["drop(?:ping)?"], rf"{_WHICH}(?:\W+\w+){{0,2}}?\W+(?:filters?|limits?|{'|'.join(_RULES)})", 0),
     _near(_BECOME, _ADMIN, 4),
+    rf"\byou\W+now\W+(?:have|hold|get|possess)\W+(?:\w+\W+){{0,2}}?{_ROOT}\W+(?:rights|privileges|access|permissions)\b",
+    _near(["pretend(?:ing)?"], _ROOT, 4),
     rf"\b(?:have|has|with|are|act|under)\W+(?:no|without|free\W+of)\W+(?:\w+\W+){{0,2}}?(?:{'|'.join(_FREE)})\b",
     r"\bunrestricted\W+mode\b",
     r"\brole\W+override\b",
@@ -39,7 +47,7 @@ PATTERNS = [
     _near(_SHOW, r"(?:system|hidden|initial)\W+(?:prompt|instructions)", 3),
 ]
 #: One of these stands in every hit; looking for them is much cheaper than matching.
-WORDS = ["ignor", "disregard", "forget", "bypass", "overr", "discard", "drop", "violate", "admin", "restriction", "limit", "filter", "rule", "unrestricted", "role", "prompt", "instructions", "dan"]
+WORDS = ["ignor", "disregard", "forget", "bypass", "overr", "discard", "drop", "violate", "admin", "restriction", "limit", "filter", "rule", "unrestricted", "role", "prompt", "instructions", "dan", "pretend"]
 
 
 def escalation_attempt(text: Column) -> Column:
