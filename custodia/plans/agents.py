@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from custodia.functions.threats import sensitive_text
-from custodia.operators import agents
+from custodia.operators import agents, search
 from custodia.operators.percentiles import exact_percentiles
+from custodia.streaming.sinks import fresh_dir
 from custodia.plans.registry import Inputs, fragment, query
 from custodia.operators import governance
 from custodia.sources import dims
@@ -161,6 +162,21 @@ def content_search(inp: Inputs):
     return agents.search(mine, "text", ["und", "que", "the"], order, 20).select("trace_id", "seq", "score")
 
 
+@query("content_search_ranked", f"""WITH w AS MATERIALIZED (SELECT trace_id, seq, sender, created_at, {_WORDS} AS ws FROM #messages# m), st AS (SELECT count(*) AS n, avg(len(ws)) AS avgdl FROM w),
+t AS MATERIALIZED (SELECT * FROM (SELECT w.*, term, len(list_filter(ws, lambda x: x = term)) AS tf FROM w, (SELECT unnest(['und', 'que', 'the']) AS term) u) x WHERE tf > 0), d AS (SELECT term, count(*) AS df FROM t GROUP BY term)
+SELECT trace_id, seq, round(score, 6) AS score FROM (SELECT trace_id, seq, created_at, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(ws) / avgdl)) * pow(0.5, (epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(created_at)) / 86400 / 30)) AS score
+  FROM t JOIN d USING (term), st WHERE sender = 'INTAKE' AND created_at >= TIMESTAMP '2024-01-01 12:00:00' GROUP BY 1, 2, 3) y ORDER BY y.score DESC, created_at DESC, trace_id, seq LIMIT 25""")
+def content_search_ranked(inp: Inputs):
+    path = fresh_dir(inp.spark, "search")
+    m = messages(inp)
+    # two appends, as an index grows
+    for half in (0, 1):
+        search.append(m.where(F.pmod("trace_id", F.lit(2)) == half), path, ["trace_id", "seq"], "text", "sender", "created_at")
+    as_of, since = F.expr("TIMESTAMP '2024-02-01 00:00:00'"), F.expr("TIMESTAMP '2024-01-01 12:00:00'")
+    top = search.search(inp.spark, path, ["trace_id", "seq"], ["und", "que", "the"], 25, author="INTAKE", since=since, as_of=as_of, half_life_days=30)
+    return top.select("trace_id", "seq", r6("score", "score"))
+
+
 @query("review_sample", """SELECT trace_id FROM (SELECT trace_id FROM #messages# m GROUP BY trace_id HAVING max(CASE WHEN message_type = 'escalate' THEN 1 ELSE 0 END) = 0) x ORDER BY sha256(CAST(trace_id AS VARCHAR)) LIMIT 10""")
 def review_sample(inp: Inputs):
     resolved = messages(inp).groupBy("trace_id").agg(F.max((F.col("message_type") == "escalate").cast("int")).alias("e")).where("e = 0")
