@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.functions import text as tx
 
 THRESHOLD = 0.6
+#: Chunks of one shingle that meet its claims in one place; longer posting lists are cut into blocks.
+BLOCK = 1000
 
 
 def claims(responses: DataFrame, doc_id: str, text: str, keep: list[str] | None = None) -> DataFrame:
@@ -20,6 +22,17 @@ def _shingled(df: DataFrame, keys: list[str], text: str, n: int) -> DataFrame:
     return worded.select(*keys, tx.shingles(F.col("__w"), n).alias("sh"))
 
 
+def _blocks(df: Column) -> Column:
+    return F.ceil(df / BLOCK).cast("int")
+
+
+def _blocked(postings: DataFrame, freq: DataFrame, scope: list[str]) -> DataFrame:
+    """Postings with the block of their list; only long lists have more than one."""
+    long = freq.where(F.col("df") > BLOCK).select(*scope, "s", _blocks(F.col("df")).alias("of"))
+    dealt = postings.join(long, [*scope, "s"], "left")
+    return dealt.withColumn("block", F.coalesce(F.pmod(F.xxhash64("__chunk"), F.col("of")).cast("int"), F.lit(0))).drop("of")
+
+
 def supported_claims(
     claim_rows: DataFrame, chunks: DataFrame, claim: str, chunk_id: str, chunk_text: str,
     scope: list[str] | None = None, threshold: float = THRESHOLD, n: int = 3,
@@ -29,16 +42,18 @@ def supported_claims(
     Exact, without comparing every claim to every chunk. A claim of m shingles
     needs t = ceil(threshold * m) of them in one chunk, so one of its m - t + 1
     rarest shingles must be there: only those are joined. Copies of a claim or a
-    chunk are looked at once, and a frequent shingle is never joined while the
-    claim has rarer ones.
+    chunk are looked at once, a chunk with fewer than t shingles meets no claim, and a frequent shingle is never joined while the
+    claim has rarer ones. A shingle that stands in very many chunks has its list cut into blocks, each of which the
+    claims meet apart, so no task holds one list. With ``scope`` (a request, a tenant) a claim meets its own chunks only.
     """
     scope = scope or []
     uniq = claim_rows.select(*scope, F.col(claim).alias("__t")).distinct()
     left = _shingled(uniq.withColumn("claim_key", F.sha2("__t", 256)), [*scope, "claim_key"], "__t", n)
     ctx = chunks.select(*scope, F.col(chunk_text).alias("__t")).distinct().withColumn("__chunk", F.sha2("__t", 256))
     right = _shingled(ctx, [*scope, "__chunk"], "__t", n)
-    postings = right.select(*scope, "__chunk", F.explode_outer("sh").alias("s"))
+    postings = right.select(*scope, "__chunk", F.size("sh").alias("held"), F.explode_outer("sh").alias("s"))
     freq = postings.groupBy(*scope, "s").agg(F.count("*").alias("df"))
+    postings = _blocked(postings, freq, scope)
 
     # shingles of no chunk drop out here, which is most of them
     ranked = (
@@ -55,8 +70,8 @@ def supported_claims(
     probes = ranked.select(
         *scope, "claim_key", "need", F.transform("known", lambda k: k["s"]).alias("c_sh"),
         F.explode(F.slice("known", F.lit(1), places)).alias("p"),
-    ).select(*scope, "claim_key", "need", "c_sh", F.col("p.s").alias("s"))
-    pairs = probes.join(postings, [*scope, "s"]).groupBy(*scope, "claim_key", "__chunk").agg(
+    ).select(*scope, "claim_key", "need", "c_sh", F.col("p.s").alias("s"), F.explode(F.sequence(F.lit(0), _blocks(F.col("p.df")) - 1)).alias("block"))
+    pairs = probes.join(postings, [*scope, "s", "block"]).where("held >= need").groupBy(*scope, "claim_key", "__chunk").agg(
         F.first("need").alias("need"), F.first("c_sh").alias("c_sh")
     )
     verified = pairs.join(right, [*scope, "__chunk"]).where(F.size(F.array_intersect("c_sh", "sh")) >= F.col("need"))

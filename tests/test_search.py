@@ -68,3 +68,27 @@ def test_no_index_and_no_term(spark, tmp_path):
         search.search(spark, str(tmp_path), ITEM, ["x"], 3)
     with pytest.raises(ValueError):
         search.search(spark, str(tmp_path), ITEM, [], 3)
+
+
+def test_a_shingle_in_all_chunks_is_cut_into_blocks(spark, monkeypatch):
+    from custodia.operators import grounding
+
+    monkeypatch.setattr(grounding, "BLOCK", 50)
+    rnd = random.Random(10)
+    chunks = [(i, f"once upon a time {' '.join(rnd.choices('abcdefgh', k=rnd.randrange(0, 9)))}") for i in range(1200)]
+    claims = [(i, f"once upon a time {' '.join(rnd.choices('abcdefgh', k=rnd.randrange(0, 5)))}") for i in range(60)] + [(90, "nothing alike here"), (91, "once upon a")]
+    ch = spark.createDataFrame(chunks, "chunk_id int, chunk string")
+    cl = spark.createDataFrame(claims, "id int, claim string")
+
+    def sh(t):
+        w = t.split()
+        return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)}
+
+    held = [sh(c) for _, c in chunks]
+    want = {i: any(10 * len(sh(t) & c) >= 6 * len(sh(t)) for c in held) for i, t in claims}
+    assert {r["id"]: r["supported"] for r in grounding.ground(cl, ch).collect()} == want and len(set(want.values())) == 2
+    right = grounding._shingled(ch.select(F.col("chunk").alias("__t")).distinct().withColumn("__chunk", F.sha2("__t", 256)), ["__chunk"], "__t", 3)
+    postings = right.select("__chunk", F.size("sh").alias("held"), F.explode("sh").alias("s"))
+    freq = postings.groupBy("s").agg(F.count("*").alias("df"))
+    sizes = grounding._blocked(postings, freq, []).groupBy("s", "block").count()
+    assert freq.agg(F.max("df")).first()[0] > 800 and sizes.agg(F.max("count")).first()[0] < 100
