@@ -58,10 +58,16 @@ def missing_params(calls: DataFrame, registry: DataFrame, params: str) -> DataFr
     return j.withColumn("missing", F.array_except("required_params", given)).where(F.size("missing") > 0).drop("required_params")
 
 
-def unapproved(calls: DataFrame, registry: DataFrame, flag: str) -> DataFrame:
-    """Calls of execution tools that do not carry the orchestrator's approval."""
+def approval(payload: Column) -> Column:
+    """The orchestrator's approval as a message's payload states it: true only if it is the JSON value true."""
+    return F.coalesce(F.from_json(payload, "orchestrator_approval boolean")["orchestrator_approval"], F.lit(False))
+
+
+def unapproved(calls: DataFrame, registry: DataFrame, flag: str | Column) -> DataFrame:
+    """Calls of execution tools that do not carry the orchestrator's approval: a column, or ``approval`` of the payload."""
+    flag = F.col(flag) if isinstance(flag, str) else flag
     execution = registry.where(F.array_contains("allowed_agents", "EXECUTION")).select("tool")
-    return calls.join(execution, "tool", "left_semi").where(~F.coalesce(F.col(flag), F.lit(False)))
+    return calls.join(execution, "tool", "left_semi").where(~F.coalesce(flag, F.lit(False)))
 
 
 RATE_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}

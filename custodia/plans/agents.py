@@ -78,6 +78,13 @@ def approval_flag_check(inp: Inputs):
     return agents.unapproved(inp.view("tool_params"), inp.dim("tool_registry"), "orchestrator_approval").select("call_id", "tool")
 
 
+# only a JSON true counts: not its absence, a text, a note about it or text that is no JSON
+@query("payload_approval", """SELECT call_id, c.tool FROM #tool_params# c JOIN %tool_registry% r ON r.tool = c.tool WHERE list_contains(r.allowed_agents, 'EXECUTION')
+  AND CAST(regexp_extract(CAST((SELECT props FROM events e WHERE e.event_id = c.call_id) AS VARCHAR), '([0-9]+)', 1) AS INT) % 8 < 5""")
+def payload_approval(inp: Inputs):
+    return agents.unapproved(inp.view("tool_params"), inp.dim("tool_registry"), agents.approval(F.col("payload"))).select("call_id", "tool")
+
+
 @query("tool_rate_limit", """SELECT agent, x.tool, CAST(ts AS VARCHAR) AS ts, n_trailing, CAST(split_part(r.rate_limit, '/', 1) AS INTEGER) AS allowed FROM (
   SELECT DISTINCT agent, tool, ts, count(*) OVER (PARTITION BY agent, tool ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n_trailing FROM #tool_calls# c) x
 JOIN %tool_registry% r ON r.tool = x.tool WHERE n_trailing > CAST(split_part(r.rate_limit, '/', 1) AS INTEGER)""")

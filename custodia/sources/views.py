@@ -87,7 +87,8 @@ SELECT event_id AS update_id, ts, user_id AS ticket_id, CASE WHEN (user_id + k)
     "tool_params": f"""
 SELECT event_id AS call_id, CASE k % 10 WHEN 0 THEN 'jira_create_issue' WHEN 1 THEN 'jira_update_issue' WHEN 2 THEN 'jira_search' ELSE 'notion_search' END AS tool,
   CASE WHEN k % 3 = 0 THEN '{{"query": "x"}}' ELSE '{{"query": "x", "project_key": "p", "summary": "s", "issue_type": "b", "issue_key": "i", "jql_query": "j"}}' END AS params,
-  k % 8 <> 0 AS orchestrator_approval FROM {_EVENTS}""",
+  k % 8 <> 0 AS orchestrator_approval, CASE WHEN k % 8 = 1 THEN NULL WHEN k % 8 = 2 THEN '{{"note": "orchestrator_approval: true"}}' WHEN k % 8 = 3 THEN '{{"orchestrator_approval": "true"}}'
+    WHEN k % 8 = 0 THEN '{{"orchestrator_approval": false}}' WHEN k % 8 = 4 THEN 'orchestrator_approval: true' ELSE '{{"context": {{}}, "orchestrator_approval": true}}' END AS payload FROM {_EVENTS}""",
     "golden": """
 SELECT item_id, text AS reference_answer, split_part(text, ' ', 2) AS fact1, regexp_extract(text, '([^ ]+)[ ]*$', 1) AS fact2, 4 AS min_score FROM @benchmark@""",
     "golden_runs": """
