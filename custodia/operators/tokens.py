@@ -174,6 +174,14 @@ def detokenize(
     return done.unionByName(same)
 
 
+def unresolved_counts(texts: DataFrame, token_map: DataFrame, doc_id: str, text: str, role: str, at: str) -> DataFrame:
+    """(doc_id, n) of texts whose entitled reader finds tokens without a living record. Nothing is restored, so no text is joined."""
+    todo = texts.where(F.coalesce(may_see(F.col(role)), F.lit(False)))
+    found = read(lookups(todo, text, [doc_id, at]), token_map, at)
+    per = found.groupBy(doc_id, "pos").agg(F.max("value").alias("value")).where("value IS NULL")
+    return per.groupBy(doc_id).agg(F.count("*").alias("n"))
+
+
 def compliance_flags(unresolved: Column) -> Column:
     return F.when(F.size(unresolved) > 0, F.array(F.lit("UNRESOLVED_PII_TOKENS"))).otherwise(
         F.expr("cast(array() as array<string>)")

@@ -33,7 +33,7 @@ def _attacks(inp):
 
 
 def _unresolved(inp):
-    return token_plan.detokenized(inp).where(F.size("unresolved") > 0), F.col("request_id"), F.size("unresolved")
+    return token_plan.unresolved(inp), F.col("request_id"), F.col("n")
 
 
 def _volume(inp):

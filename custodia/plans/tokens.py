@@ -124,6 +124,11 @@ def detokenized(inp: Inputs):
     return tokens.detokenize(responses_of(stored), map_of(stored), "request_id", "response", "user_role", at="read_at")
 
 
+def unresolved(inp: Inputs):
+    stored = redacted(inp)
+    return tokens.unresolved_counts(responses_of(stored), map_of(stored), "request_id", "response", "user_role", "read_at")
+
+
 @query("detokenize", "SELECT request_id, user_role, restored, array_to_string(unresolved, ',') AS unresolved FROM #detokenized# d")
 def detokenize(inp: Inputs):
     return detokenized(inp).select("request_id", "user_role", "restored", F.array_join("unresolved", ",").alias("unresolved"))
