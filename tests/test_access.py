@@ -23,7 +23,7 @@ def test_decisions(spark):
         ("/health", None, False, None, 200), ("/v1/prompt", None, True, "ANALYST", 401), ("/v1/prompt", "Basic x", True, "ANALYST", 401),
         ("/v1/prompt", "Bearer x", False, "ANALYST", 401), ("/v1/prompt", "Bearer x", True, "HACKER", 403), ("/v1/prompt", "Bearer x", True, None, 403),
         ("/v1/prompt", "Bearer x", True, "VIEWER", 403), ("/v1/prompt", "Bearer x", True, "ANALYST", 200), ("/v1/audit", "Bearer x", True, "DEVELOPER", 403),
-        ("/v1/audit", "Bearer x", True, "PLATFORM_ADMIN", 200), ("/other", "Bearer x", True, "VIEWER", 200),
+        ("/v1/audit", "Bearer x", True, "PLATFORM_ADMIN", 200), ("/other", "Bearer x", True, "VIEWER", 404),  # a path that is no route is refused
     ]
     df = spark.createDataFrame(rows, "path string, h string, ok boolean, role string, want int")
     out = access.decide(df, dims.dim(spark, "route_roles"), "path", "h", F.col("ok"), "role").collect()
