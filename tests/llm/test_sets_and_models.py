@@ -3,11 +3,13 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from custodia.llm import decontaminate, minhash, pylm, quality, toxicity
 from custodia.llm.common import hash_cache, lower_words
@@ -253,6 +255,55 @@ def test_base_scores_and_counts(spark, monkeypatch):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_a_context_is_the_word_before(spark):
+    # "cat" and "bat" are of one class: only their own restaurants tell what follows them
+    assert pylm.context_of(b"cat") == pylm.context_of(b"bat")
+    rows = [(i, "cat alpha bat omega") for i in range(200)] + [(1000, "cat alpha"), (1001, "cat omega"), (1002, "bat omega"), (1003, "bat alpha")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in pylm.score(docs, docs.doc_id < 1000).where("doc_id >= 1000").collect()}
+    ends = {r.doc_id: r.score for r in pylm.score(spark.createDataFrame([*rows[:200], (1004, "alpha"), (1005, "omega")], docs.schema), F.col("doc_id") < 1000).collect()}
+    assert got[1000] - ends[1004] > got[1001] - ends[1005] + 1 and got[1002] - ends[1005] > got[1003] - ends[1004] + 1
+
+
+def test_totals_of_a_word_s_restaurant_are_those_of_all_buckets(spark, monkeypatch):
+    monkeypatch.setattr(pylm, "BLOCK_TOKENS", 300)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["a", "b.", "cat", "bat", "x1"] + VOCABULARY[:20], k=rng.randint(0, 40)))) for i in range(60)] + [(60, None), (60, "a a a")]
+    docs = spark.createDataFrame(rows, "id long, text string").withColumn("training", F.col("id") % 3 != 1)
+    packed = pylm.stored(pylm.pack(docs, 4), "packed")
+    counts = pylm.stored(pylm.gather(packed, 4), "counts")
+    pairs = Counter()
+    for i, text in rows:
+        if i % 3 != 1:
+            words = [pylm.END, *map(pylm.key_of, lower_words(text)), pylm.END]
+            pairs.update(zip(words, words[1:]))
+    asks = counts.where("target is not null").selectExpr("target AS bucket", "bucket AS source", "keys", "customers", "single", "twice")
+    states = counts.where("target is null")
+    slots = {r.bucket: np.frombuffer(r.slots, np.uint64) for r in states.select("bucket", "slots").collect()}
+    got = {}
+    for r in sorted(pylm.first_replies(asks).collect(), key=lambda r: r.source):
+        got.setdefault(r.bucket, []).append((np.frombuffer(r.customers, np.int64), np.frombuffer(r.single, np.int64)))
+    assert any(len(x) for x in slots.values())
+    for bucket, keys in slots.items():
+        customers, single = (np.concatenate([p[k] for p in got[bucket]]) for k in (0, 1))
+        assert customers.tolist() == [sum(n for (a, _), n in pairs.items() if a == k) for k in keys.tolist()]
+        assert single.tolist() == [sum(n == 1 for (a, _), n in pairs.items() if a == k) for k in keys.tolist()]
+    # after a message per bucket, each context has one table per pair that stands twice
+    again = {}
+    for r in sorted(pylm.replies(pylm.sent(states, "leaf_tables", 4)).collect(), key=lambda r: r.source):
+        again.setdefault(r.bucket, []).append(np.frombuffer(r.tables, np.int64))
+    for bucket, keys in slots.items():
+        if len(keys):
+            assert np.concatenate(again[bucket]).tolist() == [sum(n > 1 for (a, _), n in pairs.items() if a == k) for k in keys.tolist()]
+
+
+def test_probabilities_after_a_word_add_up_to_one():
+    rng = np.random.default_rng(11)
+    count = rng.integers(0, 5, 40)
+    tables, above = np.minimum(count, rng.integers(1, 4, 40)), rng.dirichlet(np.ones(40))
+    assert math.isclose(pylm.word_probability(count, tables, count.sum(), tables.sum(), 0.6, above).sum(), 1, rel_tol=1e-9)
+
+
 def test_no_training_rows_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "")], "doc_id long, text string")
     from pyspark.sql import functions as F
