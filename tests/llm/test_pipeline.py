@@ -1,5 +1,6 @@
 """The whole pipeline on a corpus whose right answer is known."""
 
+import gc
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from custodia.llm.common import stored
 from custodia.llm.queries import ORACLES, QUERIES, TOKENIZER
 from tests.llm.test_text_operators import reference
 from tests.oracle_compare import compare, connect
@@ -91,3 +93,17 @@ def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
     assert [int(q[2:].split("_")[0]) for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == list(range(1, 14))
     assert TOKENIZER
+
+
+def test_a_stored_table_lets_the_driver_forget_what_is_done(spark):
+    # shuffle files and plans of finished jobs go only once the driver has collected its garbage
+    jvm = spark.sparkContext._jvm
+    done = jvm.java.util.ArrayList()
+    held = jvm.java.lang.ref.WeakReference(done)
+    assert held.get() is not None
+    del done
+    gc.collect()
+    stored(spark.range(3), "forget")
+    gc.collect()
+    stored(spark.range(3), "forget")
+    assert held.get() is None
