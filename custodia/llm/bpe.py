@@ -47,7 +47,7 @@ LONG = 64
 #: Entries of a worker's memory of words before its older half is forgotten, by default.
 MEMORY = 350_000
 
-# one pair per word and step; q is the position of the next token
+# one pair per word and step; q is the position of the word's next token, or -1
 _FIRST = """
 WITH RECURSIVE s(w, p, q, t, i, fixed) AS (
   SELECT w, p, q, t, 0, FALSE FROM state
@@ -55,7 +55,7 @@ WITH RECURSIVE s(w, p, q, t, i, fixed) AS (
   (WITH live AS MATERIALIZED (SELECT * FROM s WHERE NOT fixed AND i < $steps),
   pairs AS MATERIALIZED (
     SELECT a.w, a.p, b.p AS gone, b.q, m.rank, (m.rank::BIGINT << 32) | a.p AS o
-    FROM live a JOIN live b ON a.w = b.w AND a.q = b.p JOIN merges m ON m.pair = (a.t::BIGINT << 32 | b.t)),
+    FROM live a JOIN live b ON a.q = b.p JOIN merges m ON m.pair = (a.t::BIGINT << 32 | b.t)),
   best AS MATERIALIZED (
     SELECT w, arg_min(p, o) AS p, arg_min(gone, o) AS gone, arg_min(q, o) AS q, min(rank) AS rank FROM pairs GROUP BY w)
   SELECT a.w, a.p, CASE WHEN a.p = b.p THEN b.q ELSE a.q END, CASE WHEN a.p = b.p THEN b.rank ELSE a.t END, a.i + 1, b.w IS NULL
@@ -155,12 +155,14 @@ class Tokenizer:
         return self.db.sql(sql).to_arrow_table()
 
     def contract(self, words: list[bytes]) -> pa.Table:
-        """Rows (w, p, t): the tokens of each word."""
+        """Rows (w, p, t): the tokens of each word; p is a position in all words, one after another."""
         n = np.fromiter(map(len, words), np.int64, len(words))
         start = np.cumsum(n) - n
         flat = np.frombuffer(b"".join(words), np.uint8)
-        p = (np.arange(len(flat)) - np.repeat(start, n)).astype(np.int32)
-        state = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), n), "p": p, "q": p + np.int32(1), "t": self.bytes[flat]})
+        p = np.arange(len(flat), dtype=np.int32)
+        q = p + np.int32(1)
+        q[(start + n - 1)[n > 0]] = -1
+        state = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), n), "p": p, "q": q, "t": self.bytes[flat]})
         whole = [self.ranks.get(x) for x in words]
         at_once = np.array([x is not None for x in whole])
         done = [pa.table({"w": np.flatnonzero(at_once).astype(np.int32), "p": np.zeros(at_once.sum(), np.int32), "t": np.array([x for x in whole if x is not None], np.int32)})]
@@ -186,10 +188,15 @@ class Tokenizer:
                 self.words.new.update(zip([words[i] for i in own], out["ids"].to_pylist()))
 
     def remember(self, chunks: list[str], lead: str, known: Memory) -> None:
-        split = [_SPLIT.findall(lead + c) for c in chunks]
-        self.learn(self.words.missing(set().union(*split)))
+        # ASCII letters are one word, with or without a space before them
+        whole = [c for c in chunks if c.isalpha() and c.isascii()]
+        names = [lead + c for c in whole]
+        others = [c for c in chunks if not (c.isalpha() and c.isascii())]
+        split = [_SPLIT.findall(lead + c) for c in others]
+        self.learn(self.words.missing(set(names).union(*split)))
         words, new = self.words.new, known.new
-        for chunk, pieces in zip(chunks, split):
+        new.update(zip(whole, map(words.__getitem__, names)))
+        for chunk, pieces in zip(others, split):
             new[chunk] = words[pieces[0]] if len(pieces) == 1 else b",".join([words[w] for w in pieces])
 
     def run(self, texts: list[str | None]) -> Iterator[tuple[list[str], list[bytes]]]:
@@ -233,8 +240,8 @@ class Tokenizer:
 
     def _bytes(self, n: np.ndarray, ids: np.ndarray) -> list[bytes]:
         """The ordered aggregation: bytes of lists of ``n`` ids, with one character for a byte inside the query."""
-        start = np.cumsum(n) - n
-        tokens = pa.table({"w": np.repeat(np.arange(len(n)), n), "p": np.arange(len(ids)) - np.repeat(start, n), "t": ids})
+        narrow = np.int32 if len(ids) < 2**31 else np.int64
+        tokens = pa.table({"w": np.repeat(np.arange(len(n), dtype=narrow), n), "p": np.arange(len(ids), dtype=narrow), "t": ids})
         out, data = self._query(_DECODE, tokens=tokens), [b""] * len(n)
         for w, text, unknown in zip(*(out[c].to_pylist() for c in ("w", "chars", "unknown"))):
             if unknown:

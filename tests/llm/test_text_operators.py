@@ -116,6 +116,22 @@ def test_bpe_equals_the_library(spark):
     assert bpe.encode_decode(docs.limit(0), TOKENIZER).count() == 0
 
 
+def test_bpe_splits_only_chunks_that_are_not_plain_letters(monkeypatch):
+    seen = []
+
+    class Split:
+        def findall(self, text, split=bpe._SPLIT):
+            seen.append(text)
+            return split.findall(text)
+
+    own, full = bpe.Tokenizer(TOKENIZER), reference()
+    monkeypatch.setattr(bpe, "_SPLIT", Split())
+    texts = ["Plain letters ABC only", "don't 12ab straße ſ a\u0301 x\ny", "letters", "qzxvkwq qzxvkwqj " * 50 + "z"]
+    found = [(i, d) for ids, data in own.run(texts) for i, d in zip(ids, data)]
+    assert [i for i, _ in found] == [",".join(map(str, full.encode_ordinary(t))) for t in texts] and [d.decode() for _, d in found] == texts
+    assert sorted(set(seen)) == sorted(["don't", " 12ab", " straße", " ſ", " a\u0301", " x\ny"])
+
+
 @given(st.lists(st.text(alphabet="abthe ingo'n1\n中#", max_size=40), max_size=6))
 @settings(max_examples=40, deadline=None)
 def test_bpe_random_texts(texts):
