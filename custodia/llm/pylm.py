@@ -16,6 +16,7 @@ All words of the corpus are counted, in rows packed by (block of documents, buck
    totals per class and above (a fixed number) meet on the driver between sweeps, those per word go from bucket to bucket. A dish with
    one customer has one table, so only pairs that occur twice are carried along. Past ``EXACT`` customers of a dish, new tables are
    drawn for stretches of a sixteenth of the customers present with the rate at the start of the stretch.
+   What stands per bucket is written once, in a table that lies by bucket; passes over it read it where it is, and only questions and answers are shuffled.
 4. Tables of the words' restaurants and predictive probabilities of the classes are averaged over the kept sweeps, and the probabilities
    that follow are sent back to the blocks as sums per document.
 
@@ -31,13 +32,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import Cache, dropped, lower_words, map_arrow, stored
+from custodia.llm.common import Cache, dropped, lower_words, map_arrow, stored, stored_by  # noqa: F401  (tests store through this module)
 
 #: Low bits of a word's key that hold its class as a context.
 CONTEXT_BITS = 9
@@ -57,6 +57,11 @@ BLOCK_TOKENS, BLOCK_DOCS, BUCKET_BYTES, MIN_BUCKET_BITS = 2_000_000, 32_000, 32
 DOC_BITS = 15
 
 
+def files_of(bits: int) -> int:
+    """Parts of a table that lies by bucket; tasks times parts is its number of files, so they grow slower than the buckets."""
+    return 1 << (bits + 4) // 2
+
+
 def context_of(word: bytes) -> int:
     """Class of a word as a context; the class's parent is ``PARENT[class]``."""
     last = word[-1]
@@ -197,7 +202,7 @@ def gather(packed: DataFrame, bits: int) -> DataFrame:
         first = pa.table(state.row(bucket) | leaves.row() | {k: [v] for k, v in sizes.items()})
         n = len(pairs.needs)
         customers, single, twice = (np.bincount(pairs.prev, x, n).astype(np.int64) for x in (pairs.count, pairs.count == 1, many))
-        rows = [(b, pairs.needs[i:j], customers[i:j], single[i:j], twice[i:j].astype(np.uint32)) for b, i, j in _targets(pairs.needs, bits)]
+        rows = [(b, pairs.needs[i:j], customers[i:j], single[i:j], twice[i:j]) for b, i, j in _targets(pairs.needs, bits)]
         asks = {"bucket": pa.array([bucket] * len(rows), pa.int32()), "target": pa.array([r[0] for r in rows], pa.int32())}
         asks |= {name: pa.array([r[k].tobytes() for r in rows], pa.binary()) for k, name in enumerate(("keys", "customers", "single", "twice"), 1)}
         whole = pa.concat_tables([first, pa.table(asks)], promote_options="default")
@@ -279,15 +284,18 @@ def _answered(table: pa.Table, **columns: list[np.ndarray]) -> pa.Table:
 
 
 def first_replies(asks: DataFrame) -> DataFrame:
-    """(bucket, source, customers, single): totals of the contexts that a bucket has twice with one word, in the order of their keys."""
+    """(bucket, source, customers, single, tables): totals of the contexts that a bucket has twice with one word, in the order of their keys.
+
+    ``tables`` are those before the first sweep, one for each dish of two customers or more.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        _, place, (customers, single), cuts = totals_by_key(table, "customers", "single")
-        wanted = [x > 0 for x in _unpack(table, "twice", np.uint32)]
+        _, place, (customers, single, tables), cuts = totals_by_key(table, "customers", "single", "twice")
+        wanted = [x > 0 for x in _unpack(table, "twice", np.int64)]
         parts = [p[w] for p, w in zip(np.split(place, cuts), wanted)]
-        return _answered(table, customers=[customers[p] for p in parts], single=[single[p] for p in parts])
+        return _answered(table, customers=[customers[p] for p in parts], single=[single[p] for p in parts], tables=[tables[p] for p in parts])
 
-    return asks.groupBy("bucket").applyInArrow(run, "bucket int, source int, customers binary, single binary")
+    return asks.groupBy("bucket").applyInArrow(run, "bucket int, source int, customers binary, single binary, tables binary")
 
 
 def replies(messages: DataFrame) -> DataFrame:
@@ -459,30 +467,23 @@ def totals_of(states: DataFrame) -> np.ndarray:
 
 def sampled(states: DataFrame, asks: DataFrame, vocabulary: int, discount: float, bits: int, sweeps: int, burn_in: int) -> tuple[DataFrame, Seats]:
     """State after all sweeps; sums hold the tables of the kept ones, and the probabilities of all kept ones but the last."""
-
-    def learn(state: pa.Table, answers: pa.Table) -> pa.Table:
-        for name, column in (("slot_customers", "customers"), ("slot_single", "single")):
-            at = state.schema.get_field_index(name)
-            state = state.set_column(at, name, pa.array([_joined(answers, column).tobytes()], pa.binary()))
-        return state
-
-    names = [f.name for f in states.schema]
-    first = states.groupBy("bucket").cogroup(first_replies(asks).groupBy("bucket")).applyInArrow(learn, _STATE)
-    states, seats = stored(first.select(names), "seats"), Seats.of(totals_of(states), vocabulary)
+    seats = Seats.of(totals_of(states), vocabulary)
     for number in range(burn_in + sweeps):
-        answers = replies(sent(states, "leaf_tables", bits))
-        later = stored(swept(states, answers, seats, discount, number, burn_in), f"seats{number}")
+        answers = replies(sent(states, "leaf_tables", bits)) if number else first_replies(asks)
+        later = stored_by(swept(states, answers, seats, discount, number, burn_in), f"seats{number}", "bucket", files_of(bits))
         dropped(states)
         states, seats = later, Seats.of(totals_of(later), vocabulary)
     return states, seats
 
 
 def swept(states: DataFrame, answers: DataFrame, seats: Seats, discount: float, number: int, burn_in: int) -> DataFrame:
-    """State after one sweep; sweeps from ``burn_in`` on are kept."""
+    """State after one sweep; sweeps from ``burn_in`` on are kept. The first one's answers tell what the contexts hold in all buckets."""
 
     def run(state: pa.Table, answers: pa.Table) -> pa.Table:
         (row,) = state.to_pylist()
         own, leaves = State.of(row), Leaves.of(row)
+        if not number:
+            leaves.customers, leaves.single = _joined(answers, "customers"), _joined(answers, "single")
         rng = np.random.default_rng((SEED, number, row["bucket"]))
         p = seats.probabilities(own)
         if number > burn_in:
@@ -497,6 +498,19 @@ def swept(states: DataFrame, answers: DataFrame, seats: Seats, discount: float,
     return states.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(run, _STATE)
 
 
+def known_of(states: DataFrame, told: DataFrame, seats: Seats, samples: int) -> DataFrame:
+    """What the answers need of a bucket: per (word, class) the mean probability above, per pair of two customers or more the sum of its tables, per context its totals."""
+
+    def run(state: pa.Table, told: pa.Table) -> pa.Table:
+        (row,) = state.to_pylist()
+        own = State.of(row)
+        above = (own.pair_sum + seats.probabilities(own)) / samples
+        parts = (above, np.frombuffer(row["leaf_sum"], np.int64), _joined(told, "customers"), _joined(told, "tables"))
+        return pa.table({"bucket": pa.array([row["bucket"]], pa.int32())} | {n: pa.array([x.tobytes()], pa.binary()) for n, x in zip(("above", "leaf_sum", "customers", "tables"), parts)})
+
+    return states.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(run, "bucket int, above binary, leaf_sum binary, customers binary, tables binary")
+
+
 def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES, burn_in: int = BURN_IN) -> DataFrame:
     """Per row: id, n_tokens, n_known, train_tokens, base_score (add-one unigram) and score, both log10 of the whole text.
 
@@ -505,23 +519,27 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
     size = src.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = max(MIN_BUCKET_BITS, int(np.ceil(np.log2(max(1, size / BUCKET_BYTES)))))
-    packed = stored(pack(src, bits), "packed")
-    counts = stored(gather(packed, bits), "counts")
+    packed = stored_by(pack(src, bits), "packed", "bucket", files_of(bits))
+    counts = stored_by(gather(packed, bits), "counts", "bucket", files_of(bits))
     n, v, ones, twos = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "vocabulary", "ones", "twos"))).first()
     discount = float(np.clip(ones / max(ones + 2 * twos, 1), 0.05, 0.95))
-    asks = counts.where("target is not null").select(F.col("target").alias("bucket"), F.col("bucket").alias("source"), "keys", "customers", "single", "twice")
+    asked = counts.where("target is not null").select(F.col("target").alias("bucket"), F.col("bucket").alias("source"), "keys", "customers", "single", "twice")
+    asks = stored_by(asked, "asks", "bucket", files_of(bits))
     first = counts.where("target is null").select([f.split()[0] for f in _STATE.split(", ")])
     states, seats = sampled(first, asks, v, discount, bits, samples, burn_in)
+    told = last_replies(asks, sent(states, "leaf_sum", bits), samples)
+    known = stored_by(known_of(states, told, seats, samples), "known", "bucket", files_of(bits))
+    for scratch in (states, asks):
+        dropped(scratch)
     unseen = 1.0 / (v + 1)
 
     def answer(table: pa.Table, own: pa.Table) -> pa.Table:
-        answers, (row,) = own.filter(pc.is_valid(own.column("source"))), own.filter(pc.is_null(own.column("source"))).to_pylist()
-        state, pairs = State.of(row), Pairs.of(table)
-        customers, total = _joined(answers, "slot_customers"), _joined(answers, "slot_single") / samples
-        above = (state.pair_sum + seats.probabilities(state)) / samples
+        (row,) = own.to_pylist()
+        pairs = Pairs.of(table)
+        above, leaf_sum, customers, total = (np.frombuffer(row[c], k) for c, k in (("above", np.float64), ("leaf_sum", np.int64), ("customers", np.int64), ("tables", np.int64)))
         tables = np.minimum(pairs.count, 1).astype(float)
-        tables[pairs.count > 1] = np.frombuffer(row["leaf_sum"], np.int64) / samples
-        p = word_probability(pairs.count, tables, customers[pairs.prev], total[pairs.prev], discount, above[pairs.classes()[1]])
+        tables[pairs.count > 1] = leaf_sum / samples
+        p = word_probability(pairs.count, tables, customers[pairs.prev], (total / samples)[pairs.prev], discount, above[pairs.classes()[1]])
         p = np.log10(np.maximum(p, 1e-300)) if n else np.full(len(p), np.log10(unseen))
         count = np.bincount(pairs.word, pairs.count, len(pairs.words))
         base = np.log10((count + 1) / (n + v + 1))
@@ -537,10 +555,8 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
         bucket = row["bucket"]
         return pa.table({"bucket": pa.array([bucket] * len(out), pa.int32()), "block": [b for b, _, _ in out], "docs": pa.array([d for _, d, _ in out], pa.binary()), "sums": pa.array([s for _, _, s in out], pa.binary())})
 
-    asked = packed.where("bucket >= 0").select("bucket", "block", "word", "own", "prev", "count", "docs")
-    told = last_replies(asks, sent(states, "leaf_sum", bits), samples).withColumnsRenamed({"customers": "slot_customers", "tables": "slot_single"})
-    known = states.drop("slots", "leaf_at", "leaf_slot", "leaf_count", "leaf_tables").unionByName(told, allowMissingColumns=True)
-    answers = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "bucket int, block long, docs binary, sums binary")
+    words = packed.where("bucket >= 0").select("bucket", "block", "word", "own", "prev", "count", "docs")
+    answers = words.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "bucket int, block long, docs binary, sums binary")
     rows = packed.where("bucket = -1").select("block", "idx", "id", "n_tokens")
     id_type = rows.schema["id"].dataType.simpleString()
 

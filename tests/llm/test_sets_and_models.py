@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from custodia.llm import decontaminate, minhash, pylm, quality, toxicity
-from custodia.llm.common import hash_cache, lower_words
+from custodia.llm.common import dropped, hash_cache, lower_words, stored, stored_by
 from custodia.llm.components import components
 
 RNG = random.Random(17)
@@ -297,6 +297,35 @@ def test_totals_of_a_word_s_restaurant_are_those_of_all_buckets(spark, monkeypat
             assert np.concatenate(again[bucket]).tolist() == [sum(n > 1 for (a, _), n in pairs.items() if a == k) for k in keys.tolist()]
 
 
+def test_tables_by_bucket_are_not_shuffled_again(spark):
+    left = spark.range(500).selectExpr("cast(id % 7 AS int) AS bucket", "id")
+    right = spark.range(7).selectExpr("cast(id AS int) AS bucket", "id * 10 AS more")
+    a, b = stored_by(left, "left", "bucket", 4), stored_by(right, "right", "bucket", 4)
+
+    def add(x, y):
+        import pyarrow as pa
+
+        return pa.table({"bucket": y.column("bucket"), "n": pa.array([x.num_rows + y.column("more")[0].as_py()], pa.int64())})
+
+    done = a.groupBy("bucket").cogroup(b.groupBy("bucket")).applyInArrow(add, "bucket int, n long")
+    assert "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
+    assert {r.bucket: r.n for r in done.collect()} == {k: len(range(k, 500, 7)) + 10 * k for k in range(7)}
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(("llm_left", "llm_right"))]
+    dropped(a)
+    dropped(b)
+    assert len(names) == 2 and not any(spark.catalog.tableExists(n) for n in names)
+
+
+def test_language_model_shuffles_no_words(spark, monkeypatch):
+    # the packed words are the largest table: what groups them must read them where they lie
+    seen = []
+    monkeypatch.setattr(pylm, "stored_by", lambda df, name, *a: seen.append((name, df._jdf.queryExecution().executedPlan().toString())) or stored_by(df, name, *a))
+    docs = spark.createDataFrame(lm_rows(30)[:30], "doc_id long, text string")
+    done = pylm.score(docs, docs.doc_id % 3 != 1)
+    plans = dict(seen)
+    assert "Exchange" not in plans["counts"] and plans["seats1"].count("Exchange") == 2 and done.count() == 30
+
+
 def test_probabilities_after_a_word_add_up_to_one():
     rng = np.random.default_rng(11)
     count = rng.integers(0, 5, 40)
