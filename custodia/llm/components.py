@@ -33,8 +33,9 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
 
     A large-star step hangs each node's larger neighbours on its smallest one, a small-star step the
     smaller ones. Minima are aggregated before the shuffle. A hub's edges are joined back in parts: its minimum is
-    given to as many salts as it has thousands of neighbours. Each round's edges are written once and those of the round
-    before are deleted. Loops and repeated edges do no harm; edges with a null end are no links.
+    given to as many salts as it has thousands of neighbours. Each step's edges are written once and those of the step
+    before are deleted; a round in one plan would hold the large-star step four times, and the driver's memory would go
+    by the size of plans. Loops and repeated edges do no harm; edges with a null end are no links.
     """
     ends = edges.select(F.col(u).alias("a"), F.col(v).alias("b")).where("a is not null and b is not null")
     clean = ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -43,12 +44,14 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     while before[0]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"), _salts()).select("u", F.least("u", "m").alias("m"), "salts")
-        large = _with_minimum(both, low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        step = _with_minimum(both, low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = stored(step, "large")
+        dropped(current)
         small_low = large.groupBy("u").agg(F.min("v").alias("m"), _salts())
         small = _with_minimum(large, small_low).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         extra = small_low.select("u", F.col("m").alias("v"))
-        done, current = current, stored(small.unionByName(extra).where("u <> v").distinct(), "edges")
-        dropped(done)
+        current = stored(small.unionByName(extra).where("u <> v").distinct(), "edges")
+        dropped(large)
         after = _state(current)
         if after == before:
             break

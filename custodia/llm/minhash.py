@@ -240,12 +240,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = stored(src.join(met, "id", "left_semi"), "texts")
     best = buckets.where("id <> leader").groupBy("leader", "id").count().groupBy("id").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("a"))
-    first = confirmed(plausible(best.select("a", F.col("id").alias("b")), nodes, percent), texts, n, percent)
+    pairs = stored(plausible(best.select("a", F.col("id").alias("b")), nodes, percent), "pairs")
+    first = confirmed(pairs, texts, n, percent)
     # an id that stands with several texts ties their nodes together
     of_id = known.select("id", "set_key").distinct().join(nodes.select("set_key", F.col("id").alias("node")), "set_key")
     several = of_id.groupBy("id").agg(F.min("node").alias("u"), F.max("node").alias("top")).where("u <> top").select("id", "u")
     tied = of_id.join(several, "id").select("u", F.col("node").alias("v"))
     links = stored(first.unionByName(tied), "links")
+    dropped(pairs)
     labels = components(links)
     more = rest_links(buckets.select("band", "key", "id"), labels, nodes, texts, n, percent)
     stars = labels.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v")

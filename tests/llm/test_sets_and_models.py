@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from custodia.llm import components as components_module
 from custodia.llm import decontaminate, minhash, pylm, quality, toxicity
 from custodia.llm.common import dropped, hash_cache, lower_words, stored, stored_by
 from custodia.llm.components import components
@@ -232,6 +233,15 @@ def test_temperature_softens_an_overconfident_network():
     assert quality.train(x, y).temperature > 1
 
 
+def test_a_round_of_components_is_no_plan_of_many_copies(spark, monkeypatch):
+    scans = []
+    monkeypatch.setattr(components_module, "stored", lambda df, name: scans.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")) or stored(df, name))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(12)] + [(20, 21)], "u long, v long")
+    got = {r.node: r.component for r in components(edges).collect()}
+    assert got == {i: 0 for i in range(13)} | {20: 20, 21: 20}
+    assert len(scans) > 2 and max(scans) <= 6  # 24 where the large-star step stands in the small-star step's plan
+
+
 # language model -----------------------------------------------------------------------------------------------------------
 
 
